@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import transport_stream
+from . import mixing, transport_stream
 from .common import table
 
 
@@ -13,12 +13,25 @@ def op1_transport_stream(spark, sf_dir):
     return transport_stream.stream_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_mix_sources(spark, sf_dir):
+    """All documents mixed to the sources' target weights."""
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline`` over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
-_QUERIES = (op1_transport_stream, pipeline)
+_QUERIES = (
+    op1_transport_stream,
+    op8_mix_sources,
+    pipeline,
+)
+
+_ORACLES = {
+    "op8_mix_sources": mixing.ORACLE,
+}
 
 
 def queries() -> dict:
@@ -26,4 +39,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
