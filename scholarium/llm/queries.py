@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import mixing, transport_stream
+from . import licenses, mixing, transport_stream
 from .common import table
 
 
@@ -18,6 +18,11 @@ def op8_mix_sources(spark, sf_dir):
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark, sf_dir):
+    """Licence notices and expressions in every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline`` over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -26,6 +31,7 @@ def pipeline(spark, sf_dir):
 _QUERIES = (
     op1_transport_stream,
     op8_mix_sources,
+    op10_license_scan,
     pipeline,
 )
 
