@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import licenses, mixing, transport_stream
+from . import identifiers, licenses, mixing, transport_stream
 from .common import table
 
 
@@ -23,6 +23,11 @@ def op10_license_scan(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_identifiers(spark, sf_dir):
+    """Personal data in every document, disguised or not."""
+    return identifiers.find_identifiers(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline`` over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -30,6 +35,7 @@ def pipeline(spark, sf_dir):
 
 _QUERIES = (
     op1_transport_stream,
+    op3_identifiers,
     op8_mix_sources,
     op10_license_scan,
     pipeline,
