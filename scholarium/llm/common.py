@@ -37,7 +37,7 @@ def map_column(
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
                 new = f(part.column(n_kept).to_pylist())
-                arrays = [pa.array(x, t) for x, t in zip(new, types, strict=True)]
+                arrays = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(new, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_kept], *arrays], names=names)
 
     picked = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(keep)], df[column].alias("value"))

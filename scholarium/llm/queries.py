@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import identifiers, licenses, mixing, transport_stream
+from . import identifiers, licenses, mixing, sentencepieces, transport_stream
 from .common import table
 
 
@@ -28,6 +28,11 @@ def op3_identifiers(spark, sf_dir):
     return identifiers.find_identifiers(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark, sf_dir):
+    """Every document encoded by the transducer and decoded again."""
+    return sentencepieces.encode_round_trip(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline`` over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -35,6 +40,7 @@ def pipeline(spark, sf_dir):
 
 _QUERIES = (
     op1_transport_stream,
+    op2_sentencepiece,
     op3_identifiers,
     op8_mix_sources,
     op10_license_scan,
