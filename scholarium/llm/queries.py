@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import identifiers, licenses, mixing, sentencepieces, transport_stream
+from . import identifiers, licenses, mixing, sentencepieces, toxicity, transport_stream
 from .common import table
 
 
@@ -33,6 +33,11 @@ def op2_sentencepiece(spark, sf_dir):
     return sentencepieces.encode_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark, sf_dir):
+    """Every document's toxicity by the convolutional classifier."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline`` over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -42,6 +47,7 @@ _QUERIES = (
     op1_transport_stream,
     op2_sentencepiece,
     op3_identifiers,
+    op4_toxicity,
     op8_mix_sources,
     op10_license_scan,
     pipeline,
