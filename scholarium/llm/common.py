@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -47,3 +49,20 @@ def map_column(
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     """A table of the test data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a new one only where it is unset, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: its lineage ends there, and lost executors take nothing along."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

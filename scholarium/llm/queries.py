@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import identifiers, licenses, mixing, sentencepieces, toxicity, transport_stream
+from . import identifiers, licenses, mixing, near_duplicates, sentencepieces, toxicity, transport_stream
 from .common import table
 
 
@@ -38,6 +38,11 @@ def op4_toxicity(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_near_duplicates(spark, sf_dir):
+    """Near-duplicate components of all documents by min-max hashing."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline`` over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -49,6 +54,7 @@ _QUERIES = (
     op3_identifiers,
     op4_toxicity,
     op8_mix_sources,
+    op9_near_duplicates,
     op10_license_scan,
     pipeline,
 )
