@@ -7,9 +7,10 @@ weight, the clamped sources are the first ones, so the level follows from runnin
 source. Each document is then repeated whole as often as its source's ratio says, and seeded documents
 once more for the fraction left, the last of them in part, so that a source's words meet its target.
 
-The texts are read once, for their sizes; only sizes are shuffled. The fraction needs a running sum over
-a source's documents in seeded order. A source can hold a third of all rows, so the order is cut by the
-leading digits of the seeded hash: sums of the cuts are run over first, then each cut by itself.
+The fraction needs a running sum over a source's documents in seeded order. A source can hold a third of
+all rows, so the order is cut by the leading digits of the seeded hash: the sums of the cuts are run over,
+and documents are only run over in the one cut of each source in which its fraction ends. All others are
+placed without a shuffle.
 
 Null texts have size 0, and null sources are one source, the last by code point. Empty documents and
 sources of no words take 0. Rows that repeat a key are treated as so many documents.
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import settle
+
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
@@ -67,36 +70,54 @@ def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", k
     ``taken`` counts the words that the mix takes, repeats included; ``copies`` is the whole
     repetitions in it. The order within a source is md5 of seed, '|' and key, then the key.
     """
-    sizes = docs.select(
-        F.col(key).alias("doc_id"),
-        F.col(source).alias("source"),
-        word_count(F.col(text)).alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit("")))).alias("ordered"),
-    )
-    return mix_sizes(sizes, weights, max_epochs)
+    sizes = settle(_sized(docs, text, source, key, seed).select("doc_id", "mix_source", "size", "ordered"), "sizes")
+    return _mixed(sizes, weights, max_epochs).select(F.col("doc_id").alias(key), F.col("mix_source").alias("source"), "size", "source_size", "target", "copies", "taken")
+
 
+def repeat_documents(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The mixed documents themselves, with the columns of ``docs``: a row for every repetition.
+
+    The one document that a source takes in part counts as whole if half of it or more is taken. Only the
+    texts of one cut of each source are shuffled.
+    """
+    mixed = _mixed(_sized(docs, text, source, key, seed), weights, max_epochs)
+    part = F.col("taken") - F.col("copies") * F.col("size")
+    times = F.col("copies") + F.when((part > 0) & (2 * part >= F.col("size")), 1).otherwise(0)
+    repeated = mixed.withColumn("times", times.cast("int")).where("times > 0")
+    return repeated.withColumn("repetition", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select(*docs.columns)
 
-def mix_sizes(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The same of rows (doc_id, source, size, ordered)."""
-    targets = source_targets(sizes, weights=weights, max_epochs=max_epochs)
+
+def _sized(docs: DataFrame, text: str, source: str, key: str, seed: str) -> DataFrame:
+    ordered = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    own = [F.col(c) for c in docs.columns if c not in ("doc_id", "mix_source", "size", "ordered")]
+    return docs.select(*own, F.col(key).alias("doc_id"), F.col(source).alias("mix_source"), word_count(F.col(text)).alias("size"), ordered.alias("ordered"))
+
+
+def _mixed(sized: DataFrame, weights, max_epochs: int) -> DataFrame:
+    """``sized`` with source_size, target, copies and taken."""
+    sized = sized.withColumn("cut", F.substring("ordered", 1, CUT_DIGITS))
+    cuts = settle(sized.groupBy("mix_source", "cut").agg(F.sum("size").alias("cut_size")), "cuts")
+    targets = source_targets(cuts, "mix_source", "cut_size", weights, max_epochs)
     # words of the fraction: whole words of the target, less the whole repetitions of all documents
     whole = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     quotas = targets.withColumn("whole", whole).withColumn("fraction", F.floor("target").cast("long") - F.col("whole") * F.col("source_size"))
-    cut = F.substring("ordered", 1, CUT_DIGITS)
-    cuts = sizes.groupBy("source", cut.alias("cut")).agg(F.sum("size").alias("cut_size"))
-    before = Window.partitionBy("source").orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = cuts.withColumn("cut_before", F.coalesce(F.sum("cut_size").over(before), F.lit(0)))
-    side = cuts.join(quotas, cuts["source"].eqNullSafe(quotas["source"])).select(
-        cuts["source"].alias("cut_source"), F.col("cut").alias("cut_digits"), "cut_before", "source_size", "target", "whole", "fraction"
-    )
-    # a cut of a source holds a few thousandths of it at most, so its running sum is one small task's work
-    within = Window.partitionBy("source", "cut").orderBy("ordered", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    run = sizes.withColumn("cut", cut).withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    rows = run.join(side, run["source"].eqNullSafe(side["cut_source"]) & (run["cut"] == side["cut_digits"]))
-    more = F.least(F.col("size"), F.greatest(F.lit(0), F.col("fraction") - F.col("cut_before") - F.col("within")))
-    taken = F.col("whole") * F.col("size") + more
+    # the cut of each source in which the fraction ends: documents before it are taken, those after it aren't
+    before = Window.partitionBy("mix_source").orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
+    run = cuts.withColumn("cut_before", F.coalesce(F.sum("cut_size").over(before), F.lit(0)))
+    run = run.join(quotas, run["mix_source"].eqNullSafe(quotas["source"]))
+    reached = F.when(F.col("cut_before") < F.col("fraction"), F.struct("cut", "cut_before"))
+    ends = run.groupBy("source", "source_size", "target", "whole", "fraction").agg(F.max(reached).alias("end"))
+    ends = settle(ends.select("source", "source_size", "target", "whole", "fraction", F.coalesce("end.cut", F.lit("")).alias("end_cut"), F.coalesce("end.cut_before", F.lit(0)).alias("end_before")), "ends")
+    named = ends.withColumnsRenamed({c: f"mix_{c}" for c in ("whole", "fraction", "end_cut", "end_before")}).withColumnRenamed("source", "end_source")
+    rows = sized.join(named, sized["mix_source"].eqNullSafe(named["end_source"]))
+    outside = rows.where("cut <> mix_end_cut").withColumn("more", F.when(F.col("cut") < F.col("mix_end_cut"), F.col("size")).otherwise(F.lit(0)))
+    # that one cut of a source is small, whatever the source's size, so a running sum is one small task's work
+    within = Window.partitionBy("mix_source").orderBy("ordered", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("mix_fraction") - F.col("mix_end_before") - F.coalesce(F.sum("size").over(within), F.lit(0))
+    inside = rows.where("cut = mix_end_cut").withColumn("more", F.least(F.col("size"), F.greatest(F.lit(0), left)))
+    taken = (F.col("mix_whole") * F.col("size") + F.col("more")).cast("long")
     copies = F.when(F.col("size") > 0, F.floor(taken / F.col("size"))).otherwise(F.lit(0)).cast("long")
-    return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), taken.cast("long").alias("taken"))
+    return outside.unionByName(inside).withColumn("taken", taken).withColumn("copies", copies)
 
 
 ORACLE = r"""
