@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import identifiers, licenses, mixing, near_duplicates, sentencepieces, toxicity, transport_stream
+from . import identifiers, licenses, mixing, near_duplicates, quality, sentencepieces, toxicity, transport_stream
 from .common import table
 
 
@@ -43,6 +43,11 @@ def op9_near_duplicates(spark, sf_dir):
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark, sf_dir):
+    """Every document's perplexity under the trusted model, and whether it stays."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline`` over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -53,6 +58,7 @@ _QUERIES = (
     op2_sentencepiece,
     op3_identifiers,
     op4_toxicity,
+    op7_quality,
     op8_mix_sources,
     op9_near_duplicates,
     op10_license_scan,
