@@ -1,8 +1,61 @@
-"""Corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""Corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
+
+The stages are the text operators of ``scholarium.llm``: the quality filter, near-duplicates, redaction of
+personal data, mixing to target weights, SentencePiece ids. All but the last return the columns of
+``documents``. SQL can't express them, so ``ORACLE_SQL`` is None and the tests use brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from scholarium.llm import identifiers, mixing, near_duplicates, quality, sentencepieces
+from scholarium.llm.common import settle, table
+
+
+def keep_quality(spark, docs, sf_dir):
+    """Documents whose perplexity is within their language's bound; the others go."""
+    return quality.keep_quality(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """One document of each group of near-duplicates, the one with the smallest doc_id."""
+    found = near_duplicates.near_duplicates(docs)
+    gone = found.where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def redact_identifiers(spark, docs, sf_dir):
+    """The documents with personal data replaced by the kind's name; ``n_chars`` counts the new text."""
+    redacted = identifiers.redact_column(docs)
+    return redacted.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else redacted
+
+
+def mix_sources(spark, docs, sf_dir):
+    """The documents repeated or left out so that each source's words meet its target."""
+    return mixing.repeat_documents(docs)
+
+
+def encode_pieces(spark, docs, sf_dir):
+    """doc_id, lang, source, ids and n_pieces of every document of the mix."""
+    coded = sentencepieces.encode_documents(docs.select("doc_id", "lang", "source", "text"))
+    return coded.withColumn("n_pieces", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("identifiers", redact_identifiers),
+    ("mixing", mix_sources),
+    ("sentencepiece", encode_pieces),
+]
 
-STAGES = []
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    """The last stage's rows for the documents in ``sf_dir``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = settle(stage(spark, docs, sf_dir), name)
+    return docs
