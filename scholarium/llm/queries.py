@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import identifiers, licenses, mixing, near_duplicates, quality, sentencepieces, toxicity, transport_stream
+from . import ball_tree, identifiers, licenses, mixing, near_duplicates, quality, sentencepieces, toxicity, transport_stream
 from .common import table
 
 
@@ -48,6 +48,11 @@ def op7_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_top_k(spark, sf_dir):
+    """The twenty best inner products of every twentieth vector by ball trees."""
+    return ball_tree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline`` over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -58,6 +63,7 @@ _QUERIES = (
     op2_sentencepiece,
     op3_identifiers,
     op4_toxicity,
+    op6_top_k,
     op7_quality,
     op8_mix_sources,
     op9_near_duplicates,
@@ -67,6 +73,7 @@ _QUERIES = (
 
 _ORACLES = {
     "op8_mix_sources": mixing.ORACLE,
+    "op6_top_k": ball_tree.ORACLE,
 }
 
 
