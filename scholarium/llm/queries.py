@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import ball_tree, identifiers, licenses, mixing, near_duplicates, quality, sentencepieces, toxicity, transport_stream
+from . import ball_tree, identifiers, licenses, mixing, near_duplicates, quality, repeated_spans, sentencepieces, toxicity, transport_stream
 from .common import table
 
 
@@ -53,6 +53,11 @@ def op6_top_k(spark, sf_dir):
     return ball_tree.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op5_repeated_spans(spark, sf_dir):
+    """Every document without the strings of 200 bytes that repeat."""
+    return repeated_spans.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline`` over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -63,6 +68,7 @@ _QUERIES = (
     op2_sentencepiece,
     op3_identifiers,
     op4_toxicity,
+    op5_repeated_spans,
     op6_top_k,
     op7_quality,
     op8_mix_sources,
