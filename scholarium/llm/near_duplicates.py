@@ -5,10 +5,12 @@ Each permutation gives two signature slots, the minimum and the maximum of a tex
 Forty bands of five slots miss a pair of similarity 0.8 with probability (1 - 0.8**5)**40, below 2e-7.
 
 Copies are collapsed first: texts with equal sets are one node, the smallest doc_id among them, so a group
-of copies costs one row. A bucket is never paired with itself. Each node is first held against the smallest
-node of one of its buckets, the one that it meets in most bands; links are confirmed on full sets and give
-components. Then only pairs of a bucket that still lie in different components are compared, those outside
-the bucket's largest component against the others; what the first round tested is left out.
+of copies costs one row. A bucket is never paired with itself. A node's popularity
+is the size of its buckets; each node is first held against the most popular node that it meets, its centre,
+which in a family of edited copies is the least edited one. Links are confirmed on full sets and give
+components. What still lies in different components is compared too: within the family of a centre in blocks
+of sets, each unlinked node against all members, so that only links become rows; between families pair by
+pair, nodes outside a bucket's largest component against the others.
 
 The set of a text is its distinct shingles of two words; of a single word, that word; of none, empty, and an
 empty set is linked with nothing. Null texts count as empty. Rows that repeat a doc_id are one node for
@@ -31,6 +33,8 @@ from .components import connected_components
 SIMILARITY_PERCENT = 80
 PERMUTATIONS, BANDS, ROWS = 100, 40, 5
 SHINGLE_WORDS = 2
+#: Sets of one block on either side where a family is compared.
+ASKED_BLOCK, MEMBER_BLOCK = 128, 512
 #: Shingles hashed at a time, and words that a worker remembers.
 BLOCK, REMEMBERED = 8192, 400_000
 _LOWER = bytes(c + 32 if 65 <= c < 91 else c for c in range(256))
@@ -130,15 +134,59 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def confirm_blocks(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the nodes of ``asked`` and those of ``members`` (center, node) with the same centre.
+
+    Both sides are cut into blocks; every pair of blocks of a centre is one group, of bounded size.
+    """
+    counts = asked.groupBy("center").agg(F.count(F.lit(1)).alias("asked")).join(members.groupBy("center").agg(F.count(F.lit(1)).alias("members")), "center")
+    counts = counts.select("center", F.ceil(F.col("asked") / ASKED_BLOCK).cast("int").alias("rows"), F.ceil(F.col("members") / MEMBER_BLOCK).cast("int").alias("columns"))
+
+    def dealt(nodes: DataFrame, own: str, other: str) -> DataFrame:
+        placed = nodes.join(counts, "center").withColumn(own, F.pmod(F.xxhash64("node"), F.col(f"{own}s")).cast("int"))
+        placed = placed.join(sets.select("node", "shingles"), "node")
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
+        return placed.select("center", "row", "column", "node", "shingles")
+
+    both = dealt(asked, "row", "column").withColumn("side", F.lit(1)).unionByName(dealt(members, "column", "row").withColumn("side", F.lit(2)))
+
+    def compare(group):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        one, two = (group.filter(pc.equal(group.column("side"), side)) for side in (1, 2))
+        a, b = one.column("node").to_numpy(), two.column("node").to_numpy()
+        own = [np.frombuffer(x, np.uint64) for x in one.column("shingles").to_pylist()]
+        others = [np.frombuffer(x, np.uint64) for x in two.column("shingles").to_pylist()]
+        found: list[list] = [[], []]
+        if own and others:
+            sizes = np.array([len(x) for x in others])
+            owner = np.repeat(np.arange(len(others)), sizes)
+            values = np.concatenate(others)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            for node, x in zip(a.tolist(), own, strict=True):
+                first, last = np.searchsorted(values, x, "left"), np.searchsorted(values, x, "right")
+                n = last - first
+                at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                common = np.bincount(owner[at], minlength=len(others))
+                hit = np.flatnonzero((100 * common >= percent * (len(x) + sizes - common)) & (b != node))
+                found[0] += [node] * len(hit)
+                found[1] += b[hit].tolist()
+        return pa.table([pa.array(x, pa.int64()) for x in found], names=["a", "b"])
+
+    return both.groupBy("center", "row", "column").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """One row a document: key, n_shingles, component_id and kept (the component's smallest doc_id is its own)."""
     signed = settle(signatures(docs, text, key, words), "signatures")
     found = signed.where("digest is not null and doc_id is not null")
     classes = settle(found.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "classes")
-    # buckets of two nodes or more, with the smallest node of each
+    # buckets of two nodes or more
     rows = classes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
-    leaders = rows.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = settle(rows.join(leaders, "bucket"), "buckets")
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = settle(rows.join(shared, "bucket"), "buckets")
 
     # the involved sets, from the texts again: they are a part of all
     involved = members.select("node").distinct()
@@ -152,26 +200,38 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
 
     sets = settle(map_column(texts, "text", ["node"], [("shingles", T.BinaryType())], start, rows=256).where("shingles is not null"), "sets")
 
-    sizes = classes.select(F.col("node").alias("leader"), F.col("n_shingles").alias("leader_shingles"))
     fits = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
-    met = members.where("node <> leader").groupBy("node", "leader", "n_shingles").agg(F.count(F.lit(1)).alias("bands"))
-    met = met.join(sizes, "leader").where(fits(F.col("n_shingles"), F.col("leader_shingles")))
-    best = met.groupBy("node").agg(F.max_by("leader", F.struct("bands", -F.col("leader"))).alias("leader"))
-    first = settle(best.select(F.col("node").alias("a"), F.col("leader").alias("b")), "pairs")
-    links = settle(confirm(first, sets, percent), "links")
+    popular = members.groupBy("node").agg(F.sum("members").alias("popularity"))
+    tops = members.join(popular, "node").groupBy("bucket").agg(F.max_by(F.struct("node", "popularity", "n_shingles"), F.struct("popularity", -F.col("node"))).alias("top"))
+    met = members.join(tops, "bucket").where((F.col("top.node") != F.col("node")) & fits(F.col("n_shingles"), F.col("top.n_shingles")))
+    best = met.groupBy("node").agg(F.max_by("top.node", F.struct("top.popularity", -F.col("top.node"))).alias("center"))
+    first = settle(best, "pairs")
+    links = settle(confirm(first.select(F.col("node").alias("a"), F.col("center").alias("b")), sets, percent), "links")
     labels = connected_components(links)
 
-    # pairs of a bucket in different components
-    placed = members.join(labels.withColumnRenamed("component", "found"), "node", "left").withColumn("component", F.coalesce("found", "node")).select("bucket", "node", "n_shingles", "component")
-    per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", -F.col("component"))).alias("largest")).where("parts > 1")
-    split = settle(placed.join(largest.select("bucket", "largest"), "bucket"), "split")
-    one = split.where("component <> largest").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n_shingles").alias("nx"))
-    two = split.select("bucket", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("n_shingles").alias("ny"), (F.col("component") == F.col("largest")).alias("in_largest"))
+    # the members of each centre's family, and those of them that aren't in its component
+    found = labels.select("node", F.col("component").alias("found"))
+    family = first.unionByName(first.select(F.col("center").alias("node"), "center").distinct())
+    family = family.join(found, "node", "left").withColumn("component", F.coalesce("found", "node")).select("center", "node", "component")
+    centres = family.where("center = node").select("center", F.col("component").alias("main"))
+    family = settle(family.join(centres, "center"), "family")
+    inner = confirm_blocks(family.where("component <> main"), family, sets, percent)
+
+    # pairs of a bucket in different components and of different families
+    homes = first.select("node", "center")
+    placed = members.join(found, "node", "left").join(homes, "node", "left")
+    placed = placed.select("bucket", "node", "n_shingles", F.coalesce("found", "node").alias("component"), F.coalesce("center", "node").alias("center"))
+    per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.min("center").alias("low"), F.max("center").alias("high"))
+    largest = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", -F.col("component"))).alias("largest"), F.min("low").alias("low"), F.max("high").alias("high"))
+    split = settle(placed.join(largest.where("parts > 1 and low <> high").select("bucket", "largest"), "bucket"), "split")
+    one = split.where("component <> largest").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n_shingles").alias("nx"), F.col("center").alias("hx"))
+    two = split.select(F.col("bucket").alias("met"), F.col("node").alias("y"), F.col("component").alias("cy"), F.col("n_shingles").alias("ny"), F.col("center").alias("hy"), (F.col("component") == F.col("largest")).alias("in_largest"))
     # among the nodes outside the largest component, each pair once
-    rest = one.join(two, "bucket").where((F.col("cx") != F.col("cy")) & (F.col("in_largest") | (F.col("x") > F.col("y"))) & fits(F.col("nx"), F.col("ny")))
-    rest = rest.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = settle(confirm(settle(rest, "pairs"), sets, percent), "links")
+    apart = (F.col("cx") != F.col("cy")) & (F.col("hx") != F.col("hy")) & (F.col("in_largest") | (F.col("x") > F.col("y"))) & fits(F.col("nx"), F.col("ny"))
+    rest = one.join(two, (F.col("bucket") == F.col("met")) & apart)
+    rest = settle(rest.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "pairs")
+    outer = confirm(rest, sets, percent)
+    more = settle(inner.union(outer), "links")
     labels = connected_components(links.union(more))
 
     own = classes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
