@@ -1,18 +1,17 @@
-"""Named queries over the given tables, each with the SQL that gives the same rows."""
+"""All registered queries and oracles of the research-corpus operators."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import base, scalars  # noqa: F401
 
 
 def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_orderstatus").count()
+    return base.QUERIES["p5_factors"](spark, sf_dir)
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return dict(base.ORACLES)
