@@ -117,3 +117,72 @@ def near_duplicate_pairs(names: DataFrame, name: str, least: float) -> DataFrame
     a, b = sets.select(F.col("name").alias("a"), F.col("grams").alias("ga")), sets.select(F.col("name").alias("b"), F.col("grams").alias("gb"))
     scored = pairs.join(a, "a").join(b, "b").withColumn("similarity", tx.jaccard(F.col("ga"), F.col("gb")))
     return scored.where(F.col("similarity") >= least).select("a", "b", "similarity")
+
+
+def date_window(df: DataFrame, column: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Rows from the first day on and up to the end of the last; either side may be open."""
+    if first is not None:
+        df = df.where(F.col(column) >= F.lit(first).cast("date"))
+    if last is not None:
+        df = df.where(F.col(column) < F.date_add(F.lit(last).cast("date"), 1))
+    return df
+
+
+def lookback(df: DataFrame, column: str, cutoff: str) -> DataFrame:
+    """Rows from the cutoff on; undated rows stay."""
+    return df.where(F.col(column).isNull() | (F.col(column) >= F.lit(cutoff).cast("timestamp")))
+
+
+def lookback_counts(df: DataFrame, column: str, cutoff: str) -> DataFrame:
+    """How many rows ``lookback`` keeps and skips, and how many are undated."""
+    c = F.col(column)
+    kept = c.isNull() | (c >= F.lit(cutoff).cast("timestamp"))
+    return df.agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("skipped"), F.count_if(c.isNull()).alias("undated"))
+
+
+def work_queue(df: DataFrame, statuses: Sequence[str], newest: str, key: str, limit: int) -> DataFrame:
+    """The newest rows of the statuses, undated ones last, larger keys first."""
+    return df.where(F.col("status").isin(*statuses)).orderBy(F.desc_nulls_last(newest), F.desc(key)).limit(limit)
+
+
+def full_tier(df: DataFrame) -> DataFrame:
+    """Completed rows of the full tier, or of none."""
+    return df.where((F.col("status") == "COMPLETED") & (F.col("tier").isNull() | (F.col("tier") == "full")))
+
+
+def external_evidence(works: DataFrame, organisations: DataFrame, source: str, confidence: float) -> DataFrame:
+    """Evidence of landed lookups: authorships (author, institutions) whose institution is on the watchlist."""
+    each = works.select("content_id", F.explode("authorships").alias("a")).select("content_id", "a.author", F.explode("a.institutions").alias("institution"))
+    keyed = each.withColumn("key", tx.name_key(F.col("institution"))).join(organisations.withColumn("key", tx.name_key(F.col("name"))), "key")
+    text = F.concat_ws(" — ", "author", "institution")
+    found = keyed.groupBy("content_id", "organisation_id").agg(F.min(text).alias("evidence"))
+    return found.select("content_id", "organisation_id", F.lit(source).alias("source"), "evidence", F.lit(confidence).alias("confidence"))
+
+
+def grounded(named: DataFrame, blobs: DataFrame, key: str) -> DataFrame:
+    """(key, name, blob): named organisations whose key of three characters or more stands in one of the content's texts; the first text."""
+    n = named.withColumn("name_key", tx.evidence_key(F.col("name"), normalise=False)).where(F.length("name_key") >= 3)
+    b = blobs.withColumn("blob_key", tx.evidence_key(F.col("blob"), normalise=False))
+    return n.join(b, key).where(F.col("blob_key").contains(F.col("name_key"))).groupBy(key, "name").agg(F.min_by("blob", "ordinal").alias("blob"))
+
+
+def decision(rows: DataFrame) -> DataFrame:
+    """MATCHED with a mapped organisation, REVIEW_REQUIRED with a grounded one alone, else NO_MATCH; and how many are mapped."""
+    per = rows.groupBy("content_id").agg(F.bool_or("mapped").alias("any_mapped"), F.bool_or("grounded").alias("any_grounded"), F.count_distinct(F.when(F.col("mapped"), F.col("organisation_id"))).alias("organisations"))
+    name = F.when(F.col("any_mapped"), "MATCHED").when(F.col("any_grounded"), "REVIEW_REQUIRED").otherwise("NO_MATCH")
+    return per.select("content_id", name.alias("decision"), "organisations")
+
+
+def tier_pairs(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, screen, full_score) of the pair of versions that most contents have in both tiers."""
+    screen = rows.where("tier = 'screen'").select(key, F.col("version").alias("sv"), F.col(value).alias("screen"))
+    full = rows.where("tier = 'full'").select(key, F.col("version").alias("fv"), F.col(value).alias("full_score"))
+    pairs = screen.join(full, key)
+    top = pairs.groupBy("sv", "fv").count().orderBy(F.desc("count"), "sv", "fv").limit(1).select("sv", "fv")
+    return pairs.join(F.broadcast(top), ["sv", "fv"]).select(key, "screen", "full_score")
+
+
+def evidence_priorities(evidence: DataFrame, organisations: DataFrame, key: str, organisation: str, floor: int) -> DataFrame:
+    """Priorities of a content's organisations that are sure enough and aren't its current employer."""
+    held = evidence.where((F.col("confidence") >= floor) & ~F.col("current_affiliation")).join(organisations.select(organisation, "priority"), organisation)
+    return held.groupBy(key).agg(F.max("priority").alias("top"), F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("priority")).alias("priorities"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, scalars  # noqa: F401
+from . import base, lookups, scalars, statistics  # noqa: F401
 
 
 def flagship(spark, sf_dir):
