@@ -45,12 +45,13 @@ def round2(x: Column) -> Column:
 
 
 def clamp(x: Column, low: float = 0.0, high: float = 10.0) -> Column:
-    return round2(F.greatest(F.lit(low), F.least(F.lit(high), x)))
+    # least and greatest pass over nulls, so a missing value is kept missing by hand
+    return F.when(x.isNotNull(), round2(F.greatest(F.lit(low), F.least(F.lit(high), x))))
 
 
 def half_point(x: Column) -> Column:
     """Nearest half, ties to even, within 0 and 10."""
-    return F.bround(F.greatest(F.lit(0.0), F.least(F.lit(10.0), x)) * 2) / 2
+    return F.when(x.isNotNull(), F.bround(F.greatest(F.lit(0.0), F.least(F.lit(10.0), x)) * 2) / 2)
 
 
 def weighted_core(dims: dict[str, Column], weights: dict[str, float]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, lookups, rankings, scalars, statistics  # noqa: F401
+from . import answers, base, lookups, rankings, scalars, states, statistics  # noqa: F401
 
 
 def flagship(spark, sf_dir):

@@ -241,7 +241,9 @@ _RULES = {"articles": (r"\bthe\b", r"\bles?\b", r"\bder\b"), "links": (r"\band\b
 
 
 def _rule_sql(patterns) -> str:
-    return " + ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN 1 ELSE 0 END" for p in patterns)
+    """The patterns with word boundaries spelled out, since those of RE2 know ASCII words alone."""
+    spelled = [rf"(?:^|[^\p{{L}}\p{{N}}_]){p[2:-2]}(?:$|[^\p{{L}}\p{{N}}_])" for p in patterns]
+    return " + ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN 1 ELSE 0 END" for p in spelled)
 
 
 @query(f"""WITH h AS (SELECT content_id, lang, source, [{', '.join(f"{{'topic': '{k}', 'n': {_rule_sql(v)}}}" for k, v in _RULES.items())}] AS hits
@@ -306,7 +308,7 @@ def p3_weighted_core(spark, sf_dir):
 def p4_strict_composite(spark, sf_dir):
     weights = {"technical": 0.4, "novelty": 0.3, "professional": 0.3}
     missing = F.col("professional").isNull()
-    value = F.when(~missing, sc.strict_composite({d: F.col(d) for d in weights}, weights))
+    value = sc.strict_composite({d: F.col(d) for d in weights}, weights)
     return assessments(spark, sf_dir).select("content_id", "age", "t1", "version", "t2", "t3", (~missing).alias("valid"), value.alias("composite"), F.when(missing, "missing_dimension").alias("error"))
 
 
