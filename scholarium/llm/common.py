@@ -13,6 +13,16 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 #: Rows that one slice of an Arrow batch holds; bounds what a task has in Python at once.
 SLICE_ROWS = 512
+#: Rows of an Arrow batch. The default of 10,000 would hold gigabytes where rows are long texts or sets.
+BATCH_ROWS = 256
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to BATCH_ROWS rows."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, BATCH_ROWS)
+    return df
 
 
 def map_column(
@@ -43,7 +53,7 @@ def map_column(
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_kept], *arrays], names=names)
 
     picked = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(keep)], df[column].alias("value"))
-    return picked.mapInArrow(run, schema)
+    return bound_batches(picked).mapInArrow(run, schema)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_column, settle
+from .common import bound_batches, map_column, settle
 from .components import connected_components
 
 SIMILARITY_PERCENT = 80
@@ -36,7 +36,7 @@ SHINGLE_WORDS = 2
 #: Sets of one block on either side where a family is compared.
 ASKED_BLOCK, MEMBER_BLOCK = 128, 512
 #: Shingles hashed at a time, and words that a worker remembers.
-BLOCK, REMEMBERED = 8192, 400_000
+BLOCK, REMEMBERED = 8192, 200_000
 _LOWER = bytes(c + 32 if 65 <= c < 91 else c for c in range(256))
 _RNG = np.random.default_rng(20)
 _A = _RNG.integers(0, 1 << 31, PERMUTATIONS, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -131,7 +131,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(s) + len(t) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return bound_batches(both.select("a", "b", "left", "right")).mapInArrow(run, "a long, b long")
 
 
 def confirm_blocks(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_column, settle
+from .common import bound_batches, map_column, settle
 
 LENGTH, GRAM = 200, 24
 #: Longest run in windows; a longer one, in a periodic text, is cut.
@@ -101,7 +101,7 @@ def _explode(docs: DataFrame, schema: str, rows) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     names = [x.split()[0] for x in schema.split(", ")]
-    return docs.select("a", "b", "data").mapInArrow(run, schema)
+    return bound_batches(docs.select("a", "b", "data")).mapInArrow(run, schema)
 
 
 def _occurrences(data: np.ndarray):

@@ -32,7 +32,7 @@ from .common import map_column
 
 META = "▁"
 #: Chunks whose encoding a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
