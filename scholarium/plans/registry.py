@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import answers, base, lookups, rankings, scalars, states, statistics  # noqa: F401
+from . import answers, base, composites, lookups, rankings, scalars, states, statistics  # noqa: F401
 
 
 def flagship(spark, sf_dir):
-    return base.QUERIES["p5_factors"](spark, sf_dir)
+    """Final scores of the corpus and their first hundred."""
+    return composites.q5_ranking_view(spark, sf_dir)
 
 
 def queries() -> dict:
