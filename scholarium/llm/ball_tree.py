@@ -9,7 +9,8 @@ blocks: shards times blocks of queries are the work that an exact search against
 
 Ties go to the smaller id. Rows whose vector is null, or holds a null or non-finite component, take no part;
 queries only meet vectors of their own length; equal rows are all candidates, but those with the query's
-own id. A query with no candidates has no rows.
+own id; an id with several vectors is asked with each and has one list of the best of all. A query with no
+candidates has no rows.
 """
 
 from __future__ import annotations
@@ -76,13 +77,11 @@ class BallTree:
                         heapq.heappush(queue, (-bounds[child], child))
                 continue
             scores = self.vectors[a:b] @ query
-            keep = np.flatnonzero(scores >= kth[0])
+            keep = np.flatnonzero((scores >= kth[0]) & (self.ids[a:b] != own))
             if len(keep) > k:
-                keep = keep[np.lexsort((self.ids[a:b][keep], -scores[keep]))[: k + 1]]
+                keep = keep[np.lexsort((self.ids[a:b][keep], -scores[keep]))[:k]]
             for i in keep:
                 row = (float(scores[i]), -int(self.ids[a + i]))
-                if row[1] == -own:
-                    continue
                 if len(best) < k:
                     heapq.heappush(best, row)
                 elif row > best[0]:
