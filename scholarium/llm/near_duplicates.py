@@ -7,10 +7,11 @@ Forty bands of five slots miss a pair of similarity 0.8 with probability (1 - 0.
 Copies are collapsed first: texts with equal sets are one node, the smallest doc_id among them, so a group
 of copies costs one row. A bucket is never paired with itself. A node's popularity
 is the size of its buckets; each node is first held against the most popular node that it meets, its centre,
-which in a family of edited copies is the least edited one. Links are confirmed on full sets and give
-components. What still lies in different components is compared too: within the family of a centre in blocks
-of sets, each unlinked node against all members, so that only links become rows; between families pair by
-pair, nodes outside a bucket's largest component against the others.
+which among edited copies is the least edited one. Links are confirmed on full sets and give components;
+nodes that are at least near to their centres give families. What still lies in different components is
+compared too: within a family in blocks of sets, each node outside its largest component against all members,
+so that only links become rows; between families pair by pair, nodes outside a bucket's largest component
+against the others.
 
 The set of a text is its distinct shingles of two words; of a single word, that word; of none, empty, and an
 empty set is linked with nothing. Null texts count as empty. Rows that repeat a doc_id are one node for
@@ -35,6 +36,8 @@ PERMUTATIONS, BANDS, ROWS = 100, 40, 5
 SHINGLE_WORDS = 2
 #: Sets of one block on either side where a family is compared.
 ASKED_BLOCK, MEMBER_BLOCK = 128, 512
+#: Similarity to its centre from which a node belongs to the centre's family. It only decides who meets in blocks.
+NEAR_PERCENT = 50
 #: Shingles hashed at a time, and words that a worker remembers.
 BLOCK, REMEMBERED = 8192, 200_000
 _LOWER = bytes(c + 32 if 65 <= c < 91 else c for c in range(256))
@@ -111,8 +114,12 @@ def signatures(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
     return map_column(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "text", ["doc_id"], fields, start, rows=256)
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= percent * union. ``sets`` has node, n_shingles, shingles."""
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int, near: int | None = None) -> DataFrame:
+    """(a, b, linked) of the pairs (a, b) whose sets have 100 * intersection >= near * union; linked: >= percent * union.
+
+    ``near`` is ``percent`` by default. ``sets`` has node and shingles.
+    """
+    least = percent if near is None else near
     sized = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
     both = sized.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
 
@@ -121,17 +128,20 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
         for batch in batches:
             a, b = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            keep = []
+            keep, linked = [], []
             for x, y in zip(a, b, strict=True):
                 s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 if len(s) > len(t):
                     s, t = t, s
                 at = np.minimum(np.searchsorted(t, s), len(t) - 1)
                 common = int((t[at] == s).sum())
-                keep.append(100 * common >= percent * (len(s) + len(t) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                both = len(s) + len(t) - common
+                keep.append(100 * common >= least * both)
+                linked.append(100 * common >= percent * both)
+            arrays = [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "linked"]).filter(pa.array(keep, pa.bool_()))
 
-    return bound_batches(both.select("a", "b", "left", "right")).mapInArrow(run, "a long, b long")
+    return bound_batches(both.select("a", "b", "left", "right")).mapInArrow(run, "a long, b long, linked boolean")
 
 
 def confirm_blocks(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -206,19 +216,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     met = members.join(tops, "bucket").where((F.col("top.node") != F.col("node")) & fits(F.col("n_shingles"), F.col("top.n_shingles")))
     best = met.groupBy("node").agg(F.max_by("top.node", F.struct("top.popularity", -F.col("top.node"))).alias("center"))
     first = settle(best, "pairs")
-    links = settle(confirm(first.select(F.col("node").alias("a"), F.col("center").alias("b")), sets, percent), "links")
+    tested = settle(confirm(first.select(F.col("node").alias("a"), F.col("center").alias("b")), sets, percent, NEAR_PERCENT), "tested")
+    links = tested.where("linked").select("a", "b")
     labels = connected_components(links)
+    # families: nodes that hang together by centres they are near to, linked or not
+    homes = connected_components(tested.select("a", "b")).select("node", F.col("component").alias("center"))
 
-    # the members of each centre's family, and those of them that aren't in its component
+    # the members of each family, and those of them that aren't in its largest component
     found = labels.select("node", F.col("component").alias("found"))
-    family = first.unionByName(first.select(F.col("center").alias("node"), "center").distinct())
-    family = family.join(found, "node", "left").withColumn("component", F.coalesce("found", "node")).select("center", "node", "component")
-    centres = family.where("center = node").select("center", F.col("component").alias("main"))
-    family = settle(family.join(centres, "center"), "family")
+    family = homes.join(found, "node", "left").select("center", "node", F.coalesce("found", "node").alias("component"))
+    sizes = family.groupBy("center", "component").agg(F.count(F.lit(1)).alias("n"))
+    mains = sizes.groupBy("center").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    family = settle(family.join(mains.select("center", "main"), "center"), "family")
     inner = confirm_blocks(family.where("component <> main"), family, sets, percent)
 
     # pairs of a bucket in different components and of different families
-    homes = first.select("node", "center")
     placed = members.join(found, "node", "left").join(homes, "node", "left")
     placed = placed.select("bucket", "node", "n_shingles", F.coalesce("found", "node").alias("component"), F.coalesce("center", "node").alias("center"))
     per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.min("center").alias("low"), F.max("center").alias("high"))
@@ -230,7 +242,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     apart = (F.col("cx") != F.col("cy")) & (F.col("hx") != F.col("hy")) & (F.col("in_largest") | (F.col("x") > F.col("y"))) & fits(F.col("nx"), F.col("ny"))
     rest = one.join(two, (F.col("bucket") == F.col("met")) & apart)
     rest = settle(rest.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "pairs")
-    outer = confirm(rest, sets, percent)
+    outer = confirm(rest, sets, percent).select("a", "b")
     more = settle(inner.union(outer), "links")
     labels = connected_components(links.union(more))
 
