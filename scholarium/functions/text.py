@@ -106,14 +106,14 @@ def name_key(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), "[^a-z0-9]+", " "))
 
 
-@F.pandas_udf("string")
 def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
 def compatible(text: Column) -> Column:
     """NFKC, which has no built-in; ASCII texts don't go to Python's work."""
-    return F.when(text.rlike(r"[^\x00-\x7F]"), _nfkc(F.when(text.rlike(r"[^\x00-\x7F]"), text))).otherwise(text)
+    normalise = F.pandas_udf(_nfkc, "string")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), normalise(F.when(text.rlike(r"[^\x00-\x7F]"), text))).otherwise(text)
 
 
 def evidence_key(text: Column, normalise: bool = True) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import answers, base, composites, lookups, rankings, scalars, states, statistics  # noqa: F401
+from . import answers, base, composites, landings, lookups, rankings, scalars, states, statistics  # noqa: F401
 
 
 def flagship(spark, sf_dir):
