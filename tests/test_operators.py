@@ -1,0 +1,111 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from scholarium.operators import aggregates as ag
+from scholarium.operators import joins as jn
+from scholarium.operators import ranking as rk
+from scholarium.operators import responses as rs
+from scholarium.operators import state as st
+from scholarium.sources import readers as rd
+from scholarium.streaming import ingest as ig
+
+DATA = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_merging_twice_is_merging_once(spark):
+    old = spark.createDataFrame([(1, "INGESTED", "a", ""), (2, "SCORED", "b", "x")], "k long, status string, title string, summary string")
+    new = spark.createDataFrame([(2, "c", "", 1), (3, "d", "y", 1), (3, "e", "z", 2)], "k long, title string, summary string, age int")
+    rules = {"title": "new", "summary": "new_if_filled"}
+    go = lambda x: st.merge(x, new, ["k"], rules, ["age"], {"status": F.lit("INGESTED")}).drop("outcome")
+    once = go(old)
+    assert rows(once) == [(1, "INGESTED", "a", ""), (2, "SCORED", "c", "x"), (3, "INGESTED", "e", "z")]
+    assert rows(go(once)) == rows(once)
+    assert rows(go(old.where("false"))) == [(2, "INGESTED", "c", ""), (3, "INGESTED", "e", "z")]
+
+
+def test_gate_and_drops_are_the_input(spark):
+    data = [(i, float(i % 9), float(i % 5), float(i % 7)) for i in range(200)] + [(900, None, 1.0, 1.0)]
+    df = spark.createDataFrame(data, "id long, a double, b double, c double")
+    out = rk.gate_decisions(df, "id", "a", ("a", "b", "c"), 15).collect()
+    assert len(out) == 200
+    passed = sorted(((-(a + b + c) / 3, i) for i, a, b, c in data[:200] if a > 3))
+    kept = {i for _, i in passed[: -(-len(passed) * 15 // 100)]}
+    assert {r.id for r in out if r.decision == "keep"} == kept
+
+
+def test_samples_are_disjoint_and_sized(spark):
+    df = spark.range(620).select(F.col("id").alias("id"), (F.col("id") % 100 / 10).alias("score"))
+    four = rk.four_groups(df, "id", "score", 5.5, 20, "s").collect()
+    assert len({r.id for r in four}) == len(four) == 80
+    general = F.col("id") < 320
+    picked = rk.stratified(df, "id", [("general", general, 150), ("sector", ~general, 150), ("kind", F.col("id") < 120, 50), ("remainder", F.lit(True), 50)], "s")
+    assert {r.stratum: r.n for r in picked.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()} == {"general": 150, "sector": 150, "kind": 50, "remainder": 50}
+    assert picked.select("id").distinct().count() == 400
+    assert rk.scaled_targets((150, 150, 50, 50), 10) == [4, 4, 1, 1]
+    with pytest.raises(ValueError):
+        rk.calibration_set(df.limit(5), "id", "score", 2, "s")
+
+
+def test_batches_hold_every_row_once(spark):
+    out = rk.batches(spark.range(103), "id", 15, "s").collect()
+    assert len(out) == 103 and sorted((r.batch, r.position) for r in out) == [(i // 15, i % 15) for i in range(103)]
+
+
+def test_rank_correlation_with_ties(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 1.0), (2.0, 3.0), (4.0, 4.0)], "x double, y double")
+    d2 = (1 - 1.5) ** 2 + (2.5 - 1.5) ** 2 + (2.5 - 3) ** 2
+    assert abs(ag.spearman(df, "x", "y").first().spearman - (1 - 6 * d2 / (4 * 15))) < 1e-12
+    assert str(ag.pearson(df.limit(1), "x", "y").first().pearson) == "nan"
+
+
+def test_aliases_need_boundaries(spark):
+    texts = spark.createDataFrame([(1, "At M.I.T. and MIT Labs"), (2, "SUMMIT and xAI-based"), (3, None)], "id long, t string")
+    aliases = spark.createDataFrame([(1, "MIT", 0), (1, "M.I.T.", 1), (2, "xAI", 0)], "organisation_id long, alias string, ordinal int")
+    assert rows(jn.texts_to_organisations(texts, aliases, "id", "t")) == [(1, 1, "MIT"), (2, 2, "xAI")]
+
+
+def test_bad_items_spoil_their_batch_alone(spark):
+    good = '{"papers":[{"paper_id":"1","a":7.3,"so_what":"x"},{"paper_id":9,"a":99,"so_what":"x"}]}'
+    bad = '{"papers":[{"paper_id":2,"a":"high","so_what":"x"}]}'
+    batches = spark.createDataFrame([(1, [1], good), (2, [2], bad), (3, [3], "{broken"), (4, [4], "[1]")], "batch_id long, expected array<long>, text string")
+    out = {r.batch_id: r for r in rs.parse_scores(batches, ("a",)).collect()}
+    assert (out[1].a, out[1].rounded, out[1].batch_ok) == (7.5, 1, True)
+    assert [out[i].error_code for i in (2, 3, 4)] == ["not_numeric", "bad_json", "bad_json"] and not out[2].batch_ok
+
+
+def test_affiliations_are_cut_by_class_order():
+    html = '<p class="authors">A <br>B</p><div class="ltx_role_affiliation x">Uni <i>of</i>\n X<img></div><div class="authors">A B</div>'
+    assert rd.affiliation_texts(html) == ["Uni of X", "A B"] and rd.affiliation_texts(None) == []
+
+
+def test_redelivered_feed_changes_nothing(spark, tmp_path):
+    item = '{{"items":[{{"id":"{0}","title":"t{0}","published":"{1}","crawlTimeMsec":"1700000000000","alternate":[{{"href":""}}],"canonical":[{{"href":"http://www.x.org/{0}?utm_source=a"}}],"origin":{{"title":"f"}}}}]}}'
+    landed, state = tmp_path / "landed", tmp_path / "state"
+    landed.mkdir()
+    for n, (i, when) in enumerate([(1, 1700000000), (2, 1700000100), (1, 1700000000), (3, 1)]):
+        (landed / f"{n}.json").write_text(item.format(i, when))
+    items, marks = ig.ingest(spark, str(landed), str(state), "2023-01-01", files_per_batch=1)
+    assert [r.canonical_url for r in items.orderBy("canonical_url").collect()] == ["http://x.org/1", "http://x.org/2"]
+    assert {r.status for r in items.collect()} == {"INGESTED"}
+    mark = marks.first()
+    assert (mark.source, mark.items_total, mark.last_published_at) == ("f", 3, dt.datetime(2023, 11, 14, 22, 15))
+
+
+def test_plans_have_no_products_of_facts(spark):
+    from scholarium.plans import registry
+
+    for name in ("q5_ranking_view", "j2_facet_filter", "j4_pending_only", "m1_merge_items", "a12_spearman", "j15_near_duplicate_pairs"):
+        text = plan(registry.queries()[name](spark, DATA))
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+    scan = plan(registry.queries()["a1_status_counts"](spark, DATA))
+    assert "ReadSchema: struct<o_orderstatus:string>" in scan
