@@ -21,14 +21,15 @@ def _batched(spark, sf_dir, item, name: str = "papers"):
     return grouped.select("batch_id", F.transform("all", lambda x: x["doc_id"]).alias("expected"), body.alias("text"))
 
 
-_ID = F.when(F.col("doc_id") % 23 == 0, F.col("doc_id") + 1_000_000).otherwise(F.col("doc_id"))
+def _id():
+    return F.when(F.col("doc_id") % 23 == 0, F.col("doc_id") + 1_000_000).otherwise(F.col("doc_id"))
 
 
 def _scores(spark, sf_dir):
     k = F.col("doc_id")
     technical = F.when(k % 171 == 0, F.lit(12.5)).otherwise((k % 21) / F.lit(2.0))
     novelty = F.when(k % 191 != 0, (k % 9) + F.lit(0.3))
-    return _batched(spark, sf_dir, F.struct(_ID.alias("paper_id"), technical.alias("technical"), novelty.alias("novelty"), F.lit("because").alias("so_what")))
+    return _batched(spark, sf_dir, F.struct(_id().alias("paper_id"), technical.alias("technical"), novelty.alias("novelty"), F.lit("because").alias("so_what")))
 
 
 def _scores_sql(dims: int) -> str:
@@ -72,7 +73,7 @@ def v4_parse_independence(spark, sf_dir):
     k = F.col("doc_id")
     status = F.element_at(F.array(*[F.lit(s) for s in (*_STATUS, "perhaps")]), (k % 5 + 1).cast("int"))
     kind = F.element_at(F.array(*[F.lit(s) for s in _KINDS], F.lit(None).cast("string")), (k % 4 + 1).cast("int"))
-    made = _batched(spark, sf_dir, F.struct(_ID.alias("paper_id"), status.alias("status"), kind.alias("kind")))
+    made = _batched(spark, sf_dir, F.struct(_id().alias("paper_id"), status.alias("status"), kind.alias("kind")))
     return rs.parse_enums(made, {"status": _STATUS, "kind": _KINDS})
 
 
@@ -84,7 +85,7 @@ def _classes(spark, sf_dir):
     words = lambda *x: F.array(*[F.lit(w) for w in x])
     domain = F.when(k % 171 == 0, words("general_method", "education")).when(k % 191 == 0, words("astrology")).when(k % 2 == 0, words("general_method")).otherwise(words("education", "agriculture"))
     audience = F.when(k % 97 == 0, F.array().cast("array<string>")).otherwise(words("student"))
-    return _batched(spark, sf_dir, F.struct(_ID.alias("paper_id"), domain.alias("application_domain"), audience.alias("audience_relevance"), F.lit("method").alias("paper_kind"), ((k % 21) / F.lit(2.0)).alias("domain_confidence")))
+    return _batched(spark, sf_dir, F.struct(_id().alias("paper_id"), domain.alias("application_domain"), audience.alias("audience_relevance"), F.lit("method").alias("paper_kind"), ((k % 21) / F.lit(2.0)).alias("domain_confidence")))
 
 
 @query("""WITH r AS (SELECT doc_id % 50 AS batch_id, CASE WHEN doc_id % 23 = 0 THEN doc_id + 1000000 ELSE doc_id END AS paper_id, (doc_id % 21) / 2.0::DOUBLE AS confidence, doc_id % 171 = 0 OR doc_id % 191 = 0 OR doc_id % 97 = 0 AS bad FROM documents WHERE doc_id % 50 % 29 <> 0
@@ -105,7 +106,7 @@ def v7_parse_topics(spark, sf_dir):
     k = F.col("doc_id")
     apps = F.when(k % 5 == 0, F.array(F.lit("general method"), F.lit("health"))).when(k % 2 == 0, F.array(F.lit("health"), F.col("lang")))
     other = F.when((k % 5 != 0) & (k % 2 != 0), F.array("lang"))
-    made = _batched(spark, sf_dir, F.struct(_ID.alias("paper_id"), F.col("source").alias("domain"), F.array("lang").alias("subdomains"), apps.alias("applications"), other.alias("application_tags")))
+    made = _batched(spark, sf_dir, F.struct(_id().alias("paper_id"), F.col("source").alias("domain"), F.array("lang").alias("subdomains"), apps.alias("applications"), other.alias("application_tags")))
     return rs.parse_topics(made).select("batch_id", "paper_id", "domain", F.array_join("subdomains", ",").alias("subdomains"), F.array_join("applications", ",").alias("applications"))
 
 
