@@ -53,7 +53,7 @@ def q3_candidates_view(spark, sf_dir):
 @query("SELECT content_id, title, lang, length(abstract) AS n, coalesce(status, 'UNKNOWN') AS status FROM papers LEFT JOIN items USING (content_id)")
 def q4_analysis_view(spark, sf_dir):
     joined = papers(spark, sf_dir).join(items(spark, sf_dir).select("content_id", "status"), "content_id", "left")
-    return joined.select("content_id", "title", "lang", F.length("abstract").alias("n"), F.coalesce("status", F.lit("UNKNOWN")).alias("status"))
+    return joined.select("content_id", "title", "lang", F.length("abstract").cast("long").alias("n"), F.coalesce("status", F.lit("UNKNOWN")).alias("status"))
 
 
 _FINAL = f"""core AS (SELECT content_id, {CORE_SQL} AS core, evidence FROM newest), ob AS ({BOOST_SQL}), pb AS ({PERSON_SQL}), final AS (SELECT content_id, core,

@@ -59,7 +59,7 @@ def j1_item_with_metadata(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("content_id"), "o_orderstatus", "o_orderpriority")
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("content_id"), F.col("lang").alias("category"), F.col("text").alias("abstract"))
     joined = jn.item_with_metadata(o, d, "content_id", {"category": "o_orderstatus", "abstract": "o_orderpriority"})
-    return joined.select("content_id", "category", F.length("abstract").alias("n"))
+    return joined.select("content_id", "category", F.length("abstract").cast("long").alias("n"))
 
 
 @query("""SELECT content_id, status FROM items WHERE content_id IN (SELECT content_id FROM topic_links WHERE lower(domain) = lower('PROMO')  OR domain LIKE '%A%')

@@ -234,7 +234,7 @@ def f21_list_coerce(spark, sf_dir):
   SELECT p_partkey, len(a) AS n, len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b)))::DOUBLE AS similarity FROM t""")
 def f22_trigrams(spark, sf_dir):
     a, b = tx.trigrams(F.col("p_name")), tx.trigrams(F.col("p_brand"))
-    return table(spark, sf_dir, "part").select("p_partkey", F.size(a).alias("n"), tx.jaccard(a, b).alias("similarity"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.size(a).cast("long").alias("n"), tx.jaccard(a, b).alias("similarity"))
 
 
 _RULES = {"articles": (r"\bthe\b", r"\bles?\b", r"\bder\b"), "links": (r"\band\b", r"\bund\b", r"\bet\b", r"\by\b"), "places": (r"\bof\b", r"\bde\b", r"\bvon\b"), "rare": (r"\bwith\b", r"\bfrom\b")}
