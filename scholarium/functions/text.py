@@ -45,7 +45,7 @@ def arxiv_id(text: Column) -> Column:
 
 
 def arxiv_version(text: Column) -> Column:
-    return F.expr("null").cast("int") if text is None else F.substring(F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), _ARXIV, 2), F.lit("")), 2, 9).try_cast("int")
+    return F.substring(F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), _ARXIV, 2), F.lit("")), 2, 9).try_cast("int")
 
 
 def canonical_url(url: Column) -> Column:

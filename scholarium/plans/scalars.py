@@ -282,8 +282,8 @@ def _intrinsic(spark, sf_dir):
 
 
 @query(f"""SELECT content_id, technical, practical, professional, student, explain,
-  floor(greatest(0, least(10, rel * 0.3::DOUBLE + technical * 0.15::DOUBLE + practical * 0.15::DOUBLE + professional * 0.1::DOUBLE + student * 0.1::DOUBLE + org * 0.1::DOUBLE + person * 0.1::DOUBLE)) * 100 + 0.5 + 1e-7::DOUBLE) / 100 AS intrinsic
-  FROM ({_DIMS_SQL.replace('CAST(content_id % 11 AS DOUBLE)', 'least(10, CAST(content_id % 11 AS DOUBLE))')})""")
+  floor(greatest(0, least(10, least(10, rel) * 0.3::DOUBLE + technical * 0.15::DOUBLE + practical * 0.15::DOUBLE + professional * 0.1::DOUBLE + student * 0.1::DOUBLE + org * 0.1::DOUBLE + person * 0.1::DOUBLE)) * 100 + 0.5 + 1e-7::DOUBLE) / 100 AS intrinsic
+  FROM ({_DIMS_SQL})""")
 def p2_intrinsic_score(spark, sf_dir):
     return _intrinsic(spark, sf_dir).select("content_id", *[F.col(f"d.{c}").alias(c) for c in ("technical", "practical", "professional", "student", "explain", "intrinsic")])
 

@@ -100,7 +100,7 @@ def m8_replace_children(spark, sf_dir):
     return st.replace_children(old, new, "content_id").groupBy("content_id", "metric").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(_merge_sql("i.title", "o.summary || ';' || i.summary", "greatest(o.score, i.score)").replace("o.summary || ';' || i.summary", "coalesce(i.summary, o.summary)"))
+@query(_merge_sql("i.title", "coalesce(i.summary, o.summary)", "greatest(o.score, i.score)"))
 def m9_merge_relevance(spark, sf_dir):
     return _merged(spark, sf_dir, {"title": "new", "summary": "new_if_set", "score": "greatest"})
 
