@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores as sc
+from .running import run_before
 
 
 def status_counts(df: DataFrame, column: str) -> DataFrame:
@@ -66,13 +67,13 @@ def spread(df: DataFrame, dims: Sequence[str]) -> DataFrame:
 def nearest_rank(df: DataFrame, value: str, quantiles: Sequence[float]) -> DataFrame:
     """(q, value): the value at place min(n - 1, int(n q)) of the sorted values.
 
-    Counts of distinct values are run over, so the window is over those and not over the rows.
+    Counts of distinct values are run over by ranges; the few places asked for are broadcast.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    run = counts.withColumn("upto", F.sum("n").over(Window.orderBy("value")))
+    run = run_before(counts, "value", "n", "before")
     total = counts.agg(F.sum("n").alias("total"))
     asked = total.select("total", F.explode(F.array(*[F.lit(q) for q in quantiles])).alias("q")).withColumn("place", F.least(F.col("total") - 1, F.floor(F.col("total") * F.col("q"))))
-    hit = run.join(F.broadcast(asked), (F.col("place") >= F.col("upto") - F.col("n")) & (F.col("place") < F.col("upto")))
+    hit = run.join(F.broadcast(asked), (F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("n")))
     return hit.select("q", "value")
 
 
@@ -90,8 +91,7 @@ def pearson(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
 def average_ranks(df: DataFrame, value: str, out: str, by: Sequence[str] = ()) -> DataFrame:
     """Adds average ranks, from counts of distinct values: rows are never ordered in one task."""
     counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    run = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.withColumn(out, F.coalesce(F.sum("_n").over(run), F.lit(0)) + (F.col("_n") + 1) / 2).drop("_n")
+    ranks = run_before(counts, value, "_n", "_ahead", by).withColumn(out, F.col("_ahead") + (F.col("_n") + 1) / 2).drop("_n", "_ahead")
     return df.join(ranks, [*by, value])
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import cut_of, run_before
+
 
 def seeded(seed: str, key: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
@@ -22,12 +24,12 @@ def gate_decisions(df: DataFrame, key: str, floor: str, dims: Sequence[str], per
     rated = df.where(F.expr(" and ".join(f"{d} is not null" for d in dims))).withColumn("mean", total / len(dims))
     passed = rated.where(F.col(floor) > least)
     counts = passed.groupBy("mean").agg(F.count(F.lit(1)).alias("n"))
-    run = counts.withColumn("upto", F.sum("n").over(Window.orderBy(F.desc("mean"))))
+    run = run_before(counts, "mean", "n", "before", descending=True).withColumn("upto", F.col("before") + F.col("n"))
     size = counts.agg(F.ceil(F.sum("n") * percent / 100).alias("quota"))
     cut = run.crossJoin(F.broadcast(size)).where("upto - n < quota and quota <= upto").select(F.col("mean").alias("cut"), (F.col("quota") - F.col("upto") + F.col("n")).alias("places"))
-    edge = passed.join(F.broadcast(cut), F.col("mean") == F.col("cut"))
-    order = Window.partitionBy("cut").orderBy(key)
-    edge = edge.withColumn("rank", F.row_number().over(order)).where("rank <= places").select(key, F.lit(True).alias("at_cut"))
+    # keys at the cut are counted by key ranges, so a mean that many rows share is no one task's work
+    edge = passed.join(F.broadcast(cut), F.col("mean") == F.col("cut")).select(key, "places", F.lit(1).alias("one"))
+    edge = run_before(edge, key, "one", "ahead").where("ahead < places").select(key, F.lit(True).alias("at_cut"))
     joined = rated.join(edge, key, "left").crossJoin(F.broadcast(cut.select("cut")))
     decision = F.when(~(F.col(floor) > least), "low_floor").when((F.col("mean") > F.col("cut")) | F.col("at_cut"), "keep").otherwise("below_percentile")
     return joined.withColumn("decision", decision).drop("cut", "at_cut")
@@ -40,17 +42,18 @@ def top_n(df: DataFrame, by: str, recency: str, key: str, n: int, since: str | N
     return df.orderBy(F.desc_nulls_last(by), F.desc_nulls_last(recency), key).limit(n)
 
 
-def rank_by_counts(df: DataFrame, value: str, key: str, out: str) -> DataFrame:
-    """Adds ranks by value descending and key: counts of distinct values give each value's first rank, keys order its rows."""
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    within = F.row_number().over(Window.partitionBy(value).orderBy(key))
-    return df.withColumn("_within", within).join(before, value).withColumn(out, F.col("_before") + F.col("_within")).drop("_before", "_within")
+def rank_by(df: DataFrame, value: str, key: str, out: str) -> DataFrame:
+    """Adds ranks by value descending and key. Rows are counted by value and range of keys; only those of one range are ordered."""
+    keyed = df.withColumn("_range", cut_of(df, key))
+    counts = keyed.groupBy(value, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = run_before(counts, value, "_n", "_ahead", descending=True, then=["_range"]).drop("_n")
+    within = F.row_number().over(Window.partitionBy(value, "_range").orderBy(key))
+    return keyed.withColumn("_place", within).join(before, [value, "_range"]).withColumn(out, F.col("_ahead") + F.col("_place")).drop("_range", "_ahead", "_place")
 
 
 def rank_compare(df: DataFrame, key: str, one: str, two: str) -> DataFrame:
     """Ranks under two scores, best first and then by key, and by how many places each row rises."""
-    ranked = rank_by_counts(rank_by_counts(df, one, key, "rank_one"), two, key, "rank_two")
+    ranked = rank_by(rank_by(df, one, key, "rank_one"), two, key, "rank_two")
     return ranked.withColumn("rank_delta", F.col("rank_one") - F.col("rank_two"))
 
 
