@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -61,13 +62,14 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@functools.cache
+def _own_folder(application: str) -> str:
+    return f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
+
+
 def shared_folder(spark) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a new one only where it is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a temporary one only where it is unset, as in tests."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark.sparkContext.applicationId)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
