@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 
+@functools.cache
+def _own_folder(application: str) -> str:
+    return f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
+
+
 def fresh_path(spark, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; a temporary folder only where that is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
+    """A new path below ``spark.checkpoint.dir``; below a temporary folder only where that is unset, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark.sparkContext.applicationId)
     return f"{folder}/{name}-{uuid.uuid4().hex}"
