@@ -70,7 +70,7 @@ def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", k
     ``taken`` counts the words that the mix takes, repeats included; ``copies`` is the whole
     repetitions in it. The order within a source is md5 of seed, '|' and key, then the key.
     """
-    sizes = settle(_sized(docs, text, source, key, seed).select("doc_id", "mix_source", "size", "ordered"), "sizes")
+    sizes = settle(_sized(docs, text, source, key, seed), "sizes")
     return _mixed(sizes, weights, max_epochs).select(F.col("doc_id").alias(key), F.col("mix_source").alias("source"), "size", "source_size", "target", "copies", "taken")
 
 
@@ -80,17 +80,20 @@ def repeat_documents(docs: DataFrame, text: str = "text", source: str = "source"
     The one document that a source takes in part counts as whole if half of it or more is taken. Only the
     texts of one cut of each source are shuffled.
     """
-    mixed = _mixed(_sized(docs, text, source, key, seed), weights, max_epochs)
+    names = tuple(f"c{i}" for i in range(len(docs.columns)))  # none of their own names meets one made here
+    plain = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)], F.col(text).alias("text"), F.col(source).alias("source"), F.col(key).alias("doc_id"))
+    mixed = _mixed(_sized(plain, "text", "source", "doc_id", seed, names), weights, max_epochs)
     part = F.col("taken") - F.col("copies") * F.col("size")
     times = F.col("copies") + F.when((part > 0) & (2 * part >= F.col("size")), 1).otherwise(0)
     repeated = mixed.withColumn("times", times.cast("int")).where("times > 0")
-    return repeated.withColumn("repetition", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select(*docs.columns)
+    repeated = repeated.withColumn("repetition", F.explode(F.array_repeat(F.lit(1), F.col("times"))))
+    return repeated.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 
-def _sized(docs: DataFrame, text: str, source: str, key: str, seed: str) -> DataFrame:
+def _sized(docs: DataFrame, text: str, source: str, key: str, seed: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The columns in ``carry`` and doc_id, mix_source, size and ordered."""
     ordered = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    own = [F.col(c) for c in docs.columns if c not in ("doc_id", "mix_source", "size", "ordered")]
-    return docs.select(*own, F.col(key).alias("doc_id"), F.col(source).alias("mix_source"), word_count(F.col(text)).alias("size"), ordered.alias("ordered"))
+    return docs.select(*carry, F.col(key).alias("doc_id"), F.col(source).alias("mix_source"), word_count(F.col(text)).alias("size"), ordered.alias("ordered"))
 
 
 def _mixed(sized: DataFrame, weights, max_epochs: int) -> DataFrame:

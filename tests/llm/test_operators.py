@@ -265,6 +265,8 @@ def test_mixing_targets_and_words_taken(spark):
     assert sorted(map(str, found)) == sorted(map(str, mixing.mix_documents(fixtures.documents(spark, data)).collect()))
     repeated = mixing.repeat_documents(fixtures.documents(spark, data))
     assert repeated.columns == fixtures.documents(spark).columns
+    originals = set(map(str, fixtures.documents(spark, data).collect()))
+    assert {str(r) for r in repeated.collect()} <= originals
     assert mixing.mix_documents(fixtures.empty(spark)).count() == 0 and mixing.repeat_documents(fixtures.empty(spark)).count() == 0
 
 
