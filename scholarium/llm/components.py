@@ -27,3 +27,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
         labels = new.select("node", "component")
         if new.where("changed").limit(1).count() == 0:
             return labels
+
+
+def extend_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, component) of the nodes of ``labels`` and ``edges`` once the edges join components.
+
+    Only edges between different components count, each pair of components once, so what is walked is small.
+    """
+    own = labels.select(F.col("node").alias("a"), F.col("component").alias("left"))
+    other = labels.select(F.col("node").alias("b"), F.col("component").alias("right"))
+    placed = settle(edges.join(own, "a", "left").join(other, "b", "left").select("a", "b", F.coalesce("left", "a").alias("left"), F.coalesce("right", "b").alias("right")), "placed")
+    joined = connected_components(placed.select(F.col("left").alias("a"), F.col("right").alias("b")).where("a <> b").distinct())
+    ends = placed.select(F.col("a").alias("node"), F.col("left").alias("component")).union(placed.select("b", "right"))
+    every = labels.union(ends).groupBy("node").agg(F.min("component").alias("component"))
+    found = joined.select(F.col("node").alias("component"), F.col("component").alias("found"))
+    return settle(every.join(found, "component", "left").select("node", F.coalesce("found", "component").alias("component")), "labels")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bound_batches, map_column, settle
-from .components import connected_components
+from .components import connected_components, extend_components
 
 SIMILARITY_PERCENT = 80
 PERMUTATIONS, BANDS, ROWS = 100, 40, 5
@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     links = tested.where("linked").select("a", "b")
     labels = connected_components(links)
     # families: nodes that hang together by centres they are near to, linked or not
-    homes = connected_components(tested.select("a", "b")).select("node", F.col("component").alias("center"))
+    homes = extend_components(labels, tested.where("not linked").select("a", "b")).select("node", F.col("component").alias("center"))
 
     # the members of each family, and those of them that aren't in its largest component
     found = labels.select("node", F.col("component").alias("found"))
@@ -244,7 +244,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     rest = settle(rest.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "pairs")
     outer = confirm(rest, sets, percent).select("a", "b")
     more = settle(inner.union(outer), "links")
-    labels = connected_components(links.union(more))
+    labels = extend_components(labels, more)
 
     own = classes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     out = signed.select("doc_id", "n_shingles", "digest").join(own, "digest", "left")
