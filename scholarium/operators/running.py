@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CUTS = 200
+CUTS = 64
 
 
 def cut_of(df: DataFrame, value: str, cuts: int = CUTS) -> Column:
