@@ -239,6 +239,33 @@ def test_quality_keeps_trusted_texts_and_drops_junk(spark):
     assert all(r.kept == (r.n_words > 0) for rs in by_id(quality.quality(docs, fixtures.labels(spark))).values() for r in rs)
 
 
+def test_quality_counts_and_thresholds_cover_all_trusted_rows(spark, monkeypatch):
+    for name, value in {"CHUNK_WORDS": 2_000, "SHARD_CHARS": 20_000, "BUFFER_ROWS": 500, "LEAST_VOCABULARY": 20}.items():
+        monkeypatch.setattr(quality, name, value, raising=False)
+    rng = random.Random(5)
+    spread = lambda: " ".join(f"w{int(400 * rng.random() ** 3)}" for _ in range(rng.randrange(1, 12)))
+    texts = {i: spread() for i in range(13_000)} | {20_000: None, 20_001: "", 20_002: "zz§ zz§ 12 Zz", 20_003: "w1 w2 w1 w2"}
+    docs = fixtures.documents(spark, [(i, t, "en" if i % 3 else "fr", "a") for i, t in texts.items()])
+    labels = fixtures.labels(spark, [(i, 1, 0) for i in range(13_000)])
+    counted = [texts[i] for i in range(13_000) if hashlib.md5(f"{quality.SEED}|{i}".encode()).hexdigest()[0] < "8"]
+    assert len(counted) > 6_000
+    words = collections.Counter(w for t in counted for w in t.split())
+    shapes = collections.Counter(quality.shape(w) for t in counted for w in t.split())
+    most = int(sum(words.values()) ** 0.5) // 3
+    assert most > 20
+    top = lambda c: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:most]]
+    tokens = quality.Tokens(top(words) + top(shapes))
+    model = quality.TrigramModel(tokens.size, *np.unique(np.concatenate([tokens.grams(t) for t in counted]), axis=0, return_counts=True))
+    expected = {i: model.perplexity(tokens.grams(t)) for i, t in texts.items()}
+    found = {i: rows[0] for i, rows in by_id(quality.quality(docs, labels)).items()}
+    assert found.keys() == texts.keys()
+    assert all(abs(found[i].perplexity / p - 1) < 1e-4 and found[i].n_words == len((texts[i] or "").split()) for i, p in expected.items())
+    held = [i for i in range(13_000) if texts[i] not in (None, "") and hashlib.md5(f"{quality.SEED}|{i}".encode()).hexdigest()[0] >= "8"]
+    for lang in ("en", "fr"):
+        limit = np.quantile([found[i].perplexity for i in held if found[i].lang == lang], quality.QUANTILE)
+        assert all(abs(r.threshold / limit - 1) < 1e-9 and r.kept == (r.n_words > 0 and r.perplexity <= r.threshold) for r in found.values() if r.lang == lang)
+
+
 def test_mixing_targets_and_words_taken(spark):
     rng = random.Random(6)
     data = fixtures.rows() + [(500 + i, "w " * rng.randint(0, 40), "en", rng.choice("aabcdefg")) for i in range(400)]
