@@ -22,12 +22,17 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 
 def parsed_items(batches: DataFrame, fields: str) -> DataFrame:
-    """(batch_id, expected, json_valid, item): one row an item, one with a null item for a text without items."""
+    """(batch_id, json_valid, item): one row an item, one with a null item for a text without items."""
     body = tx.strip_fences(F.col("text"))
     root = F.try_parse_json(body)
     read = F.from_json(body, f"papers array<struct<{fields}>>")
     valid = root.isNotNull() & F.schema_of_variant(root).startswith("OBJECT")
-    return batches.select("batch_id", "expected", F.coalesce(valid, F.lit(False)).alias("json_valid"), F.explode_outer(read["papers"]).alias("item"))
+    return batches.select("batch_id", F.coalesce(valid, F.lit(False)).alias("json_valid"), F.explode_outer(read["papers"]).alias("item"))
+
+
+def expected_ids(batches: DataFrame) -> DataFrame:
+    """(batch_id, paper_id): one row an expected id, each once."""
+    return batches.select("batch_id", F.explode(F.array_distinct("expected")).alias("paper_id"))
 
 
 def parse_scores(batches: DataFrame, dims: Sequence[str], texts: Sequence[str] = ("so_what",)) -> DataFrame:
@@ -37,13 +42,14 @@ def parse_scores(batches: DataFrame, dims: Sequence[str], texts: Sequence[str] =
     """
     fields = ", ".join(["paper_id string", *(f"{d} string" for d in dims), *(f"{t} string" for t in texts)])
     rows = parsed_items(batches, fields).withColumn("paper_id", F.col("item.paper_id").try_cast("long"))
+    rows = rows.join(expected_ids(batches).withColumn("known", F.lit(True)), ["batch_id", "paper_id"], "left")
     values = {d: F.col(f"item.{d}").try_cast("double") for d in dims}
     missing = ~_all([F.col(f"item.{d}").isNotNull() for d in dims]) | ~_all([F.length(F.trim(F.coalesce(F.col(f"item.{t}"), F.lit("")))) > 0 for t in texts])
     numeric = _all([v.isNotNull() for v in values.values()])
     ranged = _all([v.between(0, 10) for v in values.values()])
     error = (
         F.when(~F.col("json_valid"), "bad_json").when(F.col("item").isNull(), "no_papers").when(F.col("paper_id").isNull(), "bad_id")
-        .when(~F.array_contains("expected", F.col("paper_id")), "ignored").when(missing, "missing_field").when(~numeric, "not_numeric").when(~ranged, "out_of_range")
+        .when(F.col("known").isNull(), "ignored").when(missing, "missing_field").when(~numeric, "not_numeric").when(~ranged, "out_of_range")
     )
     rows = rows.withColumn("error_code", error).where("error_code is null or error_code <> 'ignored'")
     state = rows.groupBy("batch_id").agg(F.max(F.col("error_code").isNotNull().cast("int")).alias("bad"))

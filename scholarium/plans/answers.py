@@ -162,5 +162,5 @@ def v13_response_rebuild(spark, sf_dir):
 @query("SELECT doc_id % 50 AS batch_id, count(*) AS expected, count(*) FILTER (WHERE doc_id % 50 % 29 <> 0) AS returned FROM documents GROUP BY 1")
 def s8_response_batches(spark, sf_dir):
     made = _scores(spark, sf_dir)
-    rows = rs.parsed_items(made, "paper_id string")
-    return rows.groupBy("batch_id").agg(F.first(F.size("expected")).cast("long").alias("expected"), F.count("item").alias("returned"))
+    returned = rs.parsed_items(made, "paper_id string").groupBy("batch_id").agg(F.count("item").alias("returned"))
+    return made.select("batch_id", F.size("expected").cast("long").alias("expected")).join(returned, "batch_id")

@@ -83,6 +83,14 @@ def test_bad_items_spoil_their_batch_alone(spark):
     assert [out[i].error_code for i in (2, 3, 4)] == ["not_numeric", "bad_json", "bad_json"] and not out[2].batch_ok
 
 
+def test_unexpected_ids_are_found_without_carrying_the_expected(spark):
+    text = '{"papers": [{"paper_id": 1, "t": 2, "so_what": "x"}, {"paper_id": 9, "t": 99, "so_what": "x"}, {"paper_id": 2, "t": 3, "so_what": "x"}, {"t": 3}]}'
+    batches = spark.createDataFrame([(1, [1, 2, 2], text), (2, [9], text), (3, [1], "no")], "batch_id long, expected array<long>, text string")
+    assert rs.parsed_items(batches, "paper_id string").columns == ["batch_id", "json_valid", "item"]
+    found = sorted((r.batch_id, r.paper_id or 0, r.error_code or "") for r in rs.parse_scores(batches, ("t",)).collect())
+    assert found == [(1, 0, "bad_id"), (1, 1, ""), (1, 2, ""), (2, 0, "bad_id"), (2, 9, "out_of_range"), (3, 0, "bad_json")]
+
+
 def test_affiliations_are_cut_by_class_order():
     html = '<p class="authors">A <br>B</p><div class="ltx_role_affiliation x">Uni <i>of</i>\n X<img></div><div class="authors">A B</div>'
     assert rd.affiliation_texts(html) == ["Uni of X", "A B"] and rd.affiliation_texts(None) == []
