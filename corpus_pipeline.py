@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from scholarium.llm import identifiers, mixing, near_duplicates, quality, sentencepieces
 from scholarium.llm.common import settle, table
 
+#: The stage follows op9's contract of two-word shingles; see README.
+SHINGLE_WORDS = 2
+
 
 def keep_quality(spark, docs, sf_dir):
     """Documents whose perplexity is within their language's bound; the others go."""
@@ -20,7 +23,7 @@ def keep_quality(spark, docs, sf_dir):
 
 def drop_near_duplicates(spark, docs, sf_dir):
     """One document of each group of near-duplicates, the one with the smallest doc_id."""
-    found = near_duplicates.near_duplicates(docs)
+    found = near_duplicates.near_duplicates(docs, words=SHINGLE_WORDS)
     gone = found.where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

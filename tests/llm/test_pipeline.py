@@ -38,3 +38,10 @@ def test_stages_keep_what_their_operators_decide(spark, tmp_path):
     texts = {r.doc_id: r.text for r in before.collect()}
     assert after.count() == before.count() and all(machine.decode(list(r.ids)) == texts[r.doc_id] for r in after.collect())
     assert corpus_pipeline.run(spark, SMALL).count() == after.count()
+
+
+def test_near_duplicate_stage_names_its_shingle_length(spark, monkeypatch):
+    asked, whole = [], near_duplicates.near_duplicates
+    monkeypatch.setattr(near_duplicates, "near_duplicates", lambda docs, **named: asked.append(named) or whole(docs, **named))
+    corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{SMALL}/documents.parquet"), SMALL)
+    assert asked == [{"words": 2}]
