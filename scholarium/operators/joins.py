@@ -60,20 +60,33 @@ def emails_to_organisations(emails: DataFrame, organisations: DataFrame, key: st
     return best
 
 
+#: Rows of a side that may be broadcast. The planner goes by file sizes, which say little of exploded or nested rows.
+BROADCAST_ROWS = 100_000
+
+
+def sized(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``side``, to be broadcast if it is counted to have at most ``rows`` rows, else to be merged."""
+    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side.hint("merge")
+
+
 def texts_to_organisations(texts: DataFrame, aliases: DataFrame, key: str, text: str) -> DataFrame:
     """(key, organisation_id, alias): aliases that stand in a text with no letter or digit beside them.
 
-    ``aliases`` has organisation_id, alias and ordinal. An alias is looked up by its first word, then the
-    text is tried; of an organisation's aliases the first in order counts.
+    ``aliases`` has organisation_id, alias and ordinal. Aliases meet texts by their first run of a-z and 0-9; one
+    without such a run is tried on every text. Keys and words alone are exploded and joined; the aliases that a
+    text may hold come back to it as one array, and their patterns are tried there. Of an organisation's
+    aliases the first in order counts. Rows without key, and null texts, have none; rows of one key are taken together.
     """
     first = F.regexp_extract(F.lower("alias"), "([a-z0-9]+)", 1)
-    named = aliases.withColumn("token", first)
-    words = F.array_distinct(F.split(F.lower(F.col(text)), "[^a-z0-9]+"))
-    tokens = texts.select(key, F.col(text).alias("text"), F.explode(words).alias("token"))
     literal = F.regexp_replace(F.regexp_replace(F.lower("alias"), r"([\\.+*?\[\](){}|^$])", r"\\$1"), r"\s+", r"\\s+")
-    pattern = F.concat(F.lit(r"(?i)(?<![a-z0-9])"), literal, F.lit(r"(?![a-z0-9])"))
-    hits = tokens.join(named, "token").where(F.regexp_like("text", pattern))
-    return hits.groupBy(key, "organisation_id").agg(F.min_by("alias", "ordinal").alias("alias"))
+    pattern = F.concat(F.lit("(?<![a-z0-9])"), literal, F.lit("(?![a-z0-9])"))
+    named = sized(aliases.select(first.alias("token"), F.struct("organisation_id", "ordinal", "alias", pattern.alias("pattern")).alias("asked")))
+    words = F.array_union(F.split(F.lower(F.col(text)), "[^a-z0-9]+"), F.array(F.lit("")))
+    tokens = texts.where(F.col(key).isNotNull()).select(key, F.explode(words).alias("token"))
+    asked = tokens.join(named, "token").groupBy(key).agg(F.collect_set("asked").alias("asked"))
+    both = texts.select(key, F.lower(F.col(text)).alias("text")).join(asked.hint("merge"), key)
+    hits = both.select(key, F.explode(F.filter("asked", lambda a: F.regexp_like("text", a["pattern"]))).alias("hit"))
+    return hits.groupBy(key, F.col("hit.organisation_id").alias("organisation_id")).agg(F.min_by("hit.alias", "hit.ordinal").alias("alias"))
 
 
 def local_evidence(emails: DataFrame, texts: DataFrame, key: str) -> DataFrame:

@@ -72,6 +72,24 @@ def test_aliases_need_boundaries(spark):
     texts = spark.createDataFrame([(1, "At M.I.T. and MIT Labs"), (2, "SUMMIT and xAI-based"), (3, None)], "id long, t string")
     aliases = spark.createDataFrame([(1, "MIT", 0), (1, "M.I.T.", 1), (2, "xAI", 0)], "organisation_id long, alias string, ordinal int")
     assert rows(jn.texts_to_organisations(texts, aliases, "id", "t")) == [(1, 1, "MIT"), (2, 2, "xAI")]
+    odd = spark.createDataFrame([(1, "Ω", 0), (2, "C++ lab", 0)], "organisation_id long, alias string, ordinal int")
+    texts = spark.createDataFrame([(1, "the Ω-group"), (2, "a c++\n  LAB."), (2, "none"), (None, "Ω")], "id long, t string")
+    assert rows(jn.texts_to_organisations(texts, odd, "id", "t")) == [(1, 1, "Ω"), (2, 2, "C++ lab")]
+
+
+def broadcast_columns(df):
+    """The columns of every side that a plan broadcasts."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    lines = text.splitlines()
+    return [lines[i + 1] for i, line in enumerate(lines) if "BroadcastExchange" in line]
+
+
+def test_no_text_is_broadcast_to_find_organisations(spark):
+    from scholarium.plans import registry
+
+    for name in ("j7_text_to_org", "j8_local_org_evidence"):
+        sides = broadcast_columns(registry.queries()[name](spark, DATA))
+        assert sides and not any("text" in side.split("asked")[0] or "abstract" in side for side in sides), sides
 
 
 def test_bad_items_spoil_their_batch_alone(spark):
