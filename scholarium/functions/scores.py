@@ -12,6 +12,8 @@ from .text import contains_any
 # Fixed values.
 PROFILES = {
     "v1": {"technical": 0.25, "novelty": 0.20, "practical": 0.20, "professional": 0.15, "student": 0.10, "explain": 0.05, "industry": 0.05},
+    # the first weights without relevance, over what is left
+    "v0": {"technical": 0.20 / 0.80, "practical": 0.15 / 0.80, "professional": 0.15 / 0.80, "student": 0.10 / 0.80, "novelty": 0.10 / 0.80, "explain": 0.05 / 0.80, "industry": 0.05 / 0.80},
     "v2": {"technical": 0.28, "novelty": 0.24, "practical": 0.20, "professional": 0.16, "learning": 0.12},
 }
 STRICT = {"ai": 0.20, "technical": 0.20, "novelty": 0.15, "evidence": 0.15, "practical": 0.10, "professional": 0.10, "student": 0.05, "explain": 0.05}
@@ -101,11 +103,22 @@ def breadth_bonus(sectors: Column, general: Column, product: bool) -> Column:
     return F.when(n > 1, F.least(F.lit(0.40), F.lit(0.30) + F.lit(0.10) * (n - 2))).when(general & F.lit(not product), F.lit(0.15)).otherwise(F.lit(0.0))
 
 
-def relevance(text: Column, categories: Column, source: Column, rules=None, core=CORE_CATEGORIES, priors=PRIOR_SOURCES) -> Column:
-    """Struct of score, primary topic, up to three more and reason, from the patterns of each topic that occur."""
+def topic_hits(text: Column, rules=None) -> Column:
+    """Array of structs (topic, n): how many of each topic's patterns occur anywhere in the text, case aside.
+
+    Keep it in a column of its own: what reads it names it several times.
+    """
     rules = TOPIC_RULES if rules is None else rules
     low = F.lower(text)
-    hits = F.array(*[F.struct(F.lit(t).alias("topic"), reduce(lambda a, b: a + b, [F.when(low.rlike(p), 1).otherwise(0) for p in ps]).alias("n")) for t, ps in rules.items()])
+    return F.array(*[F.struct(F.lit(t).alias("topic"), reduce(lambda a, b: a + b, [F.when(low.rlike(p), 1).otherwise(0) for p in ps]).alias("n")) for t, ps in rules.items()])
+
+
+# The parts of a reason.
+REASONS = {"topic": "matched topic", "core": "AI/ML arXiv category", "prior": "source prior=", "none": "no strong deterministic AI signal"}
+
+
+def relevance_of(hits: Column, categories: Column, source: Column, core=CORE_CATEGORIES, priors=PRIOR_SOURCES, reasons=REASONS) -> Column:
+    """Struct of score, primary topic, up to three more and reason, from the hits of each topic."""
     found = F.filter(hits, lambda h: h["n"] > 0)
     ordered = F.array_sort(found, lambda a, b: F.when(a["n"] != b["n"], b["n"] - a["n"]).when(a["topic"] < b["topic"], F.lit(-1)).when(a["topic"] > b["topic"], F.lit(1)).otherwise(F.lit(0)))
     total = F.aggregate(found, F.lit(0), lambda s, h: s + h["n"])
@@ -114,13 +127,19 @@ def relevance(text: Column, categories: Column, source: Column, rules=None, core
     score = F.when(F.size(found) > 0, F.least(F.lit(6.5), F.lit(3.0) + total * F.lit(0.7))).otherwise(F.lit(0.0))
     score = clamp(score + F.when(in_core, 2.0).otherwise(0.0) + F.when(prior, 0.8).otherwise(0.0))
     primary = F.try_element_at(ordered, F.lit(1))["topic"]
-    reason = F.concat_ws("; ", F.when(primary.isNotNull(), F.concat(F.lit("matched topic '"), primary, F.lit("'"))), F.when(in_core, F.lit("AI/ML category")), F.when(prior, F.concat(F.lit("source prior="), source)))
+    named = F.when(primary.isNotNull(), F.concat(F.lit(f"{reasons['topic']} '"), primary, F.lit("'")))
+    reason = F.concat_ws("; ", named, F.when(in_core, F.lit(reasons["core"])), F.when(prior, F.concat(F.lit(reasons["prior"]), source)))
     return F.struct(
         score.alias("score"), primary.alias("primary"), F.transform(F.slice(ordered, 2, 3), lambda h: h["topic"]).alias("secondary"),
-        F.coalesce(F.nullif(reason, F.lit("")), F.lit("no strong deterministic signal")).alias("reason"),
+        F.coalesce(F.nullif(reason, F.lit("")), F.lit(reasons["none"])).alias("reason"),
     )
 
 
+def relevance(text: Column, categories: Column, source: Column, rules=None, core=CORE_CATEGORIES, priors=PRIOR_SOURCES) -> Column:
+    """The same from the text itself, for a few rows; over many, put ``topic_hits`` in a column first."""
+    return relevance_of(topic_hits(text, rules), categories, source, core, priors)
+
+
 def intrinsic(relevance_score: Column, text: Column, abstract: Column, org: Column, person: Column, with_person: bool = True) -> Column:
     """Struct of heuristic dimensions, their weighted composite and the rules that matched."""
     low = F.lower(text)

@@ -50,7 +50,7 @@ INPUTS = {
     "topic_links": "SELECT DISTINCT l_orderkey AS content_id, p_partkey, p_type AS domain, p_brand AS subdomain, p_name AS topic FROM lineitem JOIN part ON l_partkey = p_partkey",
     "claims": "SELECT l_orderkey AS content_id, l_returnflag AS metric, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '%' AS value_text, l_quantity AS value_num, l_partkey AS part FROM lineitem",
     "verdicts": "SELECT doc_id AS content_id, CASE WHEN quality = 1 AND toxic = 0 THEN 'STRONG' WHEN quality = 1 THEN 'BORDERLINE' ELSE 'WEAK' END AS verdict FROM labels",
-    "papers": "SELECT doc_id AS content_id, substr(text, 1, 80) AS title, text AS abstract, lang, source FROM documents",
+    "papers": "SELECT doc_id AS content_id, split_part(text, chr(10), 1) AS title, text AS abstract, lang, source FROM documents",
 }
 _USES = {"newest": ("assessments",)}
 
@@ -139,7 +139,8 @@ def verdicts(spark, sf_dir):
 
 
 def papers(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("content_id"), F.substring("text", 1, 80).alias("title"), F.col("text").alias("abstract"), "lang", "source")
+    """Documents as papers: the first line is the title, the whole text the abstract."""
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("content_id"), F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("abstract"), "lang", "source")
 
 
 def newest(spark, sf_dir):

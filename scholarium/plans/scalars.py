@@ -10,7 +10,7 @@ from .base import assessments, items, papers, query, table
 
 _LINK = """CASE doc_id % 5 WHEN 0 THEN 'https://arxiv.org/abs/' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') || '.' || lpad(CAST(doc_id AS VARCHAR), 5, '0') || 'v' || (doc_id % 4)
   WHEN 1 THEN 'http://ArXiv.org/pdf/' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') || '.' || lpad(CAST(doc_id AS VARCHAR), 5, '0')
-  WHEN 2 THEN 'see arxiv:hep-th/' || lpad(CAST(doc_id AS VARCHAR), 7, '0') || 'v2' WHEN 3 THEN substr(text, 1, 40) ELSE '' END"""
+  WHEN 2 THEN 'see arxiv:hep-th/' || lpad(CAST(doc_id AS VARCHAR), 7, '0') || 'v2' WHEN 3 THEN text ELSE '' END"""
 
 
 def _links(spark, sf_dir):
@@ -20,7 +20,7 @@ def _links(spark, sf_dir):
         F.when(d % 5 == 0, F.concat(F.lit("https://arxiv.org/abs/"), four, F.lit("."), five, F.lit("v"), (d % 4).cast("string")))
         .when(d % 5 == 1, F.concat(F.lit("http://ArXiv.org/pdf/"), four, F.lit("."), five))
         .when(d % 5 == 2, F.concat(F.lit("see arxiv:hep-th/"), seven, F.lit("v2")))
-        .when(d % 5 == 3, F.substring("text", 1, 40))
+        .when(d % 5 == 3, F.col("text"))
         .otherwise("")
     )
     return table(spark, sf_dir, "documents").select("doc_id", link.alias("link"))
@@ -107,14 +107,14 @@ def f7_person_name_key(spark, sf_dir):
 
 
 _LABELS = "corresponding author|institute of|department of|college of|faculty of|school of|centre for|center for|affiliations|affiliation|emails|thanks|email"
-_AFFIL = """CASE doc_id % 6 WHEN 0 THEN 'Affiliation: ' WHEN 1 THEN 'Thanks, Department of ' WHEN 2 THEN 'University of ' WHEN 3 THEN 'email: ' WHEN 4 THEN 'me@' ELSE '' END || substr(text, 1, 30)"""
+_AFFIL = """CASE doc_id % 6 WHEN 0 THEN 'Affiliation: ' WHEN 1 THEN 'Thanks, Department of ' WHEN 2 THEN 'University of ' WHEN 3 THEN 'email: ' WHEN 4 THEN 'me@' ELSE '' END || text"""
 _KEYED = rf"trim(regexp_replace(trim(regexp_replace(regexp_replace(lower(t), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g')), '^(?:(?:{_LABELS}) )+', ''))"
 
 
 def _affiliations(spark, sf_dir):
     k = F.col("doc_id") % 6
     front = F.when(k == 0, "Affiliation: ").when(k == 1, "Thanks, Department of ").when(k == 2, "University of ").when(k == 3, "email: ").when(k == 4, "me@").otherwise("")
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat(front, F.substring("text", 1, 30)).alias("t"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(front, F.col("text")).alias("t"))
 
 
 @query(f"SELECT doc_id, {_KEYED} AS evidence_key FROM (SELECT doc_id, {_AFFIL} AS t FROM documents)")
@@ -154,9 +154,9 @@ def f10_affiliation_is_meaningful(spark, sf_dir):
 _SLUG = r"trim(regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(lower(trim({0})), '[^\p{{L}}\p{{N}}_\s-]', '', 'g'), '[\s_]+', ' ', 'g')), '\s+', '-', 'g'), '-{{2,}}', '-', 'g'), '-')"
 
 
-@query(f"SELECT doc_id, {_SLUG.format('substr(text, 1, 60)')} AS slug FROM documents")
+@query(f"SELECT doc_id, {_SLUG.format('text')} AS slug FROM documents")
 def f11_topic_slug(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", tx.topic_slug(F.substring("text", 1, 60)).alias("slug"))
+    return table(spark, sf_dir, "documents").select("doc_id", tx.topic_slug(F.col("text")).alias("slug"))
 
 
 @query("""SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice, CASE l_linenumber % 4 WHEN 0 THEN l_quantity WHEN 1 THEN l_quantity * 1000 WHEN 2 THEN l_quantity + 0.5 END AS number
@@ -246,18 +246,54 @@ def _rule_sql(patterns) -> str:
     return " + ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN 1 ELSE 0 END" for p in spelled)
 
 
-@query(f"""WITH h AS (SELECT content_id, lang, source, [{', '.join(f"{{'topic': '{k}', 'n': {_rule_sql(v)}}}" for k, v in _RULES.items())}] AS hits
-  FROM (SELECT content_id, lang, source, lower(substr(title || chr(10) || abstract, 1, 2000)) AS t FROM papers)),
+def _relevance_sql(texts: str, hits: str, core: str, prior: str) -> str:
+    """Scores, topics and reasons of the rows (content_id, lang, source, t) that ``texts`` selects; two conditions."""
+    return f"""WITH texts AS ({texts}), h AS (SELECT content_id, source, {core} AS core, {prior} AS prior, {hits} AS hits FROM texts),
   f AS (SELECT *, list_filter(hits, lambda x: x.n > 0) AS found FROM h),
   o AS (SELECT *, list_transform(list_sort(list_transform(found, lambda x: {{'m': -x.n, 'topic': x.topic}})), lambda x: x.topic) AS ordered, list_sum(list_transform(found, lambda x: x.n)) AS total FROM f)
   SELECT content_id, floor(least(10, CASE WHEN len(found) > 0 THEN least(6.5::DOUBLE, 3.0::DOUBLE + total * 0.7::DOUBLE) ELSE 0.0::DOUBLE END
-    + CASE WHEN lang IN ('en', 'de') THEN 2.0::DOUBLE ELSE 0 END + CASE WHEN source = 'src1' THEN 0.8::DOUBLE ELSE 0 END) * 100 + 0.5 + 1e-7::DOUBLE) / 100 AS score,
-  ordered[1] AS primary_topic, array_to_string(ordered[2:4], ',') AS secondary FROM o""")
+    + CASE WHEN core THEN 2.0::DOUBLE ELSE 0 END + CASE WHEN prior THEN 0.8::DOUBLE ELSE 0 END) * 100 + 0.5 + 1e-7::DOUBLE) / 100 AS score,
+  ordered[1] AS primary_topic, array_to_string(ordered[2:4], ',') AS secondary,
+  coalesce(nullif(concat_ws('; ', 'matched topic ' || chr(39) || ordered[1] || chr(39), CASE WHEN core THEN 'AI/ML arXiv category' END, CASE WHEN prior THEN 'source prior=' || source END), ''), 'no strong deterministic AI signal') AS reason FROM o"""
+
+
+def _hits_sql(rules, count) -> str:
+    return "[" + ", ".join(f"{{'topic': '{k}', 'n': {count(v)}}}" for k, v in rules.items()) + "]"
+
+
+def _relevance(texts, rules, core, priors):
+    """Scores of (content_id, lang, source, t): the hits are a column, so that each pattern runs once."""
+    hit = texts.select("content_id", "lang", "source", sc.topic_hits(F.col("t"), rules).alias("hits"))
+    scored = hit.select("content_id", sc.relevance_of(F.col("hits"), F.array("lang"), F.col("source"), core, priors).alias("r"))
+    return scored.select("content_id", F.col("r.score").alias("score"), F.col("r.primary").alias("primary_topic"), F.array_join("r.secondary", ",").alias("secondary"), F.col("r.reason").alias("reason"))
+
+
+@query(_relevance_sql("SELECT content_id, lang, source, lower(title || chr(10) || abstract) AS t FROM papers", _hits_sql(_RULES, _rule_sql), "lang IN ('en', 'de')", "source = 'src1'"))
 def p1_relevance_score(spark, sf_dir):
-    text = F.substring(F.concat_ws("\n", "title", "abstract"), 1, 2000)
-    r = sc.relevance(text, F.array("lang"), F.col("source"), rules=_RULES, core=("en", "de"), priors=("src1",))
-    scored = papers(spark, sf_dir).select("content_id", r.alias("r"))
-    return scored.select("content_id", F.col("r.score").alias("score"), F.col("r.primary").alias("primary_topic"), F.array_join("r.secondary", ",").alias("secondary"))
+    texts = papers(spark, sf_dir).select("content_id", "lang", "source", F.concat_ws("\n", "title", "abstract").alias("t"))
+    return _relevance(texts, _RULES, ("en", "de"), ("src1",))
+
+
+# A phrase of one topic or of several, by content_id, in front of each whole text.
+_PHRASES = (
+    "A multi-agent tool use benchmark", "LLMs and transformers", "Deep learning with a neural network", "data science", "Vision-language VLMs", "MLOps: model serving", "Evals and graders", "jailbreaks and prompt injection",
+    "RAG with vector search", "Mixture of Experts training, quantization", "generative AI", "human-AI interaction", "an A/B testing platform", "agents for retrieval-augmented inference evaluation", "nothing of the kind",
+)
+_PHRASED = f"CASE content_id % {len(_PHRASES)} " + " ".join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(_PHRASES)) + " END"
+
+
+def _ascii_rule_sql(patterns) -> str:
+    return " + ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN 1 ELSE 0 END" for p in patterns)
+
+
+@query(_relevance_sql(f"SELECT content_id, 'arxiv' AS source, lower({_PHRASED} || '. ' || abstract) AS t FROM papers", _hits_sql(sc.TOPIC_RULES, _ascii_rule_sql), "content_id % 3 = 0", "content_id % 4 = 1"))
+def p1_relevance_production_rules(spark, sf_dir):
+    """The same under the production rules, categories and sources."""
+    k = F.col("content_id")
+    phrase = F.element_at(F.array(*[F.lit(p) for p in _PHRASES]), (k % len(_PHRASES) + 1).cast("int"))
+    category, source = F.when(k % 3 == 0, "cs.AI").otherwise("math.CO"), F.when(k % 4 == 1, "arxiv").otherwise("other")
+    texts = papers(spark, sf_dir).select("content_id", category.alias("lang"), source.alias("source"), F.concat(phrase, F.lit(". "), F.col("abstract")).alias("t"))
+    return _relevance(texts, None, sc.CORE_CATEGORIES, sc.PRIOR_SOURCES)
 
 
 def _words_sql(words) -> str:
@@ -271,12 +307,12 @@ _DIMS_SQL = f"""SELECT content_id, abstract, rel, org, person, technical, practi
   3.5::DOUBLE + CASE WHEN {_words_sql(('deployment', 'production', 'engineering', 'workflow', 'agent', 'inference', 'retrieval'))} THEN 2.0 ELSE 0 END + CASE WHEN {_words_sql(('enterprise', 'developer', 'product', 'application'))} THEN 1.0 ELSE 0 END AS practical,
   4.0::DOUBLE + CASE WHEN {_words_sql(('tutorial', 'survey', 'benchmark', 'evaluation'))} THEN 1.0 ELSE 0 END AS student,
   5.0::DOUBLE + CASE WHEN length(abstract) < 2500 THEN 1.0 ELSE 0 END AS explain
-  FROM (SELECT *, lower(CASE content_id % 5 WHEN 0 THEN 'benchmark dataset ' WHEN 1 THEN 'production application ' WHEN 2 THEN 'survey ' ELSE '' END || title) AS t FROM papers))"""
+  FROM (SELECT *, lower(CASE content_id % 5 WHEN 0 THEN 'benchmark dataset ' WHEN 1 THEN 'production application ' WHEN 2 THEN 'survey ' ELSE '' END || title || ' ' || abstract) AS t FROM papers))"""
 
 
 def _intrinsic(spark, sf_dir):
     k = F.col("content_id")
-    text = F.concat(F.when(k % 5 == 0, "benchmark dataset ").when(k % 5 == 1, "production application ").when(k % 5 == 2, "survey ").otherwise(""), F.col("title"))
+    text = F.concat(F.when(k % 5 == 0, "benchmark dataset ").when(k % 5 == 1, "production application ").when(k % 5 == 2, "survey ").otherwise(""), F.concat_ws(" ", "title", "abstract"))
     value = sc.intrinsic((k % 11).cast("double"), text, F.col("abstract"), (k % 10).cast("double"), (k % 9).cast("double"))
     return papers(spark, sf_dir).select("content_id", value.alias("d"))
 
@@ -288,18 +324,30 @@ def p2_intrinsic_score(spark, sf_dir):
     return _intrinsic(spark, sf_dir).select("content_id", *[F.col(f"d.{c}").alias(c) for c in ("technical", "practical", "professional", "student", "explain", "intrinsic")])
 
 
-_V2 = (("technical", 0.28), ("novelty", 0.24), ("practical", 0.20), ("professional", 0.16), ("learning", 0.12))
-CORE_SQL = "floor(greatest(0, least(10, (" + " + ".join(f"coalesce({d} * {w}::DOUBLE, 0)" for d, w in _V2) + ") / (" + " + ".join(f"CASE WHEN {d} IS NOT NULL THEN {w}::DOUBLE ELSE 0 END" for d, w in _V2) + "))) * 100 + 0.5 + 1e-7::DOUBLE) / 100"
+_V2 = (("technical", "0.28"), ("novelty", "0.24"), ("practical", "0.2"), ("professional", "0.16"), ("learning", "0.12"))
+_V1 = (("technical", "0.25"), ("novelty", "0.2"), ("practical", "0.2"), ("professional", "0.15"), ("learning", "0.1"), ("evidence", "0.05"), ("CAST(t1 % 11 AS DOUBLE)", "0.05"))
+_V0 = tuple((d, f"{w}::DOUBLE / 0.8") for d, w in (("technical", "0.2"), ("practical", "0.15"), ("professional", "0.15"), ("learning", "0.1"), ("novelty", "0.1"), ("evidence", "0.05"), ("CAST(t1 % 11 AS DOUBLE)", "0.05")))
+
+
+def _core_sql(weights) -> str:
+    top = " + ".join(f"coalesce({d} * ({w}::DOUBLE), 0)" for d, w in weights)
+    mass = " + ".join(f"CASE WHEN {d} IS NOT NULL THEN ({w}::DOUBLE) ELSE 0 END" for d, w in weights)
+    return f"floor(greatest(0, least(10, ({top}) / ({mass}))) * 100 + 0.5 + 1e-7::DOUBLE) / 100"
+
+
+CORE_SQL = _core_sql(_V2)
 
 
 def core(profile: str = "v2"):
+    """The weighted core under a profile; three dimensions of the older ones stand under other names here."""
     weights = sc.PROFILES[profile]
-    return sc.weighted_core({d: F.col(d) for d in weights}, weights)
+    other = {"student": F.col("learning"), "explain": F.col("evidence"), "industry": (F.col("t1") % 11).cast("double")}
+    return sc.weighted_core({d: other.get(d, F.col(d)) for d in weights}, weights)
 
 
-@query(f"SELECT content_id, version, age, t1, t2, t3, {CORE_SQL} AS core FROM assessments")
+@query(f"SELECT content_id, version, age, t1, t2, t3, {CORE_SQL} AS core, {_core_sql(_V1)} AS core_v1, {_core_sql(_V0)} AS core_v0 FROM assessments")
 def p3_weighted_core(spark, sf_dir):
-    return assessments(spark, sf_dir).select("content_id", "version", "age", "t1", "t2", "t3", core().alias("core"))
+    return assessments(spark, sf_dir).select("content_id", "version", "age", "t1", "t2", "t3", core().alias("core"), core("v1").alias("core_v1"), core("v0").alias("core_v0"))
 
 
 @query("""SELECT content_id, age, t1, version, t2, t3, professional IS NOT NULL AS valid,

@@ -65,4 +65,5 @@ def test_relevance_ranks_topics(spark):
     r = spark.range(1).select(sc.relevance(F.lit(text), F.array(F.lit("cs.AI")), F.lit("arxiv")).alias("r")).first().r
     assert (r.primary, r.secondary, r.score) == ("AI agents", ["AI evaluation"], 9.3)
     none = spark.range(1).select(sc.relevance(F.lit(None).cast("string"), F.lit(None).cast("array<string>"), F.lit(None).cast("string")).alias("r")).first().r
-    assert (none.primary, none.score, none.reason) == (None, 0.0, "no strong deterministic signal")
+    assert (none.primary, none.score, none.reason) == (None, 0.0, "no strong deterministic AI signal")
+    assert r.reason == "matched topic 'AI agents'; AI/ML arXiv category; source prior=arxiv"
