@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores as sc
-from .running import run_before
+from ..sources.landing import settle
+from .ranking import rank_by
+from .running import meet, run_before
 
 
 def status_counts(df: DataFrame, column: str) -> DataFrame:
@@ -89,22 +91,23 @@ def pearson(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def average_ranks(df: DataFrame, value: str, out: str, by: Sequence[str] = ()) -> DataFrame:
-    """Adds average ranks, from counts of distinct values: rows are never ordered in one task."""
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    """Adds average ranks, from counts of distinct values: rows are never ordered in one task. A null value has no rank."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     ranks = run_before(counts, value, "_n", "_ahead", by).withColumn(out, F.col("_ahead") + (F.col("_n") + 1) / 2).drop("_n", "_ahead")
-    return df.join(ranks, [*by, value])
+    return meet(df, ranks, [*by, value], "left")
 
 
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    """1 - 6 sum(d^2) / (n (n^2 - 1)) of average ranks."""
-    ranked = average_ranks(average_ranks(df, x, "_rx", by), y, "_ry", by)
+    """1 - 6 sum(d^2) / (n (n^2 - 1)) of average ranks, over the rows that have both values."""
+    both = settle(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), "values")
+    ranked = average_ranks(average_ranks(both, x, "_rx", by), y, "_ry", by)
     d2, n = F.sum((F.col("_rx") - F.col("_ry")) * (F.col("_rx") - F.col("_ry"))), F.count(F.lit(1))
     return ranked.groupBy(*by).agg(n.alias("n"), F.when(n > 1, 1 - 6 * d2 / (n.cast("double") * (n * n - 1))).alias("spearman"))
 
 
 def drift(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
     """Rank correlation, mean shift and mean absolute difference of two scorings on their common keys."""
-    both = a.select(key, F.col(value).alias("x")).join(b.select(key, F.col(value).alias("y")), key)
+    both = settle(a.select(key, F.col(value).alias("x")).join(b.select(key, F.col(value).alias("y")), key), "pairs")
     stats = both.agg(F.avg(F.col("y") - F.col("x")).alias("shift"), F.avg(F.abs(F.col("y") - F.col("x"))).alias("mad"))
     out = spearman(both, "x", "y").crossJoin(F.broadcast(stats))
     passed = (F.col("spearman") > 0.90) & (F.abs("shift") < 0.20) & (F.col("mad") < 0.40)
@@ -122,31 +125,41 @@ def human_scores(verdicts: DataFrame, key: str) -> DataFrame:
 
 
 def agreement_at(scores: DataFrame, human: DataFrame, key: str, value: str, n: int) -> DataFrame:
-    """Shares of the human top n in the model's top n and in its top 2n."""
-    both = scores.join(human, key)
-    top = lambda column, size: both.orderBy(F.desc(column), key).limit(size).select(key)
-    best = top("human", n)
-    hits = best.join(top(value, n), key, "left_semi").agg((F.count(F.lit(1)) / n).alias("precision"))
-    wider = best.join(top(value, 2 * n), key, "left_semi").agg((F.count(F.lit(1)) / n).alias("recall"))
-    return hits.crossJoin(F.broadcast(wider))
+    """(n, precision, recall, spearman) of a model against people: shares of its top n in theirs and of its top 2n in their top 2n.
+
+    The shares are of the rows that the lists have, which may be fewer than n; ties go to the smaller key.
+    """
+    both = settle(scores.select(key, value).join(human.select(key, "human"), key), "both")
+
+    def share(size: int, name: str) -> DataFrame:
+        top = lambda column: both.orderBy(F.desc_nulls_last(column), key).limit(size).select(key)
+        own = top(value).withColumn("own", F.lit(1))
+        return top("human").join(own, key, "left").agg((F.count("own") / F.count(F.lit(1))).alias(name))
+
+    rank = spearman(both, value, "human").select("n", "spearman")
+    return rank.crossJoin(F.broadcast(share(n, "precision"))).crossJoin(F.broadcast(share(2 * n, "recall")))
 
 
 def dimension_agreement(pairs: DataFrame, dims: Sequence[str], x: str, y: str) -> DataFrame:
     """Per dimension: correlations, mean absolute difference, bias; weak below 0.6. ``pairs`` has dim, x and y."""
+    pairs = settle(pairs.select("dim", x, y), "pairs")
     stats = pairs.groupBy("dim").agg(F.coalesce(F.corr(x, y), F.lit(float("nan"))).alias("pearson"), F.avg(F.abs(F.col(y) - F.col(x))).alias("mad"), F.avg(F.col(y) - F.col(x)).alias("bias"))
     return stats.join(spearman(pairs, x, y, ["dim"]), "dim").withColumn("weak", F.col("spearman") < 0.6)
 
 
-def gate_recall(pairs: DataFrame, key: str, screen: str, full: str, gates: Sequence[int], top: int) -> DataFrame:
-    """(gate, recall): the share of the full tier's top rows that the screen's first gate per cent hold."""
-    best = pairs.orderBy(F.desc(full), key).limit(top).select(key, screen)
-    n = pairs.count()
-    cuts = [(g, -(-n * g // 100)) for g in gates]
-    out = []
-    for g, size in cuts:
-        kept = pairs.orderBy(F.desc(screen), key).limit(size).select(key)
-        out.append(best.join(kept, key, "left_semi").agg((F.count(F.lit(1)) / top).alias("recall")).select(F.lit(g).alias("gate"), "recall"))
-    return reduce(DataFrame.unionByName, out)
+def gate_recall(pairs: DataFrame, key: str, screen: str, full: str, gates: Sequence[int], top: int, least: float = 0.95) -> DataFrame:
+    """(gate, recall, sufficient): the share of the full tier's top rows that the screen's first gate per cent hold.
+
+    The smallest gate whose recall is ``least`` or more is the sufficient one. Screen ranks come from counts by value.
+    """
+    ranked = settle(rank_by(pairs.select(key, screen, full), screen, key, "place"), "placed")
+    sized = ranked.agg(F.count(F.lit(1)).alias("n"))
+    best = ranked.orderBy(F.desc_nulls_last(full), key).limit(top).crossJoin(F.broadcast(sized))
+    each = best.withColumn("gate", F.explode(F.array(*[F.lit(g) for g in gates])))
+    inside = F.count_if(F.col("place") <= F.ceil(F.col("n") * F.col("gate") / 100))
+    curve = each.groupBy("gate").agg((inside / F.count(F.lit(1))).alias("recall"))
+    first = curve.agg(F.min(F.when(F.col("recall") >= least, F.col("gate"))).alias("first"))
+    return curve.crossJoin(F.broadcast(first)).select("gate", "recall", F.coalesce(F.col("gate") == F.col("first"), F.lit(False)).alias("sufficient"))
 
 
 def candidate_metrics(results: DataFrame) -> DataFrame:
@@ -187,16 +200,31 @@ def decision_table(metrics: DataFrame, remaining: int, least_valid: float = 0.95
     return metrics.crossJoin(F.broadcast(best)).select("candidate", (~ok).alias("disqualified"), (F.col("candidate") == F.col("best")).alias("chosen"), cost.alias("projected_cost"))
 
 
-def label_guidance(labels: DataFrame, key: str, most: int = 25) -> DataFrame:
-    """(pattern, examples, overflow): keys where labellers agree on general or differ, the first ``most`` of each and how many more."""
-    per = labels.groupBy(key).agg(F.count_if(F.col("answer") == "general").alias("g"), F.count(F.lit(1)).alias("n"), F.count_distinct("answer").alias("kinds"))
-    pattern = F.when(F.col("g") * 2 > F.col("n"), "majority_general").when(F.col("kinds") > 1, "labellers_differ").otherwise("agreed")
-    tagged = per.select(key, pattern.alias("pattern"))
-    order = Window.partitionBy("pattern").orderBy(key)
+def label_guidance(labels: DataFrame, results: DataFrame, key: str, most: int = 25) -> DataFrame:
+    """(pattern, key, detail, total): the first ``most`` keys of each pattern that labels and answers show, and how many have it.
+
+    Patterns: keys that a majority labels general; answers that force a sector on these; labellers that differ, with
+    what they say; reasons that answers give beside a differing label. ``labels`` has labeller and answer, ``results``
+    candidate, answer and reason.
+    """
+    said = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", F.col("labeller").cast("string"), "answer"))), ",")
+    per = labels.groupBy(key).agg(F.count_if(F.col("answer") == "general").alias("g"), F.count(F.lit(1)).alias("n"), F.count_distinct("answer").alias("kinds"), said.alias("said"))
+    general = F.col("g") * 2 > F.col("n")
+    truth = labels.groupBy(key).agg(F.min_by("answer", "labeller").alias("truth"))
+    wrong = results.join(per.where(general).select(key), key, "left_semi").where("answer <> 'general'")
+    argued = results.join(truth, key).where(F.col("answer") != F.col("truth"))
+    named = lambda rows, name, detail: rows.select(F.lit(name).alias("pattern"), key, detail.alias("detail"))
+    answered = F.concat_ws("=", F.col("candidate").cast("string"), "answer")
+    tagged = (
+        named(per.where(general), "majority_general", F.col("said"))
+        .unionByName(named(wrong.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set(answered)), ",").alias("d")), "force_fit", F.col("d")))
+        .unionByName(named(per.where("kinds > 1"), "labellers_differ", F.col("said")))
+        .unionByName(named(argued.groupBy(key).agg(F.min_by("reason", "candidate").alias("d")), "reasoning", F.col("d")))
+    )
     counts = tagged.groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
-    # the first of each pattern are the smallest keys, found by partial top lists
-    firsts = tagged.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= most).groupBy("pattern").agg(F.array_sort(F.collect_list(key)).alias("examples"))
-    return firsts.join(counts, "pattern").select("pattern", "examples", F.greatest(F.lit(0), F.col("total") - most).alias("overflow"))
+    # rank limits are pushed below the shuffle, so each task passes its first ones on
+    first = tagged.withColumn("rn", F.row_number().over(Window.partitionBy("pattern").orderBy(key))).where(F.col("rn") <= most)
+    return first.join(F.broadcast(counts), "pattern").select("pattern", key, "detail", "total", F.greatest(F.lit(0), F.col("total") - most).alias("overflow"))
 
 
 def run_counters(events: DataFrame, run: str, kind: str, kinds: Sequence[str]) -> DataFrame:
@@ -216,6 +244,19 @@ def cost_projection(sample: DataFrame, pool: DataFrame, batch: int, tokens_out:
     return n.crossJoin(F.broadcast(mean)).select("n", F.ceil(F.col("n") / batch).alias("calls"), cost.alias("cost"))
 
 
+def projected(stats: DataFrame, whole: DataFrame) -> DataFrame:
+    """One row: the first window's ``window_stats`` scaled to all windows.
+
+    ``whole`` is one row: unique_items, kept across the sets, and windows. The share of revisions among the unique
+    items is that among the kept rows.
+    """
+    totals = stats.agg(F.sum("seen").alias("seen"), F.sum("kept").alias("kept"), F.sum("revisions").alias("revisions")).crossJoin(F.broadcast(whole))
+    n = F.col("windows")
+    unique = F.col("unique_items") * n
+    revised = F.coalesce(F.bround(unique * F.col("revisions") / F.nullif("kept", F.lit(0))), F.lit(0)).cast("long")
+    return totals.select("windows", (F.col("seen") * n).alias("seen"), (F.col("kept") * n).alias("kept_raw"), unique.alias("kept_unique"), revised.alias("revised"), (unique - revised).alias("new"))
+
+
 def window_stats(rows: DataFrame, group: str, key: str) -> DataFrame:
     """Per set: seen, deleted, kept and revised rows, and distinct keys."""
     return rows.groupBy(group).agg(

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .running import cut_of, run_before
+from ..sources.landing import settle
+from .running import cut_of, meet, run_before
 
 
 def seeded(seed: str, key: str) -> Column:
@@ -18,7 +19,7 @@ def gate_decisions(df: DataFrame, key: str, floor: str, dims: Sequence[str], per
     """``df`` with mean and decision: keep, low_floor or below_percentile; rows with a missing dimension are left out.
 
     The first ceil(n * percent / 100) rows by mean and then key are kept. Counts of distinct means give the
-    mean at the cut; keys are ordered only among the rows that have it.
+    mean at the cut; keys are ordered only among the rows that have it. Where no row passes the floor, none is kept.
     """
     total = sum((F.col(d) for d in dims[1:]), F.col(dims[0]))
     rated = df.where(F.expr(" and ".join(f"{d} is not null" for d in dims))).withColumn("mean", total / len(dims))
@@ -30,7 +31,8 @@ def gate_decisions(df: DataFrame, key: str, floor: str, dims: Sequence[str], per
     # keys at the cut are counted by key ranges, so a mean that many rows share is no one task's work
     edge = passed.join(F.broadcast(cut), F.col("mean") == F.col("cut")).select(key, "places", F.lit(1).alias("one"))
     edge = run_before(edge, key, "one", "ahead").where("ahead < places").select(key, F.lit(True).alias("at_cut"))
-    joined = rated.join(edge, key, "left").crossJoin(F.broadcast(cut.select("cut")))
+    # one row, with a null where nothing passed
+    joined = rated.join(edge, key, "left").crossJoin(F.broadcast(cut.agg(F.max("cut").alias("cut"))))
     decision = F.when(~(F.col(floor) > least), "low_floor").when((F.col("mean") > F.col("cut")) | F.col("at_cut"), "keep").otherwise("below_percentile")
     return joined.withColumn("decision", decision).drop("cut", "at_cut")
 
@@ -43,20 +45,38 @@ def top_n(df: DataFrame, by: str, recency: str, key: str, n: int, since: str | N
 
 
 def rank_by(df: DataFrame, value: str, key: str, out: str) -> DataFrame:
-    """Adds ranks by value descending and key. Rows are counted by value and range of keys; only those of one range are ordered."""
+    """Adds ranks by value descending, null values last, and key. Rows are counted by value and range of keys; only those of one range are ordered."""
+    df = settle(df, "ranked")
     keyed = df.withColumn("_range", cut_of(df, key))
     counts = keyed.groupBy(value, "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = run_before(counts, value, "_n", "_ahead", descending=True, then=["_range"]).drop("_n")
     within = F.row_number().over(Window.partitionBy(value, "_range").orderBy(key))
-    return keyed.withColumn("_place", within).join(before, [value, "_range"]).withColumn(out, F.col("_ahead") + F.col("_place")).drop("_range", "_ahead", "_place")
+    ranked = meet(keyed.withColumn("_place", within), before, [value, "_range"])
+    return ranked.withColumn(out, F.col("_ahead") + F.col("_place")).drop("_range", "_ahead", "_place")
 
 
 def rank_compare(df: DataFrame, key: str, one: str, two: str) -> DataFrame:
-    """Ranks under two scores, best first and then by key, and by how many places each row rises."""
+    """Ranks under two scores, best first, missing scores last and then by key, and by how many places each row rises."""
     ranked = rank_by(rank_by(df, one, key, "rank_one"), two, key, "rank_two")
     return ranked.withColumn("rank_delta", F.col("rank_one") - F.col("rank_two"))
 
 
+def rank_report(ranked: DataFrame, key: str, n: int) -> DataFrame:
+    """(list, place, key, rank_one, rank_two, rank_delta): the n first by each rank, and the n that rise and fall most."""
+    ranked = settle(ranked.select(key, "rank_one", "rank_two", "rank_delta"), "ranks")
+    orders = (
+        ("top_one", (F.asc("rank_one"),)), ("top_two", (F.asc("rank_two"),)),
+        ("moved_up", (F.desc("rank_delta"), F.asc(key))), ("moved_down", (F.asc("rank_delta"), F.asc(key))),
+    )
+    out = None
+    for name, order in orders:
+        # the window numbers n rows
+        first = ranked.orderBy(*order).limit(n).withColumn("place", F.row_number().over(Window.orderBy(*order)))
+        part = first.select(F.lit(name).alias("list"), "place", key, "rank_one", "rank_two", "rank_delta")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def notable_share(df: DataFrame, key: str, notable: str, priority: str, top: int) -> DataFrame:
     """Half of the list, one at least, for the best notable rows; the best others fill it."""
     share = max(1, round(top / 2))

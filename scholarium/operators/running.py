@@ -1,7 +1,8 @@
 """Running sums in a global order without one task for all rows.
 
-The order is cut at approximate quantiles, a bounded list of literals. Sums of the cuts are run over first, a
-few hundred rows a group, and each cut by itself; both are exact whatever the cuts are.
+The order is cut at approximate quantiles, as many as the rows need, a bounded list of literals. Sums of the cuts
+are run over first, at most MOST_CUTS rows a group, and each cut by itself; both are exact whatever the cuts are. What
+is ordered is written once, so that the jobs for the cuts and for the sums don't repeat the work behind it.
 """
 
 from __future__ import annotations
@@ -11,19 +12,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CUTS = 64
+from ..sources.landing import settle
 
+#: Rows of a cut in the mean, and cuts at most: beyond their product cuts grow, and Spark sorts them with spilling.
+CUT_ROWS, MOST_CUTS = 100_000, 2_000
 
-def cut_of(df: DataFrame, value: str, cuts: int = CUTS) -> Column:
-    """The number of approximate quantiles that a numeric value reaches, from 0 to ``cuts``; null values are 0."""
+
+def cut_of(df: DataFrame, value: str) -> Column:
+    """The number of approximate quantiles that a numeric value reaches, from 0; null values are 0."""
+    n = df.count()
+    cuts = min(MOST_CUTS, -(-n // CUT_ROWS))
+    if cuts < 2:
+        return F.lit(0)
     shares = [i / cuts for i in range(1, cuts)]
     bounds = df.agg(F.percentile_approx(F.col(value).cast("double"), shares, 10_000).alias("b")).first().b
     points = F.array(*[F.lit(b) for b in sorted(set(bounds or []))]).cast("array<double>")
     return F.size(F.filter(points, lambda b: b <= F.col(value)))
 
 
+def meet(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where null equals null; the columns are those of ``left``."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in columns})
+    on = F.lit(True)
+    for c in columns:
+        on = on & left[c].eqNullSafe(renamed[f"_r_{c}"])
+    return left.join(renamed, on, how).drop(*[f"_r_{c}" for c in columns])
+
+
 def run_before(df: DataFrame, value: str, amount: str, out: str, by: Sequence[str] = (), descending: bool = False, then: Sequence[str] = ()) -> DataFrame:
-    """Adds the sum of ``amount`` over the rows before each one by value and then ``then``, which must order rows fully."""
+    """Adds the sum of ``amount`` over the rows before each one by value and then ``then``, which must order rows fully.
+
+    Null values come first, or last if the order is descending; null groups are groups.
+    """
+    df = settle(df, "ordered")
     cut = cut_of(df, value)
     placed = df.withColumn("_cut", -cut if descending else cut)
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
@@ -31,4 +52,5 @@ def run_before(df: DataFrame, value: str, amount: str, out: str, by: Sequence[st
     before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(upto(Window.partitionBy(*by).orderBy("_cut"))), F.lit(0))).drop("_sum")
     order = (F.desc(value) if descending else F.asc(value), *then)
     within = F.coalesce(F.sum(amount).over(upto(Window.partitionBy(*by, "_cut").orderBy(*order))), F.lit(0))
-    return placed.withColumn("_within", within).join(before, [*by, "_cut"]).withColumn(out, F.col("_before") + F.col("_within")).drop("_cut", "_before", "_within")
+    joined = meet(placed.withColumn("_within", within), before, [*by, "_cut"])
+    return joined.withColumn(out, F.col("_before") + F.col("_within")).drop("_cut", "_before", "_within")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import scores as sc
 from ..operators import joins as jn
 from ..operators import ranking as rk
 from .base import claims, items, newest, query, table, topic_links
+from .scalars import _CL, _F2
 from .statistics import _ONE, _results
 
 _GATE = """g AS (SELECT content_id, technical, novelty, evidence, (technical + novelty + evidence) / 3 AS mean FROM newest),
@@ -34,12 +36,30 @@ def r3_top_n(spark, sf_dir):
     return rk.top_n(scored, "score", "published_at", "content_id", 100, "1996-01-01").select("content_id", "score")
 
 
+@query(f"""SELECT content_id, newsletter FROM (SELECT content_id, published_at, {_CL.format(f"intrinsic * ({_F2}) + (content_id % 6) / 10.0::DOUBLE")} AS newsletter FROM items) ORDER BY newsletter DESC NULLS LAST, published_at DESC, content_id LIMIT 100""")
+def r3_newsletter_top_n(spark, sf_dir):
+    k = F.col("content_id")
+    scored = items(spark, sf_dir).withColumn("newsletter", sc.newsletter(F.col("intrinsic"), (k % 11).cast("double"), (k % 6) / F.lit(10.0)))
+    return rk.top_n(scored, "newsletter", "published_at", "content_id", 100).select("content_id", "newsletter")
+
+
 @query("""SELECT content_id, row_number() OVER (ORDER BY technical DESC, content_id) AS rank_one, row_number() OVER (ORDER BY novelty DESC, content_id) AS rank_two,
   row_number() OVER (ORDER BY technical DESC, content_id) - row_number() OVER (ORDER BY novelty DESC, content_id) AS rank_delta FROM newest""")
 def r4_rank_compare(spark, sf_dir):
     return rk.rank_compare(newest(spark, sf_dir).select("content_id", "technical", "novelty"), "content_id", "technical", "novelty").select("content_id", "rank_one", "rank_two", "rank_delta")
 
 
+_RANKS = """r AS (SELECT content_id, row_number() OVER (ORDER BY technical DESC, content_id) AS rank_one, row_number() OVER (ORDER BY novelty DESC, content_id) AS rank_two FROM newest), d AS (SELECT *, rank_one - rank_two AS rank_delta FROM r)"""
+_LISTS = (("top_one", "rank_one"), ("top_two", "rank_two"), ("moved_up", "rank_delta DESC, content_id"), ("moved_down", "rank_delta, content_id"))
+
+
+@query(f"WITH {_RANKS} " + " UNION ALL ".join(f"SELECT '{name}' AS list, place, content_id, rank_one, rank_two, rank_delta FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM d) WHERE place <= 20" for name, order in _LISTS))
+def r4_rank_report(spark, sf_dir):
+    """The best under both scores, and the rows that move most between them."""
+    ranked = rk.rank_compare(newest(spark, sf_dir).select("content_id", "technical", "novelty"), "content_id", "technical", "novelty")
+    return rk.rank_report(ranked, "content_id", 20)
+
+
 @query("""WITH b AS (SELECT content_id, content_id % 9 = 0 AS notable, intrinsic FROM items), f AS (SELECT content_id FROM b WHERE notable ORDER BY intrinsic DESC, content_id LIMIT 10),
   r AS (SELECT content_id FROM b WHERE content_id NOT IN (SELECT content_id FROM f) ORDER BY intrinsic DESC, content_id LIMIT 10)
   SELECT content_id, notable FROM b WHERE content_id IN (SELECT content_id FROM f UNION ALL SELECT content_id FROM r)""")

@@ -161,12 +161,19 @@ def a15_human_score(spark, sf_dir):
     return ag.human_scores(verdicts(spark, sf_dir), "content_id")
 
 
-@query("""WITH h AS (SELECT content_id, avg(CASE verdict WHEN 'STRONG' THEN 2 WHEN 'BORDERLINE' THEN 1 ELSE 0 END) AS human FROM verdicts GROUP BY 1), b AS (SELECT content_id, human, length(abstract) AS score FROM h JOIN papers USING (content_id)),
-  t AS (SELECT content_id FROM b ORDER BY human DESC, content_id LIMIT 50), m AS (SELECT content_id FROM b ORDER BY score DESC, content_id LIMIT 50), w AS (SELECT content_id FROM b ORDER BY score DESC, content_id LIMIT 100)
-  SELECT (SELECT count(*) FROM t SEMI JOIN m USING (content_id)) / 50.0::DOUBLE AS precision, (SELECT count(*) FROM t SEMI JOIN w USING (content_id)) / 50.0::DOUBLE AS recall""")
+_B16 = "b AS (SELECT content_id, human, length(abstract) AS score FROM (SELECT content_id, avg(CASE verdict WHEN 'STRONG' THEN 2 WHEN 'BORDERLINE' THEN 1 ELSE 0 END) AS human FROM verdicts GROUP BY 1) JOIN papers USING (content_id))"
+
+
+def _share_sql(size: int) -> str:
+    top = lambda c: f"(SELECT content_id FROM b ORDER BY {c} DESC, content_id LIMIT {size})"
+    return f"(SELECT count(*) FROM {top('human')} SEMI JOIN {top('score')} USING (content_id)) / (SELECT least({size}, count(*)) FROM b)::DOUBLE"
+
+
+@query(f"WITH {_B16}, s AS ({_spearman_sql('b', 'score', 'human')}) SELECT n, spearman, {_share_sql(50)} AS precision, {_share_sql(100)} AS recall FROM s")
 def a16_agreement_at_n(spark, sf_dir):
     scored = papers(spark, sf_dir).select("content_id", F.length("abstract").alias("score"))
-    return ag.agreement_at(scored, ag.human_scores(verdicts(spark, sf_dir), "content_id"), "content_id", "score", 50)
+    out = ag.agreement_at(scored, ag.human_scores(verdicts(spark, sf_dir), "content_id"), "content_id", "score", 50)
+    return out.withColumn("spearman", F.round("spearman", 6))
 
 
 _AGREE = """l AS (SELECT *, row_number() OVER (PARTITION BY content_id, tier ORDER BY age DESC, t1 DESC, version DESC, t2 DESC, t3 DESC) AS rn FROM assessments WHERE tier IS NOT NULL),
@@ -184,7 +191,8 @@ def a17_dimension_agreement(spark, sf_dir):
 
 
 @query(f"WITH {_TIERS}, p AS (SELECT content_id, screen, full_score, row_number() OVER (ORDER BY screen DESC, content_id) AS rs, row_number() OVER (ORDER BY full_score DESC, content_id) AS rf, count(*) OVER () AS n FROM j JOIN top USING (sv, fv))"
-       " SELECT gate, count(*) FILTER (WHERE rf <= 50 AND rs <= ceil(n * gate / 100.0)) / 50.0::DOUBLE AS recall FROM p, (VALUES (10), (15), (20), (25), (30), (35)) AS g(gate) GROUP BY 1")
+       ", c AS (SELECT gate, count(*) FILTER (WHERE rs <= ceil(n * gate / 100.0)) / count(*)::DOUBLE AS recall FROM p, (VALUES (10), (15), (20), (25), (30), (35)) AS g(gate) WHERE rf <= 50 GROUP BY 1)"
+       " SELECT gate, recall, coalesce(gate = min(gate) FILTER (WHERE recall >= 0.95) OVER (), false) AS sufficient FROM c")
 def a18_gate_recall_curve(spark, sf_dir):
     return ag.gate_recall(j14_tier_self_join(spark, sf_dir), "content_id", "screen", "full_score", (10, 15, 20, 25, 30, 35), 50)
 
@@ -226,12 +234,15 @@ def a23_decision_table(spark, sf_dir):
     return out.select("candidate", "disqualified", F.coalesce("chosen", F.lit(False)).alias("chosen"), F.round("projected_cost", 4).alias("projected_cost"))
 
 
-@query(f"""WITH {_LAB}, p AS (SELECT content_id, CASE WHEN count(*) FILTER (WHERE answer = 'general') * 2 > count(*) THEN 'majority_general' WHEN count(DISTINCT answer) > 1 THEN 'labellers_differ' ELSE 'agreed' END AS pattern FROM lab GROUP BY 1),
+@query(f"""WITH {_ONE}, {_LAB}, l AS (SELECT content_id, count(*) FILTER (WHERE answer = 'general') * 2 > count(*) AS general, count(DISTINCT answer) AS kinds, string_agg(labeller || ':' || answer, ',' ORDER BY labeller) AS said, arg_min(answer, labeller) AS truth FROM lab GROUP BY 1),
+  why AS (SELECT *, 'as ' || answer || ' in ' || tokens_in AS reason FROM res), p AS (SELECT 'majority_general' AS pattern, content_id, said AS detail FROM l WHERE general UNION ALL SELECT 'labellers_differ', content_id, said FROM l WHERE kinds > 1
+  UNION ALL SELECT 'force_fit', content_id, string_agg(candidate || '=' || answer, ',' ORDER BY candidate || '=' || answer) FROM res SEMI JOIN (FROM l WHERE general) USING (content_id) WHERE answer <> 'general' GROUP BY 2
+  UNION ALL SELECT 'reasoning', content_id, arg_min(reason, candidate) FROM why JOIN l USING (content_id) WHERE answer <> truth GROUP BY 2),
   r AS (SELECT *, row_number() OVER (PARTITION BY pattern ORDER BY content_id) AS rn, count(*) OVER (PARTITION BY pattern) AS total FROM p)
-  SELECT pattern, string_agg(CAST(content_id AS VARCHAR), ',' ORDER BY content_id) AS examples, greatest(0, max(total) - 25) AS overflow FROM r WHERE rn <= 25 GROUP BY 1""")
+  SELECT pattern, content_id, detail, total, greatest(0, total - 25) AS overflow FROM r WHERE rn <= 25""")
 def a24_label_guidance(spark, sf_dir):
-    out = ag.label_guidance(_labels(spark, sf_dir), "content_id")
-    return out.select("pattern", F.array_join(F.transform("examples", lambda x: x.cast("string")), ",").alias("examples"), "overflow")
+    why = F.concat(F.lit("as "), F.col("answer"), F.lit(" in "), F.col("tokens_in").cast("string"))
+    return ag.label_guidance(_labels(spark, sf_dir), _results(spark, sf_dir).withColumn("reason", why), "content_id")
 
 
 _KINDS = ("click", "view", "purchase", "signup", "error")
@@ -247,12 +258,12 @@ def a26_topic_usage(spark, sf_dir):
     return ag.topic_usage(topic_links(spark, sf_dir), "topic", "content_id")
 
 
-@query("""WITH s AS (SELECT greatest(1, length(text) // 4) AS tokens FROM documents ORDER BY doc_id LIMIT 50), n AS (SELECT count(*) AS n FROM documents WHERE lang = 'en')
+@query("""WITH s AS (SELECT greatest(1, length(text) // 4) AS tokens FROM documents ORDER BY doc_id LIMIT 50), n AS (SELECT count(*) AS n FROM documents)
   SELECT n, CAST(ceil(n / 5.0) AS BIGINT) AS calls, round((n * (SELECT avg(tokens) FROM s) * 2 + n * 220 * 10) / 1000000.0::DOUBLE, 6) AS cost FROM n""")
 def a27_cost_projection(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     sample = docs.orderBy("doc_id").limit(50).select(tx.tokens_of(F.col("text")).alias("tokens"))
-    out = ag.cost_projection(sample, docs.where("lang = 'en'"), 5, 220)
+    out = ag.cost_projection(sample, docs, 5, 220)
     return out.select("n", "calls", F.round("cost", 6).alias("cost"))
 
 
@@ -262,3 +273,21 @@ def a28_window_stats(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     rows = o.select(F.col("o_orderpriority").alias("set_name"), (F.col("o_orderstatus") == "P").alias("deleted"), F.year("o_orderdate").alias("created_year"), F.year(F.date_add(F.col("o_orderdate").cast("date"), 90)).alias("window_year"), "o_custkey")
     return ag.window_stats(rows, "set_name", "o_custkey")
+
+
+_FIRST = """b AS (SELECT min(o_orderdate)::DATE AS f, max(o_orderdate)::DATE AS l FROM orders), w AS (SELECT o_orderpriority, o_orderstatus, o_custkey, year(o_orderdate) - CASE WHEN o_custkey % 4 = 0 THEN 1 ELSE 0 END AS created, year(f) AS own FROM orders, b WHERE o_orderdate::DATE < f + 7)"""
+
+
+@query(f"""WITH {_FIRST}, t AS (SELECT count(*) AS seen, count(*) FILTER (WHERE o_orderstatus <> 'P') AS kept, count(*) FILTER (WHERE o_orderstatus <> 'P' AND created < own) AS revisions, count(DISTINCT o_custkey) FILTER (WHERE o_orderstatus <> 'P') AS u FROM w),
+  x AS (SELECT t.*, date_diff('day', f, l) // 7 + 1 AS n FROM t, b), r AS (SELECT *, CAST(round_even(u * n * revisions / kept::DOUBLE, 0) AS BIGINT) AS revised FROM x)
+  SELECT n AS windows, seen * n AS seen, kept * n AS kept_raw, u * n AS kept_unique, revised, u * n - revised AS new FROM r""")
+def a28_backfill_projection(spark, sf_dir):
+    """The first week of all sets, scaled to all weeks."""
+    day = F.col("o_orderdate").cast("date")
+    o = table(spark, sf_dir, "orders")
+    range_ = o.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    week = o.crossJoin(F.broadcast(range_)).where(day < F.date_add("first", 7))
+    created = F.year("o_orderdate") - F.when(F.col("o_custkey") % 4 == 0, 1).otherwise(0)
+    rows = week.select(F.col("o_orderpriority").alias("set_name"), (F.col("o_orderstatus") == "P").alias("deleted"), created.alias("created_year"), F.year("first").alias("window_year"), "o_custkey")
+    whole = rows.where("not deleted").agg(F.count_distinct("o_custkey").alias("unique_items")).crossJoin(F.broadcast(range_.select((F.floor(F.datediff("last", "first") / 7) + 1).alias("windows"))))
+    return ag.projected(ag.window_stats(rows, "set_name", "o_custkey"), whole)

@@ -43,6 +43,26 @@ def test_gate_and_drops_are_the_input(spark):
     assert {r.id for r in out if r.decision == "keep"} == kept
 
 
+def test_gate_with_nothing_above_the_floor_keeps_the_rest(spark):
+    df = spark.createDataFrame([(i, 1.0, 2.0) for i in range(10)], "id long, a double, b double")
+    assert {r.decision for r in rk.gate_decisions(df, "id", "a", ("a", "b"), 15).collect()} == {"low_floor"}
+    assert rk.gate_decisions(df, "id", "a", ("a", "b"), 15).count() == 10
+
+
+def test_missing_values_rank_last_and_aren_t_lost(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 1.0, 5.0), (2, None, 7.0), (3, 2.0, None), (4, None, 1.0)], "id long, x double, y double")
+    out = rk.rank_compare(df, "id", "x", "y")
+    assert rows(out.select("id", "rank_one", "rank_two")) == [(1, 2, 2), (2, 3, 1), (3, 1, 4), (4, 4, 3)]
+    assert rows(ag.average_ranks(df, "x", "r").select("id", "r")) == [(1, 1.0), (2, None), (3, 2.0), (4, None)]
+    assert ag.spearman(df, "x", "y").first().n == 1
+    monkeypatch.setattr("scholarium.operators.running.CUT_ROWS", 7)
+    many = spark.range(500).select(F.col("id"), (F.col("id") * 7919 % 101).alias("v"))
+    want = sorted(((i, i * 7919 % 101) for i in range(500)), key=lambda r: (-r[1], r[0]))
+    assert {r.id: r.place for r in rk.rank_by(many, "v", "id", "place").collect()} == {i: n + 1 for n, (i, _) in enumerate(want)}
+    groups = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "g string, v int")
+    assert rows(ag.average_ranks(groups, "v", "r", ["g"]).select("g", "v", "r")) == [("a", 1, 1.0), (None, 1, 1.0), (None, 2, 2.0)]
+
+
 def test_samples_are_disjoint_and_sized(spark):
     df = spark.range(620).select(F.col("id").alias("id"), (F.col("id") % 100 / 10).alias("score"))
     four = rk.four_groups(df, "id", "score", 5.5, 20, "s").collect()
