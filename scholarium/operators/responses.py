@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores as sc
@@ -35,28 +35,37 @@ def expected_ids(batches: DataFrame) -> DataFrame:
     return batches.select("batch_id", F.explode(F.array_distinct("expected")).alias("paper_id"))
 
 
+def expected_items(batches: DataFrame, fields: str) -> DataFrame:
+    """(batch_id, json_valid, item, paper_id) without the items whose id is read but not expected."""
+    rows = parsed_items(batches, fields).withColumn("paper_id", F.col("item.paper_id").try_cast("long"))
+    rows = rows.join(expected_ids(batches).withColumn("known", F.lit(True)), ["batch_id", "paper_id"], "left")
+    return rows.where(F.col("known") | F.col("paper_id").isNull()).drop("known")
+
+
+def _sound(bad: Column) -> Column:
+    """Whether no row of the batch is bad. A batch is one response, so its rows are few."""
+    return ~F.bool_or(bad).over(Window.partitionBy("batch_id"))
+
+
 def parse_scores(batches: DataFrame, dims: Sequence[str], texts: Sequence[str] = ("so_what",)) -> DataFrame:
     """(batch_id, paper_id, dims, rounded, batch_ok, error_code): strict scores from 0 to 10 in half points.
 
     Items whose id isn't expected are ignored; any other bad item makes its batch fail.
     """
     fields = ", ".join(["paper_id string", *(f"{d} string" for d in dims), *(f"{t} string" for t in texts)])
-    rows = parsed_items(batches, fields).withColumn("paper_id", F.col("item.paper_id").try_cast("long"))
-    rows = rows.join(expected_ids(batches).withColumn("known", F.lit(True)), ["batch_id", "paper_id"], "left")
+    rows = expected_items(batches, fields)
     values = {d: F.col(f"item.{d}").try_cast("double") for d in dims}
     missing = ~_all([F.col(f"item.{d}").isNotNull() for d in dims]) | ~_all([F.length(F.trim(F.coalesce(F.col(f"item.{t}"), F.lit("")))) > 0 for t in texts])
     numeric = _all([v.isNotNull() for v in values.values()])
     ranged = _all([v.between(0, 10) for v in values.values()])
     error = (
         F.when(~F.col("json_valid"), "bad_json").when(F.col("item").isNull(), "no_papers").when(F.col("paper_id").isNull(), "bad_id")
-        .when(F.col("known").isNull(), "ignored").when(missing, "missing_field").when(~numeric, "not_numeric").when(~ranged, "out_of_range")
+        .when(missing, "missing_field").when(~numeric, "not_numeric").when(~ranged, "out_of_range")
     )
-    rows = rows.withColumn("error_code", error).where("error_code is null or error_code <> 'ignored'")
-    state = rows.groupBy("batch_id").agg(F.max(F.col("error_code").isNotNull().cast("int")).alias("bad"))
     halves = [sc.half_point(v).alias(d) for d, v in values.items()]
     rounded = reduce(lambda a, b: a + b, [F.when(v != sc.half_point(v), 1).otherwise(0) for v in values.values()])
-    flagged = rows.select("batch_id", "paper_id", *halves, rounded.alias("rounded"), "error_code")
-    return flagged.join(state, "batch_id").select(*flagged.columns, (F.col("bad") == 0).alias("batch_ok"))
+    flagged = rows.select("batch_id", "paper_id", *halves, rounded.alias("rounded"), error.alias("error_code"))
+    return flagged.withColumn("batch_ok", _sound(F.col("error_code").isNotNull()))
 
 
 def parse_dimension_objects(rows: DataFrame, key: str, body: str, dims: Sequence[str], labels: Sequence[str]) -> DataFrame:
@@ -74,10 +83,10 @@ def parse_enums(batches: DataFrame, enums: dict[str, Sequence[str]]) -> DataFram
     return rows.where("item is not null").select("batch_id", F.col("item.paper_id").try_cast("long").alias("paper_id"), *[F.col(f"item.{e}").alias(e) for e in enums], valid.alias("valid"))
 
 
-CLASS_FIELDS = "paper_id string, application_domain array<string>, audience_relevance array<string>, paper_kind string, domain_confidence string"
+CLASS_FIELDS = "paper_id string, application_domain array<string>, audience_relevance array<string>, paper_kind string, geography_focus string, domain_confidence string"
 
 
-def class_flags(domains: Sequence[str], audiences: Sequence[str], kinds: Sequence[str], general: str = "general_method") -> dict[str, Column]:
+def class_flags(domains: Sequence[str], audiences: Sequence[str], kinds: Sequence[str], places: Sequence[str], general: str = "general_method") -> dict[str, Column]:
     """Code of each way in which a classification can be wrong."""
     d, a = F.col("item.application_domain"), F.col("item.audience_relevance")
     c = F.col("item.domain_confidence").try_cast("double")
@@ -87,40 +96,51 @@ def class_flags(domains: Sequence[str], audiences: Sequence[str], kinds: Sequenc
         "domain_unknown": F.coalesce(outside(d, domains), F.lit(False)),
         "general_not_alone": F.coalesce(F.array_contains(d, general) & (F.size(d) > 1), F.lit(False)),
         "audience": a.isNull() | ~F.size(a).between(1, 4) | F.coalesce(outside(a, audiences), F.lit(True)),
-        "kind": ~F.coalesce(F.col("item.paper_kind").isin(*kinds), F.lit(False)),
+        "kind": ~F.coalesce(F.trim("item.paper_kind").isin(*kinds), F.lit(False)),
+        "geography": ~F.coalesce(F.trim("item.geography_focus").isin(*places), F.lit(False)),
         "confidence": ~F.coalesce(c.between(0, 10), F.lit(False)),
     }
 
 
-def parse_classification(batches: DataFrame, domains, audiences, kinds) -> DataFrame:
-    """(batch_id, paper_id, confidence, batch_ok): strict classifications."""
-    rows = parsed_items(batches, CLASS_FIELDS)
-    bad = reduce(lambda a, b: a | b, class_flags(domains, audiences, kinds).values()) | F.col("item").isNull() | ~F.col("json_valid")
-    rows = rows.withColumn("bad", bad)
-    state = rows.groupBy("batch_id").agg((F.max(F.col("bad").cast("int")) == 0).alias("batch_ok"))
-    flat = rows.select("batch_id", F.col("item.paper_id").try_cast("long").alias("paper_id"), sc.half_point(F.col("item.domain_confidence").try_cast("double")).alias("confidence"))
-    return flat.join(state, "batch_id")
+def parse_classification(batches: DataFrame, domains, audiences, kinds, places) -> DataFrame:
+    """(batch_id, paper_id, confidence, geography, batch_ok): strict classifications; unexpected ids are ignored."""
+    rows = expected_items(batches, CLASS_FIELDS)
+    bad = reduce(lambda a, b: a | b, class_flags(domains, audiences, kinds, places).values()) | F.col("item").isNull() | ~F.col("json_valid") | F.col("paper_id").isNull()
+    flat = rows.select("batch_id", "paper_id", sc.half_point(F.col("item.domain_confidence").try_cast("double")).alias("confidence"), F.trim("item.geography_focus").alias("geography"), bad.alias("bad"))
+    return flat.withColumn("batch_ok", _sound(F.col("bad"))).drop("bad")
 
 
-def analyze(batches: DataFrame, domains, audiences, kinds) -> DataFrame:
+def analyze(batches: DataFrame, domains, audiences, kinds, places) -> DataFrame:
     """(batch_id, paper_id, json_valid, missing, schema_valid, dropped): one row an expected id; never fails."""
-    flags = class_flags(domains, audiences, kinds)
+    flags = class_flags(domains, audiences, kinds, places)
     rows = parsed_items(batches, CLASS_FIELDS).withColumn("paper_id", F.col("item.paper_id").try_cast("long"))
     codes = F.filter(F.array(*[F.when(f, F.lit(c)) for c, f in flags.items()]), lambda x: x.isNotNull())
     found = rows.where("paper_id is not null").select("batch_id", "paper_id", codes.alias("dropped")).dropDuplicates(["batch_id", "paper_id"])
-    valid = rows.groupBy("batch_id").agg(F.bool_and("json_valid").alias("json_valid"))
-    expected = batches.select("batch_id", F.explode("expected").alias("paper_id")).join(valid, "batch_id")
+    valid = F.try_parse_json(tx.strip_fences(F.col("text")))
+    sound = F.coalesce(valid.isNotNull() & F.schema_of_variant(valid).startswith("OBJECT"), F.lit(False))
+    expected = batches.select("batch_id", sound.alias("json_valid"), F.explode("expected").alias("paper_id"))
     joined = expected.join(found, ["batch_id", "paper_id"], "left")
     return joined.select("batch_id", "paper_id", "json_valid", F.col("dropped").isNull().alias("missing"), F.coalesce(F.size("dropped") == 0, F.lit(False)).alias("schema_valid"), F.array_join(F.coalesce("dropped", F.array().cast("array<string>")), ",").alias("dropped"))
 
 
-def parse_topics(batches: DataFrame) -> DataFrame:
-    """(batch_id, paper_id, domain, subdomains, applications): applications may stand under another name; general work has no other."""
-    fields = "paper_id string, domain string, subdomains array<string>, applications array<string>, application_tags array<string>"
-    rows = parsed_items(batches, fields).where("item is not null")
-    apps = F.coalesce(F.col("item.applications"), F.col("item.application_tags"), F.array().cast("array<string>"))
-    alone = F.when(F.array_contains(apps, "general method"), F.array(F.lit("general method"))).otherwise(apps)
-    return rows.select("batch_id", F.col("item.paper_id").try_cast("long").alias("paper_id"), F.col("item.domain").alias("domain"), F.coalesce("item.subdomains", F.array().cast("array<string>")).alias("subdomains"), alone.alias("applications"))
+_CLAIM = "metric string, value_text string, unit string, task string, dataset string, evidence string"
+
+
+def parse_topics(batches: DataFrame, general: str = "general-method") -> DataFrame:
+    """(batch_id, paper_id, domain, subdomains, topics, applications, claims, batch_ok).
+
+    Names are trimmed and blank ones left out; applications may stand under another name; general work beside
+    other applications makes its batch fail, as does a text that can't be read. Unexpected ids are ignored.
+    """
+    names = ("subdomains", "topics", "applications", "application_domains")
+    fields = f"paper_id string, domain string, {', '.join(f'{n} array<string>' for n in names)}, claims array<struct<{_CLAIM}>>"
+    rows = expected_items(batches, fields)
+    listed = lambda n: F.filter(F.transform(F.coalesce(F.col(f"item.{n}"), F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")
+    apps = F.when(F.size(listed("applications")) > 0, listed("applications")).otherwise(listed("application_domains"))
+    bad = F.col("item").isNull() | ~F.col("json_valid") | F.col("paper_id").isNull() | (F.array_contains(apps, general) & (F.size(apps) > 1))
+    claims = F.coalesce("item.claims", F.array().cast(f"array<struct<{_CLAIM}>>"))
+    flat = rows.select("batch_id", "paper_id", F.trim(F.coalesce("item.domain", F.lit(""))).alias("domain"), listed("subdomains").alias("subdomains"), listed("topics").alias("topics"), apps.alias("applications"), claims.alias("claims"), bad.alias("bad"))
+    return flat.withColumn("batch_ok", _sound(F.col("bad"))).drop("bad")
 
 
 def parse_affiliation(rows: DataFrame, key: str, body: str) -> DataFrame:
@@ -142,13 +162,24 @@ def missing_ids(batches: DataFrame) -> DataFrame:
     return batches.select("batch_id", F.array_sort(F.array_except("expected", got)).alias("missing"))
 
 
+def tested_claims(claims: DataFrame, abstracts: DataFrame, key: str) -> DataFrame:
+    """Claims with metric and value, and ``grounded``: whether their evidence stands in the abstract."""
+    filled = lambda c: F.length(F.trim(F.coalesce(c, F.lit("")))) > 0
+    whole = claims.where(filled("metric") & filled("value_text")).join(abstracts, key, "left")
+    return whole.withColumn("grounded", tx.is_grounded(F.col("evidence"), F.col("abstract"))).drop("abstract")
+
+
+def claim_counts(tested: DataFrame, key: str) -> DataFrame:
+    """(key, grounded, ungrounded): how many claims of a content are kept and dropped."""
+    return tested.groupBy(key).agg(F.count_if("grounded").alias("grounded"), F.count_if(~F.col("grounded")).alias("ungrounded"))
+
+
 def grounded_claims(claims: DataFrame, abstracts: DataFrame, independence: DataFrame, key: str, age: Sequence[str]) -> DataFrame:
     """Claims with metric and value whose evidence stands in the abstract; numbers parsed, qualifier of the newest independence."""
     latest = latest_per_key(independence, key, age).select(key, F.col("independence").alias("status"))
-    whole = claims.where("metric is not null and value_text is not null").join(abstracts, key)
-    kept = whole.where(tx.is_grounded(F.col("evidence"), F.col("abstract"))).join(latest, key, "left")
+    kept = tested_claims(claims, abstracts, key).where("grounded").join(latest, key, "left")
     qualifier = F.when(F.col("status").isin("independent", "unclear"), F.col("status")).otherwise("self_reported")
-    return kept.select(key, "metric", "value_text", tx.plain_number(F.col("value_text")).alias("value_num"), F.coalesce(qualifier, F.lit("self_reported")).alias("qualifier"))
+    return kept.select(key, F.trim("metric").alias("metric"), F.trim("value_text").alias("value_text"), tx.plain_number(F.col("value_text")).alias("value_num"), F.coalesce(qualifier, F.lit("self_reported")).alias("qualifier"))
 
 
 def resolve_topics(mentions: DataFrame, topics: DataFrame) -> DataFrame:

@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import responses as rs
+from ..sources.landing import settle
 from .base import items, query, table
 
-# Batches of 20 documents: doc_id % 50. Batches divisible by 29 are cut off, others by 3 are fenced. Items divisible by
+# Batches of 20 documents by id. Batches divisible by 29 are cut off, others by 3 are fenced. Items divisible by
 # 171 are out of range, by 191 lack a field, by 23 have an id that isn't expected.
+_BATCH = "doc_id // 20"
+_WHOLE = f"{_BATCH} % 29 <> 0"
 
 
 def _batched(spark, sf_dir, item, name: str = "papers"):
-    """(batch_id, expected, text) of items built from the documents."""
+    """(batch_id, expected, text) of items built from the documents, landed as the recorded responses would be."""
     k = F.col("doc_id")
-    rows = table(spark, sf_dir, "documents").select((k % 50).alias("batch_id"), k.alias("doc_id"), item.alias("item"))
+    rows = table(spark, sf_dir, "documents").select(F.floor(k / 20).alias("batch_id"), k.alias("doc_id"), item.alias("item"))
     grouped = rows.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("doc_id", "item"))).alias("all"))
     body = F.to_json(F.struct(F.transform("all", lambda x: x["item"]).alias(name)))
     body = F.when(F.col("batch_id") % 29 == 0, F.substring(body, 1, 60)).when(F.col("batch_id") % 3 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise(body)
-    return grouped.select("batch_id", F.transform("all", lambda x: x["doc_id"]).alias("expected"), body.alias("text"))
+    return settle(grouped.select("batch_id", F.transform("all", lambda x: x["doc_id"]).alias("expected"), body.alias("text")), "responses")
 
 
 def _id():
@@ -37,9 +40,9 @@ def _scores_sql(dims: int) -> str:
     missing = "WHEN doc_id % 191 = 0 THEN 'missing_field'" if dims == 2 else ""
     rounded = "CASE WHEN doc_id % 171 = 0 THEN 1 ELSE 0 END" + (" + CASE WHEN doc_id % 191 <> 0 THEN 1 ELSE 0 END" if dims == 2 else "")
     cut = "NULL AS technical, " + ("NULL AS novelty, " if dims == 2 else "")
-    return f"""WITH r AS (SELECT doc_id % 50 AS batch_id, doc_id AS paper_id, CASE WHEN doc_id % 171 = 0 THEN 10.0::DOUBLE ELSE (doc_id % 21) / 2.0::DOUBLE END AS technical, {novelty} {rounded} AS rounded,
-      CASE {missing} WHEN doc_id % 171 = 0 THEN 'out_of_range' END AS error_code FROM documents WHERE doc_id % 23 <> 0 AND doc_id % 50 % 29 <> 0
-      UNION ALL SELECT DISTINCT doc_id % 50, NULL, {cut} 0, 'bad_json' FROM documents WHERE doc_id % 50 % 29 = 0)
+    return f"""WITH r AS (SELECT doc_id // 20 AS batch_id, doc_id AS paper_id, CASE WHEN doc_id % 171 = 0 THEN 10.0::DOUBLE ELSE (doc_id % 21) / 2.0::DOUBLE END AS technical, {novelty} {rounded} AS rounded,
+      CASE {missing} WHEN doc_id % 171 = 0 THEN 'out_of_range' END AS error_code FROM documents WHERE doc_id % 23 <> 0 AND doc_id // 20 % 29 <> 0
+      UNION ALL SELECT DISTINCT doc_id // 20, NULL, {cut} 0, 'bad_json' FROM documents WHERE doc_id // 20 % 29 = 0)
       SELECT *, max(CASE WHEN error_code IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY batch_id) = 0 AS batch_ok FROM r"""
 
 
@@ -53,13 +56,16 @@ def v2_parse_scores_screen(spark, sf_dir):
     return rs.parse_scores(_scores(spark, sf_dir), ("technical",))
 
 
+# The closed list of labels.
+_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
 @query("SELECT p_partkey, floor(least(10, p_retailprice / 200) * 100 + 0.5 + 1e-7::DOUBLE) / 100 AS technical, CAST(p_size % 12 AS DOUBLE) - CASE WHEN p_size % 12 > 10 THEN 1 ELSE 0 END AS novelty, p_type AS labels FROM part")
 def v3_parse_dimension_objects(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    types = [r.p_type for r in part.select("p_type").distinct().orderBy("p_type").limit(50).collect()]
     dim = lambda c: F.struct(c.alias("score"), F.lit("so").alias("reason"))
     body = F.to_json(F.struct(dim(F.col("p_retailprice") / 200).alias("technical"), dim((F.col("p_size") % 12).cast("double")).alias("novelty"), F.array("p_type", "p_type", F.lit("nothing")).alias("industry_labels")))
-    out = rs.parse_dimension_objects(part.select("p_partkey", body.alias("body")), "p_partkey", "body", ("technical", "novelty"), types)
+    out = rs.parse_dimension_objects(part.select("p_partkey", body.alias("body")), "p_partkey", "body", ("technical", "novelty"), _TYPES)
     return out.select("p_partkey", "technical", "novelty", F.array_join("labels", ",").alias("labels"))
 
 
@@ -67,8 +73,8 @@ _STATUS = ("independent", "not_applicable", "unclear", "self_evaluation")
 _KINDS = ("method", "survey_review", "theory")
 
 
-@query("""SELECT doc_id % 50 AS batch_id, CASE WHEN doc_id % 23 = 0 THEN doc_id + 1000000 ELSE doc_id END AS paper_id, CASE doc_id % 5 WHEN 0 THEN 'independent' WHEN 1 THEN 'not_applicable' WHEN 2 THEN 'unclear' WHEN 3 THEN 'self_evaluation' ELSE 'perhaps' END AS status,
-  CASE doc_id % 4 WHEN 0 THEN 'method' WHEN 1 THEN 'survey_review' WHEN 2 THEN 'theory' END AS kind, doc_id % 5 <> 4 AND doc_id % 4 <> 3 AS valid FROM documents WHERE doc_id % 50 % 29 <> 0""")
+@query("""SELECT doc_id // 20 AS batch_id, CASE WHEN doc_id % 23 = 0 THEN doc_id + 1000000 ELSE doc_id END AS paper_id, CASE doc_id % 5 WHEN 0 THEN 'independent' WHEN 1 THEN 'not_applicable' WHEN 2 THEN 'unclear' WHEN 3 THEN 'self_evaluation' ELSE 'perhaps' END AS status,
+  CASE doc_id % 4 WHEN 0 THEN 'method' WHEN 1 THEN 'survey_review' WHEN 2 THEN 'theory' END AS kind, doc_id % 5 <> 4 AND doc_id % 4 <> 3 AS valid FROM documents WHERE doc_id // 20 % 29 <> 0""")
 def v4_parse_independence(spark, sf_dir):
     k = F.col("doc_id")
     status = F.element_at(F.array(*[F.lit(s) for s in (*_STATUS, "perhaps")]), (k % 5 + 1).cast("int"))
@@ -80,34 +86,48 @@ def v4_parse_independence(spark, sf_dir):
 _DOMAINS, _AUDIENCES = ("general_method", "agriculture", "education", "other"), ("practitioner", "student")
 
 
+_PLACES = ("global", "europe", "unspecified")
+_BAD = "doc_id % 171 = 0 OR doc_id % 191 = 0 OR doc_id % 97 = 0 OR doc_id % 83 = 0"
+
+
 def _classes(spark, sf_dir):
     k = F.col("doc_id")
     words = lambda *x: F.array(*[F.lit(w) for w in x])
     domain = F.when(k % 171 == 0, words("general_method", "education")).when(k % 191 == 0, words("astrology")).when(k % 2 == 0, words("general_method")).otherwise(words("education", "agriculture"))
     audience = F.when(k % 97 == 0, F.array().cast("array<string>")).otherwise(words("student"))
-    return _batched(spark, sf_dir, F.struct(_id().alias("paper_id"), domain.alias("application_domain"), audience.alias("audience_relevance"), F.lit("method").alias("paper_kind"), ((k % 21) / F.lit(2.0)).alias("domain_confidence")))
+    place = F.when(k % 83 == 0, F.lit("the moon")).when(k % 2 == 0, F.lit("europe ")).otherwise("global")
+    item = F.struct(_id().alias("paper_id"), domain.alias("application_domain"), audience.alias("audience_relevance"), F.lit("method").alias("paper_kind"), place.alias("geography_focus"), ((k % 21) / F.lit(2.0)).alias("domain_confidence"))
+    return _batched(spark, sf_dir, item)
 
 
-@query("""WITH r AS (SELECT doc_id % 50 AS batch_id, CASE WHEN doc_id % 23 = 0 THEN doc_id + 1000000 ELSE doc_id END AS paper_id, (doc_id % 21) / 2.0::DOUBLE AS confidence, doc_id % 171 = 0 OR doc_id % 191 = 0 OR doc_id % 97 = 0 AS bad FROM documents WHERE doc_id % 50 % 29 <> 0
-  UNION ALL SELECT DISTINCT doc_id % 50, NULL, NULL, true FROM documents WHERE doc_id % 50 % 29 = 0) SELECT batch_id, paper_id, confidence, NOT bool_or(bad) OVER (PARTITION BY batch_id) AS batch_ok FROM r""")
+@query(f"""WITH r AS (SELECT {_BATCH} AS batch_id, doc_id AS paper_id, (doc_id % 21) / 2.0::DOUBLE AS confidence, CASE WHEN doc_id % 83 = 0 THEN 'the moon' WHEN doc_id % 2 = 0 THEN 'europe' ELSE 'global' END AS geography, ({_BAD}) AS bad FROM documents WHERE {_WHOLE} AND doc_id % 23 <> 0
+  UNION ALL SELECT DISTINCT {_BATCH}, NULL, NULL, NULL, true FROM documents WHERE NOT ({_WHOLE})) SELECT batch_id, paper_id, confidence, geography, NOT bool_or(bad) OVER (PARTITION BY batch_id) AS batch_ok FROM r""")
 def v5_parse_classification(spark, sf_dir):
-    return rs.parse_classification(_classes(spark, sf_dir), _DOMAINS, _AUDIENCES, _KINDS)
+    return rs.parse_classification(_classes(spark, sf_dir), _DOMAINS, _AUDIENCES, _KINDS, _PLACES)
 
 
-@query("""SELECT doc_id % 50 AS batch_id, doc_id AS paper_id, doc_id % 50 % 29 <> 0 AS json_valid, doc_id % 50 % 29 = 0 OR doc_id % 23 = 0 AS missing,
-  NOT (doc_id % 50 % 29 = 0 OR doc_id % 23 = 0 OR doc_id % 171 = 0 OR doc_id % 191 = 0 OR doc_id % 97 = 0) AS schema_valid,
-  CASE WHEN doc_id % 50 % 29 = 0 OR doc_id % 23 = 0 THEN '' ELSE concat_ws(',', CASE WHEN doc_id % 171 <> 0 AND doc_id % 191 = 0 THEN 'domain_unknown' END, CASE WHEN doc_id % 171 = 0 THEN 'general_not_alone' END, CASE WHEN doc_id % 97 = 0 THEN 'audience' END) END AS dropped FROM documents""")
+@query(f"""SELECT {_BATCH} AS batch_id, doc_id AS paper_id, {_WHOLE} AS json_valid, NOT ({_WHOLE}) OR doc_id % 23 = 0 AS missing,
+  NOT (NOT ({_WHOLE}) OR doc_id % 23 = 0 OR {_BAD}) AS schema_valid,
+  CASE WHEN NOT ({_WHOLE}) OR doc_id % 23 = 0 THEN '' ELSE concat_ws(',', CASE WHEN doc_id % 171 <> 0 AND doc_id % 191 = 0 THEN 'domain_unknown' END, CASE WHEN doc_id % 171 = 0 THEN 'general_not_alone' END, CASE WHEN doc_id % 97 = 0 THEN 'audience' END, CASE WHEN doc_id % 83 = 0 THEN 'geography' END) END AS dropped FROM documents""")
 def v6_analyze_response(spark, sf_dir):
-    return rs.analyze(_classes(spark, sf_dir), _DOMAINS, _AUDIENCES, _KINDS)
+    return rs.analyze(_classes(spark, sf_dir), _DOMAINS, _AUDIENCES, _KINDS, _PLACES)
 
 
-@query("""SELECT doc_id % 50 AS batch_id, CASE WHEN doc_id % 23 = 0 THEN doc_id + 1000000 ELSE doc_id END AS paper_id, source AS domain, lang AS subdomains, CASE WHEN doc_id % 5 = 0 THEN 'general method' WHEN doc_id % 2 = 0 THEN 'health,' || lang ELSE lang END AS applications FROM documents WHERE doc_id % 50 % 29 <> 0""")
+@query(f"""WITH r AS (SELECT {_BATCH} AS batch_id, doc_id AS paper_id, source AS domain, lang AS subdomains, 'topic ' || doc_id % 7 AS topics, CASE WHEN doc_id % 171 = 0 THEN 'general-method,health' WHEN doc_id % 5 = 0 THEN 'general-method' WHEN doc_id % 2 = 0 THEN 'health,' || lang ELSE lang END AS applications,
+  CASE WHEN doc_id % 4 = 0 THEN 'accuracy=' || doc_id % 100 || '%' ELSE '' END AS claims, doc_id % 171 = 0 AS bad FROM documents WHERE {_WHOLE} AND doc_id % 23 <> 0 UNION ALL SELECT DISTINCT {_BATCH}, NULL, '', '', '', '', '', true FROM documents WHERE NOT ({_WHOLE}))
+  SELECT * EXCLUDE (bad), NOT bool_or(bad) OVER (PARTITION BY batch_id) AS batch_ok FROM r""")
 def v7_parse_topics(spark, sf_dir):
     k = F.col("doc_id")
-    apps = F.when(k % 5 == 0, F.array(F.lit("general method"), F.lit("health"))).when(k % 2 == 0, F.array(F.lit("health"), F.col("lang")))
-    other = F.when((k % 5 != 0) & (k % 2 != 0), F.array("lang"))
-    made = _batched(spark, sf_dir, F.struct(_id().alias("paper_id"), F.col("source").alias("domain"), F.array("lang").alias("subdomains"), apps.alias("applications"), other.alias("application_tags")))
-    return rs.parse_topics(made).select("batch_id", "paper_id", "domain", F.array_join("subdomains", ",").alias("subdomains"), F.array_join("applications", ",").alias("applications"))
+    apps = F.when(k % 171 == 0, F.array(F.lit("general-method"), F.lit("health"))).when(k % 5 == 0, F.array(F.lit("general-method "))).when(k % 2 == 0, F.array(F.lit("health"), F.col("lang")))
+    other = F.when((k % 171 != 0) & (k % 5 != 0) & (k % 2 != 0), F.array("lang", F.lit(" ")))
+    claim = F.struct(F.lit("accuracy").alias("metric"), F.concat((k % 100).cast("string"), F.lit("%")).alias("value_text"), F.lit("seen").alias("evidence"))
+    item = F.struct(
+        _id().alias("paper_id"), F.concat(F.lit(" "), F.col("source")).alias("domain"), F.array("lang").alias("subdomains"), F.array(F.concat(F.lit("topic "), (k % 7).cast("string"))).alias("topics"),
+        apps.alias("applications"), other.alias("application_domains"), F.when(k % 4 == 0, F.array(claim)).alias("claims"),
+    )
+    out = rs.parse_topics(_batched(spark, sf_dir, item))
+    said = F.array_join(F.transform("claims", lambda c: F.concat_ws("=", c["metric"], c["value_text"])), ",")
+    return out.select("batch_id", "paper_id", "domain", *[F.array_join(c, ",").alias(c) for c in ("subdomains", "topics", "applications")], said.alias("claims"), "batch_ok")
 
 
 @query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'no_match' ELSE 'matched' END AS decision, CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS organisation, CASE WHEN s_suppkey % 4 <> 0 THEN CASE WHEN s_suppkey % 7 = 0 THEN 'club' ELSE 'company' END END AS type,
@@ -121,7 +141,7 @@ def v8_parse_affiliation(spark, sf_dir):
     return out.withColumn("confidence", F.when(F.col("organisation").isNotNull(), F.col("confidence")))
 
 
-@query("SELECT doc_id % 50 AS batch_id, coalesce(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) FILTER (WHERE doc_id % 50 % 29 = 0 OR doc_id % 23 = 0), '') AS missing FROM documents GROUP BY 1")
+@query("SELECT doc_id // 20 AS batch_id, coalesce(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) FILTER (WHERE doc_id // 20 % 29 = 0 OR doc_id % 23 = 0), '') AS missing FROM documents GROUP BY 1")
 def v9_missing_ids(spark, sf_dir):
     return rs.missing_ids(_scores(spark, sf_dir)).select("batch_id", F.array_join(F.transform("missing", lambda x: x.cast("string")), ",").alias("missing"))
 
@@ -136,6 +156,14 @@ def v10_grounded_claims(spark, sf_dir):
     return rs.grounded_claims(made, docs.select(k.alias("content_id"), F.col("text").alias("abstract")), independence, "content_id", ["published_at"])
 
 
+@query("SELECT doc_id AS content_id, count(*) FILTER (WHERE doc_id % 5 <> 0 AND length(text) > 0) AS grounded, count(*) FILTER (WHERE NOT (doc_id % 5 <> 0 AND length(text) > 0)) AS ungrounded FROM documents GROUP BY 1")
+def v10_claim_counts(spark, sf_dir):
+    k, docs = F.col("doc_id"), table(spark, sf_dir, "documents")
+    claim = F.when(k % 5 == 0, F.lit("☃ never said")).otherwise(F.substring("text", 1, 40))
+    made = docs.select(k.alias("content_id"), F.col("lang").alias("metric"), F.lit("1%").alias("value_text"), claim.alias("evidence"))
+    return rs.claim_counts(rs.tested_claims(made, docs.select(k.alias("content_id"), F.col("text").alias("abstract")), "content_id"), "content_id")
+
+
 @query("""WITH m AS (SELECT CASE WHEN p_partkey % 3 = 0 THEN 'other-' ELSE '' END || replace(lower(p_name), ' ', '-') AS slug, p_partkey FROM part), t AS (SELECT replace(lower(p_name), ' ', '-') AS slug, min(p_partkey) AS topic_id FROM part GROUP BY 1)
   SELECT slug, count(DISTINCT p_partkey) AS usage, max(t.topic_id) IS NULL AS created, max(t.topic_id) AS known_id FROM m LEFT JOIN t USING (slug) GROUP BY 1""")
 def v11_level3_resolution(spark, sf_dir):
@@ -159,7 +187,7 @@ def v13_response_rebuild(spark, sf_dir):
     return rs.rebuild_response(table(spark, sf_dir, "part"), "p_partkey", ("p_type", "p_size"))
 
 
-@query("SELECT doc_id % 50 AS batch_id, count(*) AS expected, count(*) FILTER (WHERE doc_id % 50 % 29 <> 0) AS returned FROM documents GROUP BY 1")
+@query("SELECT doc_id // 20 AS batch_id, count(*) AS expected, count(*) FILTER (WHERE doc_id // 20 % 29 <> 0) AS returned FROM documents GROUP BY 1")
 def s8_response_batches(spark, sf_dir):
     made = _scores(spark, sf_dir)
     returned = rs.parsed_items(made, "paper_id string").groupBy("batch_id").agg(F.count("item").alias("returned"))

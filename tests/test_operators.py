@@ -125,6 +125,7 @@ def test_unexpected_ids_are_found_without_carrying_the_expected(spark):
     text = '{"papers": [{"paper_id": 1, "t": 2, "so_what": "x"}, {"paper_id": 9, "t": 99, "so_what": "x"}, {"paper_id": 2, "t": 3, "so_what": "x"}, {"t": 3}]}'
     batches = spark.createDataFrame([(1, [1, 2, 2], text), (2, [9], text), (3, [1], "no")], "batch_id long, expected array<long>, text string")
     assert rs.parsed_items(batches, "paper_id string").columns == ["batch_id", "json_valid", "item"]
+    # an unexpected id is no item of the batch
     found = sorted((r.batch_id, r.paper_id or 0, r.error_code or "") for r in rs.parse_scores(batches, ("t",)).collect())
     assert found == [(1, 0, "bad_id"), (1, 1, ""), (1, 2, ""), (2, 0, "bad_id"), (2, 9, "out_of_range"), (3, 0, "bad_json")]
 
