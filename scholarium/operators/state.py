@@ -188,6 +188,25 @@ def registry_check(registered: DataFrame, offered: DataFrame) -> DataFrame:
     return joined.select("kind", "version", F.when(F.col("_h").isNull(), "new").when(F.col("_h") == F.col("hash"), "same").otherwise("conflict").alias("outcome"))
 
 
-def event_log(outcomes: DataFrame, run: Column, stage: str, key: str) -> DataFrame:
-    """Rows to append, one for each outcome."""
-    return outcomes.select(run.alias("run_id"), F.col(key).alias("content_id"), F.lit(stage).alias("stage"), F.col("outcome").alias("event_type"), F.lit(True).alias("success"))
+def event_log(outcomes: DataFrame, run: Column, stage: str, key: str, types: dict[str, str] | None = None, success: Column | None = None, details: Column | None = None) -> DataFrame:
+    """(run_id, content_id, stage, event_type, success, details) to append, one for each outcome; ``types`` names outcomes otherwise."""
+    kind = F.col("outcome")
+    for name, other in (types or {}).items():
+        kind = F.when(F.col("outcome") == name, other).otherwise(kind)
+    return outcomes.select(
+        run.alias("run_id"), F.col(key).alias("content_id"), F.lit(stage).alias("stage"), kind.alias("event_type"),
+        (F.lit(True) if success is None else success).alias("success"), (F.lit(None).cast("string") if details is None else details).alias("details"),
+    )
+
+
+def backfill_items(records: DataFrame, allowed: Sequence[str]) -> DataFrame:
+    """Bibliographic records as items: neither deleted ones nor other categories; of an identifier in several sets the newest record.
+
+    Published is when it was created, never the record's date stamp. Metadata columns come along.
+    """
+    kept = records.where(~F.col("deleted") & F.col("arxiv_id").isNotNull() & tx.category_matches(F.col("categories"), allowed))
+    one = latest_per_key(kept, "arxiv_id", ["datestamp", "created", "title"])
+    return one.select(
+        "arxiv_id", F.concat(F.lit("https://arxiv.org/abs/"), "arxiv_id").alias("canonical_url"), F.coalesce(F.nullif("title", F.lit("")), F.lit("(untitled)")).alias("title"),
+        F.col("abstract").alias("summary"), F.to_timestamp("created").alias("published_at"), "categories", "authors", "abstract",
+    )

@@ -14,9 +14,9 @@ from .composites import final_scores
 from .statistics import _ONE, _results
 
 
-def _feed(spark, sf_dir, path: str) -> None:
-    """The events as feed documents of one source and day; every seventh has only a canonical link, every eleventh none."""
-    e, k = table(spark, sf_dir, "events"), F.col("event_id")
+def _feed(spark, sf_dir, path: str, only: str = "true") -> None:
+    """The events as feed documents of one source and a thousand ids; every seventh has only a canonical link, every eleventh none."""
+    e, k = table(spark, sf_dir, "events").where(only), F.col("event_id")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     link = F.concat(F.lit("https://www.example.org/"), F.col("event_type"), F.lit("/"), k.cast("string"), F.lit("?utm_source=x#top"))
     href = F.array(F.struct(link.alias("href")))
@@ -25,8 +25,8 @@ def _feed(spark, sf_dir, path: str) -> None:
         k.cast("string").alias("id"), F.concat(F.lit("Event "), k.cast("string")).alias("title"), F.floor(us / 1_000_000).cast("string").alias("published"), us.cast("string").alias("timestampUsec"),
         F.when((k % 7 != 0) & (k % 11 != 0), href).otherwise(none).alias("alternate"), F.when(k % 11 != 0, href).alias("canonical"), F.struct(F.col("event_type").alias("title")).alias("origin"),
     )
-    grouped = e.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.collect_list(item).alias("items"))
-    grouped.select("items").write.json(path)
+    grouped = e.groupBy("event_type", F.floor(k / 1000).alias("part")).agg(F.collect_list(item).alias("items"))
+    grouped.select("items").write.mode("append").json(path)
 
 
 @query("SELECT CAST(event_id AS VARCHAR) AS external_id, 'https://example.org/' || event_type || '/' || event_id AS canonical_url, event_type AS feed, epoch_us(ts) // 1000000 AS published, epoch_us(ts) AS seen FROM events WHERE event_id % 11 <> 0")
@@ -60,6 +60,16 @@ def s2_bibliographic_records(spark, sf_dir):
     return rows.select("arxiv_id", "deleted", "title", F.coalesce(F.array_join("categories", ","), F.lit("")).alias("categories"), F.array_join("authors", ",").alias("authors"))
 
 
+@query("""SELECT CASE n_nationkey % 3 WHEN 0 THEN 'noRecordsMatch' WHEN 1 THEN 'badArgument' ELSE 'badResumptionToken' END AS code, n_nationkey % 3 <> 0 AS failed, count(*) AS n FROM nation GROUP BY 1, 2""")
+def s2_record_errors(spark, sf_dir):
+    """Error pages of empty and of failed windows."""
+    k = F.col("n_nationkey") % 3
+    code = F.when(k == 0, "noRecordsMatch").when(k == 1, "badArgument").otherwise("badResumptionToken")
+    path = fresh_path(spark, "errors")
+    _pages(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("page"), F.concat(F.lit('<error code="'), code, F.lit('">window '), _xml(F.col("n_name")), F.lit("</error>")).alias("record")), path)
+    return rd.read_record_errors(spark, path).groupBy("code", "failed").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""SELECT '2101.' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS arxiv_id, CAST(s_suppkey % 3 + 1 AS INTEGER) AS version, s_name AS title, 'A One,B Two' AS authors, 'cs.AI,cs.CL' AS categories, '10.1/x' || s_suppkey AS doi FROM supplier""")
 def s3_atom_entries(spark, sf_dir):
     k = F.col("s_suppkey").cast("string")
@@ -120,6 +130,17 @@ def k3_archive_manifest(spark, sf_dir):
     return wr.manifest(spark, _archived(spark, sf_dir)).groupBy("kind", "day").agg(F.sum("record_count").alias("record_count"))
 
 
+@query("SELECT CASE o_orderstatus WHEN 'P' THEN 'rejected' ELSE 'raw' END AS kind, count(*) AS records, true AS sized, true AS priced FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1")
+def k3_storage_projection(spark, sf_dir):
+    """What a year of pulls would store and cost; sizes of compressed files are no rows of SQL, their proportions are."""
+    path = _archived(spark, sf_dir)
+    a_year = wr.storage_projection(wr.manifest(spark, path), 365, 0.023)
+    bytes_ = spark.read.text(path).groupBy(F.regexp_extract("_metadata.file_path", "kind=([^/]*)", 1).alias("kind"), F.col("_metadata.file_path").alias("file")).agg(F.first("_metadata.file_size").alias("size"))
+    sizes = bytes_.groupBy("kind").agg(F.sum("size").alias("size"))
+    sized, priced = F.col("bytes_a_year") == F.col("size") * 365, F.abs(F.col("dollars_a_year") - F.col("bytes_a_year") / 1e9 * 0.023 * 12) < 1e-12
+    return a_year.join(sizes, "kind").select("kind", "records", sized.alias("sized"), priced.alias("priced"))
+
+
 @query()
 def k4_top_report(spark, sf_dir):
     top = rk.top_n(final_scores(spark, sf_dir), "final", "published_at", "content_id", 20)
@@ -180,11 +201,27 @@ def s7_dimensions(spark, sf_dir):
     return grouped.crossJoin(F.broadcast(counts)).select("parent", F.array_join("children", ",").alias("children"), "organisations", "notable")
 
 
+def _first_day(spark, sf_dir) -> str:
+    return table(spark, sf_dir, "events").agg(F.date_format(F.date_add(F.to_date(F.min("ts")), 5), "yyyy-MM-dd").alias("d")).first().d
+
+
 @query("SELECT event_type AS source, count(*) AS items_total, max(epoch_us(ts) // 1000000) AS last_published FROM events WHERE event_id % 11 <> 0 AND ts >= (SELECT min(ts)::DATE + INTERVAL 5 DAY FROM events) GROUP BY 1")
 def x1_incremental_ingest(spark, sf_dir):
     landed, state = fresh_path(spark, "landed"), fresh_path(spark, "state")
     _feed(spark, sf_dir, landed)
-    first = table(spark, sf_dir, "events").agg(F.date_format(F.date_add(F.to_date(F.min("ts")), 5), "yyyy-MM-dd").alias("d")).first().d
-    merged, marks = ig.ingest(spark, landed, state, first)
+    merged, marks = ig.ingest(spark, landed, state, _first_day(spark, sf_dir))
     counts = merged.groupBy(F.col("feed").alias("source")).agg(F.count(F.lit(1)).alias("items_total"))
     return counts.join(marks.select("source", F.unix_seconds("last_published_at").alias("last_published")), "source")
+
+
+@query("""WITH e AS (SELECT event_id, 'https://example.org/' || event_type || '/' || event_id AS url, event_id % 3 = 0 AS again FROM events WHERE event_id % 11 <> 0 AND ts >= (SELECT min(ts)::DATE + INTERVAL 5 DAY FROM events))
+  SELECT url AS content_id, 'ingest' AS stage, 'upsert' AS event_type, true AS success, '{"title":"Event ' || event_id || '","is_new":true,"existing_status":"INGESTED","canonical_url":"' || url || '"}' AS details FROM e
+  UNION ALL SELECT url, 'ingest', 'ingest_duplicate_preserved', true, '{"title":"Event ' || event_id || '","is_new":false,"existing_status":"INGESTED","canonical_url":"' || url || '"}' FROM e WHERE again""")
+def x1_ingest_events(spark, sf_dir):
+    """The log of an ingest that is delivered a third of its items again in a second run."""
+    landed, state, first = fresh_path(spark, "landed"), fresh_path(spark, "state"), _first_day(spark, sf_dir)
+    _feed(spark, sf_dir, landed)
+    ig.ingest(spark, landed, state, first)
+    _feed(spark, sf_dir, landed, "event_id % 3 = 0")
+    ig.ingest(spark, landed, state, first)
+    return ig.events(spark, state).select("content_id", "stage", "event_type", "success", "details")

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import state as st
+from ..sources import readers as rd
+from ..sources.landing import fresh_path
+from ..streaming.ingest import EVENTS
 from .base import query, table
 
 # Existing: orders whose key 3 doesn't divide. Incoming: even keys, some values missing where 5 divides, and a newer
@@ -182,6 +185,38 @@ def m17_backfill_items(spark, sf_dir):
     return items.select("k", F.date_format("created", "yyyy-MM-dd").alias("published"), (F.col("n") > 1).alias("several"))
 
 
+# Records of two sets as landed pages: one of 10 is deleted, one of 4 stands in both sets, one of 3 is of another category.
+# Existing items are those whose key 2 divides; their abstract is empty where 5 divides.
+_M17 = """rec AS (SELECT p_partkey AS k, p_name AS title, CASE WHEN p_partkey % 4 = 0 THEN 'second ' ELSE 'first ' END || p_type AS abstract FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 3 <> 0),
+  old AS (SELECT p_partkey AS k, 'old ' || p_brand AS title, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'held' END AS abstract FROM part WHERE p_partkey % 2 = 0)"""
+
+
+@query(f"""WITH {_M17} SELECT CAST(coalesce(o.k, r.k) AS VARCHAR) AS arxiv_id, CASE WHEN r.k IS NULL THEN o.title ELSE r.title END AS title, CASE WHEN r.k IS NULL THEN '2000-01-01' ELSE '2012-01-0' || (1 + r.k % 5) END AS published,
+  CASE WHEN o.k IS NULL THEN r.abstract WHEN r.k IS NULL OR o.abstract <> '' THEN o.abstract ELSE r.abstract END AS abstract, CASE WHEN o.k IS NULL THEN 'new' WHEN r.k IS NULL THEN 'kept' ELSE 'updated' END AS outcome FROM old o FULL JOIN rec r ON o.k = r.k""")
+def m17_backfill_merges(spark, sf_dir):
+    """Landed record pages through the reader into the merges of items and of metadata."""
+    k = F.col("p_partkey")
+    name, part = k.cast("string"), table(spark, sf_dir, "part")
+    gone = k % 10 == 0
+
+    def pages(rows, stamp: str, order: str):
+        category = F.when(k % 3 == 0, "math.CO").otherwise("cs.AI")
+        meta = F.concat(F.lit("<metadata><arXiv><id>"), name, F.lit("</id><created>2012-01-0"), (k % 5 + 1).cast("string"), F.lit("</created><title>"), F.col("p_name"), F.lit(f"</title><abstract>{order} "), F.col("p_type"), F.lit("</abstract><categories>"), category, F.lit("</categories></arXiv></metadata>"))
+        header = F.concat(F.when(gone, F.lit('<header status="deleted">')).otherwise(F.lit("<header>")), F.lit("<identifier>oai:x:"), name, F.lit(f"</identifier><datestamp>{stamp}</datestamp></header>"))
+        return rows.select(F.floor(k / 500).alias("page"), F.concat(F.lit("<record>"), header, F.when(gone, "").otherwise(meta), F.lit("</record>")).alias("record"))
+
+    path = fresh_path(spark, "records")
+    both = pages(part, "2026-01-01", "first").unionByName(pages(part.where("p_partkey % 4 = 0"), "2026-02-01", "second"))
+    page = both.groupBy("page").agg(F.concat(F.lit("<page>\n"), F.array_join(F.collect_list("record"), "\n"), F.lit("\n</page>")).alias("value"))
+    page.write.partitionBy("page").text(path)
+    fresh = st.backfill_items(rd.read_records(spark, path), ("cs", "stat.ML"))
+    old = part.where("p_partkey % 2 = 0").select(name.alias("arxiv_id"), F.concat(F.lit("old "), "p_brand").alias("title"), F.lit("2000-01-01").cast("timestamp").alias("published_at"))
+    held = part.where("p_partkey % 2 = 0").select(name.alias("arxiv_id"), F.when(k % 5 == 0, "").otherwise("held").alias("abstract"))
+    items = st.merge(old, fresh, ["arxiv_id"], {"title": "new", "published_at": "new_if_set"})
+    metadata = st.merge(held, fresh, ["arxiv_id"], st.FILL_RULES).drop("outcome")
+    return items.join(metadata, "arxiv_id").select("arxiv_id", "title", F.date_format("published_at", "yyyy-MM-dd").alias("published"), "abstract", "outcome")
+
+
 @query("""WITH e AS (SELECT o_orderkey AS k, CASE o_orderstatus WHEN 'F' THEN 'SCORED' WHEN 'O' THEN 'REJECTED' ELSE 'INGESTED' END AS status FROM orders WHERE o_orderkey % 3 <> 0), a AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 2 = 0)
   SELECT coalesce(e.k, a.k) AS k, CASE WHEN a.k IS NULL OR status = 'SCORED' THEN status ELSE 'RELEVANT' END AS status, CASE WHEN a.k IS NULL THEN 'untouched' WHEN e.k IS NULL THEN 'inserted' WHEN status = 'SCORED' THEN 'protected' ELSE 'restored' END AS outcome FROM e FULL JOIN a ON e.k = a.k""")
 def m18_restore_archive(spark, sf_dir):
@@ -209,7 +244,9 @@ def m21_registry_check(spark, sf_dir):
     return st.registry_check(held, offered)
 
 
-@query(f"WITH x AS ({_merge_sql('i.title', 'i.summary', 'i.score')}) SELECT 'run-1' AS run_id, k AS content_id, 'ingest' AS stage, outcome AS event_type, true AS success FROM x WHERE outcome <> 'kept'")
+@query(f"""WITH x AS ({_merge_sql('i.title', 'i.summary', 'i.score')}) SELECT 'run-1' AS run_id, k AS content_id, 'ingest' AS stage, CASE outcome WHEN 'new' THEN 'upsert' ELSE 'ingest_duplicate_preserved' END AS event_type, summary <> '' AS success,
+  '{{"title":"' || title || '","is_new":' || CASE outcome WHEN 'new' THEN 'true' ELSE 'false' END || ',"status":"' || status || '"}}' AS details FROM x WHERE outcome <> 'kept'""")
 def m22_event_log(spark, sf_dir):
     merged = _merged(spark, sf_dir, {"title": "new", "summary": "new", "score": "new"}).where("outcome <> 'kept'")
-    return st.event_log(merged, F.lit("run-1"), "ingest", "k")
+    details = F.to_json(F.struct("title", (F.col("outcome") == "new").alias("is_new"), "status"))
+    return st.event_log(merged, F.lit("run-1"), "ingest", "k", EVENTS, F.col("summary") != "", details)

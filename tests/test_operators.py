@@ -148,6 +148,25 @@ def test_redelivered_feed_changes_nothing(spark, tmp_path):
     assert (mark.source, mark.items_total, mark.last_published_at) == ("f", 3, dt.datetime(2023, 11, 14, 22, 15))
 
 
+def test_a_run_without_new_files_keeps_the_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ig, "SNAPSHOT_EVERY", 3)
+    item = '{{"items":[{{"id":"{0}","title":"t{0}","published":"1700000000","crawlTimeMsec":"1700000000000","alternate":[{{"href":"http://x.org/{0}"}}],"origin":{{"title":"f"}}}}]}}'
+    landed, state = tmp_path / "landed", tmp_path / "state"
+    landed.mkdir()
+    seen = set()
+    assert ig.ingest(spark, str(landed), str(state), "2023-01-01")[0].count() == 0
+    for n in range(9):
+        (landed / f"{n}.json").write_text(item.format(n % 7))
+        seen.add(f"http://x.org/{n % 7}")
+        items, marks = ig.ingest(spark, str(landed), str(state), "2023-01-01")
+        assert {r.canonical_url for r in items.collect()} == seen and marks.first().items_total == n + 1
+    again, marks = ig.ingest(spark, str(landed), str(state), "2023-01-01")
+    assert {r.canonical_url for r in again.collect()} == seen and marks.first().items_total == 9
+    assert len(list((state / "items").glob("batch=*"))) <= 6 and len(list((state / "marks").glob("batch=*"))) <= 2
+    log = ig.events(spark, str(state)).groupBy("event_type").count().collect()
+    assert {r.event_type: r["count"] for r in log} == {"upsert": 7, "ingest_duplicate_preserved": 2}
+
+
 def test_plans_have_no_products_of_facts(spark):
     from scholarium.plans import registry
 
