@@ -103,6 +103,33 @@ def breadth_bonus(sectors: Column, general: Column, product: bool) -> Column:
     return F.when(n > 1, F.least(F.lit(0.40), F.lit(0.30) + F.lit(0.10) * (n - 2))).when(general & F.lit(not product), F.lit(0.15)).otherwise(F.lit(0.0))
 
 
+TECH_AUDIENCES, PRODUCT_AUDIENCE, GENERAL = ("practitioner", "technical_leadership"), "enterprise_adoption", "general_method"
+
+
+def tech_eligible(audience: Column) -> Column:
+    """Whether a content is for one of the technical audiences."""
+    return F.coalesce(F.arrays_overlap(audience, F.array(*[F.lit(a) for a in TECH_AUDIENCES])), F.lit(False))
+
+
+def product_eligible(audience: Column, sectors: Column, practical: Column, professional: Column) -> Column:
+    """Whether a content is for adopters, or names a sector and is of high applied value."""
+    named = F.size(F.array_except(sectors, F.array(F.lit(GENERAL)))) > 0
+    return F.coalesce(F.array_contains(audience, PRODUCT_AUDIENCE), F.lit(False)) | F.coalesce(named & (practical >= 8) & (professional >= 8), F.lit(False))
+
+
+def tech_priority(research: Column, fit: Column, sectors: Column) -> Column:
+    return F.lit(0.60) * research + F.lit(0.40) * fit + breadth_bonus(sectors, F.array_contains(sectors, GENERAL), False)
+
+
+def product_priority(research: Column, fit: Column, practical: Column, professional: Column, sectors: Column) -> Column:
+    return F.lit(0.20) * research + F.lit(0.25) * fit + F.lit(0.275) * practical + F.lit(0.275) * professional + breadth_bonus(sectors, F.array_contains(sectors, GENERAL), True)
+
+
+def editorial_priority(priority: Column, notable: Column) -> Column:
+    """Priority and what verified organisations and people add to it."""
+    return priority + F.lit(1.5) * notable
+
+
 def topic_hits(text: Column, rules=None) -> Column:
     """Array of structs (topic, n): how many of each topic's patterns occur anywhere in the text, case aside.
 

@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.landing import spread
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -140,7 +142,7 @@ def verdicts(spark, sf_dir):
 
 def papers(spark, sf_dir):
     """Documents as papers: the first line is the title, the whole text the abstract."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("content_id"), F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("abstract"), "lang", "source")
+    return spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("content_id"), F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("abstract"), "lang", "source")
 
 
 def newest(spark, sf_dir):

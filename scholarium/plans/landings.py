@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import ranking as rk
+from ..operators.aggregates import disagreements
 from ..sources import readers as rd
 from ..sources import writers as wr
 from ..sources.landing import fresh_path
 from ..streaming import ingest as ig
-from .base import items, organisations, people, query, table
-from .composites import final_scores
+from .base import assessments, claims, items, organisations, people, query, table
+from .composites import _APPLIED, _FINAL, _ORGS, _SEARCH, _SHOWN, _TOP, _links, corpus_search, final_scores, organisations_of
 from .statistics import _ONE, _results
 
 
@@ -141,10 +142,29 @@ def k3_storage_projection(spark, sf_dir):
     return a_year.join(sizes, "kind").select("kind", "records", sized.alias("sized"), priced.alias("priced"))
 
 
-@query()
+def _two(x: str) -> str:
+    return f"printf('%.2f', floor(({x}) * 100 + 0.5 + 1e-7::DOUBLE) / 100)"
+
+
+_DIMS4 = ("technical", "novelty", "practical", "professional", "learning")
+_REPORT = f"""SELECT place, content_id, concat_ws(chr(10), '## ' || place || '. Paper ' || content_id, '', '**' || {_two('final')} || '** — quality ' || {_two('core')} || ' × evidence ' || {_two('evidence_factor')} || ' × independence ' || {_two('independence_factor')}
+  || CASE WHEN org_boost > 0 THEN ' + org ' || {_two('org_boost')} ELSE '' END || CASE WHEN person_boost > 0 THEN ' + person ' || {_two('person_boost')} ELSE '' END || '  ', CASE WHEN independence IS NOT NULL THEN 'Independence: `' || independence || '`  ' END, 'Published: ' || strftime(published_at, '%Y-%m-%d') || '  ', '',
+  '| Dimension | Score |', '|---|---|', {', '.join(f"'| {d} | ' || coalesce({_two(d)}, '—') || ' |'" for d in _DIMS4)}, '',
+  CASE WHEN organisations IS NULL THEN '**Organisations:** none resolved from paper evidence' ELSE '**Organisations (evidence-backed):**' || chr(10) || array_to_string(list_transform(organisations, lambda o: '- ' || o.name || ' (priority ' || o.priority || ', confidence ' || o.confidence || ')'), chr(10)) END, '', '---') AS markdown
+  FROM (SELECT *, row_number() OVER (ORDER BY final DESC NULLS LAST, published_at DESC, content_id) AS place FROM top LEFT JOIN orgs USING (content_id))"""
+
+
+@query(f"""WITH {_FINAL}, {_TOP.format(20)}, {_ORGS}, pool AS (SELECT count(*) FILTER (WHERE tier = 'screen') AS screened, count(*) FILTER (WHERE tier = 'full') AS full_n FROM assessments WHERE status = 'COMPLETED'), n AS (SELECT count(*) AS ranked FROM final)
+  SELECT 0 AS place, NULL::BIGINT AS content_id, concat_ws(chr(10), '# Top papers', '', '**Window:** full corpus  ', '**Ranking:** `v2` (rank by final)  ', '**Ranked from:** ' || ranked || ' assessed papers  ', '**Scoring pool:** ' || screened || ' screened, ' || full_n || ' fully scored  ', '', '---') AS markdown FROM pool, n
+  UNION ALL {_REPORT}""")
 def k4_top_report(spark, sf_dir):
-    top = rk.top_n(final_scores(spark, sf_dir), "final", "published_at", "content_id", 20)
-    return wr.report_lines(top, "content_id", F.concat(F.lit("Paper "), F.col("content_id").cast("string")), ("core", "final"), "final")
+    scored = final_scores(spark, sf_dir)
+    top = organisations_of(spark, sf_dir, F.broadcast(rk.top_n(scored, "final", "published_at", "content_id", 20)))
+    done = assessments(spark, sf_dir).where("status = 'COMPLETED'")
+    pool = done.agg(F.count_if(F.col("tier") == "screen").alias("screened"), F.count_if(F.col("tier") == "full").alias("full"))
+    header = wr.report_header(scored.agg(F.count(F.lit(1)).alias("ranked")).crossJoin(F.broadcast(pool)), "Top papers", "full corpus", "v2", "final")
+    lines = wr.report_lines(top, "content_id", F.concat(F.lit("Paper "), F.col("content_id").cast("string")), _DIMS4, "final")
+    return header.select(F.lit(0).alias("place"), F.lit(None).cast("long").alias("content_id"), "markdown").unionByName(lines)
 
 
 @query("SELECT content_id, status FROM items ORDER BY intrinsic DESC, content_id LIMIT 100")
@@ -170,13 +190,31 @@ def s6_label_sheet(spark, sf_dir):
     return rows.select("content_id", "labeller", F.array_join("domains", "|").alias("domains"), "kind", "general")
 
 
-@query(f"WITH {_ONE} SELECT content_id, count(DISTINCT candidate) AS candidates FROM res GROUP BY 1 HAVING count(DISTINCT candidate) >= 2 AND count(DISTINCT answer) > 1")
+@query(f"""WITH {_ONE}, p AS (SELECT content_id, count(DISTINCT candidate) AS candidates, count(DISTINCT answer) AS answers FROM res GROUP BY 1 HAVING count(DISTINCT candidate) >= 2)
+  SELECT 'disagreement' AS sheet, content_id, candidates, 4 AS blanks FROM p WHERE answers > 1 UNION ALL SELECT 'control', content_id, candidates, 4 FROM (SELECT * FROM p WHERE answers = 1 ORDER BY md5('k6|' || content_id), content_id LIMIT 30)""")
 def k6_label_sheets_export(spark, sf_dir):
-    from ..operators.aggregates import disagreements
-
-    path = fresh_path(spark, "labels")
-    wr.blank_sheet(disagreements(_results(spark, sf_dir), "content_id"), "content_id", ("candidates",), ("ann",)).write.option("header", True).csv(path)
-    return spark.read.option("header", True).schema("content_id long, candidates long, ann_domains string, ann_kind string, ann_general string, ann_notes string").csv(path).select("content_id", "candidates")
+    results = _results(spark, sf_dir)
+    per = results.groupBy("content_id").agg(F.count_distinct("candidate").alias("candidates"))
+    sheets = {"disagreement": disagreements(results, "content_id").select("content_id", "candidates"), "control": rk.controls(results, "content_id", 30, "k6").join(per, "content_id")}
+    cells = [f"ann_{c}" for c in ("domains", "kind", "general", "notes")]
+    out = None
+    for name, rows in sheets.items():
+        path = fresh_path(spark, name)
+        wr.blank_sheet(rows, "content_id", ("candidates",), ("ann",)).write.option("header", True).csv(path)
+        back = spark.read.option("header", True).schema("content_id long, candidates long, " + ", ".join(f"{c} string" for c in cells)).csv(path)
+        blanks = sum((F.when(F.coalesce(c, F.lit("")) == "", 1).otherwise(0) for c in cells), F.lit(0))
+        part = back.select(F.lit(name).alias("sheet"), "content_id", "candidates", blanks.alias("blanks"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(f"WITH {_ONE} SELECT content_id, candidate, answer, valid FROM res WHERE content_id IN (SELECT content_id FROM res GROUP BY 1 HAVING count(DISTINCT candidate) >= 2 AND count(DISTINCT answer) > 1)")
+def k6_model_outputs(spark, sf_dir):
+    """What every candidate said of the contents on the disagreement sheet, one row an answer."""
+    results = _results(spark, sf_dir)
+    path = fresh_path(spark, "outputs")
+    results.join(disagreements(results, "content_id").select("content_id"), "content_id", "left_semi").select("content_id", "candidate", "answer", "valid").write.option("header", True).csv(path)
+    return spark.read.option("header", True).schema("content_id long, candidate int, answer string, valid boolean").csv(path)
 
 
 @query(f"WITH {_ONE} SELECT content_id, " + ", ".join(f"max(answer) FILTER (WHERE candidate = {c}) AS c{c}" for c in (2, 1, 3)) + " FROM res WHERE candidate <= 3 GROUP BY 1")
@@ -225,3 +263,12 @@ def x1_ingest_events(spark, sf_dir):
     _feed(spark, sf_dir, landed, "event_id % 3 = 0")
     ig.ingest(spark, landed, state, first)
     return ig.events(spark, state).select("content_id", "stage", "event_type", "success", "details")
+
+
+@query("WITH " + _SEARCH.format(f"content_id IN (SELECT content_id FROM {_APPLIED} WHERE lower(domain) = 'promo')", 50) + f""", s AS (SELECT t.content_id, intrinsic, published_at, {_SHOWN} FROM t JOIN {_APPLIED} l USING (content_id) GROUP BY 1, 2, 3)
+  SELECT content_id, '[' || {_two('intrinsic')} || '] Paper ' || content_id || '  (' || strftime(published_at, '%Y-%m-%d') || ')' || chr(10) || '    https://example.org/' || content_id || {" || ".join(f"chr(10) || '    {c}s: ' || replace({c}s, ',', ', ')" for c in ('domain', 'subdomain', 'topic', 'application'))} AS value FROM s""")
+def k8_search_text(spark, sf_dir):
+    """Search results as aligned text."""
+    found = corpus_search(items(spark, sf_dir), _links(spark, sf_dir), claims(spark, sf_dir), domain="promo", top=50)
+    number = F.col("content_id").cast("string")
+    return wr.search_lines(found, "content_id", F.concat(F.lit("Paper "), number), "intrinsic", F.concat(F.lit("https://example.org/"), number), {f"{c}s": c for c in ("domain", "subdomain", "topic", "application")})

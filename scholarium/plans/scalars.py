@@ -300,12 +300,13 @@ def _words_sql(words) -> str:
     return "(" + " OR ".join(f"contains(t, '{w}')" for w in words) + ")"
 
 
+#: Dimensions that follow from the words of a lower-case text ``t``.
+WORD_DIMS_SQL = f"""4.0::DOUBLE + CASE WHEN {_words_sql(sc.TECHNICAL_WORDS[0])} THEN 1.5 ELSE 0 END + CASE WHEN {_words_sql(sc.TECHNICAL_WORDS[1])} THEN 1.0 ELSE 0 END AS technical,
+  3.5::DOUBLE + CASE WHEN {_words_sql(sc.PRACTICAL_WORDS[0])} THEN 2.0 ELSE 0 END + CASE WHEN {_words_sql(sc.PRACTICAL_WORDS[1])} THEN 1.0 ELSE 0 END AS practical,
+  4.0::DOUBLE + CASE WHEN {_words_sql(sc.LEARNER_WORDS)} THEN 1.0 ELSE 0 END AS student"""
 _DIMS_SQL = f"""SELECT content_id, abstract, rel, org, person, technical, practical, student, explain,
   4.0::DOUBLE + CASE WHEN practical >= 5.5 THEN 1.5 ELSE 0 END + CASE WHEN technical >= 5.5 THEN 1.0 ELSE 0 END AS professional FROM (
-  SELECT content_id, abstract, CAST(content_id % 11 AS DOUBLE) AS rel, CAST(content_id % 10 AS DOUBLE) AS org, CAST(content_id % 9 AS DOUBLE) AS person,
-  4.0::DOUBLE + CASE WHEN {_words_sql(('benchmark', 'evaluation', 'architecture', 'algorithm', 'framework', 'system'))} THEN 1.5 ELSE 0 END + CASE WHEN {_words_sql(('experiment', 'empirical', 'dataset', 'ablation'))} THEN 1.0 ELSE 0 END AS technical,
-  3.5::DOUBLE + CASE WHEN {_words_sql(('deployment', 'production', 'engineering', 'workflow', 'agent', 'inference', 'retrieval'))} THEN 2.0 ELSE 0 END + CASE WHEN {_words_sql(('enterprise', 'developer', 'product', 'application'))} THEN 1.0 ELSE 0 END AS practical,
-  4.0::DOUBLE + CASE WHEN {_words_sql(('tutorial', 'survey', 'benchmark', 'evaluation'))} THEN 1.0 ELSE 0 END AS student,
+  SELECT content_id, abstract, CAST(content_id % 11 AS DOUBLE) AS rel, CAST(content_id % 10 AS DOUBLE) AS org, CAST(content_id % 9 AS DOUBLE) AS person, {WORD_DIMS_SQL},
   5.0::DOUBLE + CASE WHEN length(abstract) < 2500 THEN 1.0 ELSE 0 END AS explain
   FROM (SELECT *, lower(CASE content_id % 5 WHEN 0 THEN 'benchmark dataset ' WHEN 1 THEN 'production application ' WHEN 2 THEN 'survey ' ELSE '' END || title || ' ' || abstract) AS t FROM papers))"""
 

@@ -215,7 +215,10 @@ def a20_accuracy_and_force_fit(spark, sf_dir):
     return out.select("candidate", F.round("accuracy", 6).alias("accuracy"), F.round("force_fit", 6).alias("force_fit"))
 
 
-@query(f"WITH {_ONE} SELECT a.candidate, round(avg((a.answer = CASE WHEN a.content_id % 4 = 0 THEN 'general' ELSE a.answer END)::INT), 6) AS consistency, count(*) AS n FROM res a GROUP BY 1")
+_A21 = f"WITH {_ONE} SELECT a.candidate, round(avg((a.answer = CASE WHEN a.content_id % 4 = 0 THEN 'general' ELSE a.answer END)::INT), 6) AS consistency, count(*) AS n FROM res a GROUP BY 1"
+
+
+@query(_A21)
 def a21_self_consistency(spark, sf_dir):
     one = _results(spark, sf_dir)
     two = one.withColumn("answer", F.when(F.col("content_id") % 4 == 0, "general").otherwise(F.col("answer")))

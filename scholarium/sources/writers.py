@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import scores as sc
 from ..operators.ranking import seeded
 
 
@@ -40,10 +41,45 @@ def storage_projection(rows: DataFrame, pulls_per_year: int, dollars: float) ->
     return runs.groupBy("kind").agg((F.avg("bytes") * pulls_per_year).alias("bytes_a_year"), (F.avg("bytes") * pulls_per_year / 1e9 * dollars * 12).alias("dollars_a_year"), F.sum("records").alias("records"))
 
 
+def report_header(counts: DataFrame, title: str, window: str, profile: str, by: str) -> DataFrame:
+    """(markdown): title, window, ranking, and from how many rows the list was taken; ``counts`` is one row: ranked, screened, full."""
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    lines = (
+        F.lit(f"# {title}"), F.lit(""), F.lit(f"**Window:** {window}  "), F.lit(f"**Ranking:** `{profile}` (rank by {by})  "),
+        text("**Ranked from:** ", F.col("ranked"), " assessed papers  "), text("**Scoring pool:** ", F.col("screened"), " screened, ", F.col("full"), " fully scored  "), F.lit(""), F.lit("---"),
+    )
+    return counts.select(F.concat_ws("\n", *lines).alias("markdown"))
+
+
+def _two(x) -> Column:
+    return F.format_string("%.2f", sc.round2(F.col(x)))
+
+
 def report_lines(rows: DataFrame, key: str, title: Column, dims: Sequence[str], score: str) -> DataFrame:
-    """(rank key, markdown): one block a row with a table of its dimensions."""
-    table = F.array_join(F.array(*[F.concat(F.lit(f"| {d} | "), F.coalesce(F.format_number(d, 2), F.lit("-")), F.lit(" |")) for d in dims]), "\n")
-    return rows.select(key, score, F.concat_ws("\n", F.concat(F.lit("## "), title), F.concat(F.lit("Score: "), F.format_number(score, 2)), F.lit("| dimension | value |"), F.lit("| --- | --- |"), table).alias("markdown"))
+    """(place, key, markdown): one block a row of a top list: score with its factors and boosts, dimensions, organisations with their evidence.
+
+    ``rows`` has core, both factors, both boosts, independence, published_at, organisations and the dimensions.
+    """
+    # the list is short, so its numbering is no burden
+    placed = rows.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last(score), F.desc("published_at"), key)))
+    factors = F.concat(F.lit("**"), _two(score), F.lit("** — quality "), _two("core"), F.lit(" × evidence "), _two("evidence_factor"), F.lit(" × independence "), _two("independence_factor"))
+    boosts = [F.when(F.col(f"{b}_boost") > 0, F.concat(F.lit(f" + {b} "), _two(f"{b}_boost"))).otherwise("") for b in ("org", "person")]
+    independence = F.when(F.col("independence").isNotNull(), F.concat(F.lit("Independence: `"), F.col("independence"), F.lit("`  ")))
+    table = [F.concat(F.lit(f"| {d} | "), F.when(F.col(d).isNull(), "—").otherwise(_two(d)), F.lit(" |")) for d in dims]
+    each = F.transform("organisations", lambda o: F.concat(F.lit("- "), o["name"], F.lit(" (priority "), (-o["order"]).cast("string"), F.lit(", confidence "), o["confidence"].cast("string"), F.lit(")")))
+    named = F.when(F.col("organisations").isNull(), F.lit("**Organisations:** none resolved from paper evidence")).otherwise(F.concat(F.lit("**Organisations (evidence-backed):**\n"), F.array_join(each, "\n")))
+    block = F.concat_ws(
+        "\n", F.concat(F.lit("## "), F.col("place").cast("string"), F.lit(". "), title), F.lit(""), F.concat(factors, *boosts, F.lit("  ")), independence,
+        F.concat(F.lit("Published: "), F.date_format("published_at", "yyyy-MM-dd"), F.lit("  ")), F.lit(""), F.lit("| Dimension | Score |"), F.lit("|---|---|"), *table, F.lit(""), named, F.lit(""), F.lit("---"),
+    )
+    return placed.select("place", key, block.alias("markdown"))
+
+
+def search_lines(rows: DataFrame, key: str, title: Column, score: str, url: Column, lists: dict[str, str]) -> DataFrame:
+    """(key, value): a result as aligned text: score, title and day, then an indented line for the URL and for each list that isn't empty."""
+    head = F.concat(F.lit("["), F.when(F.col(score).isNull(), "—").otherwise(_two(score)), F.lit("] "), title, F.lit("  ("), F.coalesce(F.date_format("published_at", "yyyy-MM-dd"), F.lit("—")), F.lit(")"))
+    lines = [F.when(F.size(c) > 0, F.concat(F.lit(f"    {name}: "), F.array_join(c, ", "))) for name, c in lists.items()]
+    return rows.select(key, F.concat_ws("\n", head, F.concat(F.lit("    "), url), *lines).alias("value"))
 
 
 def review_rows(rows: DataFrame, key: str, columns: Sequence[str], seed: str) -> DataFrame:
