@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -12,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..sources.landing import discard, settle, spread  # noqa: F401
+
 #: Rows that one slice of an Arrow batch holds; bounds what a task has in Python at once.
 SLICE_ROWS = 512
 #: Rows of an Arrow batch. The default of 10,000 would hold gigabytes where rows are long texts or sets.
@@ -60,21 +59,3 @@ def map_column(
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     """A table of the test data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@functools.cache
-def _own_folder(application: str) -> str:
-    return f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
-
-
-def shared_folder(spark) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a temporary one only where it is unset, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark.sparkContext.applicationId)
-
-
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again: its lineage ends there, and lost executors take nothing along."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

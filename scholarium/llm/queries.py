@@ -5,12 +5,17 @@ from __future__ import annotations
 import corpus_pipeline
 
 from . import ball_tree, identifiers, licenses, mixing, near_duplicates, quality, repeated_spans, sentencepieces, toxicity, transport_stream
-from .common import table
+from .common import spread, table
+
+
+def _documents(spark, sf_dir):
+    """The documents, over all cores where they lie in few row groups."""
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def op1_transport_stream(spark, sf_dir):
     """Every document's text as an MPEG transport stream, read back and digested."""
-    return transport_stream.stream_digests(table(spark, sf_dir, "documents"))
+    return transport_stream.stream_digests(_documents(spark, sf_dir))
 
 
 def op8_mix_sources(spark, sf_dir):
@@ -20,32 +25,32 @@ def op8_mix_sources(spark, sf_dir):
 
 def op10_license_scan(spark, sf_dir):
     """Licence notices and expressions in every document."""
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(_documents(spark, sf_dir))
 
 
 def op3_identifiers(spark, sf_dir):
     """Personal data in every document, disguised or not."""
-    return identifiers.find_identifiers(table(spark, sf_dir, "documents"))
+    return identifiers.find_identifiers(_documents(spark, sf_dir))
 
 
 def op2_sentencepiece(spark, sf_dir):
     """Every document encoded by the transducer and decoded again."""
-    return sentencepieces.encode_round_trip(table(spark, sf_dir, "documents"))
+    return sentencepieces.encode_round_trip(_documents(spark, sf_dir))
 
 
 def op4_toxicity(spark, sf_dir):
     """Every document's toxicity by the convolutional classifier."""
-    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op9_near_duplicates(spark, sf_dir):
     """Near-duplicate components of all documents by min-max hashing."""
-    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates.near_duplicates(_documents(spark, sf_dir))
 
 
 def op7_quality(spark, sf_dir):
     """Every document's perplexity under the trusted model, and whether it stays."""
-    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.quality(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op6_top_k(spark, sf_dir):
@@ -55,7 +60,7 @@ def op6_top_k(spark, sf_dir):
 
 def op5_repeated_spans(spark, sf_dir):
     """Every document without the strings of 200 bytes that repeat."""
-    return repeated_spans.repeat_digests(table(spark, sf_dir, "documents"))
+    return repeated_spans.repeat_digests(_documents(spark, sf_dir))
 
 
 def pipeline(spark, sf_dir):

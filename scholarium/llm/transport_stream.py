@@ -3,11 +3,13 @@
 :func:`store_streams` writes each payload as the elementary stream of a one-programme transport stream
 (ISO/IEC 13818-1): programme association and map tables with their CRCs, PES packets with
 presentation time stamps, programme clock references, random-access flags and continuity counters.
-:func:`read_streams` parses any such column: it follows the tables to the elementary stream, checks the
-continuity counters, reassembles the PES packets and returns the payload, the time stamps and the
-random-access points. Both are maps without a shuffle; a task holds a slice of rows at a time.
+:func:`read_streams` parses any such column: it follows the tables, whose sections may span packets, to every
+elementary stream, checks the continuity counters, takes repeated packets once, reassembles the PES packets, of
+stated or unbounded length, and returns the payloads, the time stamps and the random-access points. Both are maps
+without a shuffle; a task holds a slice of rows at a time.
 
-Null payloads count as empty. A payload must be a whole number of units of 576 samples of 8 bits, which
+Null payloads count as empty. Each row stands for itself: repeated rows give equal results, an empty table gives none,
+and other columns, whatever their names, aren't read. A payload must be a whole number of units of 576 samples of 8 bits, which
 :func:`unit_payload` makes of any text. A stream that isn't one gives a null payload and an ``error``.
 """
 
@@ -157,64 +159,60 @@ class Writer:
         return out.tobytes()
 
 
-def _sections(packets: np.ndarray, starts: np.ndarray, table_id: int):
-    """The distinct sections with a right CRC that begin in ``packets``, and how many have a wrong one."""
-    found, bad = {}, 0
-    units = np.flatnonzero(packets[:, 1] & 0x40)
-    for row in {packets[i, starts[i] :].tobytes() if starts[i] < PACKET else b"" for i in units}:
-        body = row[1 + row[0] :] if row else b""
-        size = 3 + ((body[1] & 15) << 8 | body[2]) if len(body) > 3 else 0
-        if size < 12 or size > len(body) or body[0] != table_id or crc_mpeg(body[:size]):
-            bad += 1
-        else:
-            found[body[:size]] = None
-    return list(found), bad
+def _sections(packets: np.ndarray, starts: np.ndarray, table_id: int) -> tuple[list[bytes], int]:
+    """The distinct sections of a table in one PID's packets, in order, and how many are broken.
 
+    A section may span packets and several may share one; a packet in which one begins says where.
+    """
+    found, bad, held = {}, 0, b""
+
+    def cut(data: bytes) -> bytes:
+        """What is left behind the whole sections that ``data`` begins with."""
+        nonlocal bad
+        while len(data) >= 3 and data[0] != 0xFF:
+            size = 3 + ((data[1] & 15) << 8 | data[2])
+            if size > len(data):
+                return data
+            if size < 12 or crc_mpeg(data[:size]):
+                bad += 1
+            elif data[0] == table_id:
+                found[data[:size]] = None
+            data = data[size:]
+        return b"" if data[:1] in (b"", b"\xff") else data
+
+    known: set[bytes] = set()
+    for packet, start in zip(packets, starts.tolist(), strict=True):
+        raw = packet[start:].tobytes()
+        if not packet[1] & 0x40:
+            held = cut(held + raw) if held else b""
+            continue
+        if not held and raw in known:
+            continue  # the same table again, whole in one packet
+        before, after = raw[1 : 1 + raw[0]], raw[1 + raw[0] :]
+        bad += bool(held and cut(held + before))
+        held = cut(after)
+        if not held:
+            known.add(raw)
+    return list(found), bad + bool(held)
+
+
+def _fresh(packets: np.ndarray) -> np.ndarray:
+    """Which packets of one PID aren't the repetition of the one before: the same count and bytes, but for the clock reference."""
+    out = np.ones(len(packets), bool)
+    if len(packets) > 1:
+        at = np.flatnonzero((packets[1:, 3] == packets[:-1, 3]) & (packets[1:, 1] == packets[:-1, 1])) + 1
+        if len(at):
+            same = packets[at] == packets[at - 1]
+            clocked = (packets[at, 3] & 0x20 != 0) & (packets[at, 4] > 6) & (packets[at, 5] & 0x10 != 0)
+            same[clocked, 6:12] = True
+            out[at[same.all(1)]] = False
+    return out
 
-def parse_stream(media: bytes | None) -> dict:
-    """The programme tables, payload, time stamps and random-access points of one transport stream."""
-    out = {"payload": None, "programs": [], "continuity_errors": 0, "table_errors": 0, "pts": [], "random_access": [], "packets": 0, "error": None}
-    raw = np.frombuffer(media or b"", np.uint8)
-    if not raw.size or raw.size % PACKET or (raw[::PACKET] != SYNC).any():
-        return out | {"error": "not a transport stream"}
-    packets = raw.reshape(-1, PACKET)
-    out["packets"] = len(packets)
-    pids = (packets[:, 1].astype(np.int32) & 0x1F) << 8 | packets[:, 2]
-    adapted = packets[:, 3] & 0x20 != 0
-    loaded = packets[:, 3] & 0x10 != 0
-    starts = np.where(adapted, 5 + packets[:, 4].astype(np.int32), 4)
-    flags = np.where(adapted & (packets[:, 4] > 0), packets[:, 5], 0)
-
-    pick = pids == PAT_PID
-    pats, bad = _sections(packets[pick], starts[pick], 0)
-    out["table_errors"] += bad
-    streams = []
-    for pat in pats:
-        for at in range(8, len(pat) - 4, 4):
-            number, pmt_pid = pat[at] << 8 | pat[at + 1], (pat[at + 2] & 31) << 8 | pat[at + 3]
-            if not number:
-                continue
-            pick = pids == pmt_pid
-            pmts, bad = _sections(packets[pick], starts[pick], 2)
-            out["table_errors"] += bad
-            for pmt in pmts:
-                at_es = 12 + ((pmt[10] & 15) << 8 | pmt[11])
-                while at_es + 5 <= len(pmt) - 4:
-                    pid = (pmt[at_es + 1] & 31) << 8 | pmt[at_es + 2]
-                    streams.append(pid)
-                    out["programs"].append(f"{number}:{pmt_pid}:{pid}:{pmt[at_es]}")
-                    at_es += 5 + ((pmt[at_es + 3] & 15) << 8 | pmt[at_es + 4])
-    if not streams:
-        return out | {"error": "no elementary stream"}
-
-    for pid in dict.fromkeys([PAT_PID, *(int(p.split(":")[1]) for p in out["programs"]), *streams]):
-        rows = np.flatnonzero((pids == pid) & loaded)
-        count = packets[rows, 3] & 15
-        jump = (count[1:] - count[:-1]) & 15
-        marked = flags[rows[1:]] & 0x80 != 0
-        out["continuity_errors"] += int(((jump != 1) & ~marked).sum())
 
-    rows = np.flatnonzero((pids == streams[0]) & loaded & (starts < PACKET))
+def _elementary(packets: np.ndarray, starts: np.ndarray, flags: np.ndarray) -> dict:
+    """Payload, stamps, and payload offsets of the random-access points of one elementary stream, or what is wrong with it."""
+    out: dict = {"payload": None, "pts": [], "random_access": [], "error": None}
+    rows = np.flatnonzero(starts < PACKET)
     own, begin = packets[rows], starts[rows]
     data = own[np.arange(PACKET)[None, :] >= begin[:, None]]
     ends = np.cumsum(PACKET - begin)
@@ -225,22 +223,87 @@ def parse_stream(media: bytes | None) -> dict:
     h = data[np.minimum(heads[:, None] + np.arange(PES_HEADER)[None, :], len(data) - 1)].astype(np.int64)
     if (h[:, 0] | h[:, 1] | (h[:, 2] ^ 1)).any():
         return out | {"error": "no PES start code"}
+    lengths = np.diff(np.append(heads, len(data)))
+    said = h[:, 4] << 8 | h[:, 5]
+    # a length of 0 is unbounded: such a packet ends where the next one begins
+    if ((said > 0) & (said + 6 != lengths)).any():
+        return out | {"error": "a PES packet has another length than it says"}
     stamped = h[:, 7] & 0x80 != 0
     pts = (h[:, 9] >> 1 & 7) << 30 | h[:, 10] << 22 | (h[:, 11] >> 1) << 15 | h[:, 12] << 7 | h[:, 13] >> 1
     header = 9 + h[:, 8]
-    lengths = np.diff(np.append(heads, len(data)))
-    said = 6 + (h[:, 4] << 8 | h[:, 5])
-    if (said != lengths).any():
-        return out | {"error": "a PES packet has another length than it says"}
+    if (header > lengths).any():
+        return out | {"error": "a PES header is longer than its packet"}
     keep = np.ones(len(data), bool)
     for i in range(int(header.max())):
         keep[heads[header > i] + i] = False
-    out["payload"] = data[keep].tobytes()
-    out["pts"] = [int(t) if s else None for t, s in zip(pts, stamped, strict=True)]
     access = flags[rows][first] & 0x40 != 0
     offsets = np.cumsum(lengths - header) - (lengths - header)
-    out["random_access"] = offsets[access].tolist()
-    return out
+    return out | {"payload": data[keep].tobytes(), "pts": [int(t) if s else None for t, s in zip(pts, stamped, strict=True)], "random_access": offsets[access].tolist()}
+
+
+def parse_stream(media: bytes | None) -> dict:
+    """The programme tables and every elementary stream of one transport stream.
+
+    ``payload``, ``pts`` and ``random_access`` are those of the first elementary stream, ``streams`` has them all:
+    structs of pid, type, payload, pts, random_access and error. A packet that repeats the one before it is taken once.
+    """
+    out = {"payload": None, "programs": [], "continuity_errors": 0, "table_errors": 0, "pts": [], "random_access": [], "packets": 0, "duplicates": 0, "streams": [], "error": None}
+    raw = np.frombuffer(media or b"", np.uint8)
+    if not raw.size or raw.size % PACKET or (raw[::PACKET] != SYNC).any():
+        return out | {"error": "not a transport stream"}
+    packets = raw.reshape(-1, PACKET)
+    out["packets"] = len(packets)
+    pids = (packets[:, 1].astype(np.int32) & 0x1F) << 8 | packets[:, 2]
+
+    def of(pid: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A PID's packets that carry data, without repetitions, where their data begin, and their adaptation flags; faults are counted once."""
+        if pid not in read:
+            rows = np.flatnonzero((pids == pid) & (packets[:, 3] & 0x10 != 0))
+            own = packets[rows]
+            fresh = _fresh(own)
+            out["duplicates"] += int((~fresh).sum())
+            own = own[fresh]
+            adapted = own[:, 3] & 0x20 != 0
+            starts = np.where(adapted, 5 + own[:, 4].astype(np.int32), 4)
+            flags = np.where(adapted & (own[:, 4] > 0), own[:, 5], 0)
+            count = own[:, 3] & 15
+            jump = (count[1:] - count[:-1]) & 15
+            out["continuity_errors"] += int(((jump != 1) & (flags[1:] & 0x80 == 0)).sum())
+            read[pid] = own, starts, flags
+        return read[pid]
+
+    def tables(pid: int, table_id: int) -> list[bytes]:
+        own, starts, _ = of(pid)
+        inside = starts < PACKET
+        found, bad = _sections(own[inside], starts[inside], table_id)
+        out["table_errors"] += bad
+        return found
+
+    read: dict[int, tuple] = {}
+    streams: dict[int, int] = {}
+    maps: dict[int, list[bytes]] = {}
+    for pat in tables(PAT_PID, 0):
+        for at in range(8, len(pat) - 4, 4):
+            number, pmt_pid = pat[at] << 8 | pat[at + 1], (pat[at + 2] & 31) << 8 | pat[at + 3]
+            if not number:
+                continue
+            if pmt_pid not in maps:
+                maps[pmt_pid] = tables(pmt_pid, 2)
+            for pmt in maps[pmt_pid]:
+                if pmt[3] << 8 | pmt[4] != number:
+                    continue  # another programme's map on the same PID
+                at_es = 12 + ((pmt[10] & 15) << 8 | pmt[11])
+                while at_es + 5 <= len(pmt) - 4:
+                    pid = (pmt[at_es + 1] & 31) << 8 | pmt[at_es + 2]
+                    streams.setdefault(pid, pmt[at_es])
+                    out["programs"].append(f"{number}:{pmt_pid}:{pid}:{pmt[at_es]}")
+                    at_es += 5 + ((pmt[at_es + 3] & 15) << 8 | pmt[at_es + 4])
+    if not streams:
+        return out | {"error": "no elementary stream"}
+    out["programs"] = list(dict.fromkeys(out["programs"]))
+    for pid, kind in streams.items():
+        out["streams"].append({"pid": pid, "type": kind, **_elementary(*of(pid))})
+    return out | {n: out["streams"][0][n] for n in ("payload", "pts", "random_access", "error")}
 
 
 def store_streams(df: DataFrame, payload: str, keep: list[str], out: str = "media") -> DataFrame:
@@ -261,34 +324,39 @@ READ_FIELDS = [
     ("table_errors", T.LongType()),
     ("pts", T.ArrayType(T.LongType())),
     ("random_access", T.ArrayType(T.LongType())),
+    ("duplicates", T.LongType()),
     ("error", T.StringType()),
 ]
+_STREAM = "array<struct<pid: int, type: int, payload: binary, pts: array<bigint>, random_access: array<bigint>, error: string>>"
 
 
-def read_streams(df: DataFrame, media: str, keep: list[str]) -> DataFrame:
+def read_streams(df: DataFrame, media: str, keep: list[str], every: bool = False) -> DataFrame:
     """Parse a column of transport streams.
 
     Adds ``payload``, ``programs`` (programme:table PID:stream PID:type), ``packets``,
     ``continuity_errors``, ``table_errors``, ``pts`` (one for each PES packet), ``random_access``
-    (payload offsets that can be sought to) and ``error`` (null if the stream is whole).
+    (payload offsets that can be sought to), ``duplicates`` (packets that repeat the one before) and ``error`` (null if
+    the stream is whole), of the first elementary stream; with ``every``, also ``streams``, all of them.
     """
+    fields = [*READ_FIELDS, ("streams", T._parse_datatype_string(_STREAM))] if every else READ_FIELDS
 
     def start():
         def read(values):
             rows = [parse_stream(v) for v in values]
-            return [[r[n] for r in rows] for n, _ in READ_FIELDS]
+            return [[r[n] for r in rows] for n, _ in fields]
 
         return read
 
-    return map_column(df, media, keep, READ_FIELDS, start, rows=128)
+    return map_column(df, media, keep, fields, start, rows=128)
 
 
 def stream_digests(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Store every whole text as a transport stream, read the stored bytes back and digest both.
 
     One row a document: key, ``n_bytes``, ``payload_bytes``, ``payload_sha256``, ``tail_crc32``,
-    ``media_bytes``, ``media_sha256`` and ``feature`` (tables, packets, PES packets, last time stamp,
-    random-access points, continuity errors). Null texts count as empty; equal texts give equal rows.
+    ``media_bytes``, ``media_sha256``, ``feature`` (tables, packets, PES packets, last time stamp,
+    random-access points, continuity errors), ``pts`` (the time stamps) and ``random_access`` (the payload offsets of
+    the random-access points). Null texts count as empty; equal texts give equal rows.
     """
     sized = docs.select(
         F.col(key),
@@ -320,4 +388,6 @@ def stream_digests(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         "media_bytes",
         "media_sha256",
         feature.alias("feature"),
+        "pts",
+        "random_access",
     )

@@ -47,6 +47,50 @@ def test_transport_stream_faults_are_seen():
     assert transport_stream.parse_stream(b"text")["error"] and transport_stream.parse_stream(None)["error"]
 
 
+def es_packets(pid, pes, count=0):
+    """Transport packets of PES packets, stuffed by adaptation fields."""
+    out = []
+    for data in pes:
+        for at in range(0, len(data), 184):
+            part = data[at : at + 184]
+            pad = 184 - len(part)
+            field = bytes([pad - 1, *([0] if pad > 1 else []), *[255] * max(pad - 2, 0)]) if pad else b""
+            out.append(bytes([0x47, (0x40 if at == 0 else 0) | pid >> 8, pid & 255, (0x30 if pad else 0x10) | (count + len(out)) & 15]) + field + part)
+    return out
+
+
+def section_packets(pid, section, count=0):
+    """Packets of a section, which may take several."""
+    data, out = b"\0" + section, []
+    for at in range(0, len(data), 184):
+        out.append(bytes([0x47, (0x40 if at == 0 else 0) | pid >> 8, pid & 255, 0x10 | (count + len(out)) & 15]) + data[at : at + 184].ljust(184, b"\xff"))
+    return out
+
+
+def test_transport_streams_of_others_are_read():
+    """Two streams, a map that spans packets, PES packets of unbounded length, repeated packets."""
+    ts = transport_stream
+    descriptor = bytes([0x0A, 200]) + bytes(200)
+    pmt = ts._section(2, 1, bytes([0xE1, 0x01, 0xF0, 0]) + bytes([0x1B, 0xE1, 0x01, 0xF0, 202]) + descriptor + bytes([0x0F, 0xE1, 0x02, 0xF0, 0]))
+    pat = ts._section(0, 1, bytes([0, 1, 0xE1, 0x00]))
+    stamp = bytes([0x21, 0, 1, 0, 0x07])  # 3
+    video = [bytes([0, 0, 1, 0xE0, 0, 0, 0x80, 0x80, 5]) + stamp + bytes([i]) * 1000 for i in (1, 2)]
+    audio = [bytes([0, 0, 1, 0xC0, 0, 103, 0x80, 0, 0]) + b"a" * 100]
+    v = es_packets(0x101, video)
+    media = b"".join([*section_packets(0, pat), *section_packets(0x100, pmt), *v[:2], v[1], *es_packets(0x102, audio), *v[2:]])
+    read = ts.parse_stream(media)
+    assert (read["error"], read["continuity_errors"], read["table_errors"], read["duplicates"]) == (None, 0, 0, 1)
+    assert read["programs"] == ["1:256:257:27", "1:256:258:15"]
+    assert [(s["pid"], s["type"], s["payload"], s["pts"]) for s in read["streams"]] == [(257, 27, b"\1" * 1000 + b"\2" * 1000, [3, 3]), (258, 15, b"a" * 100, [None])]
+    cut = ts.parse_stream(b"".join([*section_packets(0, pat), *section_packets(0x100, pmt)[:1], *v]))
+    assert cut["table_errors"] == 1 and cut["error"] == "no elementary stream"
+
+
+def test_transport_streams_keep_stamps_and_access_points(spark):
+    found = by_id(transport_stream.stream_digests(fixtures.documents(spark, [(1, "x" * 576 * 8 * 20, "en", "a"), (2, "", "en", "a")])))
+    assert found[1][0].pts == [8640 * i for i in range(20)] and found[1][0].random_access == [0, 576 * 8 * 16] and found[2][0].pts == [0]
+
+
 def test_pieces_are_those_of_the_library_and_decode_to_the_text(spark):
     sentencepiece = pytest.importorskip("sentencepiece")
     model = sentencepieces.model_path()
@@ -208,7 +252,7 @@ def test_top_k_against_all_products(spark):
     for q, x in {i: v for i, v in sound if i % 20 == 0}.items():
         scores = sorted((-int(x @ v), i) for i, v in sound if i != q and len(v) == len(x))[:20]
         expected += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scores)]
-    for sizes in ({}, {"shard_rows": 50, "block_rows": 5}):
+    for sizes in ({}, {"shard_rows": 50, "block_rows": 5}, {"shard_rows": 20, "block_rows": 3, "pivots": 4}):
         assert sorted(tuple(r) for r in ball_tree.top_k(vectors, **sizes).collect()) == sorted(expected)
     assert ball_tree.top_k(vectors.where("false")).count() == 0
 
