@@ -1,19 +1,22 @@
 """SentencePiece encoding and decoding as a weighted transducer's shortest paths.
 
-The machine is compiled from a vocabulary file: a normaliser (a blank becomes the meta symbol, one is put
-in front), a piece transducer (a trie over the pieces' characters, with an arc back to the start for each
-piece) and byte-fallback arcs for characters that no piece covers. It is composed with each input chunk and
-the shortest path in the tropical semiring is taken.
+The machine is compiled from a vocabulary file: a normaliser (the model's own rewriting rules, its handling of
+blanks, the meta symbol for a blank and one in front), a piece transducer (a trie over the pieces' characters, with an
+arc back to the start for each piece) and byte-fallback arcs for characters that no piece covers. It is composed with
+each input and the shortest path in the tropical semiring is taken: weights add up along a path, and of the paths to a
+state the lightest stays.
 
 For a unigram vocabulary an arc weighs minus its piece's score. For a byte-pair vocabulary the weights must
-reproduce the merges: there, a state also remembers the last piece, and an arc weighs 0 if the byte-pair
-encoding of both pieces' text keeps just these two, else infinity. Every prefix of a text has one such path,
-its byte-pair encoding, so a state per position is enough and the ids are those of the SentencePiece
-library (the tests hold them against it).
-
-No piece goes on after the meta symbol begins a new word, so a normalised text is cut before each run of
-meta symbols and each distinct chunk is composed once a task, within a bounded memory of chunks. Whole texts
-are encoded, in time linear in their length. Null texts give null ids, empty texts none.
+reproduce the merges, which no sum of scores does: there an arc weighs 0 if the byte-pair encoding of the last piece's
+and its own text keeps just these two, else infinity; arcs are weighed as the search meets them. Every prefix of a text has one path of finite weight, its
+byte-pair encoding, so a state per position, which remembers the last piece, is enough and the ids are those of the
+SentencePiece library (the tests hold them against it).
+
+Where no piece goes on after the meta symbol begins a new word, a normalised text is cut before each run of
+meta symbols and each distinct chunk is composed once a task, within a bounded memory of chunks; other vocabularies are
+composed with the whole text. Whole texts are encoded, in time linear in their length. Null texts give null ids, empty
+texts none. Each row stands for itself: repeated rows give equal ids and an empty table gives none. Other columns are
+carried along; one that has the name of a new column makes ``encode_documents`` and ``decode_documents`` refuse.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from .common import map_column
 
 META = "▁"
 #: Chunks whose encoding a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -41,6 +44,59 @@ def model_path() -> str:
     return os.environ.get("SENTENCEPIECE_MODEL", DEFAULT_MODEL)
 
 
+class Normaliser:
+    """The first transducer: rules from strings to strings, the longest at each place, then the handling of blanks."""
+
+    def __init__(self, rules: dict[str, str] | None = None, squeeze: bool = False, prefix: bool = True):
+        self.rules, self.squeeze, self.prefix = rules or {}, squeeze, prefix
+        self.starts = frozenset(k[0] for k in self.rules)
+        self.longest = max(map(len, self.rules), default=0)
+
+    @classmethod
+    def compile(cls, charsmap: bytes, squeeze: bool, prefix: bool) -> Normaliser:
+        """From the model's rule table: a double-array trie of UTF-8 keys and the texts that its values point to."""
+        rules: dict[str, str] = {}
+        if charsmap:
+            size = int.from_bytes(charsmap[:4], "little")
+            units = array("I", charsmap[4 : 4 + size]).tolist()
+            texts = charsmap[4 + size :]
+            offset = lambda unit: (unit >> 10) << ((unit & 0x200) >> 6)
+            stack = [(offset(units[0]), b"")]
+            while stack:
+                at, key = stack.pop()
+                for byte in range(1, 256):
+                    place = at ^ byte
+                    if place >= len(units) or units[place] & 0x800000FF != byte:
+                        continue
+                    below = place ^ offset(units[place])
+                    if units[place] >> 8 & 1:
+                        value = units[below] & 0x7FFFFFFF
+                        rules[(key + bytes([byte])).decode()] = texts[value : texts.index(0, value)].decode()
+                    stack.append((below, key + bytes([byte])))
+        return cls(rules, squeeze, prefix)
+
+    def __call__(self, text: str) -> str:
+        """The text rewritten, its blanks still blanks, without the one in front."""
+        if self.starts and not self.starts.isdisjoint(text):
+            out, at, n, rules = [], 0, len(text), self.rules
+            while at < n:
+                if text[at] in self.starts:
+                    for size in range(min(self.longest, n - at), 0, -1):
+                        new = rules.get(text[at : at + size])
+                        if new is not None:
+                            out.append(new)
+                            at += size
+                            break
+                    else:
+                        out.append(text[at])
+                        at += 1
+                else:
+                    out.append(text[at])
+                    at += 1
+            text = "".join(out)
+        return " ".join([w for w in text.split(" ") if w]) if self.squeeze else text
+
+
 class Machine:
     """The compiled transducer of one vocabulary: ``encode`` and ``decode``.
 
@@ -48,16 +104,19 @@ class Machine:
     ``special`` the ids that no text gives. ``merges`` says that it is a byte-pair vocabulary.
     """
 
-    def __init__(self, pieces: list[str], scores: list[float], data: list[int] | None, special: set[int], unknown: int, merges: bool = True, prefix: bool = True):
+    def __init__(self, pieces: list[str], scores: list[float], data: list[int] | None, special: set[int], unknown: int, merges: bool = True, normaliser: Normaliser | None = None):
         self.pieces, self.scores, self.data, self.unknown = pieces, scores, data, unknown
-        self.merges, self.prefix, self.special = merges, prefix, special
+        self.merges, self.special = merges, special
+        self.normaliser = normaliser or Normaliser()
+        self.prefix = self.normaliser.prefix
         skip = special | set(data or ())
         self.ids = {p: i for i, p in enumerate(pieces) if i not in skip and p}
         self.trie: dict[str, int] = {p[:n]: -1 for p in self.ids for n in range(1, len(p) + 1)}  # its states by the way there
         self.trie |= self.ids
-        self.floor = min(scores, default=0.0) - 10.0
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.whole: dict[int, bool] = {}
+        self.floor = min((scores[i] for i in self.ids.values()), default=0.0) - 10.0
+        self.cut = all(META not in p.lstrip(META) for p in self.ids)
+        self.fits: dict[tuple[int, int], float] = {}
+        self.whole: dict[int, float] = {}
         self.byte_of = {i: b for b, i in enumerate(data or ())}
         self.kept: dict[str, bytes] = {}
 
@@ -67,12 +126,23 @@ class Machine:
         """The machine of a vocabulary file; a worker process compiles it once and keeps what it remembers."""
         import sentencepiece
 
-        read = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = read.get_piece_size()
-        pieces = [read.id_to_piece(i) for i in range(n)]
-        data = [i for i in range(n) if read.is_byte(i)]
-        special = {i for i in range(n) if read.is_control(i) or read.is_unknown(i) or read.is_unused(i)}
-        return Machine(pieces, [read.get_score(i) for i in range(n)], data if len(data) == 256 else None, special, read.unk_id())
+        with open(path, "rb") as f:
+            return Machine.read(sentencepiece.SentencePieceProcessor(model_proto=f.read()))
+
+    @staticmethod
+    def read(model) -> Machine:
+        """The machine of the library's model. Kinds of pieces and of models that the machine doesn't know are an error."""
+        from sentencepiece import sentencepiece_model_pb2
+
+        proto = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+        kind, norm = proto.trainer_spec.model_type, proto.normalizer_spec
+        if kind not in (1, 2) or proto.trainer_spec.treat_whitespace_as_suffix or any(p.type == 4 for p in proto.pieces):
+            raise ValueError("only unigram and byte-pair models with meta symbols in front and no user-defined pieces are known")
+        n = len(proto.pieces)
+        data = [i for i in range(n) if model.is_byte(i)]
+        special = {i for i in range(n) if model.is_control(i) or model.is_unknown(i) or model.is_unused(i)}
+        normaliser = Normaliser.compile(norm.precompiled_charsmap, norm.remove_extra_whitespaces, norm.add_dummy_prefix)
+        return Machine([p.piece for p in proto.pieces], [p.score for p in proto.pieces], data if len(data) == 256 else None, special, model.unk_id(), kind == 2, normaliser)
 
     def _merged(self, text: str) -> list[str]:
         """The merges' result on two pieces' text: best score first, then leftmost. It compiles the pair weights."""
@@ -88,20 +158,22 @@ class Machine:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _fit(self, last: int, piece: int) -> bool:
-        """Whether ``piece`` may follow ``last`` (-1: nothing, -2: a character without piece) at weight 0."""
+    def _weight(self, last: int, piece: int) -> float:
+        """What ``piece`` weighs behind ``last`` (-1: nothing, -2: a character without piece)."""
+        if not self.merges:
+            return -self.scores[piece]
         if last < 0:
-            ok = self.whole.get(piece)
-            if ok is None:
-                ok = self.whole[piece] = len(self._merged(self.pieces[piece])) == 1
-            return ok
-        ok = self.fits.get((last, piece))
-        if ok is None:
+            found = self.whole.get(piece)
+            if found is None:
+                found = self.whole[piece] = 0.0 if len(self._merged(self.pieces[piece])) == 1 else math.inf
+            return found
+        found = self.fits.get((last, piece))
+        if found is None:
             if len(self.fits) >= REMEMBERED:
                 self.fits.clear()
             a, b = self.pieces[last], self.pieces[piece]
-            ok = self.fits[last, piece] = self._merged(a + b) == [a, b]
-        return ok
+            found = self.fits[last, piece] = 0.0 if self._merged(a + b) == [a, b] else math.inf
+        return found
 
     def _arcs(self, chunk: str, at: int) -> list[tuple[int, int]]:
         """Arcs of the composition that leave position ``at``, the longest last: (end, id), id -2 for bytes."""
@@ -118,65 +190,76 @@ class Machine:
             k = trie.get(chunk[at:end])
         return arcs
 
-    def _zero_path(self, chunk: str) -> list[int]:
-        """A path of weight 0: depth first, longest arcs first. What follows a position depends on nothing before it."""
-        n, at, last, dead, path, fits = len(chunk), 0, -1, set(), [], self.fits
-        arcs = self._arcs(chunk, 0)
-        while at < n:
-            while arcs:
-                end, k = arcs.pop()
-                if end in dead:
-                    continue
-                ok = True if k < 0 else fits.get((last, k))
-                if self._fit(last, k) if ok is None else ok:
-                    path.append((at, last, arcs, k))
-                    at, last = end, k
-                    arcs = self._arcs(chunk, at) if at < n else []
-                    break
-            else:
-                dead.add(at)
-                at, last, arcs, _ = path.pop()
-        ends = [x[0] for x in path[1:]] + [n]
-        out = []
-        for (start, _, _, k), end in zip(path, ends, strict=True):
-            out += [k] if k >= 0 else self._bytes(chunk[start:end])
-        return out
-
     def _bytes(self, char: str) -> list[int]:
         return [self.data[b] for b in char.encode("utf-8", "surrogatepass")] if self.data else [self.unknown]
 
     def shortest(self, chunk: str) -> list[int]:
         """Ids along the shortest path over one normalised chunk."""
-        if self.merges:
-            return self._zero_path(chunk)
+        path = self._lazy_path(chunk) if self.merges else self._relaxed_path(chunk)
+        ids = []
+        for n, (at, k) in enumerate(path):
+            ids += [k] if k >= 0 else self._bytes(chunk[at : path[n + 1][0] if n + 1 < len(path) else len(chunk)])
+        if self.data is None:  # a run of unknown characters is one id
+            ids = [i for n, i in enumerate(ids) if n == 0 or i != self.unknown or ids[n - 1] != self.unknown]
+        return ids
+
+    def _relaxed_path(self, chunk: str) -> list[tuple[int, int]]:
+        """(position, arc) along the shortest path: states in the order of their positions, each with its lightest way."""
         n, inf = len(chunk), math.inf
         cost, via, start = [inf] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
         cost[0] = 0.0
         for at in range(n):
             for end, k in self._arcs(chunk, at):
-                total = cost[at] - (self.scores[k] if k >= 0 else self.floor)
+                total = cost[at] + (self._weight(via[at], k) if k >= 0 else 0.0 if self.merges else -self.floor)
                 if total < cost[end]:
                     cost[end], via[end], start[end] = total, k, at
         out, at = [], n
         while at > 0:
-            out.append([via[at]] if via[at] >= 0 else self._bytes(chunk[start[at] : at]))
+            out.append((start[at], via[at]))
             at = start[at]
-        return [i for ids in reversed(out) for i in ids]
+        return out[::-1]
+
+    def _lazy_path(self, chunk: str) -> list[tuple[int, int]]:
+        """The same where weights are 0 or infinite: the queue of a best-first search is then a stack, and an arc is weighed when it is taken.
+
+        The longest arc goes first; what follows a position depends on nothing before it, so a position without a way on is dead.
+        """
+        n, at, last, dead, path, weight, known = len(chunk), 0, -1, set(), [], self._weight, self.fits
+        arcs = self._arcs(chunk, 0)
+        while at < n:
+            while arcs:
+                end, k = arcs.pop()
+                if end in dead:
+                    continue
+                w = 0.0 if k < 0 else known.get((last, k))
+                if (weight(last, k) if w is None else w) == 0.0:
+                    path.append((at, last, arcs, k))
+                    at, last = end, k
+                    arcs = self._arcs(chunk, at) if at < n else []
+                    break
+            else:
+                dead.add(at)
+                at, last, arcs, _ = path.pop()
+        return [(x[0], x[3]) for x in path]
 
     def normalise(self, text: str) -> str:
+        text = self.normaliser(text)
         return (META if self.prefix and text else "") + text.replace(" ", META)
 
-    def _chunk(self, word: str, lead: str = META) -> bytes:
-        """The ids of one chunk; those of a word behind one meta symbol are remembered by the word."""
-        found = array("i", self.shortest(lead + word)).tobytes()
-        if lead == META and len(word) <= 64:
+    def _chunk(self, key: str) -> bytes:
+        """The ids of one chunk, a meta symbol and ``key``: a word behind further meta symbols, if any. They are remembered."""
+        found = array("i", self.shortest(META + key)).tobytes()
+        if len(key) <= 64:
             if len(self.kept) >= REMEMBERED:
                 self.kept.clear()
-            self.kept[word] = found
+            self.kept[key] = found
         return found
 
     def encode_bytes(self, text: str) -> bytes:
         """The ids as 32-bit integers."""
+        if not self.cut:
+            return array("i", self.shortest(self.normalise(text))).tobytes()
+        text = self.normaliser(text)
         if not text:
             return b""
         words = text.replace(META, " ").split(" ")
@@ -184,18 +267,17 @@ class Machine:
         out = []
         if not self.prefix:
             first = words.pop(0)
-            out = [self._chunk(first, "")] if first else []
+            out = [array("i", self.shortest(first)).tobytes()] if first else []
         run = ""  # blanks leave empty words, whose meta symbols go in front of the next one
         for word in words:
-            if word and not run:
-                out.append(kept.get(word) or self._chunk(word))
-            elif word:
-                out.append(self._chunk(word, run + META))
+            if word:
+                key = run + word if run else word
+                out.append(kept.get(key) or self._chunk(key))
                 run = ""
             else:
                 run += META
-        if run:
-            out.append(self._chunk("", run))
+        if run:  # no word is behind them
+            out.append(self._chunk(run[1:]))
         return b"".join(out)
 
     def encode(self, text: str) -> list[int]:
@@ -251,10 +333,17 @@ def _ids_array(rows: list[bytes | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
+def _kept(df: DataFrame, column: str, keep: list[str] | None, out: str) -> list[str]:
+    keep = [c for c in df.columns if c != column] if keep is None else keep
+    if out in keep:
+        raise ValueError(f"a column that is kept has the name of the new one, {out!r}")
+    return keep
+
+
 def encode_documents(docs: DataFrame, text: str = "text", keep: list[str] | None = None, path: str | None = None) -> DataFrame:
     """Add ``ids``, the piece ids of each whole text, to the columns in ``keep`` (all but the text by default)."""
     path = path or model_path()
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
+    keep = _kept(docs, text, keep, "ids")
 
     def start():
         machine = Machine.load(path)
@@ -266,7 +355,7 @@ def encode_documents(docs: DataFrame, text: str = "text", keep: list[str] | None
 def decode_documents(encoded: DataFrame, ids: str = "ids", keep: list[str] | None = None, out: str = "decoded", path: str | None = None) -> DataFrame:
     """Add the text that each row's ids stand for."""
     path = path or model_path()
-    keep = [c for c in encoded.columns if c != ids] if keep is None else keep
+    keep = _kept(encoded, ids, keep, out)
 
     def start():
         machine = Machine.load(path)

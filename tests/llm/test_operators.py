@@ -106,10 +106,47 @@ def test_pieces_are_those_of_the_library_and_decode_to_the_text(spark):
     for _ in range(3000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 20)))
         assert machine.encode(text) == library.encode(text)
+        if text:  # relaxing all arcs gives the path that weighing them on the way gives
+            assert machine._relaxed_path(machine.normalise(text)) == machine._lazy_path(machine.normalise(text))
     decoded = sentencepieces.decode_documents(sentencepieces.encode_documents(fixtures.documents(spark), keep=["doc_id"])).collect()
     assert {(r.doc_id, r.decoded) for r in decoded} == {(i, t) for i, t, *_ in fixtures.rows()}
 
 
+def test_pieces_refuse_a_column_of_the_same_name(spark):
+    docs = fixtures.documents(spark).withColumnRenamed("value", "ids")
+    with pytest.raises(ValueError):
+        sentencepieces.encode_documents(docs)
+    assert sentencepieces.encode_round_trip(fixtures.empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf", "identity"])
+@pytest.mark.parametrize("unigram", [True, False])
+def test_own_normalisers_and_kinds_of_vocabulary_are_the_library_s(rule, unigram):
+    """A vocabulary written by hand, under rules of the library, both as unigram scores and as merges."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    from sentencepiece import sentencepiece_model_pb2 as pb2
+
+    texts = ["▁", "a", "b", "c", "f", "i", "ab", "ba", "▁a", "fi", "▁ab", "abc", "ca", "aba"]
+    proto = pb2.ModelProto()
+    proto.pieces.add(piece="<unk>", score=0, type=2)
+    for n, t in enumerate(texts):
+        proto.pieces.add(piece=t, score=-1.5 - 0.37 * (n * 5 % 7) if unigram else -float(n), type=1)
+    if rule != "nfkc_cf":
+        for b in range(256):
+            proto.pieces.add(piece=f"<0x{b:02X}>", score=0, type=6)
+    proto.trainer_spec.model_type, proto.trainer_spec.byte_fallback = 1 if unigram else 2, rule != "nfkc_cf"
+    library = sentencepiece.SentencePieceNormalizer(rule_name=rule, add_dummy_prefix=rule != "identity", escape_whitespaces=True, remove_extra_whitespaces=rule != "identity")
+    proto.normalizer_spec.CopyFrom(pb2.ModelProto.FromString(library.serialized_model_proto()).normalizer_spec)
+    model = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    machine, rng = sentencepieces.Machine.read(model), random.Random(8)
+    assert (len(machine.normaliser.rules) > 1000) == (rule != "identity")
+    parts = ["a", "b", "c", "A", " ", "  ", "ﬁ", "Ａ", "é", "e\u0301", "①", "\u00a0", "\t", "日", "ab", "㌀", "\u200b", "ß"]
+    for _ in range(1500):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert machine.normalise(text) == library.normalize(text), text
+        assert machine.encode(text) == model.encode(text), text
+
+
 def test_unigram_shortest_path_against_all_paths():
     pieces = ["<unk>", "▁", "a", "b", "ab", "ba", "▁a", "aba"]
     scores = [0.0, -2.0, -1.5, -1.7, -2.0, -2.1, -2.5, -3.9]
