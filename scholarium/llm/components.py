@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import discard, settle
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -24,8 +24,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         new = labels.join(near, "node").join(jump, "component")
         least = F.least("component", "near", "root")
         new = settle(new.select("node", least.alias("component"), (least < F.col("component")).alias("changed")), "labels")
+        discard(labels)
         labels = new.select("node", "component")
         if new.where("changed").limit(1).count() == 0:
+            discard(both)
             return labels
 
 

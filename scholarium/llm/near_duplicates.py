@@ -154,8 +154,7 @@ def confirm_blocks(asked: DataFrame, members: DataFrame, sets: DataFrame, percen
 
     def dealt(nodes: DataFrame, own: str, other: str) -> DataFrame:
         placed = nodes.join(counts, "center").withColumn(own, F.pmod(F.xxhash64("node"), F.col(f"{own}s")).cast("int"))
-        placed = placed.join(sets.select("node", "shingles"), "node")
-        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
+        placed = placed.join(sets.select("node", "shingles"), "node").withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
         return placed.select("center", "row", "column", "node", "shingles")
 
     both = dealt(asked, "row", "column").withColumn("side", F.lit(1)).unionByName(dealt(members, "column", "row").withColumn("side", F.lit(2)))

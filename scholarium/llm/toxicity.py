@@ -7,9 +7,13 @@ and shifted on labelled rows that the fit didn't see, so 0.5 is the even point;
 threshold of its own there too (``threshold``, ``flagged``), which is no part of the score.
 
 Labels are read only of rows whose crc32(doc_id) mod 5 is not 0: remainder 1 calibrates, 2 to 4 fit.
-The sample is bounded by FIT_ROWS of each class and texts of at most FIT_CHARS characters; scoring runs over
-every whole text, as a map without a shuffle. Null and empty texts have no words and get the score of that.
-With no labelled rows of both classes all scores are 0.5.
+The fit's sample is bounded by FIT_ROWS of each class and texts of at most FIT_CHARS characters. Scoring runs over
+every whole text, as a map without a shuffle; the logits are written, and all labelled rows of the calibrating
+remainder, at their natural share of both classes, meet them by their keys alone, in counts of binned logits.
+
+Null and empty texts have no words and get the score of that. Repeated rows are scored alike, and each that is labelled
+counts; an empty table gives none; other columns, whatever their names, aren't read. Only languages with LEAST labelled rows of
+both classes get a threshold. With no labelled rows of both classes all scores are 0.5.
 """
 
 from __future__ import annotations
@@ -21,12 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_column
+from .common import map_column, settle
 
-#: Bounds of the labelled sample: rows of each class to fit on and to calibrate on, characters of a text.
+#: Bounds of the labelled sample that is fitted on: rows of each class, characters of a text.
 FIT_ROWS = {1: 1500, 0: 2500}
-CALIBRATION_ROWS = {1: 800, 0: 3000}
 FIT_CHARS = 12_000
+#: Bins of one logit, in which calibration counts, and labelled rows of each class that a language's own threshold needs.
+BINS, LEAST = 64, 20
+MOST_LANGUAGES = 200
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 STEMS = (4, 5, 6)
 EPOCHS, RATE, SEED = 6, 0.08, 7
@@ -184,67 +190,74 @@ def fold(key: Column) -> Column:
     return F.pmod(F.crc32(F.encode(key.cast("string"), "UTF-8")), F.lit(5))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, key: str, lang: str, label: str) -> list:
-    """Labelled rows (text, lang, label, fold) within the bounds, the same ones in every run."""
-    bound = {(calibrate, c): rows[c] for calibrate, rows in ((True, CALIBRATION_ROWS), (False, FIT_ROWS)) for c in (0, 1)}
+def _known(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """(key, label, fold): one row a labelled key that may be learnt from."""
     known = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label"))
-    known = known.withColumn("fold", fold(F.col("key"))).where("fold <> 0").withColumn("ordered", F.md5(F.concat(F.lit(f"{SEED}|"), F.col("key").cast("string"))))
+    return known.withColumn("fold", fold(F.col("key"))).where("fold <> 0")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str) -> list:
+    """Labelled rows (text, label) to fit on, within the bounds, the same ones in every run."""
+    known = _known(labels, key, label).where("fold > 1").withColumn("ordered", F.md5(F.concat(F.lit(f"{SEED}|"), F.col("key").cast("string"))))
     picked = None
-    for (calibrate, c), n in bound.items():
-        part = known.where((F.col("fold") == 1) == F.lit(calibrate)).where(F.col("label") == c).orderBy("ordered", "key").limit(n)
+    for c, n in FIT_ROWS.items():
+        part = known.where(F.col("label") == c).orderBy("ordered", "key").limit(n)
         picked = part if picked is None else picked.unionByName(part)
-    # at most sum(bound) rows, so the smaller side by proof
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.length("text") <= FIT_CHARS)
-    rows = rows.join(F.broadcast(picked), "key").select("key", "text", "lang", "label", "fold", "ordered")
-    found = rows.limit(2 * sum(bound.values())).collect()
-    return sorted(found, key=lambda r: (r.ordered, r.key, r.text))
+    # at most sum(FIT_ROWS) rows, so the smaller side by proof
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.length("text") <= FIT_CHARS)
+    rows = rows.join(F.broadcast(picked), "key").select("key", "text", "label", "ordered")
+    return rows.orderBy("ordered", "key", "text").limit(2 * sum(FIT_ROWS.values())).collect()
 
 
-def _best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The score between two neighbours with the largest F1."""
-    order = np.argsort(-scores, kind="stable")
-    s, y = scores[order], labels[order]
-    hit = np.cumsum(y)
-    f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
-    f1[np.append(s[1:] == s[:-1], False)] = -1
-    i = int(f1.argmax())
-    return float((s[i] + (s[i + 1] if i + 1 < len(s) else 0.0)) / 2)
+def best_threshold(values: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """Halfway between the two neighbouring values whose cut has the largest F1; so many rows of either class have each value."""
+    order = np.argsort(-values, kind="stable")
+    v, hit, both = values[order], np.cumsum(bad[order]), np.cumsum(bad[order] + good[order])
+    i = int((2 * hit / (both + bad.sum())).argmax())
+    return float((v[i] + (v[i + 1] if i + 1 < len(v) else v[i] - 2.0 / BINS)) / 2)
 
 
 class Model:
-    """A network, the scale and shift of its logits, and thresholds by language."""
+    """Scale and shift of the logits, and thresholds of the scores by language."""
 
-    def __init__(self, net: Network | None, scale: float = 1.0, shift: float = 0.0, thresholds: dict | None = None):
-        self.net, self.scale, self.shift, self.thresholds = net, scale, shift, thresholds or {}
+    def __init__(self, scale: float = 1.0, shift: float = 0.0, thresholds: dict | None = None):
+        self.scale, self.shift, self.thresholds = scale, shift, thresholds or {}
 
-    def scores(self, logits: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * np.asarray(logits, float) + self.shift, -30, 30)))
+    def score(self, logit):
+        """The score of a logit, of a number or a column."""
+        if isinstance(logit, Column):
+            return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), logit * self.scale + self.shift))))
+        return float(1 / (1 + np.exp(-np.clip(self.scale * logit + self.shift, -30, 30))))
 
 
-def train(rows: list) -> Model:
-    """Fit on folds 2 to 4, calibrate on fold 1. ``rows`` have text, lang, label and fold."""
-    data = [np.array([buckets_of(w) for w in words_of(r.text)], np.int64).reshape(-1, 1 + len(STEMS)) for r in rows]
+def fit(rows: list) -> Network | None:
+    """A network of rows with text and label; none without rows of both classes."""
     y = np.array([r.label for r in rows], float)
-    held = np.array([r.fold == 1 for r in rows], bool)
-    if len({*y[~held]} if len(y) else ()) < 2:
-        return Model(None)
-    net = Network().fit([d for d, h in zip(data, held, strict=True) if not h], y[~held])
-    logits, z = np.array([net.logit(d) for d, h in zip(data, held, strict=True) if h]), y[held]
-    if len(set(z)) < 2:
-        return Model(net)
-    # the even point is where F1 is largest; the scale is that of a logistic fit around it
-    shift = _best_threshold(logits - logits.min(), z) + logits.min()
-    a = 1.0
-    weight = np.where(z == 1, 1 / z.sum(), 1 / (1 - z).sum())
+    if len(set(y.tolist())) < 2:
+        return None
+    return Network().fit([np.array([buckets_of(w) for w in words_of(r.text)], np.int64).reshape(-1, 1 + len(STEMS)) for r in rows], y)
+
+
+def calibrate(logits: DataFrame, labels: DataFrame, key: str, label: str) -> Model:
+    """The even point, where F1 is largest, the scale of a logistic fit around it, and each language's threshold, of (doc_id, lang, logit)."""
+    known = _known(labels, key, label).where("fold = 1").select(F.col("key").alias("doc_id"), "label")
+    binned = (F.floor(F.col("logit") * BINS) / BINS).alias("value")
+    counted = logits.where(fold(F.col("doc_id")) == 1).join(known, "doc_id").groupBy("lang", binned).agg(F.count_if(F.col("label") == 0).alias("good"), F.count_if(F.col("label") == 1).alias("bad"))
+    counted = settle(counted, "calibration")
+    every = counted.groupBy("value").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).orderBy("value").toPandas()
+    values, good, bad = (every[c].to_numpy(float) for c in ("value", "good", "bad"))
+    if not len(values) or not good.sum() or not bad.sum():
+        return Model()
+    shift, a = best_threshold(values, good, bad), 1.0
     for _ in range(200):
-        p = 1 / (1 + np.exp(-np.clip(a * (logits - shift), -30, 30)))
-        a = min(5.0, max(0.05, a - 0.5 * float((weight * (p - z) * (logits - shift)).sum())))
-    model = Model(net, a, -a * shift)
-    scores, langs = model.scores(logits), [r.lang for r, h in zip(rows, held, strict=True) if h]
-    for lang in {x for x in langs if x is not None}:
-        own = np.array([x == lang for x in langs])
-        if z[own].sum() >= 20 and (1 - z[own]).sum() >= 20:
-            model.thresholds[lang] = _best_threshold(scores[own], z[own])
+        p = 1 / (1 + np.exp(-np.clip(a * (values - shift), -30, 30)))
+        a = min(5.0, max(0.05, a - 0.5 * float(((bad * (p - 1) / bad.sum() + good * p / good.sum()) * (values - shift)).sum())))
+    model = Model(a, -a * shift)
+    enough = counted.where("lang is not null").groupBy("lang").agg(F.sum("good").alias("g"), F.sum("bad").alias("b")).where((F.col("g") >= LEAST) & (F.col("b") >= LEAST))
+    # languages are few; the bound keeps a column of anything else from being collected
+    chosen = enough.orderBy(F.desc(F.col("g") + F.col("b")), "lang").limit(MOST_LANGUAGES).select("lang")
+    for lang, own in counted.join(F.broadcast(chosen), "lang").orderBy("lang", "value").toPandas().groupby("lang"):
+        model.thresholds[lang] = model.score(best_threshold(*(own[c].to_numpy(float) for c in ("value", "good", "bad"))))
     return model
 
 
@@ -253,20 +266,23 @@ _SCORERS: dict[int, Scorer] = {}
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", label: str = "toxic") -> DataFrame:
     """One row a document: key, held_out, score, predicted, threshold (its language's, else 0.5), flagged."""
-    model = train(labelled_sample(docs, labels, text, key, lang, label))
-    number = zlib.crc32(model.net.rows.tobytes()) if model.net else 0
-
-    def start():
-        if model.net is None:
-            return lambda texts: [[0.5] * len(texts)]
-        scorer = _SCORERS.get(number)  # a worker keeps what it remembers for its next task
-        if scorer is None:
-            _SCORERS.clear()
-            scorer = _SCORERS[number] = Scorer(model.net)
-        return lambda texts: [model.scores(scorer(texts)).tolist()]
-
+    net = fit(labelled_sample(docs, labels, text, key, label))
     rows = docs.select(F.col(key).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    scored = map_column(rows, "text", ["doc_id", "lang"], [("score", T.DoubleType())], start)
+    if net is None:
+        model, scored = Model(), rows.select("doc_id", "lang", F.lit(0.5).alias("score"))
+    else:
+        number = zlib.crc32(net.rows.tobytes())
+
+        def start():
+            scorer = _SCORERS.get(number)  # a worker keeps what it remembers for its next task
+            if scorer is None:
+                _SCORERS.clear()
+                scorer = _SCORERS[number] = Scorer(net)
+            return lambda texts: [scorer(texts).tolist()]
+
+        logits = settle(map_column(rows, "text", ["doc_id", "lang"], [("logit", T.DoubleType())], start), "logits")
+        model = calibrate(logits, labels, key, label)
+        scored = logits.select("doc_id", "lang", model.score(F.col("logit")).alias("score"))
     threshold = F.lit(0.5)
     for name, value in sorted(model.thresholds.items()):
         threshold = F.when(F.col("lang") == name, F.lit(value)).otherwise(threshold)

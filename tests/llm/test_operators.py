@@ -243,6 +243,41 @@ def test_toxicity_ranks_held_out_rows(spark):
     assert {r.score for r in none} == {0.5} and len(none) == 802
 
 
+def test_batched_logits_are_those_of_the_network_s_forward_pass():
+    net, rng = toxicity.Network(), random.Random(9)
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (1, 2, 3, 5, 300, 40)] + ["", None, "one"]
+    found = toxicity.Scorer(net)(texts)
+    for text, logit in zip(texts, found, strict=True):
+        buckets = np.array([toxicity.buckets_of(w) for w in toxicity.words_of(text)], np.int64).reshape(-1, 1 + len(toxicity.STEMS))
+        assert abs(net.logit(buckets) - logit) < 1e-4
+
+
+def test_thresholds_are_where_f1_is_largest():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        values = np.unique(rng.integers(-40, 40, 30)) / toxicity.BINS
+        good, bad = rng.integers(0, 5, len(values)), rng.integers(0, 3, len(values)) + 1
+        f1 = lambda t: 2 * bad[values >= t].sum() / (good[values >= t].sum() + bad[values >= t].sum() + bad.sum())  # noqa: E731,B023
+        assert abs(f1(toxicity.best_threshold(values, good, bad)) - max(f1(t) for t in values)) < 1e-12
+
+
+def test_toxicity_of_empty_and_odd_tables(spark):
+    data = [(5000 + i, *rest) for i, *rest in toxic_rows(60)]
+    labels = fixtures.labels(spark, [(r[0], 1, r[4]) for r in data])
+    assert toxicity.score_toxicity(fixtures.empty(spark), labels).count() == 0
+    docs = fixtures.documents(spark, [r[:4] for r in data] + fixtures.rows())
+    found = toxicity.score_toxicity(docs, labels).collect()
+    assert len(found) == len(data) + len(fixtures.rows()) and all(0 <= r.score <= 1 for r in found)
+    assert len({r.score for r in found if r.doc_id in (4, 5, 12)}) == 1  # no words
+
+
+def test_many_added_spans_take_linear_time():
+    text = " ".join(f"a{i}@b.org c{i} at d dot example dot com" for i in range(3000))
+    base, more = identifiers.spans(text)
+    assert len(base) == len(more) == 3000 and all(text[s:e].startswith(f"c{i} at") for i, (s, _, e, _) in enumerate(more))
+
+
 def brute_repeats(texts):
     counts = collections.Counter(b[i : i + 200] for b in texts for i in range(len(b) - 199))
     out = []
