@@ -9,7 +9,9 @@ texts are cut into about one run per hundred bytes. Three facts keep most runs a
 * where all runs of a hash are equal, all their windows are repeated;
 * equal runs are one run with a count, so copies cost one.
 
-What remains goes to its shard with its bytes. A shard takes them in batches. Each batch gets a suffix
+What remains goes to its shard with its bytes. Where one hash has very many different contents, as a common passage
+with other bytes beside it everywhere, windows whose own hash occurs once are cut off first; what is left of the
+contents is mostly equal, and equal parts are one. A shard takes them in batches. Each batch gets a suffix
 array of its windows' starts, ordered by the LENGTH bytes there. It is merge-scanned against the array of
 every level for equal strings, then becomes a level of its own, and levels of like size merge, so there are
 logarithmically many. Matches mark the windows of both sides. Comparisons are of the bytes themselves.
@@ -36,6 +38,8 @@ LENGTH, GRAM = 200, 24
 RUN_WINDOWS = 1024
 #: Runs of a batch, runs of a shard's partition in the mean, and entries of a level that are read at a time.
 BATCH_RUNS, PARTITION_RUNS, BLOCK = 1500, 4000, 32_768
+#: Different contents of one hash that are more than a shard should have, and hashes at most that count as such.
+HOT_RUNS, MOST_HOT = 1000, 100_000
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _S = np.uint64(31)
 
@@ -115,10 +119,19 @@ class SuffixFamily:
     """Levels of suffix arrays over the bytes given so far; ``add`` takes a batch of runs."""
 
     def __init__(self) -> None:
-        self.store = np.zeros(0, np.uint8)
-        self.marks = np.zeros(0, bool)
+        self.space = np.zeros(1 << 20, np.uint8)
+        self.flags = np.zeros(1 << 20, bool)
+        self.size = 0
         self.levels: list[np.ndarray] = []
 
+    @property
+    def store(self) -> np.ndarray:
+        return self.space[: self.size]
+
+    @property
+    def marks(self) -> np.ndarray:
+        return self.flags[: self.size]
+
     def _strings(self, at: np.ndarray) -> np.ndarray:
         rows = np.lib.stride_tricks.sliding_window_view(self.store, LENGTH)[at]
         return np.ascontiguousarray(rows).view(f"S{LENGTH}").ravel()
@@ -126,9 +139,14 @@ class SuffixFamily:
     def add(self, contents: list[bytes]) -> np.ndarray:
         """Where in the store each run of the batch begins."""
         sizes = np.array([len(c) for c in contents])
-        begins = len(self.store) + np.cumsum(sizes) - sizes
-        self.store = np.concatenate([self.store, np.frombuffer(b"".join(contents), np.uint8)])
-        self.marks = np.concatenate([self.marks, np.zeros(int(sizes.sum()), bool)])
+        begins = self.size + np.cumsum(sizes) - sizes
+        end = self.size + int(sizes.sum())
+        if end > len(self.space):  # doubled, so each byte is moved a bounded number of times
+            more = max(end, 2 * len(self.space)) - len(self.space)
+            self.space = np.concatenate([self.space, np.zeros(more, np.uint8)])
+            self.flags = np.concatenate([self.flags, np.zeros(more, bool)])
+        self.space[self.size : end] = np.frombuffer(b"".join(contents), np.uint8)
+        self.size = end
         windows = sizes - LENGTH + 1
         at = np.repeat(begins, windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
         strings = self._strings(at)
@@ -222,6 +240,87 @@ def _repeated(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 10_000], t) for x, t in zip(out, types, strict=True)], names=["h", "c", "first", "last"])
 
 
+def window_hashes(data: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the LENGTH bytes at each place."""
+    n = len(data) - LENGTH + 1
+    words = np.ndarray(len(data) - 7, np.uint64, data, 0, (1,))
+    h = np.zeros(n, np.uint64)
+    for i in range(LENGTH // 8):
+        h = (h ^ words[8 * i : 8 * i + n]) * _M[i % 3]
+        h ^= h >> _S
+    h *= _M[0]
+    return h ^ (h >> _S)
+
+
+def _windows(contents: DataFrame) -> DataFrame:
+    """(w, uid, at): the hash of every window of (uid, content)."""
+
+    def run(batches):
+        for batch in batches:
+            sizes = np.array([len(v) for v in batch.column(1).to_pylist()])
+            n = sizes - LENGTH + 1
+            begins = np.cumsum(sizes) - sizes
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            w = window_hashes(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8))[np.repeat(begins, n) + at] if len(n) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), n)), pa.array(at.astype(np.int32))], names=["w", "uid", "at"])
+
+    return bound_batches(contents.select("uid", "content")).mapInArrow(run, "w long, uid long, at int")
+
+
+def _trimmed(contents: DataFrame) -> DataFrame:
+    """(h, c, start, size, part, content): the runs of windows of (h, c, content) whose hashes occur again; ``part`` stands for the bytes.
+
+    What a common passage has beside it, different everywhere, falls away, so that its runs become equal.
+    """
+    contents = settle(contents.withColumn("uid", F.monotonically_increasing_id()), "hot")
+    again = _windows(contents).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w")
+    kept = _windows(contents).join(again, "w", "left_semi").groupBy("uid").agg(F.sort_array(F.collect_list("at")).alias("at"))
+
+    def run(batches):
+        for batch in batches:
+            out: list[list] = [[], [], [], [], [], []]
+            for h, c, content, at in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                places = np.array(at)
+                cut = np.flatnonzero(np.diff(places) != 1) + 1
+                for part in np.split(places, cut):
+                    start, size = int(part[0]), len(part)
+                    data = content[start : start + size + LENGTH - 1]
+                    key = int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+                    for column, value in zip(out, (h, c, start, size, key, data), strict=True):
+                        column.append(value)
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=["h", "c", "start", "size", "part", "content"])
+
+    joined = contents.join(kept, "uid").select("h", "c", "content", "at")
+    return settle(bound_batches(joined).mapInArrow(run, "h long, c long, start int, size int, part long, content binary"), "trimmed")
+
+
+def _marked(held: DataFrame) -> DataFrame:
+    """(h, c, first, last): runs of repeated windows of the contents (h, c, content), found by the suffix families of their shards."""
+    total = held.count()
+    # at most MOST_HOT hashes have more contents than that
+    bound = max(HOT_RUNS, total // MOST_HOT)
+    hot = settle(held.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound).select("h"), "hashes")
+    cold, owned = held.select("h", "c", "content"), None
+    if hot.limit(1).count():
+        owned = _trimmed(cold.join(F.broadcast(hot), "h", "left_semi"))
+        parts = owned.groupBy("h", F.col("part").alias("c")).agg(F.first("content").alias("content"))
+        cold = settle(cold.join(F.broadcast(hot), "h", "left_anti").unionByName(parts), "contents")
+        total = cold.count()
+    partitions = max(1, -(-total // PARTITION_RUNS))
+    marked = cold.repartition(partitions, "h").mapInArrow(_repeated, "h long, c long, first int, last int")
+    if owned is None:
+        return marked
+    # back from the parts to the contents that hold them; a part of several contents is repeated whole
+    marked = settle(marked, "marked")
+    holders = owned.groupBy("h", "part").agg(F.count(F.lit(1)).alias("holders"))
+    many = holders.where("holders > 1").select("h", "part")
+    whole = owned.join(many, ["h", "part"], "left_semi").select("h", "c", F.col("start").alias("first"), (F.col("start") + F.col("size")).alias("last"))
+    few = owned.join(many, ["h", "part"], "left_anti").select("h", "part", F.col("c").alias("own"), "start")
+    single = marked.withColumnRenamed("c", "part").join(few, ["h", "part"]).select("h", F.col("own").alias("c"), (F.col("first") + F.col("start")).alias("first"), (F.col("last") + F.col("start")).alias("last"))
+    return marked.join(F.broadcast(hot), "h", "left_anti").unionByName(whole).unionByName(single)
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(a, b, first, last): the window starts from first up to last, exclusive, that are repeated in row (a, b).
 
@@ -258,8 +357,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
                 )
 
     held = settle(sliced.select("z", "runs").mapInArrow(slices, "h long, c long, content binary"), "contents")
-    partitions = max(1, -(-held.count() // PARTITION_RUNS))
-    marked = held.repartition(partitions, "h").select("h", "c", "content").mapInArrow(_repeated, "h long, c long, first int, last int")
+    marked = _marked(held)
     # a content with copies is repeated whole, whatever the family says of its windows
     whole = contents.where("copies > 1").select("h", "c", F.lit(0).alias("first"), F.col("size").alias("last"))
     single = contents.where("copies = 1").select("h", "c")

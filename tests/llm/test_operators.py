@@ -301,6 +301,20 @@ def test_repeated_spans_against_all_windows(spark):
     assert repeated_spans.repeat_digests(fixtures.empty(spark)).count() == 0
 
 
+def test_a_passage_with_other_bytes_beside_it_everywhere(spark, monkeypatch):
+    monkeypatch.setattr(repeated_spans, "HOT_RUNS", 20)
+    rng = random.Random(12)
+    passage = " ".join(str(rng.random()) for _ in range(30))
+    edited = lambda: "".join(c if rng.random() > 0.004 else "#" for c in passage)
+    texts = [f"{rng.random()} {passage} {rng.random()}" * (1 + i % 2) for i in range(60)] + [f"{rng.random()} {edited()} {rng.random()}" for _ in range(120)]
+    texts += ["periodic " * 60 + str(rng.random()) for _ in range(40)]
+    data = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    expected = collections.Counter((r[0], *x) for r, x in zip(data, brute_repeats([r[1].encode() for r in data]), strict=True))
+    hot, trimmed = [], repeated_spans._trimmed
+    monkeypatch.setattr(repeated_spans, "_trimmed", lambda contents: hot.append(1) or trimmed(contents))
+    assert collections.Counter(tuple(r) for r in repeated_spans.repeat_digests(fixtures.documents(spark, data)).collect()) == expected and hot
+
+
 def test_suffix_family_merges_and_finds_all_matches():
     rng = np.random.default_rng(0)
     contents = [rng.integers(0, 2, int(rng.integers(200, 230))).astype(np.uint8).tobytes() for _ in range(60)]
