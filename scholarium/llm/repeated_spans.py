@@ -10,8 +10,8 @@ texts are cut into about one run per hundred bytes. Three facts keep most runs a
 * equal runs are one run with a count, so copies cost one.
 
 What remains goes to its shard with its bytes. Where one hash has very many different contents, as a common passage
-with other bytes beside it everywhere, windows whose own hash occurs once are cut off first; what is left of the
-contents is mostly equal, and equal parts are one. A shard takes them in batches. Each batch gets a suffix
+with other bytes beside it everywhere, contents are cut further where the two next-smallest hashes change, and the three
+facts and the shards are those of all three hashes. A shard takes them in batches. Each batch gets a suffix
 array of its windows' starts, ordered by the LENGTH bytes there. It is merge-scanned against the array of
 every level for equal strings, then becomes a level of its own, and levels of like size merge, so there are
 logarithmically many. Matches mark the windows of both sides. Comparisons are of the bytes themselves.
@@ -42,6 +42,7 @@ BATCH_RUNS, PARTITION_RUNS, BLOCK = 1500, 4000, 32_768
 HOT_RUNS, MOST_HOT = 1000, 100_000
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _S = np.uint64(31)
+_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -240,59 +241,39 @@ def _repeated(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 10_000], t) for x, t in zip(out, types, strict=True)], names=["h", "c", "first", "last"])
 
 
-def window_hashes(data: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the LENGTH bytes at each place."""
-    n = len(data) - LENGTH + 1
-    words = np.ndarray(len(data) - 7, np.uint64, data, 0, (1,))
-    h = np.zeros(n, np.uint64)
-    for i in range(LENGTH // 8):
-        h = (h ^ words[8 * i : 8 * i + n]) * _M[i % 3]
-        h ^= h >> _S
-    h *= _M[0]
-    return h ^ (h >> _S)
-
-
-def _windows(contents: DataFrame) -> DataFrame:
-    """(w, uid, at): the hash of every window of (uid, content)."""
-
-    def run(batches):
-        for batch in batches:
-            sizes = np.array([len(v) for v in batch.column(1).to_pylist()])
-            n = sizes - LENGTH + 1
-            begins = np.cumsum(sizes) - sizes
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            w = window_hashes(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8))[np.repeat(begins, n) + at] if len(n) else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), n)), pa.array(at.astype(np.int32))], names=["w", "uid", "at"])
-
-    return bound_batches(contents.select("uid", "content")).mapInArrow(run, "w long, uid long, at int")
+def _runs_without(grams: np.ndarray, gone: np.uint64) -> list[tuple[int, int, np.uint64, np.ndarray]]:
+    """First window, number and smallest hash of the runs of windows that agree in it, one hash left aside, and their hashes without it."""
+    left = np.where(grams == gone, _NONE, grams)
+    least = window_minima(left, LENGTH - GRAM + 1)
+    cut = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1, [len(least)]]).tolist()
+    return [(a, b - a, least[a], left[a : b + LENGTH - GRAM]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def _trimmed(contents: DataFrame) -> DataFrame:
-    """(h, c, start, size, part, content): the runs of windows of (h, c, content) whose hashes occur again; ``part`` stands for the bytes.
+def _parts(contents: DataFrame) -> DataFrame:
+    """(key, h, c, start, size, part, twice, content): contents cut where the two next-smallest hashes of their windows change.
 
-    What a common passage has beside it, different everywhere, falls away, so that its runs become equal.
+    Equal windows agree in them, so they meet under ``key``; ``part`` stands for the bytes.
     """
-    contents = settle(contents.withColumn("uid", F.monotonically_increasing_id()), "hot")
-    again = _windows(contents).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w")
-    kept = _windows(contents).join(again, "w", "left_semi").groupBy("uid").agg(F.sort_array(F.collect_list("at")).alias("at"))
 
     def run(batches):
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for h, c, content, at in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                places = np.array(at)
-                cut = np.flatnonzero(np.diff(places) != 1) + 1
-                for part in np.split(places, cut):
-                    start, size = int(part[0]), len(part)
-                    data = content[start : start + size + LENGTH - 1]
-                    key = int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
-                    for column, value in zip(out, (h, c, start, size, key, data), strict=True):
-                        column.append(value)
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=["h", "c", "start", "size", "part", "content"])
-
-    joined = contents.join(kept, "uid").select("h", "c", "content", "at")
-    return settle(bound_batches(joined).mapInArrow(run, "h long, c long, start int, size int, part long, content binary"), "trimmed")
+            out: list[list] = [[], [], [], [], [], [], [], []]
+            for h, c, content in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                for at, _, second, grams in _runs_without(gram_hashes(_bytes(content)), np.array(h).view(np.uint64)[()]):
+                    for more, size, third, left in _runs_without(grams, second):
+                        start = at + more
+                        data = content[start : start + size + LENGTH - 1]
+                        key = hashlib.blake2b(h.to_bytes(8, "little", signed=True) + second.tobytes() + third.tobytes(), digest_size=8).digest()
+                        part = hashlib.blake2b(data, digest_size=8).digest()
+                        twice = bool(third == _NONE or np.count_nonzero(left == third) > 1)
+                        row = (int.from_bytes(key, "little", signed=True), h, c, start, size, int.from_bytes(part, "little", signed=True), twice, data)
+                        for column, value in zip(out, row, strict=True):
+                            column.append(value)
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=["key", "h", "c", "start", "size", "part", "twice", "content"])
+
+    cut = bound_batches(contents.select("h", "c", "content")).mapInArrow(run, "key long, h long, c long, start int, size int, part long, twice boolean, content binary")
+    return settle(cut, "parts")
 
 
 def _marked(held: DataFrame) -> DataFrame:
@@ -301,24 +282,28 @@ def _marked(held: DataFrame) -> DataFrame:
     # at most MOST_HOT hashes have more contents than that
     bound = max(HOT_RUNS, total // MOST_HOT)
     hot = settle(held.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound).select("h"), "hashes")
-    cold, owned = held.select("h", "c", "content"), None
+    cold, found = held.select("h", "c", "content"), None
     if hot.limit(1).count():
-        owned = _trimmed(cold.join(F.broadcast(hot), "h", "left_semi"))
-        parts = owned.groupBy("h", F.col("part").alias("c")).agg(F.first("content").alias("content"))
-        cold = settle(cold.join(F.broadcast(hot), "h", "left_anti").unionByName(parts), "contents")
+        found = _parts(cold.join(F.broadcast(hot), "h", "left_semi"))
+        # as with the contents themselves: equal parts are one, and those that meet no other part need no bytes
+        parts = found.groupBy("key", "part").agg(F.count(F.lit(1)).alias("holders"), F.max(F.col("twice").cast("int")).alias("twice"), F.first("content").alias("content"))
+        parts = settle(parts, "parts")
+        mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.max("twice").alias("any_twice")).where("kinds > 1 or any_twice = 1").select("key")
+        asked = parts.select("key", "part").join(mixed, "key", "left_semi")
+        sent = parts.join(asked, ["key", "part"], "left_semi").select(F.col("key").alias("h"), F.col("part").alias("c"), "content")
+        cold = settle(cold.join(F.broadcast(hot), "h", "left_anti").withColumn("own", F.lit(True)).unionByName(sent.withColumn("own", F.lit(False))), "contents")
         total = cold.count()
     partitions = max(1, -(-total // PARTITION_RUNS))
-    marked = cold.repartition(partitions, "h").mapInArrow(_repeated, "h long, c long, first int, last int")
-    if owned is None:
-        return marked
-    # back from the parts to the contents that hold them; a part of several contents is repeated whole
-    marked = settle(marked, "marked")
-    holders = owned.groupBy("h", "part").agg(F.count(F.lit(1)).alias("holders"))
-    many = holders.where("holders > 1").select("h", "part")
-    whole = owned.join(many, ["h", "part"], "left_semi").select("h", "c", F.col("start").alias("first"), (F.col("start") + F.col("size")).alias("last"))
-    few = owned.join(many, ["h", "part"], "left_anti").select("h", "part", F.col("c").alias("own"), "start")
-    single = marked.withColumnRenamed("c", "part").join(few, ["h", "part"]).select("h", F.col("own").alias("c"), (F.col("first") + F.col("start")).alias("first"), (F.col("last") + F.col("start")).alias("last"))
-    return marked.join(F.broadcast(hot), "h", "left_anti").unionByName(whole).unionByName(single)
+    if found is None:
+        return cold.repartition(partitions, "h").mapInArrow(_repeated, "h long, c long, first int, last int")
+    marks = lambda own: cold.where(F.col("own") == F.lit(own)).select("h", "c", "content").repartition(partitions, "h").mapInArrow(_repeated, "h long, c long, first int, last int")
+    # back from the parts to the contents that hold them; a part that several hold is repeated whole
+    several = parts.where("holders > 1").select("key", "part")
+    whole = found.join(several, ["key", "part"], "left_semi").select("h", "c", F.col("start").alias("first"), (F.col("start") + F.col("size")).alias("last"))
+    single = found.join(several, ["key", "part"], "left_anti").select("key", "part", "h", "c", "start")
+    inside = marks(False).select(F.col("h").alias("key"), F.col("c").alias("part"), "first", "last").join(single, ["key", "part"])
+    back = inside.select("h", "c", (F.col("first") + F.col("start")).alias("first"), (F.col("last") + F.col("start")).alias("last"))
+    return marks(True).unionByName(whole).unionByName(back)
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:

@@ -310,8 +310,8 @@ def test_a_passage_with_other_bytes_beside_it_everywhere(spark, monkeypatch):
     texts += ["periodic " * 60 + str(rng.random()) for _ in range(40)]
     data = [(i, t, "en", "a") for i, t in enumerate(texts)]
     expected = collections.Counter((r[0], *x) for r, x in zip(data, brute_repeats([r[1].encode() for r in data]), strict=True))
-    hot, trimmed = [], repeated_spans._trimmed
-    monkeypatch.setattr(repeated_spans, "_trimmed", lambda contents: hot.append(1) or trimmed(contents))
+    hot, parts = [], repeated_spans._parts
+    monkeypatch.setattr(repeated_spans, "_parts", lambda contents: hot.append(1) or parts(contents))
     assert collections.Counter(tuple(r) for r in repeated_spans.repeat_digests(fixtures.documents(spark, data)).collect()) == expected and hot
 
 
