@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -396,6 +397,58 @@ def test_quality_counts_and_thresholds_cover_all_trusted_rows(spark, monkeypatch
         assert all(abs(r.threshold / limit - 1) < 1e-9 and r.kept == (r.n_words > 0 and r.perplexity <= r.threshold) for r in found.values() if r.lang == lang)
 
 
+def test_trigram_probabilities_against_plain_sums():
+    """Interpolated modified Kneser-Ney as its definition has it, one probability at a time, over dictionaries."""
+    rng = random.Random(12)
+    tokens = quality.Tokens([f"w{i}" for i in range(12)])
+    texts = [" ".join(f"w{min(int(rng.expovariate(0.4)), 11)}" for _ in range(rng.randrange(0, 15))) for _ in range(60)]
+    three = collections.Counter(tuple(map(int, g)) for t in texts for g in tokens.grams(t))
+    two = collections.Counter((m, w) for _, m, w in three)
+    one = collections.Counter(w for _, w in two)
+
+    def discount(counts, n):
+        of = [sum(c == i for c in counts.values()) for i in range(1, 5)]
+        if min(of) == 0:
+            return (0, 0.5, 0.75, 0.9)[min(n, 3)]
+        y, i = of[0] / (of[0] + 2 * of[1]), min(n, 3)
+        return min(max(i - (i + 1) * y * of[i] / of[i - 1], 0.05), i - 0.05) if i else 0
+
+    def level(counts, history, w, lower):
+        own = {k: n for k, n in counts.items() if history is None or k[:-1] == history}
+        if not own:
+            return lower
+        total = sum(own.values())
+        taken = own.get(w if history is None else (*history, w), 0)
+        return (taken - discount(counts, taken) + lower * sum(discount(counts, n) for n in own.values())) / total
+
+    unique, counts = np.array(list(three)), np.array(list(three.values()))
+    model = quality.TrigramModel(tokens.size, unique, counts)
+    for _ in range(300):
+        u, m, w = (rng.randrange(tokens.size) for _ in range(3)) if rng.random() < 0.5 else rng.choice(list(three))
+        plain = level(three, (u, m), w, level(two, (m,), w, level(one, None, w, 1 / tokens.size)))
+        assert abs(math.exp(model.log_probabilities(np.array([[u, m, w]]))[0]) / plain - 1) < 1e-4
+
+
+def test_quantiles_by_bins_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(quality, "READ_ROWS", 3)
+    rng = random.Random(8)
+    for values in ([7.0] * 400, [1.0] * 399 + [1e9], [rng.lognormvariate(3, 2) for _ in range(2500)], [float(rng.randrange(1, 9)) for _ in range(900)], [5.0], [1.0, 2.0]):
+        rows = spark.createDataFrame([(v,) for v in values], "perplexity double")
+        for quantile in (0.999, 0.5):
+            monkeypatch.setattr(quality, "QUANTILE", quantile)
+            assert abs(quality._quantile(rows, len(values)) / np.quantile(values, quantile) - 1) < 1e-9
+
+
+def test_quality_of_odd_tables(spark):
+    docs = fixtures.documents(spark)
+    found = quality.quality(docs, fixtures.labels(spark, [(i, 1, 0) for i in (1, 2, 3, 6, 13)] + [(None, 1, 0), (1, None, None), (1, 1, 0)])).collect()
+    assert collections.Counter(r.doc_id for r in found) == collections.Counter(r[0] for r in fixtures.rows())
+    assert all(math.isfinite(r.perplexity) for r in found) and not any(r.kept for r in found if r.doc_id in (4, 5, 12))
+    assert len({(r.perplexity, r.n_words, r.kept) for r in found if r.doc_id in (1, 2)}) == 1
+    kept = quality.keep_quality(docs, fixtures.labels(spark, [(i, 1, 0) for i in (1, 2, 3)]))
+    assert kept.columns == docs.columns and all(r.score == "clash" for r in kept.collect())
+
+
 def test_mixing_targets_and_words_taken(spark):
     rng = random.Random(6)
     data = fixtures.rows() + [(500 + i, "w " * rng.randint(0, 40), "en", rng.choice("aabcdefg")) for i in range(400)]
