@@ -3,6 +3,11 @@
 The stages are the text operators of ``scholarium.llm``: the quality filter, near-duplicates, redaction of
 personal data, mixing to target weights, SentencePiece ids. All but the last return the columns of
 ``documents``. SQL can't express them, so ``ORACLE_SQL`` is None and the tests use brute force.
+
+Null and empty texts, and those without words, go in the first stage. Rows without a doc_id are nobody's copies and stay. Rows that share
+a doc_id are one document: all of them stay or go, so an exactly repeated row stays as often as it stands there; of different ids the smallest
+is kept, which also decides ties. Whole texts count at any length. Columns beyond those of ``documents``, whatever their names, are carried up
+to the last stage, which returns its own columns alone. Empty tables give empty tables.
 """
 
 from __future__ import annotations
