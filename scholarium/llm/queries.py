@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import ball_tree, identifiers, licenses, mixing, near_duplicates, quality, repeated_spans, sentencepieces, toxicity, transport_stream
+from . import ball_tree, centroids, identifiers, licenses, mixing, near_duplicates, quality, repeated_spans, sentencepieces, token_alignment, token_codes, toxicity, transport_stream
 from .common import spread, table
 
 
@@ -63,6 +63,21 @@ def op5_repeated_spans(spark, sf_dir):
     return repeated_spans.repeat_digests(_documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark, sf_dir):
+    """Every document's tokens of two vocabularies, aligned in groups."""
+    return token_alignment.align_documents(_documents(spark, sf_dir))
+
+
+def op12_centroid_clusters(spark, sf_dir):
+    """Every vector's nearest of forty centroids after five rounds by Orchard's search."""
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_codes(spark, sf_dir):
+    """Every document's token ids from files of directly addressable codes."""
+    return token_codes.token_digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline`` over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -79,12 +94,16 @@ _QUERIES = (
     op8_mix_sources,
     op9_near_duplicates,
     op10_license_scan,
+    op11_token_alignment,
+    op12_centroid_clusters,
+    op13_token_codes,
     pipeline,
 )
 
 _ORACLES = {
     "op8_mix_sources": mixing.ORACLE,
     "op6_top_k": ball_tree.ORACLE,
+    "op12_centroid_clusters": centroids.ORACLE,
 }
 
 
