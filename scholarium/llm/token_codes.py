@@ -12,7 +12,7 @@ manifest, and what is not listed there is no part of the table. So a lost execut
 
 Documents stand in ascending order of their id: one range shuffle, by id and a hash of the text, so that an id that many
 rows share is dealt as well. Ids that are null come first, and rows that share an id are ordered by their texts. Null and empty
-texts have the end id alone. Words between ASCII blanks are encoded once a task and remembered within a bound, where the
+texts have the end id alone. Words between ASCII blanks are encoded once a worker process and remembered within a bound, where the
 tokenizer drops blanks and takes no notice of them otherwise; with other tokenizers whole texts are encoded. Strings of
 special tokens in a text become these tokens, as the library does by default. An empty table gives no documents and an
 empty list of files. Columns other than the id and the text are not read.
@@ -20,6 +20,7 @@ empty list of files. Columns other than the id and the text are not read.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import struct
@@ -43,8 +44,8 @@ DEFAULT_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END_ID = 2
 #: Ids of a segment, and of what one task reads again.
 SEGMENT_TOKENS, READ_TOKENS = 1 << 20, 1 << 22
-#: Words that a task remembers, and their bytes.
-REMEMBERED, REMEMBERED_BYTES = 500_000, 64 << 20
+#: Words that a worker process remembers, and their bytes.
+REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64 << 20
 BLOCK_BITS = 512
 MAGIC = b"DACODES1"
 MANIFEST = "_manifest.json"
@@ -355,48 +356,59 @@ def drops_blanks(config: dict) -> bool:
     return not held and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or set(t["content"]) & set(BLANKS) for t in config["added_tokens"])
 
 
+class _Words(dict):
+    """Ids of words, encoded when they are first asked for; once it is full, further words aren't kept."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.held = encode, 0
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encode([word.decode()])[0]
+        if len(self) < REMEMBERED and self.held < REMEMBERED_BYTES:
+            self[word] = ids
+            self.held += len(word) + len(ids)
+        return ids
+
+
 class Encoder:
     """A tokenizer of the tokenizers library, which writes texts as little-endian 32-bit ids."""
 
-    def __init__(self, path: str, end: int | None = END_ID):
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             self.by_word = drops_blanks(json.load(file))
-        self.end = b"" if end is None else struct.pack("<I", end)
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
+        self.known = _Words(self._encode)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, texts: Iterable[str | None]) -> list[bytes]:
+    def __call__(self, texts: Iterable[str | None], end: bytes = b"") -> list[bytes]:
         texts = [t or "" for t in texts]
         if not self.by_word:
-            return [ids + self.end for ids in self._encode(texts)]
-        words = [t.encode().split() for t in texts]  # at ASCII blanks
-        new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED or self.held > REMEMBERED_BYTES:
-            self.known, self.held = {}, 0
-            new = set().union(*words)
-        if new:
-            ordered = list(new)
-            for word, ids in zip(ordered, self._encode([w.decode() for w in ordered]), strict=True):
-                self.known[word] = ids
-                self.held += len(word) + len(ids)
+            return [ids + end for ids in self._encode(texts)]
         of = self.known.__getitem__
-        return [b"".join([*map(of, w), self.end]) for w in words]
+        return [b"".join([*map(of, t.encode().split()), end]) for t in texts]  # at ASCII blanks
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """A worker's encoder of a file: its tasks share the words."""
+    return Encoder(path)
 
 
 def encode_tokens(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None, end: int | None = END_ID) -> DataFrame:
     """(doc_id, ids): each whole text's ids and the end id, as little-endian 32-bit numbers. A map."""
     path = path or tokenizer_path()
 
+    last = b"" if end is None else struct.pack("<I", end)
+
     def start():
-        encoder = Encoder(path, end)
-        return lambda texts: [encoder(texts)]
+        encode = encoder(path)
+        return lambda texts: [encode(texts, last)]
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return map_column(rows, "text", ["doc_id"], [("ids", T.BinaryType())], start)

@@ -213,12 +213,12 @@ def test_words_are_encoded_alone_only_where_blanks_are_dropped():
     assert token_codes.drops_blanks(config)
     assert not token_codes.drops_blanks(json.load(open(token_alignment.paths()[0], encoding="utf-8")))
     assert not token_codes.drops_blanks(config | {"normalizer": {"type": "Strip", "strip_left": True, "strip_right": True}})
-    encoder = token_codes.Encoder(token_alignment.paths()[0], None)
+    encoder = token_codes.Encoder(token_alignment.paths()[0])
     assert encoder(["a  b"]) == [b"".join(struct.pack("<I", i) for i in encoder.tokenizer.encode("a  b").ids)]
 
 
 def test_words_alone_equal_whole_texts():
-    encoder = token_codes.Encoder(token_codes.tokenizer_path(), None)
+    encoder = token_codes.Encoder(token_codes.tokenizer_path())
     random.seed(9)
     alphabet = ["a", "Word", " ", " ", "\n", "é", "é", "'s", "'", "...", "9", "日", "　", "\t", "\x85", "\x1c", "́", "İ", "Σ", "<|endoftext|>", "\x0b", "ﬁ"]
     texts = ["".join(random.choices(alphabet, k=random.randrange(1, 30))) for _ in range(500)]
