@@ -22,11 +22,12 @@ empty table gives no rows. Columns other than the id and the text are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 import re
 import zlib
-from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,11 @@ from .common import bound_batches, settle
 DEFAULT_A = "/opt/tokenizers/byte_bpe_50k.json"
 DEFAULT_B = "/opt/tokenizers/piece_bpe_32k.model"
 META = "▁"
-#: A block ends after the document that brings it to so many chunks, or its distinct chunks to so many bytes.
-BLOCK_CHUNKS, BLOCK_BYTES = 1 << 21, 32 << 20
+#: A block ends after the document that brings it to so many chunks, or its distinct chunks to so many bytes, at CHUNK_BYTES each
+#: besides what they hold.
+BLOCK_CHUNKS, BLOCK_BYTES, CHUNK_BYTES = 1 << 21, 128 << 20, 300
+#: Chunks whose alignment a worker process remembers, and the length of the longest.
+REMEMBERED, LONGEST = 200_000, 64
 #: Chunks that are encoded and aligned at once.
 STEP = 1 << 14
 #: Characters that count as white space in the patterns of tokenizers.
@@ -82,7 +86,7 @@ class ByteSide:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of blank and text."""
-        return [e.ids for e in self.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
 class PieceSide:
@@ -134,9 +138,10 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteSide(path_a), PieceSide(path_b)
         self.cuts = self.a.cuts and self.b.cuts
+        self.known: dict[str, tuple] = {}
         self.size_a, self.size_b = (np.array([len(x) for x in side.bytes], np.int64) for side in (self.a, self.b))
 
-    @cached_property
+    @functools.cached_property
     def shown(self) -> list[str]:
         """Ids in decimal."""
         return [str(i) for i in range(max(len(self.a.bytes), len(self.b.bytes)))]
@@ -145,8 +150,16 @@ class Aligner:
         """The chunks of blank and text, without the blank in front of each."""
         return _CHUNK_END.split(text) if self.cuts else [text]
 
-    def align(self, texts: list[str]) -> list[tuple[bool, int, int, str, np.ndarray]]:
-        """For blank and each text: sound, tokens of A and of B, groups as text, and the id pair (a << 32 | b) of each link."""
+    def chunk(self, texts: list[str]) -> list[tuple]:
+        """The alignments of chunks, some of which are remembered."""
+        new = [t for t in texts if t not in self.known]
+        found = dict(zip(new, self.align(new), strict=True))
+        room = max(REMEMBERED - len(self.known), 0)
+        self.known.update(islice(((t, a) for t, a in found.items() if len(t) <= LONGEST), room))
+        return [found[t] if t in found else self.known[t] for t in texts]
+
+    def align(self, texts: list[str]) -> list[tuple[bool, int, int, str, bytes]]:
+        """For blank and each text: sound, tokens of A and of B, groups as text, and the id pairs (a << 32 | b) of the links as 64-bit numbers."""
         coded_a, coded_b = self.a.encode(texts), self.b.encode(texts)
         sound = [b"".join([self.a.bytes[i] for i in x]) == (raw := b" " + t.encode()) and b"".join([self.b.bytes[i] for i in y]) == raw for x, y, t in zip(coded_a, coded_b, texts, strict=True)]
         whole = [i for i, s in enumerate(sound) if s]
@@ -155,10 +168,10 @@ class Aligner:
         ends_a, ends_b = self.size_a[ids_a].cumsum(), self.size_b[ids_b].cumsum()
         of_a, of_b, _ = labels(ends_a, ends_b)
         link_a, link_b = links(ends_a, ends_b)
-        pairs = ids_a[link_a] << 32 | ids_b[link_b]
+        pairs = (ids_a[link_a] << 32 | ids_b[link_b]).tobytes()
         # tokens and links of text i, and those before it; a link's text is its token's
         text_of = np.repeat(np.arange(len(whole)), n_a)
-        first_link = np.searchsorted(text_of[link_a], np.arange(len(whole) + 1)).tolist()
+        first_link = (8 * np.searchsorted(text_of[link_a], np.arange(len(whole) + 1))).tolist()
         first_a, first_b = ([0, *n.cumsum().tolist()] for n in (n_a, n_b))
         # a separator after each token: none within a group, a bar or a semicolon between groups
         last_a, last_b = (np.flatnonzero(np.diff(of, append=-1)).tolist() for of in (of_a, of_b))
@@ -169,12 +182,18 @@ class Aligner:
             groups.append(",".join(text_a[at_a : end_a + 1]) + "|" + ",".join(text_b[at_b : end_b + 1]))
             at_a, at_b = end_a + 1, end_b + 1
         first_group = np.searchsorted(np.array(last_a, np.int64), np.array(first_a, np.int64)).tolist()
-        out: list = [(False, 0, 0, "", np.zeros(0, np.int64))] * len(texts)
+        out: list = [(False, 0, 0, "", b"")] * len(texts)
         for k, i in enumerate(whole):
             out[i] = (True, first_a[k + 1] - first_a[k], first_b[k + 1] - first_b[k], ";".join(groups[first_group[k] : first_group[k + 1]]), pairs[first_link[k] : first_link[k + 1]])
         return out
 
 
+@functools.cache
+def aligner(path_a: str, path_b: str) -> Aligner:
+    """A worker's aligner of two vocabularies: its tasks share what it remembers."""
+    return Aligner(path_a, path_b)
+
+
 class Block:
     """Documents that are aligned together: distinct chunks once, documents as numbers of chunks."""
 
@@ -187,7 +206,7 @@ class Block:
         self.sound: list[bool] = []
         self.counts: list[tuple[int, int, int, int]] = []  # tokens of A, of B, groups, links
         self.groups: list[str] = []
-        self.pairs: list[np.ndarray] = []
+        self.pairs: list[bytes] = []
 
     @property
     def full(self) -> bool:
@@ -197,13 +216,13 @@ class Block:
         cut = [self.aligner.chunks(t) if t else [] for t in texts]
         new = list(dict.fromkeys(c for chunks in cut for c in chunks if c not in self.number))
         for at in range(0, len(new), STEP):
-            for chunk, (sound, n_a, n_b, groups, pairs) in zip(new[at : at + STEP], self.aligner.align(new[at : at + STEP]), strict=True):
+            for chunk, (sound, n_a, n_b, groups, pairs) in zip(new[at : at + STEP], self.aligner.chunk(new[at : at + STEP]), strict=True):
                 self.number[chunk] = len(self.number)
                 self.sound.append(sound)
-                self.counts.append((n_a, n_b, groups.count(";") + 1 if groups else 0, len(pairs)))
+                self.counts.append((n_a, n_b, groups.count(";") + 1 if groups else 0, len(pairs) // 8))
                 self.groups.append(groups)
                 self.pairs.append(pairs)
-                self.bytes += len(chunk) + len(groups) + 8 * len(pairs)
+                self.bytes += CHUNK_BYTES + len(chunk) + len(groups) + len(pairs)
         for key, chunks in zip(ids, cut, strict=True):
             sequence = [self.number[c] for c in chunks]
             if not all([self.sound[i] for i in sequence]):
@@ -218,8 +237,8 @@ class Block:
         counts = np.array(self.counts, np.int64).reshape(-1, 4)
         sizes = np.array([len(s) for s in self.sequences], np.int64)
         flat = np.concatenate(self.sequences) if self.sequences else np.zeros(0, np.int32)
-        lengths = np.array([len(p) for p in self.pairs], np.int64)
-        every = np.concatenate(self.pairs) if self.pairs else np.zeros(0, np.int64)
+        lengths = np.array([len(p) // 8 for p in self.pairs], np.int64)
+        every = np.frombuffer(b"".join(self.pairs), np.int64)
         pairs, place = np.unique(every, return_inverse=True)
         times = np.bincount(flat, minlength=len(lengths))
         n = np.bincount(place, weights=np.repeat(times, lengths), minlength=len(pairs)).astype(np.int64)
@@ -269,8 +288,8 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        aligner, task = Aligner(path_a, path_b), TaskContext.get().partitionId()
-        block, done = Block(aligner), 0
+        own, task = aligner(path_a, path_b), TaskContext.get().partitionId()
+        block, done = Block(own), 0
 
         def out():
             row = {"block": f"{task}/{done}"} | block.row()
@@ -282,7 +301,7 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 block.add(ids[at : at + 64], texts[at : at + 64])
                 if block.full:
                     yield out()
-                    block, done = Block(aligner), done + 1
+                    block, done = Block(own), done + 1
         if block.docs:
             yield out()
 
