@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import state as st
 from ..sources import readers as rd
-from ..sources.landing import fresh_path
+from ..sources.landing import fresh_path, settle
+from ..sources.store import KeyedStore, take_incoming
 from ..streaming.ingest import EVENTS
-from .base import query, table
+from .base import ORACLES, query, table
 
 # Existing: orders whose key 3 doesn't divide. Incoming: even keys, some values missing where 5 divides, and a newer
 # second row where 7 divides.
@@ -59,9 +60,52 @@ def m3_merge_metadata_fill_gaps(spark, sf_dir):
 @query("""SELECT CAST(l_orderkey AS VARCHAR) AS content_id, CAST(l_suppkey AS VARCHAR) AS organisation_id, CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag END AS evidence_text, max(l_discount) AS confidence,
   coalesce(max(CASE WHEN l_linenumber % 2 = 1 AND l_tax > 0.02 THEN 'u' || CAST(l_partkey AS VARCHAR) END), max(CASE WHEN l_linenumber % 2 = 0 AND l_tax > 0.02 THEN 'u' || CAST(l_partkey AS VARCHAR) END)) AS url FROM lineitem GROUP BY 1, 2, 3""")
 def m4_merge_evidence(spark, sf_dir):
+    return st.merge_evidence(*_evidence_rows(spark, sf_dir), ["content_id", "organisation_id", "evidence_text"])
+
+
+def _evidence_rows(spark, sf_dir):
     url = F.when(F.col("l_tax") > 0.02, F.concat(F.lit("u"), F.col("l_partkey").cast("string")))
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("content_id"), F.col("l_suppkey").alias("organisation_id"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("evidence_text"), F.col("l_discount").alias("confidence"), url.alias("url"), (F.col("l_linenumber") % 2).alias("odd"))
-    return st.merge_evidence(rows.where("odd = 0").drop("odd"), rows.where("odd = 1").drop("odd"), ["content_id", "organisation_id", "evidence_text"])
+    return rows.where("odd = 0").drop("odd"), rows.where("odd = 1").drop("odd")
+
+
+def _stored(spark, name, old, new, key, merge, outcomes: bool = False):
+    """A store of the old rows with the new ones merged in, delivered twice."""
+    store = KeyedStore(spark, fresh_path(spark, name), old.schema, key)
+    store.update(old, take_incoming, 0)
+    new = settle(new, "incoming")
+    for _ in range(2):
+        store.update(new, merge, 1, outcomes)
+    return store
+
+
+def _stored_merge(spark, sf_dir, name, rules):
+    merge = lambda old, new: st.merge(old, new, ["k"], rules, ["age"], {"status": F.lit("INGESTED")})
+    return _stored(spark, name, _existing(spark, sf_dir), _incoming(spark, sf_dir), ["k"], merge, outcomes=True).outcomes(1)
+
+
+@query(ORACLES["m1_merge_items"])
+def m1_stored_items(spark, sf_dir):
+    return _stored_merge(spark, sf_dir, "items", {"title": "new", "summary": "new_if_filled", "score": "old_if_set"})
+
+
+@query(ORACLES["m2_merge_metadata_overwrite"])
+def m2_stored_metadata_overwrite(spark, sf_dir):
+    return _stored_merge(spark, sf_dir, "metadata", {"title": "new", "summary": "new", "score": "new_if_set"})
+
+
+@query(ORACLES["m3_merge_metadata_fill_gaps"])
+def m3_stored_metadata_fill_gaps(spark, sf_dir):
+    return _stored_merge(spark, sf_dir, "metadata", {"title": "old_if_filled", "summary": "old_if_filled", "score": "old_if_set"})
+
+
+@query(ORACLES["m4_merge_evidence"])
+def m4_stored_evidence(spark, sf_dir):
+    keys = ["content_id", "organisation_id", "evidence_text"]
+    old, new = _evidence_rows(spark, sf_dir)
+    held = st.merge_evidence(old, old.limit(0), keys)
+    merge = lambda old, new: st.merge_evidence(old, new, keys)
+    return _stored(spark, "evidence", held, new, ["content_id"], merge).read()
 
 
 _KINDS = "CASE l_linenumber % 3 WHEN 0 THEN 'email_domain' WHEN 1 THEN 'explicit_affiliation_text' ELSE 'paper_specific_openalex' END"
@@ -82,12 +126,28 @@ def m5_recompute_local_evidence(spark, sf_dir):
     return out.groupBy("content_id", "evidence_type", "organisation_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(ORACLES["m5_recompute_local_evidence"])
+def m5_stored_local_evidence(spark, sf_dir):
+    touched = table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0")
+    derived = touched.select(F.col("o_orderkey").alias("content_id"), F.lit("email_domain").alias("evidence_type"), F.col("o_custkey").alias("organisation_id"))
+    merge = lambda old, new: st.replace_kinds(old, new, ("email_domain", "explicit_affiliation_text"), "content_id", new)
+    out = _stored(spark, "evidence", _evidence(spark, sf_dir), derived, ["content_id"], merge).read()
+    return out.groupBy("content_id", "evidence_type", "organisation_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""SELECT l_orderkey AS content_id, l_suppkey % 50 AS person_id, coalesce(max(l_linenumber) FILTER (WHERE l_linenumber > 3), max(l_linenumber)) AS position, max(l_discount) AS confidence FROM lineitem GROUP BY 1, 2""")
 def m6_merge_people(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("content_id"), (F.col("l_suppkey") % 50).alias("person_id"), F.col("l_linenumber").alias("position"), F.col("l_discount").alias("confidence"))
     return st.merge_people(rows.where("position <= 3"), rows.where("position > 3"))
 
 
+@query(ORACLES["m6_merge_people"])
+def m6_stored_people(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("content_id"), (F.col("l_suppkey") % 50).alias("person_id"), F.col("l_linenumber").alias("position"), F.col("l_discount").alias("confidence"))
+    first = rows.where("position <= 3")
+    return _stored(spark, "people", st.merge_people(first, first.limit(0)), rows.where("position > 3"), ["content_id"], st.merge_people).read()
+
+
 @query("""WITH old AS (SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'F' THEN 'COMPLETED' ELSE 'ERROR' END AS status, o_totalprice AS score FROM orders WHERE o_orderkey % 3 <> 0), inc AS (SELECT o_orderkey AS k, 1.0::DOUBLE AS score FROM orders WHERE o_orderkey % 2 = 0)
   SELECT coalesce(o.k, i.k) AS k, CASE WHEN o.status = 'COMPLETED' OR i.k IS NULL THEN o.status ELSE 'COMPLETED' END AS status, CASE WHEN o.status = 'COMPLETED' OR i.k IS NULL THEN o.score ELSE i.score END AS score FROM old o FULL JOIN inc i ON o.k = i.k""")
 def m7_merge_assessment(spark, sf_dir):
@@ -96,6 +156,14 @@ def m7_merge_assessment(spark, sf_dir):
     return st.merge_unless_completed(old, inc, ["k"], ["age"]).drop("outcome")
 
 
+@query(ORACLES["m7_merge_assessment"])
+def m7_stored_assessment(spark, sf_dir):
+    old = _existing(spark, sf_dir).select("k", F.when(F.col("status") == "F", "COMPLETED").otherwise("ERROR").alias("status"), "score")
+    inc = table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.lit("COMPLETED").alias("status"), F.lit(1.0).alias("score"), F.lit(1).alias("age"))
+    merge = lambda old, new: st.merge_unless_completed(old, new, ["k"], ["age"])
+    return _stored(spark, "assessments", old, inc, ["k"], merge).read()
+
+
 @query("""SELECT content_id, metric, n FROM (SELECT l_orderkey AS content_id, l_returnflag AS metric, count(*) AS n FROM lineitem WHERE l_orderkey % 5 <> 0 OR l_orderkey NOT IN (SELECT o_orderkey FROM orders) GROUP BY 1, 2 UNION ALL SELECT o_orderkey, 'fresh', 1 FROM orders WHERE o_orderkey % 5 = 0)""")
 def m8_replace_children(spark, sf_dir):
     old = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("content_id"), F.col("l_returnflag").alias("metric"))
@@ -103,16 +171,34 @@ def m8_replace_children(spark, sf_dir):
     return st.replace_children(old, new, "content_id").groupBy("content_id", "metric").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(ORACLES["m8_replace_children"])
+def m8_stored_children(spark, sf_dir):
+    old = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("content_id"), F.col("l_returnflag").alias("metric"))
+    new = table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("content_id"), F.lit("fresh").alias("metric"))
+    merge = lambda old, new: st.replace_children(old, new, "content_id")
+    return _stored(spark, "claims", old, new, ["content_id"], merge).read().groupBy("content_id", "metric").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(_merge_sql("i.title", "coalesce(i.summary, o.summary)", "greatest(o.score, i.score)"))
 def m9_merge_relevance(spark, sf_dir):
     return _merged(spark, sf_dir, {"title": "new", "summary": "new_if_set", "score": "greatest"})
 
 
+@query(ORACLES["m9_merge_relevance"])
+def m9_stored_relevance(spark, sf_dir):
+    return _stored_merge(spark, sf_dir, "relevance", {"title": "new", "summary": "new_if_set", "score": "greatest"})
+
+
 @query(_merge_sql("i.title", "i.summary", "i.score"))
 def m10_merge_final_scores(spark, sf_dir):
     return _merged(spark, sf_dir, {"title": "new", "summary": "new", "score": "new"})
 
 
+@query(ORACLES["m10_merge_final_scores"])
+def m10_stored_final_scores(spark, sf_dir):
+    return _stored_merge(spark, sf_dir, "scores", {"title": "new", "summary": "new", "score": "new"})
+
+
 @query("""SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'O' AND o_orderkey % 4 <> 0 THEN CASE WHEN o_totalprice / 40000 >= 5 THEN 'RELEVANT' ELSE 'REJECTED' END WHEN o_orderstatus = 'O' THEN 'INGESTED' WHEN o_orderstatus = 'P' THEN 'REJECTED' ELSE 'SCORED' END AS status,
   CASE WHEN o_orderstatus = 'O' AND o_orderkey % 4 <> 0 THEN 'v3' WHEN o_orderstatus = 'P' THEN 'v0' END AS relevance_version, CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice / 40000 END AS score FROM orders""")
 def m11_relevance_transition(spark, sf_dir):

@@ -38,6 +38,12 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark, path: str) -> bool:
+    """Whether there is a file or folder, on whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove(spark, path: str) -> None:
     """Delete a folder that is read no more, on whatever file system it lies."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

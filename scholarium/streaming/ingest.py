@@ -1,9 +1,9 @@
 """Incremental ingest of landed feed files by Structured Streaming.
 
 Each micro-batch parses the new files, drops what lies before the cutoff and merges the rest by canonical
-URL. A batch writes the rows that it touched; every SNAPSHOT_EVERY batches all rows are written, and what lies before
-is deleted once that batch is committed. A batch that is replayed reads the state before it and writes the same
-again, so delivery twice has the effect of once. A run without new files returns the state as it is.
+URL into a keyed store, of which it reads and writes the buckets of its own URLs alone. The store leaves out buckets that have the
+batch already, so delivery twice has the effect of once, also where a batch broke off halfway. A run without new files returns
+the state as it is.
 """
 
 from __future__ import annotations
@@ -15,28 +15,28 @@ from ..operators import joins as jn
 from ..operators import state as st
 from ..sources.landing import remove
 from ..sources.readers import FEED, feed_items
+from ..sources.store import BUCKETS, KeyedStore
 
 ITEMS = "canonical_url string, external_id string, title string, feed string, published_at timestamp, source_seen_at timestamp, status string"
 MARKS = "source string, last_published_at timestamp, last_external_id string, items_total long, last_batch long"
 RULES = {"external_id": "new_if_set", "title": "new", "feed": "new_if_set", "published_at": "new_if_set", "source_seen_at": "old_if_set"}
 EVENTS = {"new": "upsert", "updated": "ingest_duplicate_preserved"}
-SNAPSHOT_EVERY = 16
 
 
-def merge_batch(items: DataFrame, marks: DataFrame, fresh: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
-    """Items with ``outcome``, and watermarks, with one batch of feed items merged in."""
-    merged = st.merge(items, fresh, ["canonical_url"], RULES, ["source_seen_at", "external_id"], {"status": F.lit("INGESTED")})
+def merge_items(items: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Items with ``outcome``, with feed items merged in."""
+    return st.merge(items, fresh, ["canonical_url"], RULES, ["source_seen_at", "external_id"], {"status": F.lit("INGESTED")})
+
+
+def merge_marks(marks: DataFrame, fresh: DataFrame, number: int) -> DataFrame:
+    """Watermarks with one batch of feed items counted in."""
     counted = fresh.select(F.col("feed").alias("source"), "published_at", "external_id").where("source is not null")
-    return merged, st.watermarks(marks, counted, F.lit(number).cast("long"))
+    return st.watermarks(marks, counted, F.lit(number).cast("long"))
 
 
-def items_after(spark, state: str, number: int) -> DataFrame:
-    """All items after a batch: the newest version of each since the last whole table."""
-    if number < 0:
-        return spark.createDataFrame([], ITEMS)
-    rows = spark.read.schema(f"{ITEMS}, batch int").parquet(f"{state}/items")
-    rows = rows.where(F.col("batch").between(number - number % SNAPSHOT_EVERY, number))
-    return jn.latest_per_key(rows, "canonical_url", ["batch"]).drop("batch")
+def items_store(spark, state: str, buckets: int = BUCKETS) -> KeyedStore:
+    """The items by canonical URL."""
+    return KeyedStore(spark, f"{state}/items", ITEMS, ["canonical_url"], buckets)
 
 
 def marks_after(spark, state: str, number: int) -> DataFrame:
@@ -54,21 +54,18 @@ def last_batch(spark, state: str) -> int:
     return log.agg(F.coalesce(F.max("number"), F.lit(-1)).alias("n")).first().n
 
 
-def ingest(spark, landed: str, state: str, cutoff: str, files_per_batch: int = 4) -> tuple[DataFrame, DataFrame]:
+def ingest(spark, landed: str, state: str, cutoff: str, files_per_batch: int = 4, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
     """Run over all files landed so far; returns the items and watermarks after the last batch."""
 
     def each(batch: DataFrame, number: int) -> None:
         own = batch.sparkSession
         parsed = feed_items(batch).select("canonical_url", "external_id", "title", "feed", "published_at", "source_seen_at")
         fresh = jn.lookback(parsed, "published_at", cutoff).persist()
-        before = items_after(own, state, number - 1)
-        # between whole tables a batch reads and writes the rows of its own keys alone
-        whole = number % SNAPSHOT_EVERY == 0
-        old = before if whole else before.join(fresh.select("canonical_url").distinct(), "canonical_url", "left_semi")
-        merged, marks = merge_batch(old, marks_after(own, state, number - 1), fresh, number)
-        merged.write.mode("overwrite").parquet(f"{state}/items/batch={number}")
+        store = items_store(own, state, buckets)
+        store.update(fresh, merge_items, number, outcomes=True)
+        marks = merge_marks(marks_after(own, state, number - 1), fresh, number)
         marks.write.mode("overwrite").parquet(f"{state}/marks/batch={number}")
-        written = own.read.schema(f"{ITEMS}, outcome string").parquet(f"{state}/items/batch={number}").where("outcome <> 'kept'")
+        written = store.rows_of(fresh, outcomes=number).where("outcome <> 'kept'")
         details = F.to_json(F.struct("title", (F.col("outcome") == "new").alias("is_new"), F.col("status").alias("existing_status"), "canonical_url"))
         log = st.event_log(written, F.lit(f"batch-{number}"), "ingest", "canonical_url", EVENTS, details=details)
         log.write.mode("overwrite").parquet(f"{state}/events/batch={number}")
@@ -76,12 +73,8 @@ def ingest(spark, landed: str, state: str, cutoff: str, files_per_batch: int = 4
         # what is read no more: the batch before this one is committed
         if number > 1:
             remove(own, f"{state}/marks/batch={number - 2}")
-        if number > SNAPSHOT_EVERY and number % SNAPSHOT_EVERY == 1:
-            for n in range(number - 1 - SNAPSHOT_EVERY, number - 1):
-                remove(own, f"{state}/items/batch={n}")
 
     stream = spark.readStream.schema(FEED).option("maxFilesPerTrigger", files_per_batch).json(landed)
     run = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
-    last = last_batch(spark, state)
-    return items_after(spark, state, last), marks_after(spark, state, last)
+    return items_store(spark, state, buckets).read(), marks_after(spark, state, last_batch(spark, state))
