@@ -14,6 +14,10 @@ Ties go to the smaller id. Rows whose vector is null, or holds a null or non-fin
 queries only meet vectors of their own length; equal rows are all candidates, but those with the query's
 own id; an id with several vectors is asked with each and has one list of the best of all. A query with no
 candidates has no rows, and an empty table gives none.
+
+Scores are exact at any size of components: where sums of products might pass 2^53, doubles only choose which rows of a leaf
+could reach the kth score, with a margin above their rounding, and these are multiplied in whole numbers. Components
+beyond a long's range are held at its limits, and so are scores, which tie there.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS, MOST_PIVOTS = 16_384, 65_536, 192, 1_024
 #: Shards of a query's second wave, and bytes of a tree in one row.
 WAVE, PART_BYTES = 4, 1 << 16
 SEED = 17
+#: A long's limit, and the double next to the lower one that isn't below it.
+LONG, LOWEST = (1 << 63) - 1, -float((1 << 63) - 1024)
 
 
 class BallTree:
@@ -65,15 +71,18 @@ class BallTree:
                 stack += [(a, middle, number, 0), (middle, b, number, 1)]
         self.vectors, self.ids = np.ascontiguousarray(vectors[order]), ids[order]
         self.centres, self.radii = np.array(centres), np.array(radii)
+        self.most = float(np.abs(vectors).max(initial=0))
 
     def pack(self) -> bytes:
         """The tree as bytes; components are whole numbers."""
-        return pickle.dumps((self.nodes, self.vectors.astype(np.int64 if np.abs(self.vectors).max() >= 1 << 31 else np.int32), self.ids, self.centres, self.radii))
+        # a double that is a whole number and beyond 64 bits stays a double
+        kind = np.int32 if self.most < 1 << 31 else np.int64 if self.most < 1 << 62 else np.float64
+        return pickle.dumps((self.nodes, self.vectors.astype(kind), self.ids, self.centres, self.radii, self.most))
 
     @classmethod
     def unpack(cls, data: bytes) -> BallTree:
         out = cls.__new__(cls)
-        out.nodes, vectors, out.ids, out.centres, out.radii = pickle.loads(data)
+        out.nodes, vectors, out.ids, out.centres, out.radii, out.most = pickle.loads(data)
         out.vectors = vectors.astype(float)
         return out
 
@@ -81,10 +90,16 @@ class BallTree:
         """What each node can score at most for each query."""
         return upper_bounds(queries, self.centres, self.radii)
 
-    def top(self, query: np.ndarray, own: int, k: int, floor: float, bounds: np.ndarray | None = None) -> list[tuple[float, int]]:
+    def top(self, query: np.ndarray, own: int, k: int, floor: float, bounds: np.ndarray | None = None) -> list[tuple[int, int]]:
         """The k best (score, -id) other than ``own`` with a score of ``floor`` or more, best first."""
         bounds = self.bounds(query[None])[0] if bounds is None else bounds
-        best: list[tuple[float, int]] = []
+        most = float(np.abs(query).max(initial=0))
+        # beyond this, sums in doubles are only near the scores
+        exact = len(query) * self.most * most < 1 << 53
+        margin = 0.0 if exact else len(query) * self.most * most * 1e-12
+        whole = None if exact else [int(x) for x in query]
+        bounds = bounds if exact else np.maximum(bounds, LOWEST)
+        best: list[tuple[int, int]] = []
         queue = [(-bounds[0], 0)]
         while queue:
             bound, number = heapq.heappop(queue)
@@ -100,12 +115,18 @@ class BallTree:
                     if bounds[child] >= kth[0]:
                         heapq.heappush(queue, (-bounds[child], child))
                 continue
-            scores = self.vectors[a:b] @ query
-            keep = np.flatnonzero((scores >= kth[0]) & (self.ids[a:b] != own))
-            if len(keep) > k:
-                keep = keep[np.lexsort((self.ids[a:b][keep], -scores[keep]))[:k]]
-            for i in keep:
-                row = (float(scores[i]), -int(self.ids[a + i]))
+            scores = self.vectors[a:b] @ query if exact else np.maximum(self.vectors[a:b] @ query, LOWEST)
+            keep = np.flatnonzero((scores >= float(kth[0]) - margin) & (self.ids[a:b] != own))
+            if exact:
+                if len(keep) > k:
+                    keep = keep[np.lexsort((self.ids[a:b][keep], -scores[keep]))[:k]]
+                found = [int(x) for x in scores[keep]]
+            else:
+                found = [max(-LONG, min(LONG, sum(int(x) * y for x, y in zip(row, whole, strict=True)))) for row in self.vectors[a:b][keep].tolist()]
+            for score, i in zip(found, keep, strict=True):
+                row = (score, -int(self.ids[a + i]))
+                if row < kth:
+                    continue
                 if len(best) < k:
                     heapq.heappush(best, row)
                 elif row > best[0]:
@@ -115,8 +136,8 @@ class BallTree:
 
 def upper_bounds(queries: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
     """q.c + |q| r for every query and ball, raised by what rounding may take off."""
-    out = queries @ centres.T + np.sqrt((queries**2).sum(1))[:, None] * radii[None]
-    return out + 1e-9 * (1 + np.abs(out))
+    sizes, far = np.sqrt((queries**2).sum(1))[:, None], np.sqrt((centres**2).sum(1))[None]
+    return queries @ centres.T + sizes * radii[None] + 1e-11 * sizes * (far + radii[None]) + 1e-9
 
 
 def _matrix(column, rows: int) -> np.ndarray:
@@ -221,7 +242,7 @@ def _found(asked: DataFrame, trees: DataFrame, k: int, block_rows: int) -> DataF
                     ids, floors = (batch.column(c).slice(at, end - at).to_numpy() for c in (4, 6))
                     for q, own, floor, bounds in zip(x, ids.tolist(), floors.tolist(), tree.bounds(x), strict=True):
                         for score, other in tree.top(q, own, k, floor, bounds):
-                            for column, value in zip(out, (own, -other, int(score)), strict=True):
+                            for column, value in zip(out, (own, -other, score), strict=True):
                                 column.append(value)
                 at = end
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
@@ -268,7 +289,9 @@ def top_k(
         asking = queries.withColumn("floor", floor)
         if best is not None:
             # the kth score so far is a floor for all shards to come
-            kth = best.groupBy("query_id").agg(F.min("score").cast("double").alias("low"), F.count(F.lit(1)).alias("n"))
+            low = F.min("score").cast("double")
+            # as a double it may be above the score itself
+            kth = best.groupBy("query_id").agg((low - F.abs(low) * 1e-15).alias("low"), F.count(F.lit(1)).alias("n"))
             asking = queries.join(kth, "query_id", "left").withColumn("floor", F.when(F.col("n") == k, F.col("low")).otherwise(floor))
         new = _found(settle(_asked(asking, cells, wave), "asked"), trees, k, block_rows)
         new = new if best is None else best.select("query_id", "vec_id", "score").unionByName(new)

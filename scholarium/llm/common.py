@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..sources.landing import discard, settle, spread  # noqa: F401
+from ..sources.landing import discard, settle, settled_alone, spread  # noqa: F401
 
 #: Rows that one slice of an Arrow batch holds; bounds what a task has in Python at once.
 SLICE_ROWS = 512

@@ -344,6 +344,22 @@ def test_top_k_against_all_products(spark):
     assert ball_tree.top_k(vectors.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("size", [3e7, 1e14, 4e18])
+def test_top_k_of_large_components_is_exact(spark, size):
+    """Products beyond 2^53 are whole numbers; beyond a long they are held at its limits and tie."""
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.uniform(-size, size, 16).tolist()) for i in range(300)] + [(300 + i, (np.ones(16) * size).tolist()) for i in range(30)]
+    whole = {i: [math.floor(x) for x in v] for i, v in rows}
+    limit = (1 << 63) - 1
+    expected = []
+    for q in [i for i in whole if i % 20 == 0]:
+        scores = sorted((-max(-limit, min(limit, sum(a * b for a, b in zip(whole[q], w, strict=True)))), i) for i, w in whole.items() if i != q)
+        expected += [(q, rank, i, -score) for rank, (score, i) in enumerate(scores[:20], 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for shard in (64, 16_384):
+        assert sorted(map(tuple, ball_tree.top_k(vectors, scale=1, shard_rows=shard).collect())) == sorted(expected)
+
+
 def test_trigram_probabilities_sum_to_one():
     tokens = quality.Tokens(["a", "b", "\x00a"])
     grams = np.concatenate([tokens.grams(t) for t in ("a b a b c", "b b a", "a c Zz.", "")])
