@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scholarium.llm import identifiers, mixing, near_duplicates, quality, sentencepieces
-from scholarium.llm.common import settle, table
+from scholarium.llm.common import discard, settled_alone, table
 
 #: The stage follows op9's contract of two-word shingles; see README.
 SHINGLE_WORDS = 2
@@ -63,7 +63,10 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     """The last stage's rows for the documents in ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), name)
+        # what a stage writes on the way, and the stage before it, are read no more once it is written
+        docs = settled_alone(spark, lambda docs=docs, stage=stage: stage(spark, docs, sf_dir), name)
+        discard(*before)
+        before = [docs]
     return docs

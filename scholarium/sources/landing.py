@@ -6,6 +6,7 @@ import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +32,15 @@ def fresh_path(spark, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Of each ``settled_alone`` that is under way, the tables written in it.
+_SCOPES: list[list[str]] = []
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: its lineage ends there, and lost executors take nothing along."""
     path = fresh_path(df.sparkSession, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -58,6 +65,20 @@ def discard(*tables: DataFrame) -> None:
             remove(df.sparkSession, files[0].rsplit("/", 1)[0])
 
 
+def settled_alone(spark, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, settled; tables that were settled on the way are deleted, also where it fails."""
+    own: list[str] = []
+    _SCOPES.append(own)
+    try:
+        out = settle(make(), name)
+        own.pop()
+        return out
+    finally:
+        _SCOPES.pop()
+        for path in own:
+            remove(spark, path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A table as it was read, dealt anew where it fills fewer partitions than there are cores: a file of one row group can't be split."""
     cores = df.sparkSession.sparkContext.defaultParallelism

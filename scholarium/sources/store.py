@@ -7,7 +7,7 @@ dynamic partition overwrite; the files of all other buckets stay as they are.
 Each bucket that an update writes has one mark, a row without values, with the update's number. An update leaves out buckets whose mark
 says that this or a later update is in them, so one that is run again, whole or after it broke off between two buckets, has the
 effect of once, whatever its rules are. The mark also makes sure that a bucket that loses its last row is written. Numbers of
-updates ascend; one at a time is applied.
+updates ascend; one at a time is applied. What was read before an update must be read anew after it, since files go.
 
 Rows that share a key, and rows whose key is null, which lie in one bucket, are the merge's business. A row keeps the number
 and the outcome of the update that last touched it, where the merge tells outcomes.

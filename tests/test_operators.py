@@ -113,21 +113,41 @@ def test_no_text_is_broadcast_to_find_organisations(spark):
 
 
 def test_bad_items_spoil_their_batch_alone(spark):
-    good = '{"papers":[{"paper_id":"1","a":7.3,"so_what":"x"},{"paper_id":9,"a":99,"so_what":"x"}]}'
+    good = '{"papers":[{"paper_id":"1","a":7.3,"so_what":"x"},{"paper_id":9,"a":9,"so_what":"x"}]}'
     bad = '{"papers":[{"paper_id":2,"a":"high","so_what":"x"}]}'
     batches = spark.createDataFrame([(1, [1], good), (2, [2], bad), (3, [3], "{broken"), (4, [4], "[1]")], "batch_id long, expected array<long>, text string")
-    out = {r.batch_id: r for r in rs.parse_scores(batches, ("a",)).collect()}
+    out = {r.batch_id: r for r in rs.parse_scores(batches, ("a",), ("so_what",)).collect()}
     assert (out[1].a, out[1].rounded, out[1].batch_ok) == (7.5, 1, True)
     assert [out[i].error_code for i in (2, 3, 4)] == ["not_numeric", "bad_json", "bad_json"] and not out[2].batch_ok
 
 
-def test_unexpected_ids_are_found_without_carrying_the_expected(spark):
-    text = '{"papers": [{"paper_id": 1, "t": 2, "so_what": "x"}, {"paper_id": 9, "t": 99, "so_what": "x"}, {"paper_id": 2, "t": 3, "so_what": "x"}, {"t": 3}]}'
-    batches = spark.createDataFrame([(1, [1, 2, 2], text), (2, [9], text), (3, [1], "no")], "batch_id long, expected array<long>, text string")
-    assert rs.parsed_items(batches, "paper_id string").columns == ["batch_id", "json_valid", "item"]
-    # an unexpected id is no item of the batch
-    found = sorted((r.batch_id, r.paper_id or 0, r.error_code or "") for r in rs.parse_scores(batches, ("t",)).collect())
-    assert found == [(1, 0, "bad_id"), (1, 1, ""), (1, 2, ""), (2, 0, "bad_id"), (2, 9, "out_of_range"), (3, 0, "bad_json")]
+def test_responses_are_read_item_by_item(spark):
+    text = '{"papers": [{"paper_id": 1, "t": 2.3, "w": "x"}, {"paper_id": 9, "t": 99, "w": "x"}, {"paper_id": "2", "t": "3", "w": " "}, {"t": 3}, 5, {"paper_id": 1, "t": 4, "w": "y"}, {"paper_id": 2, "t": null, "w": "z"}, {"paper_id": 2, "w": 7, "t": "high"}]}'
+    texts = [text, '```json\n{"papers": [{"paper_id": 1, "t": 2.3}, {"paper_id": 1, "t": 5}, {"paper_id": 7, "t": 5}]}\n```', "no", "[1]", '{"papers": 3}', '{"papers": []}', None]
+    batches = spark.createDataFrame([(i, [1, 2, 2], t) for i, t in enumerate(texts)], "batch_id long, expected array<long>, text string")
+    rows = rs.parse_scores(batches, ("t",), ("w",)).where("batch_id = 0").orderBy("place").collect()
+    # faults of ids that aren't expected count, of an id that stands twice the last sound item does
+    assert [(r.place, r.paper_id, r.error_code, r.error_field, r.error_kind, r.error_value) for r in rows] == [
+        (1, 9, "out_of_range", "t", "BIGINT", "99"), (2, 2, "missing_text", "w", "STRING", " "), (3, None, "bad_id", "paper_id", None, None), (4, None, "not_object", None, "BIGINT", "5"),
+        (5, 1, None, None, None, None), (6, 2, "not_numeric", "t", "VOID", None), (7, 2, "not_numeric", "t", "STRING", "high"),
+    ]
+    assert [f.code for f in rows[6].faults] == ["not_numeric", "missing_text"] and not any(r.batch_ok for r in rows)
+    # screen responses have no texts
+    found = {(r.batch_id, r.paper_id): (r.t, r.rounded, r.error_code, r.batch_ok) for r in rs.parse_scores(batches, ("t",)).where("batch_id > 0").collect()}
+    assert found == {(1, 1): (5.0, 0, None, True), (2, None): (None, 0, "bad_json", False), (3, None): (None, 0, "bad_json", False), (4, None): (None, 0, "no_papers", False), (6, None): (None, 0, "bad_json", False)}
+    assert {r.batch_id: r.missing for r in rs.missing_ids(batches).collect()} == {0: [], 1: [2], 2: [1, 2], 3: [1, 2], 4: [1, 2], 5: [1, 2], 6: [1, 2]}
+
+
+def test_classifications_with_empty_domains_are_sound(spark):
+    item = '{{"paper_id": {0}, "application_domain": {1}, "audience_relevance": ["student"], "paper_kind": "method", "geography_focus": "eu", "domain_confidence": {2}}}'
+    texts = ['{"papers": [' + ", ".join(items) + "]}" for items in ([item.format(1, "[]", 7.3), item.format(5, '["astrology"]', 7)], [item.format(1, '["a"]', 11), item.format(1, '["astrology"]', '"x"')], [item.format('"x"', "[]", 1), "3", item.format(1, "[]", 1)])]
+    batches = spark.createDataFrame([(i, [1], t) for i, t in enumerate(texts)], "batch_id long, expected array<long>, text string")
+    lists = (("a", "b"), ("student",), ("method",), ("eu",))
+    strict = {(r.batch_id, r.place): (r.domain_confidence, r.error_code, r.batch_ok) for r in rs.parse_classification(batches, *lists).collect()}
+    assert strict == {(0, 0): (7.5, None, True), (1, 0): (10.0, "confidence_range", False), (1, 1): (None, "unknown_domain", False), (2, 0): (1.0, "bad_id", False), (2, 1): (None, "not_object", False), (2, 2): (1.0, None, False)}
+    told = {r.batch_id: (r.schema_valid, r.dropped, r.domain_confidence) for r in rs.analyze(batches, *lists).collect()}
+    # the last of an id counts; codes of items before it without an id are handed on and spoil nothing
+    assert told == {0: (True, [], 7.5), 1: (False, ["application_domain:invalid:astrology", "domain_confidence:missing"], None), 2: (True, ["invalid_paper_id:'x'", "non_object_item"], 1.0)}
 
 
 def test_affiliations_are_cut_by_class_order():
@@ -148,8 +168,7 @@ def test_redelivered_feed_changes_nothing(spark, tmp_path):
     assert (mark.source, mark.items_total, mark.last_published_at) == ("f", 3, dt.datetime(2023, 11, 14, 22, 15))
 
 
-def test_a_run_without_new_files_keeps_the_state(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(ig, "SNAPSHOT_EVERY", 3)
+def test_a_run_without_new_files_keeps_the_state(spark, tmp_path):
     item = '{{"items":[{{"id":"{0}","title":"t{0}","published":"1700000000","crawlTimeMsec":"1700000000000","alternate":[{{"href":"http://x.org/{0}"}}],"origin":{{"title":"f"}}}}]}}'
     landed, state = tmp_path / "landed", tmp_path / "state"
     landed.mkdir()
@@ -162,7 +181,7 @@ def test_a_run_without_new_files_keeps_the_state(spark, tmp_path, monkeypatch):
         assert {r.canonical_url for r in items.collect()} == seen and marks.first().items_total == n + 1
     again, marks = ig.ingest(spark, str(landed), str(state), "2023-01-01")
     assert {r.canonical_url for r in again.collect()} == seen and marks.first().items_total == 9
-    assert len(list((state / "items").glob("batch=*"))) <= 6 and len(list((state / "marks").glob("batch=*"))) <= 2
+    assert len(list((state / "items").glob("_bucket=*"))) <= 7 and len(list((state / "marks").glob("batch=*"))) <= 2
     log = ig.events(spark, str(state)).groupBy("event_type").count().collect()
     assert {r.event_type: r["count"] for r in log} == {"upsert": 7, "ingest_duplicate_preserved": 2}
 
