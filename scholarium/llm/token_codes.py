@@ -46,6 +46,8 @@ END_ID = 2
 SEGMENT_TOKENS, READ_TOKENS = 1 << 20, 1 << 22
 #: Words that a worker process remembers, and their bytes.
 REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64 << 20
+#: Words that the tokenizer gets in one text.
+WORDS_AT_ONCE = 128
 BLOCK_BITS = 512
 MAGIC = b"DACODES1"
 MANIFEST = "_manifest.json"
@@ -356,21 +358,6 @@ def drops_blanks(config: dict) -> bool:
     return not held and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or set(t["content"]) & set(BLANKS) for t in config["added_tokens"])
 
 
-class _Words(dict):
-    """Ids of words, encoded when they are first asked for; once it is full, further words aren't kept."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode, self.held = encode, 0
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.encode([word.decode()])[0]
-        if len(self) < REMEMBERED and self.held < REMEMBERED_BYTES:
-            self[word] = ids
-            self.held += len(word) + len(ids)
-        return ids
-
-
 class Encoder:
     """A tokenizer of the tokenizers library, which writes texts as little-endian 32-bit ids."""
 
@@ -381,17 +368,39 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             self.by_word = drops_blanks(json.load(file))
-        self.known = _Words(self._encode)
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each word with its ids: words go to the tokenizer some at a time, and tokens to the word in which they begin."""
+        parts = [words[at : at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE)]
+        for part, coded in zip(parts, self.tokenizer.encode_batch([b" ".join(p).decode() for p in parts], add_special_tokens=False), strict=True):
+            ids = array("I", coded.ids).tobytes()
+            begins = np.cumsum([0, *(len(w.decode()) + 1 for w in part)])
+            counts = np.bincount(np.searchsorted(begins, [b for b, _ in coded.offsets], side="right") - 1, minlength=len(part)) if ids else np.zeros(len(part), int)
+            at = 0
+            for word, n in zip(part, (4 * counts).tolist(), strict=True):
+                yield word, ids[at : at + n]
+                at += n
+
     def __call__(self, texts: Iterable[str | None], end: bytes = b"") -> list[bytes]:
         texts = [t or "" for t in texts]
         if not self.by_word:
             return [ids + end for ids in self._encode(texts)]
-        of = self.known.__getitem__
-        return [b"".join([*map(of, t.encode().split()), end]) for t in texts]  # at ASCII blanks
+        words = [t.encode().split() for t in texts]  # at ASCII blanks
+        ids = [list(map(self.known.get, w)) for w in words]
+        open_ = [i for i, found in enumerate(ids) if None in found]
+        new = dict(self._encode_words(list({w for i in open_ for w, x in zip(words[i], ids[i], strict=True) if x is None})))
+        for i in open_:
+            ids[i] = [new[w] if x is None else x for w, x in zip(words[i], ids[i], strict=True)]
+        size = sum(map(len, new)) + sum(map(len, new.values()))
+        if len(self.known) + len(new) <= REMEMBERED and self.held + size <= REMEMBERED_BYTES:
+            self.known.update(new)
+            self.held += size
+        return [b"".join([*found, end]) for found in ids]
 
 
 @functools.cache
