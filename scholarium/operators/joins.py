@@ -69,24 +69,48 @@ def sized(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side.hint("merge")
 
 
+#: White space of the patterns, and a token: what white space is before it, and a run of a-z and 0-9 or one other character.
+_BLANKS, _TOKEN = " \t\n\x0b\f\r", r"\s*(?:[a-z0-9]+|[^a-z0-9\s])"
+
+
+def _tokens(text: Column) -> Column:
+    """Array of (raw, before, after): the tokens of a text in lower case, each with its neighbours."""
+    raw = F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), 0)
+    none = F.array(F.lit(" "))
+    before, after = F.concat(none, F.slice(raw, 1, F.greatest(F.size(raw) - 1, F.lit(0)))), F.concat(F.slice(raw, 2, F.greatest(F.size(raw), F.lit(1))), none)
+    return F.arrays_zip(raw.alias("raw"), before.alias("before"), after.alias("after"))
+
+
+def _word(raw: Column) -> Column:
+    return F.ltrim(raw, F.lit(_BLANKS))
+
+
 def texts_to_organisations(texts: DataFrame, aliases: DataFrame, key: str, text: str) -> DataFrame:
     """(key, organisation_id, alias): aliases that stand in a text with no letter or digit beside them.
 
-    ``aliases`` has organisation_id, alias and ordinal. Aliases meet texts by their first run of a-z and 0-9; one
-    without such a run is tried on every text. Keys and words alone are exploded and joined; the aliases that a
-    text may hold come back to it as one array, and their patterns are tried there. Of an organisation's
-    aliases the first in order counts. Rows without key, and null texts, have none; rows of one key are taken together.
+    ``aliases`` has organisation_id, alias and ordinal. Both sides are cut into tokens: runs of a-z and 0-9, and single other
+    characters; white space is a flag of the token behind it. Tokens of texts meet equal tokens of aliases, and an alias of n tokens
+    stands where n of its tokens agree on one begin. So all aliases are sought in one pass over the texts, of which tokens and
+    places alone are joined, and a text costs the tokens that it shares with aliases. Of an organisation's aliases the first in
+    order counts. Blank aliases stand nowhere; rows without key, and null texts, have none; rows of one key are taken together.
     """
-    first = F.regexp_extract(F.lower("alias"), "([a-z0-9]+)", 1)
-    literal = F.regexp_replace(F.regexp_replace(F.lower("alias"), r"([\\.+*?\[\](){}|^$])", r"\\$1"), r"\s+", r"\\s+")
-    pattern = F.concat(F.lit("(?<![a-z0-9])"), literal, F.lit("(?![a-z0-9])"))
-    named = sized(aliases.select(first.alias("token"), F.struct("organisation_id", "ordinal", "alias", pattern.alias("pattern")).alias("asked")))
-    words = F.array_union(F.split(F.lower(F.col(text)), "[^a-z0-9]+"), F.array(F.lit("")))
-    tokens = texts.where(F.col(key).isNotNull()).select(key, F.explode(words).alias("token"))
-    asked = tokens.join(named, "token").groupBy(key).agg(F.collect_set("asked").alias("asked"))
-    both = texts.select(key, F.lower(F.col(text)).alias("text")).join(asked.hint("merge"), key)
-    hits = both.select(key, F.explode(F.filter("asked", lambda a: F.regexp_like("text", a["pattern"]))).alias("hit"))
-    return hits.groupBy(key, F.col("hit.organisation_id").alias("organisation_id")).agg(F.min_by("hit.alias", "hit.ordinal").alias("alias"))
+    cut = aliases.withColumn("tokens", _tokens(F.trim(F.col("alias"), F.lit(_BLANKS))))
+    each = cut.select("organisation_id", "ordinal", "alias", F.size("tokens").alias("n"), F.posexplode("tokens").alias("i", "t"))
+    is_word, spaced = _word(F.col("t.raw")).rlike("^[a-z0-9]"), F.col("t.raw").rlike(r"^\s")
+    first, last = F.col("i") == 0, F.col("i") == F.col("n") - 1
+    # what a place must show: white space as inside the alias, and no letter or digit at an end that isn't one itself
+    named = sized(each.select(_word(F.col("t.raw")).alias("token"), F.struct("organisation_id", "ordinal", "alias", "n", "i", F.when(~first, spaced).alias("spaced"), (first & ~is_word).alias("open"), (last & ~is_word).alias("shut")).alias("asked")))
+    # numbered before the texts are cut, or each token would be a row of its own
+    numbered = texts.where(F.col(key).isNotNull()).select(key, _tokens(F.col(text)).alias("tokens"), F.monotonically_increasing_id().alias("row"))
+    placed = numbered.select(key, "row", F.posexplode("tokens").alias("place", "t"))
+    glued = F.col("t.before").rlike("[a-z0-9]$") & ~F.col("t.raw").rlike(r"^\s")
+    beside = placed.select(key, "row", "place", _word(F.col("t.raw")).alias("token"), F.col("t.raw").rlike(r"^\s").alias("spaced"), glued.alias("glued"), F.col("t.after").rlike("^[a-z0-9]").alias("followed"))
+    agree = (F.col("asked.spaced").isNull() | (F.col("asked.spaced") == F.col("spaced"))) & ~(F.col("asked.open") & F.col("glued")) & ~(F.col("asked.shut") & F.col("followed"))
+    met = beside.join(named, "token").where(agree).select(key, "row", (F.col("place") - F.col("asked.i")).alias("begin"), "asked.organisation_id", "asked.ordinal", "asked.alias", "asked.n")
+    # an alias of one token is whole where it meets
+    one = met.where("n = 1").select(key, "organisation_id", "ordinal", "alias")
+    many = met.where("n > 1").groupBy(key, "row", "begin", "organisation_id", "ordinal", "alias").agg(F.count(F.lit(1)).alias("found"), F.min("n").alias("n")).where("found = n").select(key, "organisation_id", "ordinal", "alias")
+    return one.unionByName(many).groupBy(key, "organisation_id").agg(F.min_by("alias", "ordinal").alias("alias"))
 
 
 def local_evidence(emails: DataFrame, texts: DataFrame, key: str) -> DataFrame:
@@ -113,20 +137,36 @@ def vocabulary_join(terms: DataFrame, vocabulary: DataFrame, key: str, array: st
     return firsts.groupBy(key).agg(F.transform(known, lambda x: x["canonical"]).alias("known"), F.sum("missing").alias("unknown"))
 
 
-def near_duplicate_pairs(names: DataFrame, name: str, least: float) -> DataFrame:
-    """(a, b, similarity) of distinct names with trigram Jaccard of at least ``least``, a before b.
+#: Names of one trigram that a task compares with the others of it.
+SHARED_NAMES = 2_000
+
+
+def similar_candidates(names: DataFrame, name: str, least: float, filters: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(name, grams) of distinct names, and (a, b), a before b: the pairs that could have a trigram Jaccard of ``least``.
 
-    Candidates share one of a name's rarest trigrams: with n of them, two names that similar share a trigram
-    among the first n - ceil(least * n) + 1 by rarity, so common trigrams never meet.
+    Trigrams are ordered by rarity. With n of them, two names that similar share one among the first n - ceil(least * n) + 1, so
+    common trigrams never meet. ``filters`` leaves out pairs whose sizes are too far apart, and those that meet so late in both orders
+    that what is left can't make up the overlap they need. Names of a trigram that many share are dealt over several tasks.
     """
     sets = names.select(F.col(name).alias("name")).distinct().withColumn("grams", tx.trigrams(F.lower("name")))
     each = sets.select("name", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     counts = each.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     ranked = each.join(counts, "gram").groupBy("name", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("ordered"))
     prefix = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9).cast("int") + 1
-    keys = ranked.select("name", F.explode(F.slice("ordered", 1, prefix)).alias("o")).select("name", "o.gram")
-    other = keys.select(F.col("name").alias("b"), "gram")
-    pairs = keys.withColumnRenamed("name", "a").join(other, "gram").where("a < b").select("a", "b").distinct()
+    keys = ranked.select("name", "n", F.posexplode(F.slice("ordered", 1, prefix)).alias("i", "o")).select("name", "n", "i", "o.gram", F.ceil(F.col("o.df") / SHARED_NAMES).cast("int").alias("parts"))
+    left = keys.select(F.col("name").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), "gram", F.pmod(F.xxhash64("name"), F.col("parts")).cast("int").alias("part"))
+    right = keys.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), "gram", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    met = left.join(right, ["gram", "part"]).where("a < b")
+    if filters:
+        na, nb = F.col("na"), F.col("nb")
+        needed = F.ceil(F.lit(least / (1 + least)) * (na + nb) - 1e-9)
+        met = met.where((F.least(na, nb) >= F.ceil(F.lit(least) * F.greatest(na, nb) - 1e-9)) & (F.least(na - F.col("ia"), nb - F.col("ib")) >= needed))
+    return sets, met.select("a", "b").distinct()
+
+
+def near_duplicate_pairs(names: DataFrame, name: str, least: float) -> DataFrame:
+    """(a, b, similarity) of distinct names with trigram Jaccard of at least ``least``, a before b."""
+    sets, pairs = similar_candidates(names, name, least)
     a, b = sets.select(F.col("name").alias("a"), F.col("grams").alias("ga")), sets.select(F.col("name").alias("b"), F.col("grams").alias("gb"))
     scored = pairs.join(a, "a").join(b, "b").withColumn("similarity", tx.jaccard(F.col("ga"), F.col("gb")))
     return scored.where(F.col("similarity") >= least).select("a", "b", "similarity")

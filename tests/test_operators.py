@@ -97,6 +97,43 @@ def test_aliases_need_boundaries(spark):
     assert rows(jn.texts_to_organisations(texts, odd, "id", "t")) == [(1, 1, "Ω"), (2, 2, "C++ lab")]
 
 
+def test_aliases_equal_their_patterns(spark):
+    """Against a regular expression for each alias, on texts of few letters."""
+    import random
+    import re
+
+    random.seed(4)
+    draw = lambda n: "".join(random.choices(["a", "b", "1", "+", ".", " ", " ", "\n", "é"], k=random.randrange(n)))
+    aliases = [(i % 9, " ".join(draw(7).split()), i) for i in range(60)]
+    texts = [(i % 150, draw(40)) for i in range(200)]
+    found = jn.texts_to_organisations(spark.createDataFrame(texts, "id long, t string"), spark.createDataFrame(aliases, "organisation_id long, alias string, ordinal int"), "id", "t")
+    expected = {}
+    for key, text in texts:
+        for organisation, alias, ordinal in aliases:
+            pattern = "(?<![a-z0-9])" + r"\s+".join(map(re.escape, alias.split())) + "(?![a-z0-9])"
+            if alias and re.search(pattern, text):
+                expected.setdefault((key, organisation), set()).add((ordinal, alias))
+    assert sorted(map(tuple, found.collect())) == sorted((*k, min(v)[1]) for k, v in expected.items())
+    assert "regexp_like" not in plan(found).lower()
+
+
+def test_similar_names_meet_less_often_with_filters(spark, monkeypatch):
+    import random
+
+    random.seed(6)
+    names = {"".join(random.choices("abc", k=random.randrange(4, 30))) for _ in range(250)}
+    names |= {n + random.choice("abc") for n in names}
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    whole = lambda n: {n[i : i + 3] for i in range(max(len(n) - 2, 1))}
+    expected = {(a, b) for a in names for b in names if a < b and len(whole(a) & whole(b)) >= 0.6 * len(whole(a) | whole(b))}
+    assert {(r.a, r.b) for r in jn.near_duplicate_pairs(df, "name", 0.6).collect()} == expected
+    plain, filtered = (jn.similar_candidates(df, "name", 0.6, filters=f)[1].count() for f in (False, True))
+    assert len(expected) <= filtered < plain / 2
+    # names of a frequent trigram over several tasks
+    monkeypatch.setattr(jn, "SHARED_NAMES", 10)
+    assert {(r.a, r.b) for r in jn.near_duplicate_pairs(df, "name", 0.6).collect()} == expected
+
+
 def broadcast_columns(df):
     """The columns of every side that a plan broadcasts."""
     text = df._jdf.queryExecution().executedPlan().toString()
