@@ -79,6 +79,31 @@ def nearest_rank(df: DataFrame, value: str, quantiles: Sequence[float]) -> DataF
     return hit.select("q", "value")
 
 
+def distribution(df: DataFrame, profiles: Sequence[str], quantiles: Sequence[float] = (0.5, 0.75, 0.9, 0.95, 0.99), top: int = 20) -> DataFrame:
+    """One row a profile with two values or more: n, mean, stdev, low, high, p50 and so on, cutoff, ties.
+
+    Percentiles are nearest ranks; ``cutoff`` is the value at place ``top`` from above (the least, if there are fewer), ``ties`` how many
+    rows have it. The rows are read once, into counts of each profile's distinct values, from which all figures follow.
+    """
+    long = unpivot(df.select(*[F.col(p).cast("double").alias(p) for p in profiles]), [], profiles).where("value is not null")
+    counts = settle(long.groupBy("dim", "value").agg(F.count(F.lit(1)).alias("n")), "counts")
+    # one row a profile
+    whole = counts.groupBy("dim").agg(F.sum("n").alias("total"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"), F.min("value").alias("low"), F.max("value").alias("high"))
+    apart = counts.join(F.broadcast(whole.select("dim", "mean", "total")), "dim")
+    deviation = apart.groupBy("dim").agg(F.sqrt(F.sum(F.col("n") * (F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean"))) / (F.first("total") - 1)).alias("stdev"))
+    places = [F.struct(F.lit(f"p{round(q * 100)}").alias("name"), F.least(F.col("total") - 1, F.floor(F.col("total") * q)).alias("place")) for q in quantiles]
+    places.append(F.struct(F.lit("cutoff").alias("name"), F.greatest(F.col("total") - top, F.lit(0)).cast("long").alias("place")))
+    asked = whole.select(F.col("dim").alias("_dim"), F.explode(F.array(*places)).alias("asked"))
+    run = run_before(counts, "value", "n", "before", ["dim"])
+    place = F.col("asked.place")
+    hit = run.join(F.broadcast(asked), (F.col("dim") == F.col("_dim")) & (place >= F.col("before")) & (place < F.col("before") + F.col("n")))
+    at = lambda name, value: F.max(F.when(F.col("asked.name") == name, F.col(value)))
+    names = [f"p{round(q * 100)}" for q in quantiles]
+    met = hit.groupBy("dim").agg(*[at(n, "value").alias(n) for n in (*names, "cutoff")], at("cutoff", "n").alias("ties"))
+    joined = whole.join(deviation, "dim").join(met, "dim").where("total >= 2")
+    return joined.select("dim", F.col("total").alias("n"), "mean", "stdev", "low", "high", *names, "cutoff", "ties")
+
+
 def tie_block(df: DataFrame, value: str, cut: int) -> DataFrame:
     """(cut_value, ties): the value at the cut and how many rows have it."""
     top = df.orderBy(F.desc(value)).limit(cut).agg(F.min(value).alias("cut_value"))
@@ -114,6 +139,22 @@ def drift(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
     return out.select("n", "spearman", "shift", "mad", passed.alias("passed"))
 
 
+def drifts(scorings: dict[str, DataFrame], key: str, value: str) -> DataFrame:
+    """(pairing, n, spearman, shift, mad, passed) of each two of several scorings, in their order, on the keys that all have."""
+    common = None
+    for name, rows in scorings.items():
+        own = rows.select(key, F.col(value).alias(name))
+        common = own if common is None else common.join(own, key)
+    names = list(scorings)
+    pairings = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+    each = F.array(*[F.struct(F.lit(f"{a} vs {b}").alias("pairing"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairings])
+    pairs = settle(common.select(F.explode(each).alias("p")).select("p.*"), "pairs")
+    apart = F.col("x") - F.col("y")
+    stats = pairs.groupBy("pairing").agg(F.avg(apart).alias("shift"), F.avg(F.abs(apart)).alias("mad"))
+    passed = (F.col("spearman") > 0.90) & (F.abs("shift") < 0.20) & (F.col("mad") < 0.40)
+    return spearman(pairs, "x", "y", ["pairing"]).join(stats, "pairing").select("pairing", "n", "spearman", "shift", "mad", passed.alias("passed"))
+
+
 def group_delta(pairs: DataFrame, group: str, x: str, y: str) -> DataFrame:
     """Number, mean and deviation of the difference in each group."""
     return pairs.withColumn("d", F.col(y) - F.col(x)).groupBy(group).agg(F.count("d").alias("n"), F.avg("d").alias("mean"), F.stddev_samp("d").alias("stdev"))
@@ -163,10 +204,16 @@ def gate_recall(pairs: DataFrame, key: str, screen: str, full: str, gates: Seque
 
 
 def candidate_metrics(results: DataFrame) -> DataFrame:
-    """Rates, cost and latency of each candidate, in one pass."""
-    rate = lambda c: F.avg(c.cast("int"))
+    """Rates, cost and latency of each candidate, in one pass.
+
+    ``first_try_rate`` counts readable answers without a retry, ``invalid_rate`` those with a value outside its closed list; ``results`` has
+    json_valid, retries and dropped (codes) for them.
+    """
+    rate = lambda c: F.avg(F.coalesce(c, F.lit(False)).cast("int"))
+    outside = ~F.col("valid") & F.exists("dropped", lambda code: F.coalesce(code.contains("invalid"), F.lit(False)))
     return results.groupBy("candidate").agg(
         F.count(F.lit(1)).alias("n"), rate(F.col("general")).alias("general_rate"), rate(F.col("valid")).alias("valid_rate"),
+        rate(F.col("json_valid") & (F.coalesce("retries", F.lit(0)) == 0)).alias("first_try_rate"), rate(outside).alias("invalid_rate"),
         F.sum(F.when(F.col("general") & (F.col("domains") > 1), 1).otherwise(0)).alias("violations"),
         F.avg(F.when(F.col("latency") > 0, F.col("latency"))).alias("latency"),
         (F.sum(F.col("tokens_in") * 2 + F.col("tokens_out") * 10) / F.lit(1_000_000.0) / F.count(F.lit(1)) * 1000).alias("cost_per_1000"),
@@ -244,6 +291,30 @@ def cost_projection(sample: DataFrame, pool: DataFrame, batch: int, tokens_out:
     return n.crossJoin(F.broadcast(mean)).select("n", F.ceil(F.col("n") / batch).alias("calls"), cost.alias("cost"))
 
 
+def stage_costs(pool: DataFrame, sample: DataFrame, stages: Sequence[tuple[str, float, int, int, int]], prices: tuple[float, float] = (2.0, 10.0)) -> DataFrame:
+    """(stage, n, calls, tokens_in, tokens_out, cost) of a run over the pool.
+
+    A stage is its name, the per cent of the pool that it gets, the papers of a call, and tokens of the prompt and of the answer to a
+    paper. Input tokens a paper are the sample's mean and the prompt's share of a call; a negative prompt is as many in all, whatever the paper.
+    """
+    base = pool.agg(F.count(F.lit(1)).alias("pool")).crossJoin(F.broadcast(sample.agg(F.coalesce(F.avg("tokens"), F.lit(0.0)).alias("mean"))))
+    each = F.array(*[F.struct(F.lit(name).alias("stage"), F.lit(float(share)).alias("share"), F.lit(batch).alias("batch"), F.lit(prompt).alias("prompt"), F.lit(answer).alias("answer")) for name, share, batch, prompt, answer in stages])
+    rows = base.select("pool", "mean", F.explode(each).alias("s")).select("pool", "mean", "s.*").withColumn("n", F.ceil(F.col("pool") * F.col("share") / 100))
+    a_paper = F.when(F.col("prompt") < 0, -F.col("prompt")).otherwise(F.col("mean") + F.col("prompt") / F.col("batch"))
+    rows = rows.withColumn("tokens_in", F.floor(a_paper * F.col("n"))).withColumn("tokens_out", (F.col("answer") * F.col("n")).cast("long"))
+    cost = (F.col("tokens_in") * prices[0] + F.col("tokens_out") * prices[1]) / F.lit(1_000_000.0)
+    return rows.select("stage", "n", F.ceil(F.col("n") / F.col("batch")).alias("calls"), "tokens_in", "tokens_out", cost.alias("cost"))
+
+
+def candidate_costs(candidates: DataFrame, pool: DataFrame, passes: int, batch: int, baseline, tokens: tuple[int, int] = (550, 80)) -> DataFrame:
+    """(candidate, papers, passes, batches, cost, total) of every candidate but the baseline; ``candidates`` has candidate and two prices a million tokens."""
+    n = pool.agg(F.count(F.lit(1)).alias("papers"))
+    others = candidates.where(F.col("candidate") != baseline).crossJoin(F.broadcast(n))
+    cost = (F.col("price_in") * tokens[0] + F.col("price_out") * tokens[1]) * F.col("papers") * passes / F.lit(1_000_000.0)
+    rows = others.select("candidate", "papers", F.lit(passes).alias("passes"), F.greatest(F.lit(1), F.ceil(F.col("papers") / batch)).alias("batches"), cost.alias("cost"))
+    return rows.crossJoin(F.broadcast(rows.agg(F.sum("cost").alias("total"))))
+
+
 def projected(stats: DataFrame, whole: DataFrame) -> DataFrame:
     """One row: the first window's ``window_stats`` scaled to all windows.
 

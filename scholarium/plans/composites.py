@@ -8,9 +8,11 @@ from ..functions import scores as sc
 from ..operators import aggregates as ag
 from ..operators import joins as jn
 from ..operators import ranking as rk
+from ..operators import responses as rs
+from ..sources.landing import settle
 from .base import claims, evidence, items, newest, organisations, papers, query, table, topic_links
 from .scalars import CORE_SQL, FACTOR_SQL, INDEP_SQL, WORD_DIMS_SQL, core
-from .statistics import BOOST_SQL, PERSON_SQL, _listed, boosts
+from .statistics import BOOST_SQL, PERSON_SQL, _listed, boosts, distribution_sql, rounded_distribution
 from .statistics import _A19, _A20, _A21, a19_candidate_metrics, a20_accuracy_and_force_fit, a21_self_consistency
 
 _DAY = "strftime(published_at, '%Y-%m-%d')"
@@ -119,7 +121,8 @@ _TOP = "top AS (SELECT * FROM final ORDER BY final DESC NULLS LAST, published_at
 @query(f"""WITH {_FINAL}, {_TOP.format(100)}, {_ORGS} SELECT content_id, final, core, {_DAY} AS day, status, coalesce(title, '') AS title, length(coalesce(abstract, '')) AS abstract_chars,
   coalesce(array_to_string(list_transform(organisations, lambda o: o.name || ':' || o.priority), '|'), '') AS organisations FROM top LEFT JOIN papers USING (content_id) LEFT JOIN orgs USING (content_id)""")
 def q5_ranking_view(spark, sf_dir):
-    top = F.broadcast(rk.top_n(final_scores(spark, sf_dir), "final", "published_at", "content_id", 100))
+    # a hundred rows, scored once
+    top = F.broadcast(settle(rk.top_n(final_scores(spark, sf_dir), "final", "published_at", "content_id", 100), "top"))
     named = organisations_of(spark, sf_dir, top).join(papers(spark, sf_dir).select("content_id", "title", "abstract"), "content_id", "left")
     listed = F.transform("organisations", lambda o: F.concat_ws(":", o["name"], (-o["order"]).cast("string")))
     return named.select("content_id", "final", "core", _day().alias("day"), "status", F.coalesce("title", F.lit("")).alias("title"), F.length(F.coalesce("abstract", F.lit(""))).cast("long").alias("abstract_chars"), F.coalesce(F.array_join(listed, "|"), F.lit("")).alias("organisations"))
@@ -130,9 +133,16 @@ def q6_final_score(spark, sf_dir):
     return final_scores(spark, sf_dir).select("content_id", "core", "final")
 
 
-@query(f"WITH {_FINAL}, s AS (SELECT final AS v, row_number() OVER (ORDER BY final) - 1 AS rn, count(*) OVER () AS n FROM final) SELECT q, v AS value FROM s, (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) AS x(q) WHERE rn = least(n - 1, CAST(floor(n * q) AS BIGINT))")
+# Dimensions, the scores under two profiles, and the final score.
+_Q7 = {d: d for d in ("technical", "novelty", "practical", "professional", "learning")} | {"profile_core": "core", "profile_factored": "core * evidence_factor * independence_factor", "final": "final"}
+
+
+@query(f"WITH {_FINAL} {distribution_sql(_Q7, 'final')}")
 def q7_distribution(spark, sf_dir):
-    return ag.nearest_rank(final_scores(spark, sf_dir), "final", (0.25, 0.5, 0.95, 0.99))
+    """Spread, percentiles, cutoff of the twenty best and its ties of every dimension and profile, from one pass."""
+    scored = final_scores(spark, sf_dir)
+    named = scored.withColumns({"profile_core": F.col("core"), "profile_factored": F.col("core") * F.col("evidence_factor") * F.col("independence_factor")})
+    return rounded_distribution(named, tuple(_Q7))
 
 
 # Classifications by content_id: who a content is for and which sectors it names.
@@ -169,6 +179,7 @@ _PRODUCT8 = f"0.2::DOUBLE * research + 0.25::DOUBLE * fit + 0.275::DOUBLE * (pra
 def q8_audience_shortlists(spark, sf_dir):
     """The technical and the product list: eligible contents by editorial priority, half of each for notable ones."""
     rows = jn.date_window(final_scores(spark, sf_dir), "published_at", "1996-01-01", "1999-12-31").join(_classified(spark, sf_dir), "content_id")
+    rows = settle(rows, "scored")
     trust, notable = F.col("evidence_factor") * F.col("independence_factor"), F.col("org_boost") + F.col("person_boost")
     research, fit = F.col("core") * F.col("evidence_factor") * F.col("independence_factor"), F.col("learning") * F.col("evidence_factor")
     professional = F.coalesce("professional", F.lit(0.0))
@@ -194,18 +205,27 @@ def q9_topic_consolidation(spark, sf_dir):
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "similarity", F.least("ua", "ub").alias("lower_usage"))
 
 
-@query(f"WITH m AS ({_A19}), a AS ({_A20}), c AS ({_A21}) SELECT candidate, m.n, general_rate, valid_rate, violations, latency, cost_per_1000, accuracy, force_fit, consistency FROM m JOIN a USING (candidate) LEFT JOIN c USING (candidate)")
+@query(f"WITH m AS ({_A19}), a AS ({_A20}), c AS ({_A21}) SELECT candidate, m.n, general_rate, valid_rate, first_try_rate, invalid_rate, violations, latency, cost_per_1000, accuracy, force_fit, consistency FROM m JOIN a USING (candidate) LEFT JOIN c USING (candidate)")
 def q10_comparison_report(spark, sf_dir):
     consistency = a21_self_consistency(spark, sf_dir).select("candidate", "consistency")
     joined = a19_candidate_metrics(spark, sf_dir).join(a20_accuracy_and_force_fit(spark, sf_dir), "candidate").join(consistency, "candidate", "left")
-    return joined.select("candidate", "n", "general_rate", "valid_rate", "violations", "latency", "cost_per_1000", "accuracy", "force_fit", "consistency")
+    return joined.select("candidate", "n", "general_rate", "valid_rate", "first_try_rate", "invalid_rate", "violations", "latency", "cost_per_1000", "accuracy", "force_fit", "consistency")
 
 
-@query("SELECT content_id, title, lang, CASE content_id % 3 WHEN 0 THEN 'general' ELSE 'sector' END AS answer FROM papers JOIN items USING (content_id) WHERE published_at >= DATE '1996-01-01' AND published_at < DATE '1999-01-01'")
+@query(f"""WITH c AS (SELECT content_id, {_SECTORS} AS domains, {_AUDIENCE} AS audience, CASE WHEN content_id % 11 = 0 THEN 'poem' ELSE 'method' END AS kind, (content_id % 21) / 2.0::DOUBLE AS sure FROM items WHERE published_at >= DATE '1996-01-01' AND published_at < DATE '1999-01-01'),
+  f AS (SELECT *, len(domains) > 1 AND list_contains(domains, 'general_method') AS exclusive, concat_ws(' ', nullif(array_to_string(list_transform(list_filter(domains, lambda d: d NOT IN ('general_method', 'education', 'health')), lambda d: 'application_domain:invalid:' || d), ' '), ''),
+    CASE WHEN kind = 'poem' THEN 'paper_kind:invalid:''poem''' END) AS dropped FROM c)
+  SELECT content_id, title, lang, array_to_string(domains, ',') AS domains, array_to_string(audience, ',') AS audiences, nullif(kind, 'poem') AS kind, sure AS confidence, dropped = '' AS schema_valid, exclusive, dropped FROM f JOIN papers USING (content_id)""")
 def q11_baseline_pool(spark, sf_dir):
+    """Stored classifications of a window, rebuilt as the responses that gave them and validated as those of a candidate are."""
     window = jn.date_window(items(spark, sf_dir), "published_at", "1996-01-01", "1998-12-31").select("content_id")
-    answer = F.when(F.col("content_id") % 3 == 0, "general").otherwise("sector")
-    return papers(spark, sf_dir).join(window, "content_id").select("content_id", "title", "lang", answer.alias("answer"))
+    held = _classified(spark, sf_dir).join(window, "content_id").select("content_id", F.col("sectors").alias("application_domain"), F.col("audience").alias("audience_relevance"), F.when(F.col("content_id") % 11 == 0, "poem").otherwise("method").alias("paper_kind"), F.lit("eu").alias("geography_focus"), ((F.col("content_id") % 21) / 2).alias("domain_confidence"))
+    bodies = rs.rebuild_response(held, "content_id", ("application_domain", "audience_relevance", "paper_kind", "geography_focus", "domain_confidence"))
+    batches = bodies.select(F.col("content_id").alias("batch_id"), F.array("content_id").alias("expected"), F.col("body").alias("text"))
+    checked = rs.analyze(batches, ("general_method", "education", "health"), ("practitioner", "technical_leadership", "enterprise_adoption", "student"), ("method", "theory"), ("eu", "us"))
+    pool = papers(spark, sf_dir).select("content_id", "title", "lang").join(checked.withColumnRenamed("paper_id", "content_id"), "content_id")
+    lists = [F.array_join("application_domain", ",").alias("domains"), F.array_join("audience_relevance", ",").alias("audiences")]
+    return pool.select("content_id", "title", "lang", *lists, F.col("paper_kind").alias("kind"), F.col("domain_confidence").alias("confidence"), "schema_valid", "exclusive", F.array_join("dropped", " ").alias("dropped"))
 
 
 @query("SELECT event_type AS source, count(*) AS items, count(DISTINCT user_id) AS users, strftime(max(ts), '%Y-%m-%d') AS newest FROM events GROUP BY 1")

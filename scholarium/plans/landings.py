@@ -8,7 +8,7 @@ from ..operators import ranking as rk
 from ..operators.aggregates import disagreements
 from ..sources import readers as rd
 from ..sources import writers as wr
-from ..sources.landing import fresh_path
+from ..sources.landing import fresh_path, settle
 from ..streaming import ingest as ig
 from .base import assessments, claims, items, organisations, people, query, table
 from .composites import _APPLIED, _FINAL, _ORGS, _SEARCH, _SHOWN, _TOP, _links, corpus_search, final_scores, organisations_of
@@ -158,7 +158,7 @@ _REPORT = f"""SELECT place, content_id, concat_ws(chr(10), '## ' || place || '.
   SELECT 0 AS place, NULL::BIGINT AS content_id, concat_ws(chr(10), '# Top papers', '', '**Window:** full corpus  ', '**Ranking:** `v2` (rank by final)  ', '**Ranked from:** ' || ranked || ' assessed papers  ', '**Scoring pool:** ' || screened || ' screened, ' || full_n || ' fully scored  ', '', '---') AS markdown FROM pool, n
   UNION ALL {_REPORT}""")
 def k4_top_report(spark, sf_dir):
-    scored = final_scores(spark, sf_dir)
+    scored = settle(final_scores(spark, sf_dir), "scored")
     top = organisations_of(spark, sf_dir, F.broadcast(rk.top_n(scored, "final", "published_at", "content_id", 20)))
     done = assessments(spark, sf_dir).where("status = 'COMPLETED'")
     pool = done.agg(F.count_if(F.col("tier") == "screen").alias("screened"), F.count_if(F.col("tier") == "full").alias("full"))

@@ -12,7 +12,8 @@ from .lookups import _TIERS, j14_tier_self_join
 from .scalars import CORE_SQL, core
 
 _ONE = """one AS (SELECT l_orderkey AS content_id, l_linenumber AS candidate, min(l_partkey) AS part, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS quantity, CAST(min(CAST(l_quantity AS INTEGER)) AS BIGINT) AS low, max(l_returnflag) AS flag FROM lineitem GROUP BY 1, 2),
-  res AS (SELECT content_id, candidate, CASE part % 3 WHEN 0 THEN 'general' WHEN 1 THEN 'health' ELSE 'finance' END AS answer, part % 3 = 0 AS general, quantity % 3 AS domains, quantity % 20 <> 0 AS valid, low % 7 AS latency, quantity AS tokens_in, low AS tokens_out FROM one)"""
+  res AS (SELECT content_id, candidate, CASE part % 3 WHEN 0 THEN 'general' WHEN 1 THEN 'health' ELSE 'finance' END AS answer, part % 3 = 0 AS general, quantity % 3 AS domains, quantity % 20 <> 0 AS valid, low % 7 AS latency, quantity AS tokens_in, low AS tokens_out,
+  low % 13 <> 0 AS json_valid, quantity % 3 AS retries, CASE WHEN quantity % 20 <> 0 THEN [] WHEN low % 2 = 0 THEN ['application_domain:invalid:x'] ELSE ['domain_confidence:missing'] END AS dropped FROM one)"""
 
 
 def _results(spark, sf_dir):
@@ -21,7 +22,9 @@ def _results(spark, sf_dir):
         F.min("l_partkey").alias("part"), F.sum(F.col("l_quantity").cast("int")).alias("quantity"), F.min(F.col("l_quantity").cast("int")).cast("long").alias("low")
     )
     answer = F.when(F.col("part") % 3 == 0, "general").when(F.col("part") % 3 == 1, "health").otherwise("finance")
-    return one.select("content_id", "candidate", answer.alias("answer"), (F.col("part") % 3 == 0).alias("general"), (F.col("quantity") % 3).alias("domains"), (F.col("quantity") % 20 != 0).alias("valid"), (F.col("low") % 7).alias("latency"), F.col("quantity").alias("tokens_in"), F.col("low").alias("tokens_out"))
+    dropped = F.when(F.col("quantity") % 20 != 0, F.array().cast("array<string>")).when(F.col("low") % 2 == 0, F.array(F.lit("application_domain:invalid:x"))).otherwise(F.array(F.lit("domain_confidence:missing")))
+    extra = [(F.col("low") % 13 != 0).alias("json_valid"), (F.col("quantity") % 3).alias("retries"), dropped.alias("dropped")]
+    return one.select(*extra, "content_id", "candidate", answer.alias("answer"), (F.col("part") % 3 == 0).alias("general"), (F.col("quantity") % 3).alias("domains"), (F.col("quantity") % 20 != 0).alias("valid"), (F.col("low") % 7).alias("latency"), F.col("quantity").alias("tokens_in"), F.col("low").alias("tokens_out"))
 
 
 _LAB = "lab AS (SELECT o_orderkey AS content_id, l AS labeller, CASE (o_custkey + l) % 3 WHEN 0 THEN 'general' WHEN 1 THEN 'health' ELSE 'finance' END AS answer FROM orders, (VALUES (1), (2), (3)) AS v(l))"
@@ -106,13 +109,34 @@ def a9_tie_block_at_cut(spark, sf_dir):
     return ag.tie_block(table(spark, sf_dir, "lineitem"), "l_quantity", 1000)
 
 
-@query(f"""WITH v AS (SELECT content_id, {CORE_SQL} AS two, floor((technical + novelty) / 2 * 100 + 0.5 + 1e-7::DOUBLE) / 100 AS one FROM newest), u AS (SELECT 'one' AS dim, one AS value FROM v UNION ALL SELECT 'two', two FROM v)
-  SELECT dim, count(*) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS stdev, min(value) AS low, max(value) AS high FROM u GROUP BY 1""")
+_PASSES = """pass AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY content_id, version ORDER BY age DESC, t1 DESC, t2 DESC, t3 DESC) AS rn FROM assessments WHERE version <= 3) WHERE rn = 1),
+  both_passes AS (SELECT a.content_id, a.technical AS x, b.technical AS y FROM pass a JOIN pass b ON a.content_id = b.content_id WHERE a.version = 1 AND b.version = 2)"""
+_QUANTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
+
+
+def distribution_sql(values: dict[str, str], source: str) -> str:
+    """Each profile's figures, by ranks of its values."""
+    long = " UNION ALL ".join(f"SELECT '{d}' AS dim, CAST({x} AS DOUBLE) AS v FROM {source}" for d, x in values.items())
+    at = ", ".join(f"max(v) FILTER (WHERE up = least(n - 1, CAST(floor(n * {q}::DOUBLE) AS BIGINT))) AS p{round(q * 100)}" for q in _QUANTILES)
+    return f"""SELECT dim, n, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS stdev, min(v) AS low, max(v) AS high, {at}, max(cutoff) AS cutoff, count(*) FILTER (WHERE v = cutoff) AS ties
+      FROM (SELECT *, max(v) FILTER (WHERE up = greatest(n - 20, 0)) OVER (PARTITION BY dim) AS cutoff FROM (SELECT dim, v, row_number() OVER (PARTITION BY dim ORDER BY v) - 1 AS up, count(*) OVER (PARTITION BY dim) AS n FROM ({long}) WHERE v IS NOT NULL)) GROUP BY dim, n"""
+
+
+def rounded_distribution(df, profiles):
+    return ag.distribution(df, profiles, _QUANTILES).withColumn("mean", F.round("mean", 6)).withColumn("stdev", F.round("stdev", 6))
+
+
+_A10 = distribution_sql({"one": "one", "two": "two"}, "v")
+
+
+@query(f"""WITH {_PASSES}, v AS (SELECT one.one, two.two FROM (SELECT content_id, floor((technical + novelty) / 2 * 100 + 0.5 + 1e-7::DOUBLE) / 100 AS one FROM pass WHERE version = 1) one JOIN (SELECT content_id, {CORE_SQL} AS two FROM pass WHERE version = 2) two USING (content_id)) {_A10}""")
 def a10_compression_compare(spark, sf_dir):
+    """Two versions, each under its own profile, on the contents that both have."""
     from ..functions import scores as sc
 
-    both = newest(spark, sf_dir).select("content_id", core().alias("two"), sc.round2((F.col("technical") + F.col("novelty")) / 2).alias("one"))
-    return ag.spread(both, ("one", "two")).withColumn("mean", F.round("mean", 6)).withColumn("stdev", F.round("stdev", 6))
+    first, second, _ = _passes(spark, sf_dir)
+    one = first.select("content_id", sc.round2((F.col("technical") + F.col("novelty")) / 2).alias("one"))
+    return rounded_distribution(one.join(second.select("content_id", core().alias("two")), "content_id"), ("one", "two"))
 
 
 @query("SELECT l_returnflag, round(corr(l_quantity, l_extendedprice), 6) AS pearson FROM lineitem GROUP BY 1")
@@ -132,25 +156,25 @@ def a12_spearman(spark, sf_dir):
     return ag.spearman(lines, "l_quantity", "l_extendedprice", ["l_returnflag"]).withColumn("spearman", F.round("spearman", 6))
 
 
-_PASSES = """pass AS (SELECT content_id, version, technical, row_number() OVER (PARTITION BY content_id, version ORDER BY age DESC, t1 DESC, t2 DESC, t3 DESC) AS rn FROM assessments WHERE version <= 2),
-  both_passes AS (SELECT a.content_id, a.technical AS x, b.technical AS y FROM pass a JOIN pass b ON a.content_id = b.content_id WHERE a.rn = 1 AND b.rn = 1 AND a.version = 1 AND b.version = 2)"""
+def _passes(spark, sf_dir):
+    rows = jn.latest_per_key(assessments(spark, sf_dir).where("version <= 3"), ["content_id", "version"], ["age", "t1", "t2", "t3"])
+    return tuple(rows.where(F.col("version") == v) for v in (1, 2, 3))
 
 
-def _passes(spark, sf_dir):
-    rows = jn.latest_per_key(assessments(spark, sf_dir).where("version <= 2"), ["content_id", "version"], ["age", "t1", "t2", "t3"])
-    return rows.where("version = 1"), rows.where("version = 2")
+_A13 = " UNION ALL ".join(f"SELECT '{a} vs {b}' AS pairing, p{i}.technical AS x, p{j}.technical AS y FROM pass p1 JOIN pass p2 USING (content_id) JOIN pass p3 USING (content_id) WHERE p1.version = 1 AND p2.version = 2 AND p3.version = 3" for a, b, i, j in (("single", "A", 1, 2), ("single", "B", 1, 3), ("A", "B", 2, 3)))
 
 
-@query(f"WITH {_PASSES}, s AS ({_spearman_sql('both_passes', 'x', 'y')}), m AS (SELECT avg(y - x) AS shift, avg(abs(y - x)) AS mad FROM both_passes) SELECT n, spearman, round(shift, 6) AS shift, round(mad, 6) AS mad, spearman > 0.9 AND abs(shift) < 0.2 AND mad < 0.4 AS passed FROM s, m")
+@query(f"WITH {_PASSES}, three AS ({_A13}), s AS ({_spearman_sql('three', 'x', 'y', 'pairing')}), m AS (SELECT pairing, avg(x - y) AS shift, avg(abs(x - y)) AS mad FROM three GROUP BY 1) SELECT pairing, n, spearman, round(shift, 6) AS shift, round(mad, 6) AS mad, spearman > 0.9 AND abs(shift) < 0.2 AND mad < 0.4 AS passed FROM s JOIN m USING (pairing)")
 def a13_paired_drift(spark, sf_dir):
-    one, two = _passes(spark, sf_dir)
-    out = ag.drift(one, two, "content_id", "technical")
-    return out.select("n", *[F.round(c, 6).alias(c) for c in ("spearman", "shift", "mad")], "passed")
+    """A scoring alone and two arrangements, each two of them."""
+    single, one, two = _passes(spark, sf_dir)
+    out = ag.drifts({"single": single, "A": one, "B": two}, "content_id", "technical")
+    return out.select("pairing", "n", *[F.round(c, 6).alias(c) for c in ("spearman", "shift", "mad")], "passed")
 
 
 @query(f"WITH {_PASSES} SELECT content_id % 4 = 0 AS watched, count(*) AS n, round(avg(y - x), 6) AS mean, round(stddev_samp(y - x), 6) AS stdev FROM both_passes GROUP BY 1")
 def a14_group_delta(spark, sf_dir):
-    one, two = _passes(spark, sf_dir)
+    one, two, _ = _passes(spark, sf_dir)
     both = one.select("content_id", F.col("technical").alias("x")).join(two.select("content_id", F.col("technical").alias("y")), "content_id")
     out = ag.group_delta(both.withColumn("watched", F.col("content_id") % 4 == 0), "watched", "x", "y")
     return out.select("watched", "n", F.round("mean", 6).alias("mean"), F.round("stdev", 6).alias("stdev"))
@@ -197,13 +221,13 @@ def a18_gate_recall_curve(spark, sf_dir):
     return ag.gate_recall(j14_tier_self_join(spark, sf_dir), "content_id", "screen", "full_score", (10, 15, 20, 25, 30, 35), 50)
 
 
-_A19 = f"WITH {_ONE} SELECT candidate, count(*) AS n, round(avg(general::INT), 6) AS general_rate, round(avg(valid::INT), 6) AS valid_rate, CAST(sum(CASE WHEN general AND domains > 1 THEN 1 ELSE 0 END) AS BIGINT) AS violations, round(avg(CASE WHEN latency > 0 THEN latency END), 6) AS latency, round(sum(tokens_in * 2 + tokens_out * 10) / 1000000.0::DOUBLE / count(*) * 1000, 6) AS cost_per_1000 FROM res GROUP BY 1"
+_A19 = f"WITH {_ONE} SELECT candidate, count(*) AS n, round(avg(general::INT), 6) AS general_rate, round(avg(valid::INT), 6) AS valid_rate, round(avg((json_valid AND retries = 0)::INT), 6) AS first_try_rate, round(avg((NOT valid AND coalesce(dropped[1] LIKE '%invalid%', false))::INT), 6) AS invalid_rate, CAST(sum(CASE WHEN general AND domains > 1 THEN 1 ELSE 0 END) AS BIGINT) AS violations, round(avg(CASE WHEN latency > 0 THEN latency END), 6) AS latency, round(sum(tokens_in * 2 + tokens_out * 10) / 1000000.0::DOUBLE / count(*) * 1000, 6) AS cost_per_1000 FROM res GROUP BY 1"
 
 
 @query(_A19)
 def a19_candidate_metrics(spark, sf_dir):
     out = ag.candidate_metrics(_results(spark, sf_dir))
-    return out.select("candidate", "n", "violations", *[F.round(c, 6).alias(c) for c in ("general_rate", "valid_rate", "latency", "cost_per_1000")])
+    return out.select("candidate", "n", "violations", *[F.round(c, 6).alias(c) for c in ("general_rate", "valid_rate", "first_try_rate", "invalid_rate", "latency", "cost_per_1000")])
 
 
 _A20 = f"WITH {_ONE}, {_LAB}, t AS (SELECT content_id, arg_min(answer, labeller) AS truth FROM lab GROUP BY 1) SELECT candidate, round(avg((answer = truth)::INT), 6) AS accuracy, round(avg(CASE WHEN truth = 'general' THEN (answer <> 'general')::INT END), 6) AS force_fit FROM res JOIN t USING (content_id) GROUP BY 1"
@@ -270,6 +294,35 @@ def a27_cost_projection(spark, sf_dir):
     return out.select("n", "calls", F.round("cost", 6).alias("cost"))
 
 
+# What stages get of the pool, papers of a call, tokens of the prompt and of an answer; independence reads as many tokens whatever the paper.
+_STAGES = (("screen", 100, 20, 900, 40), ("full", 15, 5, 1200, 220), ("independence", 15, 20, -185, 30))
+
+
+def _stage_sql(name, share, batch, prompt, answer) -> str:
+    a_paper = f"{-prompt}.0::DOUBLE" if prompt < 0 else f"mean + {prompt} / {batch}.0::DOUBLE"
+    return f"SELECT '{name}' AS stage, n, CAST(ceil(n / {batch}.0) AS BIGINT) AS calls, CAST(floor(({a_paper}) * n) AS BIGINT) AS tokens_in, CAST({answer} * n AS BIGINT) AS tokens_out FROM (SELECT CAST(ceil(pool * {share} / 100.0) AS BIGINT) AS n, mean FROM b)"
+
+
+@query(f"""WITH pending AS (SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT content_id FROM assessments WHERE tier = 'screen' AND status = 'COMPLETED')), s AS (SELECT greatest(1, length(text) // 4) AS tokens FROM pending ORDER BY doc_id LIMIT 50),
+  b AS (SELECT (SELECT count(*) FROM pending) AS pool, (SELECT avg(tokens) FROM s) AS mean), t AS ({" UNION ALL ".join(_stage_sql(*x) for x in _STAGES)}) SELECT *, round((tokens_in * 2 + tokens_out * 10) / 1000000.0::DOUBLE, 6) AS cost FROM t""")
+def a27_stage_costs(spark, sf_dir):
+    """What screening the documents that aren't screened yet, and the stages after it, would cost."""
+    done = assessments(spark, sf_dir).where("tier = 'screen' and status = 'COMPLETED'").select(F.col("content_id").alias("doc_id"))
+    pending = table(spark, sf_dir, "documents").join(done, "doc_id", "left_anti")
+    sample = pending.orderBy("doc_id").limit(50).select(tx.tokens_of(F.col("text")).alias("tokens"))
+    return ag.stage_costs(pending, sample, _STAGES).withColumn("cost", F.round("cost", 6))
+
+
+@query("""WITH c AS (SELECT DISTINCT l_linenumber AS candidate, l_linenumber * 0.25::DOUBLE AS price_in, l_linenumber * 1.5::DOUBLE AS price_out FROM lineitem), n AS (SELECT count(*) AS papers FROM documents),
+  r AS (SELECT candidate, papers, 2 AS passes, CAST(greatest(1, ceil(papers / 20.0)) AS BIGINT) AS batches, round((price_in * 550 + price_out * 80) * papers * 2 / 1000000.0::DOUBLE, 6) AS cost FROM c, n WHERE candidate <> 1) SELECT *, round(sum(cost) OVER (), 4) AS total FROM r""")
+def a27_candidate_costs(spark, sf_dir):
+    """What two passes of every candidate but the baseline would cost."""
+    each = table(spark, sf_dir, "lineitem").select(F.col("l_linenumber").alias("candidate")).distinct()
+    priced = each.select("candidate", (F.col("candidate") * 0.25).alias("price_in"), (F.col("candidate") * 1.5).alias("price_out"))
+    out = ag.candidate_costs(priced, table(spark, sf_dir, "documents"), 2, 20, 1)
+    return out.withColumn("cost", F.round("cost", 6)).withColumn("total", F.round("total", 4))
+
+
 @query("""SELECT o_orderpriority AS set_name, count(*) AS seen, count(*) FILTER (WHERE o_orderstatus = 'P') AS deleted, count(*) FILTER (WHERE o_orderstatus <> 'P') AS kept,
   count(*) FILTER (WHERE o_orderstatus <> 'P' AND year(o_orderdate) < year(o_orderdate + INTERVAL 90 DAY)) AS revisions, count(DISTINCT o_custkey) AS unique_items FROM orders GROUP BY 1""")
 def a28_window_stats(spark, sf_dir):
