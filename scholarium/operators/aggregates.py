@@ -130,15 +130,6 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     return ranked.groupBy(*by).agg(n.alias("n"), F.when(n > 1, 1 - 6 * d2 / (n.cast("double") * (n * n - 1))).alias("spearman"))
 
 
-def drift(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
-    """Rank correlation, mean shift and mean absolute difference of two scorings on their common keys."""
-    both = settle(a.select(key, F.col(value).alias("x")).join(b.select(key, F.col(value).alias("y")), key), "pairs")
-    stats = both.agg(F.avg(F.col("y") - F.col("x")).alias("shift"), F.avg(F.abs(F.col("y") - F.col("x"))).alias("mad"))
-    out = spearman(both, "x", "y").crossJoin(F.broadcast(stats))
-    passed = (F.col("spearman") > 0.90) & (F.abs("shift") < 0.20) & (F.col("mad") < 0.40)
-    return out.select("n", "spearman", "shift", "mad", passed.alias("passed"))
-
-
 def drifts(scorings: dict[str, DataFrame], key: str, value: str) -> DataFrame:
     """(pairing, n, spearman, shift, mad, passed) of each two of several scorings, in their order, on the keys that all have."""
     common = None

@@ -108,13 +108,16 @@ def final_scores(spark, sf_dir):
 
 
 def organisations_of(spark, sf_dir, rows):
-    """Adds ``organisations`` to a few rows: structs of a content's organisations that aren't its current employer, by priority and name."""
+    """Adds ``organisations`` to a few rows: structs of a content's organisations that aren't its current employer, by priority and name, with their evidence."""
+    n = F.col("ordinal") % 3
+    kind = F.when(n == 0, "email_domain").when(n == 1, "explicit_affiliation_text").otherwise("paper_specific_openalex")
+    said = F.when(F.col("ordinal") % 4 != 0, F.concat(F.lit("line "), F.col("ordinal").cast("string")))
     held = evidence(spark, sf_dir).where("not current_affiliation").join(rows.select("content_id"), "content_id", "left_semi").join(organisations(spark, sf_dir), "organisation_id")
-    listed = F.array_sort(F.collect_list(F.struct((-F.col("priority")).alias("order"), "name", "confidence", "ordinal")))
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("priority")).alias("order"), "name", "confidence", "ordinal", kind.alias("evidence_type"), said.alias("evidence_text"))))
     return rows.join(held.groupBy("content_id").agg(listed.alias("organisations")), "content_id", "left")
 
 
-_ORGS = """orgs AS (SELECT content_id, list({'name': name, 'priority': priority, 'confidence': confidence} ORDER BY priority DESC, name, confidence, ordinal) AS organisations FROM evidence JOIN organisations USING (organisation_id) WHERE NOT current_affiliation GROUP BY 1)"""
+_ORGS = """orgs AS (SELECT content_id, list({'name': name, 'priority': priority, 'confidence': confidence, 'kind': CASE ordinal % 3 WHEN 0 THEN 'email_domain' WHEN 1 THEN 'explicit_affiliation_text' ELSE 'paper_specific_openalex' END, 'said': CASE WHEN ordinal % 4 <> 0 THEN 'line ' || ordinal END} ORDER BY priority DESC, name, confidence, ordinal) AS organisations FROM evidence JOIN organisations USING (organisation_id) WHERE NOT current_affiliation GROUP BY 1)"""
 _TOP = "top AS (SELECT * FROM final ORDER BY final DESC NULLS LAST, published_at DESC, content_id LIMIT {0})"
 
 

@@ -11,7 +11,7 @@ from ..sources import writers as wr
 from ..sources.landing import fresh_path, settle
 from ..streaming import ingest as ig
 from .base import assessments, claims, items, organisations, people, query, table
-from .composites import _APPLIED, _FINAL, _ORGS, _SEARCH, _SHOWN, _TOP, _links, corpus_search, final_scores, organisations_of
+from .composites import _APPLIED, _FINAL, _ORGS, _SEARCH, _SECTORS, _SHOWN, _TOP, _classified, _links, corpus_search, final_scores, organisations_of
 from .statistics import _ONE, _results
 
 
@@ -147,19 +147,37 @@ def _two(x: str) -> str:
 
 
 _DIMS4 = ("technical", "novelty", "practical", "professional", "learning")
+# What an assessment says beside its scores, by content_id.
+_SAID = f"""said AS (SELECT *, content_id % 11 + 0.25::DOUBLE AS newsletter, CASE WHEN content_id % 3 = 0 THEN '26' || content_id % 100 || '.' || content_id END AS arxiv_id, {", ".join(f"CASE WHEN (content_id + {i}) % 3 <> 0 THEN '{d} | as of ' || strftime(published_at, '%Y') END AS {d}_reason" for i, d in enumerate(_DIMS4))},
+  CASE WHEN content_id % 4 <> 0 THEN 'matters to ' || content_id % 7 END AS so_what, CASE WHEN content_id % 5 = 0 THEN '' ELSE 'no ablation' END AS reason_not_higher, CASE WHEN content_id % 6 = 0 THEN [] ELSE {_SECTORS} END AS industry FROM top)"""
+
+
+def _said(rows):
+    k = F.col("content_id")
+    reasons = {f"{d}_reason": F.when((k + i) % 3 != 0, F.concat(F.lit(f"{d} | as of "), F.date_format("published_at", "yyyy"))) for i, d in enumerate(_DIMS4)}
+    identifier = F.when(k % 3 == 0, F.concat(F.lit("26"), (k % 100).cast("string"), F.lit("."), k.cast("string")))
+    texts = {"so_what": F.when(k % 4 != 0, F.concat(F.lit("matters to "), (k % 7).cast("string"))), "reason_not_higher": F.when(k % 5 == 0, "").otherwise("no ablation")}
+    named = {"newsletter": (k % 11 + F.lit(0.25)), "arxiv_id": identifier, "url": F.concat(F.lit("https://arxiv.org/abs/"), identifier)}
+    return rows.withColumns(named | reasons | texts).withColumn("industry", F.when(k % 6 == 0, F.array().cast("array<string>")).otherwise(F.col("sectors")))
+
+
+_HEAD4 = ", ".join((f"'Newsletter score: **' || {_two('newsletter')} || '**  '", "'Independence: `' || independence || '`  '", "'Published: ' || strftime(published_at, '%Y-%m-%d') || '  '", "'arXiv: `' || arxiv_id || '`  '", "'[https://arxiv.org/abs/' || arxiv_id || '](https://arxiv.org/abs/' || arxiv_id || ')'"))
+_TABLE4 = ", ".join(f"'| {d} | ' || coalesce(printf('%.1f', {d}), '—') || ' | ' || coalesce(replace({d}_reason, '|', '\\|'), '—') || ' |'" for d in _DIMS4)
 _REPORT = f"""SELECT place, content_id, concat_ws(chr(10), '## ' || place || '. Paper ' || content_id, '', '**' || {_two('final')} || '** — quality ' || {_two('core')} || ' × evidence ' || {_two('evidence_factor')} || ' × independence ' || {_two('independence_factor')}
-  || CASE WHEN org_boost > 0 THEN ' + org ' || {_two('org_boost')} ELSE '' END || CASE WHEN person_boost > 0 THEN ' + person ' || {_two('person_boost')} ELSE '' END || '  ', CASE WHEN independence IS NOT NULL THEN 'Independence: `' || independence || '`  ' END, 'Published: ' || strftime(published_at, '%Y-%m-%d') || '  ', '',
-  '| Dimension | Score |', '|---|---|', {', '.join(f"'| {d} | ' || coalesce({_two(d)}, '—') || ' |'" for d in _DIMS4)}, '',
-  CASE WHEN organisations IS NULL THEN '**Organisations:** none resolved from paper evidence' ELSE '**Organisations (evidence-backed):**' || chr(10) || array_to_string(list_transform(organisations, lambda o: '- ' || o.name || ' (priority ' || o.priority || ', confidence ' || o.confidence || ')'), chr(10)) END, '', '---') AS markdown
-  FROM (SELECT *, row_number() OVER (ORDER BY final DESC NULLS LAST, published_at DESC, content_id) AS place FROM top LEFT JOIN orgs USING (content_id))"""
+  || CASE WHEN org_boost > 0 THEN ' + org ' || {_two('org_boost')} ELSE '' END || CASE WHEN person_boost > 0 THEN ' + person ' || {_two('person_boost')} ELSE '' END || '  ', {_HEAD4}, '',
+  '| Dimension | Score | Assessment |', '|---|---|---|', {_TABLE4}, '', '**So what:** ' || so_what || '  ', '**Why not higher:** ' || nullif(reason_not_higher, '') || '  ', CASE WHEN so_what IS NOT NULL OR reason_not_higher <> '' THEN '' END,
+  CASE WHEN organisations IS NULL THEN '**Organisations:** none resolved from paper evidence' ELSE '**Organisations (evidence-backed):**' || chr(10) || array_to_string(list_transform(organisations, lambda o: '- ' || o.name || ' — ' || o.kind || ': `' || coalesce(o.said, 'n/a') || '` (confidence ' || o.confidence || ')'), chr(10)) END, '',
+  CASE WHEN len(industry) > 0 THEN '**Industry:** ' || array_to_string(industry, ', ') || chr(10) END, '---') AS markdown
+  FROM (SELECT *, row_number() OVER (ORDER BY final DESC NULLS LAST, published_at DESC, content_id) AS place FROM said LEFT JOIN orgs USING (content_id))"""
 
 
-@query(f"""WITH {_FINAL}, {_TOP.format(20)}, {_ORGS}, pool AS (SELECT count(*) FILTER (WHERE tier = 'screen') AS screened, count(*) FILTER (WHERE tier = 'full') AS full_n FROM assessments WHERE status = 'COMPLETED'), n AS (SELECT count(*) AS ranked FROM final)
+@query(f"""WITH {_FINAL}, {_TOP.format(20)}, {_SAID}, {_ORGS}, pool AS (SELECT count(*) FILTER (WHERE tier = 'screen') AS screened, count(*) FILTER (WHERE tier = 'full') AS full_n FROM assessments WHERE status = 'COMPLETED'), n AS (SELECT count(*) AS ranked FROM final)
   SELECT 0 AS place, NULL::BIGINT AS content_id, concat_ws(chr(10), '# Top papers', '', '**Window:** full corpus  ', '**Ranking:** `v2` (rank by final)  ', '**Ranked from:** ' || ranked || ' assessed papers  ', '**Scoring pool:** ' || screened || ' screened, ' || full_n || ' fully scored  ', '', '---') AS markdown FROM pool, n
   UNION ALL {_REPORT}""")
 def k4_top_report(spark, sf_dir):
     scored = settle(final_scores(spark, sf_dir), "scored")
-    top = organisations_of(spark, sf_dir, F.broadcast(rk.top_n(scored, "final", "published_at", "content_id", 20)))
+    best = F.broadcast(settle(rk.top_n(scored, "final", "published_at", "content_id", 20), "top"))
+    top = organisations_of(spark, sf_dir, _said(best.join(_classified(spark, sf_dir), "content_id")))
     done = assessments(spark, sf_dir).where("status = 'COMPLETED'")
     pool = done.agg(F.count_if(F.col("tier") == "screen").alias("screened"), F.count_if(F.col("tier") == "full").alias("full"))
     header = wr.report_header(scored.agg(F.count(F.lit(1)).alias("ranked")).crossJoin(F.broadcast(pool)), "Top papers", "full corpus", "v2", "final")

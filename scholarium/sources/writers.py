@@ -56,21 +56,30 @@ def _two(x) -> Column:
 
 
 def report_lines(rows: DataFrame, key: str, title: Column, dims: Sequence[str], score: str) -> DataFrame:
-    """(place, key, markdown): one block a row of a top list: score with its factors and boosts, dimensions, organisations with their evidence.
+    """(place, key, markdown): one block a row of a top list.
 
-    ``rows`` has core, both factors, both boosts, independence, published_at, organisations and the dimensions.
+    ``rows`` has core, both factors, both boosts, independence, published_at, organisations (order, name, evidence_type, evidence_text,
+    confidence), the dimensions and, for each, its reason under ``<dimension>_reason``; besides newsletter, arxiv_id, url, so_what,
+    reason_not_higher and industry (array). What is null or empty has no line; a missing score or reason is a dash.
     """
     # the list is short, so its numbering is no burden
     placed = rows.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last(score), F.desc("published_at"), key)))
+    line = lambda before, column, after: F.concat(F.lit(before), F.col(column) if isinstance(column, str) else column, F.lit(after))
+    filled = lambda column: F.nullif(F.col(column), F.lit(""))
     factors = F.concat(F.lit("**"), _two(score), F.lit("** — quality "), _two("core"), F.lit(" × evidence "), _two("evidence_factor"), F.lit(" × independence "), _two("independence_factor"))
     boosts = [F.when(F.col(f"{b}_boost") > 0, F.concat(F.lit(f" + {b} "), _two(f"{b}_boost"))).otherwise("") for b in ("org", "person")]
-    independence = F.when(F.col("independence").isNotNull(), F.concat(F.lit("Independence: `"), F.col("independence"), F.lit("`  ")))
-    table = [F.concat(F.lit(f"| {d} | "), F.when(F.col(d).isNull(), "—").otherwise(_two(d)), F.lit(" |")) for d in dims]
-    each = F.transform("organisations", lambda o: F.concat(F.lit("- "), o["name"], F.lit(" (priority "), (-o["order"]).cast("string"), F.lit(", confidence "), o["confidence"].cast("string"), F.lit(")")))
-    named = F.when(F.col("organisations").isNull(), F.lit("**Organisations:** none resolved from paper evidence")).otherwise(F.concat(F.lit("**Organisations (evidence-backed):**\n"), F.array_join(each, "\n")))
+    # fixed values: the words of the report
+    head = [line("Newsletter score: **", _two("newsletter"), "**  "), line("Independence: `", "independence", "`  "), line("Published: ", F.date_format("published_at", "yyyy-MM-dd"), "  "), line("arXiv: `", "arxiv_id", "`  "), F.concat(F.lit("["), F.col("url"), F.lit("]("), F.col("url"), F.lit(")"))]
+    cell = lambda d: F.when(F.col(d).isNull(), "—").otherwise(F.format_string("%.1f", F.col(d)))
+    reason = lambda d: F.coalesce(F.replace(filled(f"{d}_reason"), F.lit("|"), F.lit("\\|")), F.lit("—"))
+    table = [F.concat(F.lit(f"| {d} | "), cell(d), F.lit(" | "), reason(d), F.lit(" |")) for d in dims]
+    said = [line("**So what:** ", filled("so_what"), "  "), line("**Why not higher:** ", filled("reason_not_higher"), "  ")]
+    each = F.transform("organisations", lambda o: F.concat(F.lit("- "), o["name"], F.lit(" — "), o["evidence_type"], F.lit(": `"), F.coalesce(o["evidence_text"], F.lit("n/a")), F.lit("` (confidence "), o["confidence"].cast("string"), F.lit(")")))
+    named = F.when(F.coalesce(F.size("organisations"), F.lit(0)) < 1, F.lit("**Organisations:** none resolved from paper evidence")).otherwise(F.concat(F.lit("**Organisations (evidence-backed):**\n"), F.array_join(each, "\n")))
+    industry = F.when(F.size("industry") > 0, F.concat(F.lit("**Industry:** "), F.array_join("industry", ", "), F.lit("\n")))
     block = F.concat_ws(
-        "\n", F.concat(F.lit("## "), F.col("place").cast("string"), F.lit(". "), title), F.lit(""), F.concat(factors, *boosts, F.lit("  ")), independence,
-        F.concat(F.lit("Published: "), F.date_format("published_at", "yyyy-MM-dd"), F.lit("  ")), F.lit(""), F.lit("| Dimension | Score |"), F.lit("|---|---|"), *table, F.lit(""), named, F.lit(""), F.lit("---"),
+        "\n", F.concat(F.lit("## "), F.col("place").cast("string"), F.lit(". "), title), F.lit(""), F.concat(factors, *boosts, F.lit("  ")), *head, F.lit(""),
+        F.lit("| Dimension | Score | Assessment |"), F.lit("|---|---|---|"), *table, F.lit(""), *said, F.when(F.coalesce(*said).isNotNull(), F.lit("")), named, F.lit(""), industry, F.lit("---"),
     )
     return placed.select("place", key, block.alias("markdown"))
 
