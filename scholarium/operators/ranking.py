@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.landing import settle
-from .running import cut_of, meet, run_before
+from .running import run_before
 
 
 def seeded(seed: str, key: str) -> Column:
@@ -45,14 +45,9 @@ def top_n(df: DataFrame, by: str, recency: str, key: str, n: int, since: str | N
 
 
 def rank_by(df: DataFrame, value: str, key: str, out: str) -> DataFrame:
-    """Adds ranks by value descending, null values last, and key. Rows are counted by value and range of keys; only those of one range are ordered."""
-    df = settle(df, "ranked")
-    keyed = df.withColumn("_range", cut_of(df, key))
-    counts = keyed.groupBy(value, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = run_before(counts, value, "_n", "_ahead", descending=True, then=["_range"]).drop("_n")
-    within = F.row_number().over(Window.partitionBy(value, "_range").orderBy(key))
-    ranked = meet(keyed.withColumn("_place", within), before, [value, "_range"])
-    return ranked.withColumn(out, F.col("_ahead") + F.col("_place")).drop("_range", "_ahead", "_place")
+    """Adds ranks by value descending, null values last, and key."""
+    ahead = run_before(df.withColumn("_one", F.lit(1)), value, "_one", "_ahead", descending=True, then=[key])
+    return ahead.withColumn(out, (F.col("_ahead") + 1).cast("long")).drop("_one", "_ahead")
 
 
 def rank_compare(df: DataFrame, key: str, one: str, two: str) -> DataFrame:
@@ -87,19 +82,42 @@ def notable_share(df: DataFrame, key: str, notable: str, priority: str, top: int
     return joined.orderBy("turn", *order).limit(top).drop("turn")
 
 
+def _in_turn(df: DataFrame, key: str, groups: Sequence[tuple[str, Column, Sequence[Column], int]]) -> DataFrame:
+    """(key, group): each group's first rows that no group before it has taken.
+
+    A group is its name, who belongs to it, its order (three sortable doubles or texts: nulls, number, text) and how many it takes. The first rows
+    of a group that are open lie among its first n of this and all groups before, so these are taken from one reading of the rows, and
+    only they, a bounded list, are settled group by group.
+    """
+    most, taken = [], 0
+    for *_, n in groups:
+        taken += n
+        most.append(taken)
+    tags = [F.when(F.coalesce(member, F.lit(False)), F.struct(F.lit(i).alias("turn"), F.lit(limit).alias("most"), *[c.alias(x) for c, x in zip(order, ("o1", "o2", "o3"), strict=True)])) for i, ((_, member, order, _), limit) in enumerate(zip(groups, most, strict=True))]
+    each = df.select(key, F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())).alias("t")).select(key, "t.*")
+    # rank limits are pushed below the shuffle, so each task passes its first ones on
+    place = F.row_number().over(Window.partitionBy("turn").orderBy("o1", "o2", "o3", key))
+    first = settle(each.withColumn("place", place).where(F.col("place") <= taken).where("place <= most").select(key, "turn", "place"), "first")
+    out = None
+    for i, (name, *_, n) in enumerate(groups):
+        part = first.where(F.col("turn") == i)
+        part = part if out is None else part.join(F.broadcast(out), key, "left_anti")
+        part = part.orderBy("place").limit(n).select(key, F.lit(name).alias("group"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _order(number: Column | None = None, text: Column | None = None, nulls_first: bool = False) -> tuple[Column, Column, Column]:
+    number = F.lit(0.0) if number is None else number.cast("double")
+    nulls = F.when(number.isNull(), 0 if nulls_first else 1).otherwise(1 if nulls_first else 0)
+    return nulls, number, F.lit("") if text is None else text
+
+
 def four_groups(df: DataFrame, key: str, score: str, threshold: float, n: int, seed: str) -> DataFrame:
     """(key, group): n each of the best, the worst, the nearest to the threshold and seeded others, none twice."""
-    left, out = df, None
-    orders = (
-        ("top", (F.desc(score), F.col(key))), ("low", (F.asc(score), F.col(key))),
-        ("threshold", (F.abs(F.col(score) - threshold), F.col(key))), ("random", (seeded(seed, key), F.col(key))),
-    )
-    for name, order in orders:
-        part = left.orderBy(*order).limit(n).select(key)
-        left = left.join(part, key, "left_anti")
-        named = part.withColumn("group", F.lit(name))
-        out = named if out is None else out.unionByName(named)
-    return out
+    x, every = F.col(score), F.lit(True)
+    orders = (("top", _order(-x)), ("low", _order(x, nulls_first=True)), ("threshold", _order(F.abs(x - threshold), nulls_first=True)), ("random", _order(text=seeded(seed, key))))
+    return _in_turn(df, key, [(name, every, order, n) for name, order in orders])
 
 
 def calibration_set(df: DataFrame, key: str, score: str, n: int, seed: str) -> DataFrame:
@@ -124,13 +142,8 @@ def scaled_targets(targets: Sequence[int], size: int) -> list[int]:
 
 def stratified(df: DataFrame, key: str, strata: Sequence[tuple[str, Column, int]], seed: str) -> DataFrame:
     """(key, stratum): each stratum's share in seeded order, in turn and without replacement."""
-    left, out = df, None
-    for name, member, n in strata:
-        part = left.where(member).orderBy(seeded(seed, key), key).limit(n).select(key)
-        left = left.join(part, key, "left_anti")
-        named = part.withColumn("stratum", F.lit(name))
-        out = named if out is None else out.unionByName(named)
-    return out
+    order = _order(text=seeded(seed, key))
+    return _in_turn(df, key, [(name, member, order, n) for name, member, n in strata]).withColumnRenamed("group", "stratum")
 
 
 def batches(df: DataFrame, key: str, size: int, seed: str) -> DataFrame:

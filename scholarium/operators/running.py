@@ -1,8 +1,8 @@
 """Running sums in a global order without one task for all rows.
 
-The order is cut at approximate quantiles, as many as the rows need, a bounded list of literals. Sums of the cuts
-are run over first, at most MOST_CUTS rows a group, and each cut by itself; both are exact whatever the cuts are. What
-is ordered is written once, so that the jobs for the cuts and for the sums don't repeat the work behind it.
+Rows are dealt by ranges of the order and written once, with the number of their range. Sums of the ranges give what lies before each
+of them, one row a range and group; inside a range rows are run over by themselves. A value that many rows share is dealt as well,
+since the order goes on with further columns.
 """
 
 from __future__ import annotations
@@ -14,21 +14,6 @@ from pyspark.sql import functions as F
 
 from ..sources.landing import settle
 
-#: Rows of a cut in the mean, and cuts at most: beyond their product cuts grow, and Spark sorts them with spilling.
-CUT_ROWS, MOST_CUTS = 100_000, 2_000
-
-
-def cut_of(df: DataFrame, value: str) -> Column:
-    """The number of approximate quantiles that a numeric value reaches, from 0; null values are 0."""
-    n = df.count()
-    cuts = min(MOST_CUTS, -(-n // CUT_ROWS))
-    if cuts < 2:
-        return F.lit(0)
-    shares = [i / cuts for i in range(1, cuts)]
-    bounds = df.agg(F.percentile_approx(F.col(value).cast("double"), shares, 10_000).alias("b")).first().b
-    points = F.array(*[F.lit(b) for b in sorted(set(bounds or []))]).cast("array<double>")
-    return F.size(F.filter(points, lambda b: b <= F.col(value)))
-
 
 def meet(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equal columns where null equals null; the columns are those of ``left``."""
@@ -39,18 +24,24 @@ def meet(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "
     return left.join(renamed, on, how).drop(*[f"_r_{c}" for c in columns])
 
 
+def ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` written in ranges of the order, with their numbers as ``_range``: rows of a later range come later."""
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return settle(dealt.withColumn("_range", F.spark_partition_id()), "ranged")
+
+
 def run_before(df: DataFrame, value: str, amount: str, out: str, by: Sequence[str] = (), descending: bool = False, then: Sequence[str] = ()) -> DataFrame:
     """Adds the sum of ``amount`` over the rows before each one by value and then ``then``, which must order rows fully.
 
-    Null values come first, or last if the order is descending; null groups are groups.
+    Null values come first, or last if the order is descending; null groups are groups. One shuffle by ranges of the order, and one of these
+    ranges to run over them.
     """
-    df = settle(df, "ordered")
-    cut = cut_of(df, value)
-    placed = df.withColumn("_cut", -cut if descending else cut)
+    order = [F.desc(value) if descending else F.asc(value), *[F.col(c).asc() for c in then]]
+    placed = ranged(df, [*[F.col(c).asc() for c in by], *order])
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    sums = placed.groupBy(*by, "_cut").agg(F.sum(amount).alias("_sum"))
-    before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(upto(Window.partitionBy(*by).orderBy("_cut"))), F.lit(0))).drop("_sum")
-    order = (F.desc(value) if descending else F.asc(value), *then)
-    within = F.coalesce(F.sum(amount).over(upto(Window.partitionBy(*by, "_cut").orderBy(*order))), F.lit(0))
-    joined = meet(placed.withColumn("_within", within), before, [*by, "_cut"])
-    return joined.withColumn(out, F.col("_before") + F.col("_within")).drop("_cut", "_before", "_within")
+    sums = placed.groupBy(*by, "_range").agg(F.sum(amount).alias("_sum"))
+    before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(upto(Window.partitionBy(*by).orderBy("_range"))), F.lit(0))).drop("_sum")
+    within = F.coalesce(F.sum(amount).over(upto(Window.partitionBy(*by, "_range").orderBy(*order))), F.lit(0))
+    joined = meet(placed.withColumn("_within", within), before, [*by, "_range"])
+    return joined.withColumn(out, F.col("_before") + F.col("_within")).drop("_range", "_before", "_within")

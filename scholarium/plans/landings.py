@@ -102,8 +102,7 @@ def _archived(spark, sf_dir) -> str:
 
 @query("SELECT o_orderkey AS content_id, o_orderpriority AS title FROM orders WHERE o_orderstatus = 'P' AND year(o_orderdate) BETWEEN 1996 AND 1998")
 def s5_archive_records(spark, sf_dir):
-    held = wr.manifest(spark, _archived(spark, sf_dir))
-    return rd.read_archive(spark, held, ("rejected",), "content_id long, title string", "1996-01-01", "1998-12-31")
+    return rd.read_archive(spark, _archived(spark, sf_dir), ("rejected",), "content_id long, title string", "1996-01-01", "1998-12-31")
 
 
 @query("SELECT o_orderstatus AS stage, count(*) AS n, count(DISTINCT year(o_orderdate)) AS days FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1")

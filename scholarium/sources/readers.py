@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from .landing import exists
 
 FEED = """items array<struct<id: string, title: string, author: string, published: string, timestampUsec: string, crawlTimeMsec: string, categories: array<string>,
   alternate: array<struct<href: string>>, canonical: array<struct<href: string>>, origin: struct<title: string, streamId: string>>>"""
@@ -131,15 +132,17 @@ def page_contacts(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, F.array_sort(F.array_distinct(addresses)).alias("emails"), F.when(marked, affiliations(F.when(marked, F.col(html)))).otherwise(none).alias("affiliations"))
 
 
-def read_archive(spark, manifest: DataFrame, kinds: Sequence[str], schema: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Rows of the archives that the manifest lists for the kinds and days. Only paths come to the driver."""
-    rows = manifest.where(F.col("kind").isin(*kinds))
+def read_archive(spark, path: str, kinds: Sequence[str], schema: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Rows of the archives below ``path`` of the kinds and days. Kind and day are partitions, so other files aren't opened, and no paths are collected."""
+    placed = f"{schema}, kind string, stage string, day string, run_id string"
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(placed).json(path).where(F.col("kind").isin(*kinds))
     if first is not None:
         rows = rows.where(F.col("day") >= first)
     if last is not None:
         rows = rows.where(F.col("day") <= last)
-    paths = [r.path for r in rows.select("path").distinct().collect()]
-    return spark.read.schema(schema).json(paths) if paths else spark.createDataFrame([], schema)
+    return rows.drop("kind", "stage", "day", "run_id")
 
 
 def label_sheet(sheet: DataFrame, key: str, labellers: Sequence[str]) -> DataFrame:

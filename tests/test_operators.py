@@ -1,4 +1,6 @@
+import collections
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,13 +51,12 @@ def test_gate_with_nothing_above_the_floor_keeps_the_rest(spark):
     assert rk.gate_decisions(df, "id", "a", ("a", "b"), 15).count() == 10
 
 
-def test_missing_values_rank_last_and_aren_t_lost(spark, monkeypatch):
+def test_missing_values_rank_last_and_aren_t_lost(spark):
     df = spark.createDataFrame([(1, 1.0, 5.0), (2, None, 7.0), (3, 2.0, None), (4, None, 1.0)], "id long, x double, y double")
     out = rk.rank_compare(df, "id", "x", "y")
     assert rows(out.select("id", "rank_one", "rank_two")) == [(1, 2, 2), (2, 3, 1), (3, 1, 4), (4, 4, 3)]
     assert rows(ag.average_ranks(df, "x", "r").select("id", "r")) == [(1, 1.0), (2, None), (3, 2.0), (4, None)]
     assert ag.spearman(df, "x", "y").first().n == 1
-    monkeypatch.setattr("scholarium.operators.running.CUT_ROWS", 7)
     many = spark.range(500).select(F.col("id"), (F.col("id") * 7919 % 101).alias("v"))
     want = sorted(((i, i * 7919 % 101) for i in range(500)), key=lambda r: (-r[1], r[0]))
     assert {r.id: r.place for r in rk.rank_by(many, "v", "id", "place").collect()} == {i: n + 1 for n, (i, _) in enumerate(want)}
@@ -63,6 +64,61 @@ def test_missing_values_rank_last_and_aren_t_lost(spark, monkeypatch):
     assert rows(ag.average_ranks(groups, "v", "r", ["g"]).select("g", "v", "r")) == [("a", 1, 1.0), (None, 1, 1.0), (None, 2, 2.0)]
 
 
+def test_ranks_and_sums_run_over_ranges(spark):
+    """Ranges of the order, among them one value that many rows share, by groups, and each row placed once."""
+    data = [(i, "ab"[i % 2], 7 if i % 3 else i % 11, i % 5) for i in range(400)]
+    df = spark.createDataFrame(data, "id long, g string, v int, n int")
+    from scholarium.operators.running import ranged, run_before
+
+    placed = ranged(df, [F.asc("v"), F.asc("id")])
+    assert placed.select("_range").distinct().count() > 1 and placed.where("v = 7").select("_range").distinct().count() > 1
+    got = {r.id: r.ahead for r in run_before(df, "v", "n", "ahead", ["g"], descending=True, then=["id"]).collect()}
+    for g in "ab":
+        run = 0
+        for i, _, _, n in sorted((r for r in data if r[1] == g), key=lambda r: (-r[2], r[0])):
+            assert got[i] == run
+            run += n
+
+
+def test_samples_read_their_rows_once(spark, tmp_path):
+    """However many groups there are; groups that ask for rows of those before them get the next ones."""
+    spark.range(300).select(F.col("id"), (F.col("id") % 17).cast("double").alias("x")).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    strata = [("even", F.col("id") % 2 == 0, 30), ("all", F.lit(True), 30), ("low", F.col("id") < 40, 50), ("none", F.lit(None).cast("boolean"), 5)]
+    found = collections.defaultdict(list)
+    for r in rk.stratified(df, "id", strata, "s").collect():
+        found[r.stratum].append(r.id)
+    order = sorted(range(300), key=lambda i: hashlib.md5(f"s|{i}".encode()).hexdigest())
+    taken = set()
+    for name, member, n in (("even", lambda i: i % 2 == 0, 30), ("all", lambda i: True, 30), ("low", lambda i: i < 40, 50)):
+        want = [i for i in order if member(i) and i not in taken][:n]
+        assert sorted(found[name]) == sorted(want)
+        taken |= set(want)
+    assert "none" not in found
+    jobs = []
+    real = rk.settle
+    rk.settle, _ = (lambda rows, name: (jobs.append(rows), real(rows, name))[1]), None
+    try:
+        rk.four_groups(df, "id", "x", 5.5, 10, "s").count()
+    finally:
+        rk.settle = real
+    assert plan(jobs[0]).count("FileScan") == 1 and "WindowGroupLimit" in plan(jobs[0])
+
+
+def test_archives_are_read_by_their_partitions(spark, tmp_path):
+    from scholarium.sources import writers as wr
+
+    path = str(tmp_path / "archive")
+    for kind in ("raw", "rejected"):
+        for day in ("2026-01-01", "2026-01-02", "2026-01-03"):
+            wr.archive(spark.createDataFrame([(1, f"{kind} {day}")], "content_id long, title string"), path, kind, "s", F.lit(day), "r")
+    found = rd.read_archive(spark, path, ("rejected",), "content_id long, title string", "2026-01-02", "2026-01-03")
+    assert rows(found) == [(1, "rejected 2026-01-02"), (1, "rejected 2026-01-03")]
+    assert "PartitionFilters: [" in plan(found) and "kind" in plan(found).split("PartitionFilters: [")[1].split("]")[0]
+    assert found.select(F.input_file_name()).distinct().count() == 2
+    assert rd.read_archive(spark, str(tmp_path / "none"), ("raw",), "content_id long, title string").count() == 0
+
+
 def test_samples_are_disjoint_and_sized(spark):
     df = spark.range(620).select(F.col("id").alias("id"), (F.col("id") % 100 / 10).alias("score"))
     four = rk.four_groups(df, "id", "score", 5.5, 20, "s").collect()
