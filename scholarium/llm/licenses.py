@@ -6,7 +6,10 @@ place where its words stand consecutively. Where it finds a tag that carries a l
 expression is read from the text itself and parsed: ``with`` binds tighter than ``and``, that tighter
 than ``or``. Every text is scanned whole and alone: a map without a shuffle.
 
-Null texts count as empty and have no words; an empty text has no labels and the score of unknown terms.
+Null texts count as empty and have no words; an empty text has no labels and the score of unknown terms. Of labels that tie the text's
+own order decides nothing: labels are distinct and sorted. Each row stands for itself, so rows that repeat an id, or have none, have
+a result each; an empty table gives no rows. Columns other than the id and the text are not read, whatever their names; the text may be of any
+length, since words are scanned once.
 """
 
 from __future__ import annotations

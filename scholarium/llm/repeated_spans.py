@@ -14,7 +14,8 @@ with other bytes beside it everywhere, contents are cut further where the two ne
 facts and the shards are those of all three hashes. A shard takes them in batches. Each batch gets a suffix
 array of its windows' starts, ordered by the LENGTH bytes there. It is merge-scanned against the array of
 every level for equal strings, then becomes a level of its own, and levels of like size merge, so there are
-logarithmically many. Matches mark the windows of both sides. Comparisons are of the bytes themselves.
+logarithmically many. Matches mark the windows of both sides. Comparisons there are of the bytes themselves; that runs are equal as
+a whole is taken from their 64-bit digests.
 
 Results are joined back to runs and texts. No match crosses documents; all strings are judged on the input.
 Null texts count as empty; texts shorter than LENGTH lose nothing. Rows are told apart by doc_id and text;
@@ -36,8 +37,9 @@ from .common import bound_batches, map_column, settle
 LENGTH, GRAM = 200, 24
 #: Longest run in windows; a longer one, in a periodic text, is cut.
 RUN_WINDOWS = 1024
-#: Runs of a batch, runs of a shard's partition in the mean, and entries of a level that are read at a time.
-BATCH_RUNS, PARTITION_RUNS, BLOCK = 1500, 4000, 32_768
+#: Windows of a batch, of which each is LENGTH bytes twice while it is sorted, runs of a shard's partition in the mean, and entries of a
+#: level that are read at a time.
+BATCH_WINDOWS, PARTITION_RUNS, BLOCK = 160_000, 4000, 32_768
 #: Different contents of one hash that are more than a shard should have, and hashes at most that count as such.
 HOT_RUNS, MOST_HOT = 1000, 100_000
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -216,7 +218,7 @@ class SuffixFamily:
 
 def _repeated(batches):
     """(h, c, first, last) runs of repeated windows for each content (h, c, content) of a shard's partition."""
-    family, kept, batch = SuffixFamily(), [], []
+    family, kept, batch, windows = SuffixFamily(), [], [], 0
 
     def flush():
         if batch:
@@ -227,8 +229,10 @@ def _repeated(batches):
     for part in batches:
         for row in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
             batch.append(row)
-            if len(batch) >= BATCH_RUNS:
+            windows += len(row[2]) - LENGTH + 1
+            if windows >= BATCH_WINDOWS:
                 flush()
+                windows = 0
     flush()
     out: list[list] = [[], [], [], []]
     for h, c, begin, size in kept:

@@ -212,6 +212,8 @@ def _fresh(packets: np.ndarray) -> np.ndarray:
 def _elementary(packets: np.ndarray, starts: np.ndarray, flags: np.ndarray) -> dict:
     """Payload, stamps, and payload offsets of the random-access points of one elementary stream, or what is wrong with it."""
     out: dict = {"payload": None, "pts": [], "random_access": [], "error": None}
+    if (packets[:, 3] & 0xC0).any():
+        return out | {"error": "scrambled"}
     rows = np.flatnonzero(starts < PACKET)
     own, begin = packets[rows], starts[rows]
     data = own[np.arange(PACKET)[None, :] >= begin[:, None]]
@@ -230,12 +232,17 @@ def _elementary(packets: np.ndarray, starts: np.ndarray, flags: np.ndarray) -> d
         return out | {"error": "a PES packet has another length than it says"}
     stamped = h[:, 7] & 0x80 != 0
     pts = (h[:, 9] >> 1 & 7) << 30 | h[:, 10] << 22 | (h[:, 11] >> 1) << 15 | h[:, 12] << 7 | h[:, 13] >> 1
-    header = 9 + h[:, 8]
+    # packets of these streams have neither stamps nor an optional header, and padding has no payload
+    plain = np.isin(h[:, 3], PLAIN_STREAMS)
+    stamped &= ~plain
+    header = np.where(h[:, 3] == PADDING, lengths, np.where(plain, 6, 9 + h[:, 8]))
     if (header > lengths).any():
         return out | {"error": "a PES header is longer than its packet"}
     keep = np.ones(len(data), bool)
-    for i in range(int(header.max())):
+    for i in range(int(header[h[:, 3] != PADDING].max(initial=0))):
         keep[heads[header > i] + i] = False
+    for at, n in zip(heads[h[:, 3] == PADDING].tolist(), lengths[h[:, 3] == PADDING].tolist(), strict=True):
+        keep[at : at + n] = False
     access = flags[rows][first] & 0x40 != 0
     offsets = np.cumsum(lengths - header) - (lengths - header)
     return out | {"payload": data[keep].tobytes(), "pts": [int(t) if s else None for t, s in zip(pts, stamped, strict=True)], "random_access": offsets[access].tolist()}
@@ -245,15 +252,19 @@ def parse_stream(media: bytes | None) -> dict:
     """The programme tables and every elementary stream of one transport stream.
 
     ``payload``, ``pts`` and ``random_access`` are those of the first elementary stream, ``streams`` has them all:
-    structs of pid, type, payload, pts, random_access and error. A packet that repeats the one before it is taken once.
+    structs of pid, type, payload, pts, random_access and error. A packet that repeats the one before it is taken once. Packets
+    whose transport-error bit is set count as lost and as ``transport_errors``; a scrambled stream has an error and no payload, a scrambled
+    table counts as a table error.
     """
-    out = {"payload": None, "programs": [], "continuity_errors": 0, "table_errors": 0, "pts": [], "random_access": [], "packets": 0, "duplicates": 0, "streams": [], "error": None}
+    out = {"transport_errors": 0, "payload": None, "programs": [], "continuity_errors": 0, "table_errors": 0, "pts": [], "random_access": [], "packets": 0, "duplicates": 0, "streams": [], "error": None}
     raw = np.frombuffer(media or b"", np.uint8)
     if not raw.size or raw.size % PACKET or (raw[::PACKET] != SYNC).any():
         return out | {"error": "not a transport stream"}
     packets = raw.reshape(-1, PACKET)
     out["packets"] = len(packets)
-    pids = (packets[:, 1].astype(np.int32) & 0x1F) << 8 | packets[:, 2]
+    sound = packets[:, 1] & 0x80 == 0
+    out["transport_errors"] = int((~sound).sum())
+    pids = np.where(sound, (packets[:, 1].astype(np.int32) & 0x1F) << 8 | packets[:, 2], -1)
 
     def of(pid: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A PID's packets that carry data, without repetitions, where their data begin, and their adaptation flags; faults are counted once."""
@@ -274,7 +285,9 @@ def parse_stream(media: bytes | None) -> dict:
 
     def tables(pid: int, table_id: int) -> list[bytes]:
         own, starts, _ = of(pid)
-        inside = starts < PACKET
+        clear = own[:, 3] & 0xC0 == 0
+        out["table_errors"] += int((~clear).sum())
+        inside = (starts < PACKET) & clear
         found, bad = _sections(own[inside], starts[inside], table_id)
         out["table_errors"] += bad
         return found
@@ -325,8 +338,11 @@ READ_FIELDS = [
     ("pts", T.ArrayType(T.LongType())),
     ("random_access", T.ArrayType(T.LongType())),
     ("duplicates", T.LongType()),
+    ("transport_errors", T.LongType()),
     ("error", T.StringType()),
 ]
+#: Ids of streams whose packets have no optional header, and of padding, one of them.
+PLAIN_STREAMS, PADDING = (0xBC, 0xBE, 0xBF, 0xF0, 0xF1, 0xF2, 0xF8, 0xFF), 0xBE
 _STREAM = "array<struct<pid: int, type: int, payload: binary, pts: array<bigint>, random_access: array<bigint>, error: string>>"
 
 

@@ -68,6 +68,29 @@ def section_packets(pid, section, count=0):
     return out
 
 
+def test_transport_faults_beside_the_payload():
+    """Packets with the error bit are lost, scrambled streams unread; some stream ids have no optional header, padding no payload."""
+    ts = transport_stream
+    pmt = ts._section(2, 1, bytes([0xE1, 0x01, 0xF0, 0, 0x1B, 0xE1, 0x01, 0xF0, 0]))
+    pat = ts._section(0, 1, bytes([0, 1, 0xE1, 0x00]))
+    plain = lambda ident, data: bytes([0, 0, 1, ident, len(data) >> 8, len(data) & 255]) + data
+    payload = bytes(range(200)) * 2 + bytes(178)
+    packets = section_packets(0, pat) + section_packets(0x100, pmt) + es_packets(0x101, [plain(0xBF, payload), plain(0xBE, b"\xff" * 90), plain(0xF2, b"tail")])
+    found = ts.parse_stream(b"".join(packets))
+    assert found["payload"] == payload + b"tail" and found["pts"] == [None] * 3 and not found["transport_errors"] and found["error"] is None
+    wrong = [bytearray(p) for p in packets]
+    wrong[3][1] |= 0x80
+    found = ts.parse_stream(b"".join(wrong))
+    assert found["transport_errors"] == 1 and found["continuity_errors"] == 1 and found["error"]
+    wrong = [bytearray(p) for p in packets]
+    wrong[3][3] |= 0x80
+    found = ts.parse_stream(b"".join(wrong))
+    assert (found["error"], found["payload"], found["programs"]) == ("scrambled", None, ["1:256:257:27"])
+    wrong = [bytearray(p) for p in packets]
+    wrong[1][3] |= 0x40
+    assert ts.parse_stream(b"".join(wrong))["table_errors"] == 1
+
+
 def test_transport_streams_of_others_are_read():
     """Two streams, a map that spans packets, PES packets of unbounded length, repeated packets."""
     ts = transport_stream
@@ -295,7 +318,7 @@ def brute_repeats(texts):
 def test_repeated_spans_against_all_windows(spark):
     rng = random.Random(2)
     passage = " ".join(str(rng.random()) for _ in range(40))
-    data = [r for r in fixtures.rows() if r[0] != 8] + [(100 + i, f"{rng.random()} {passage[: 150 + 20 * i]} {rng.random()}", "en", "a") for i in range(12)]
+    data = fixtures.rows() + [(100 + i, f"{rng.random()} {passage[: 150 + 20 * i]} {rng.random()}", "en", "a") for i in range(12)]
     expected = collections.Counter((r[0], *x) for r, x in zip(data, brute_repeats([(r[1] or "").encode() for r in data]), strict=True))
     found = collections.Counter(tuple(r) for r in repeated_spans.repeat_digests(fixtures.documents(spark, data)).collect())
     assert found == expected
@@ -533,6 +556,16 @@ def test_near_duplicates_against_all_pairs(spark):
     assert near_duplicates.near_duplicates(fixtures.empty(spark)).count() == 0
 
 
+def test_rows_that_share_a_doc_id_are_one_document(spark):
+    """Their sets are nodes of their own, and what hangs together with one hangs together with the other."""
+    one, two = (" ".join(f"{x}{i}" for i in range(80)) for x in "ab")
+    data = [(7, one, "en", "a"), (8, one + " more", "en", "a"), (8, two, "en", "a"), (9, two + " more", "en", "a"), (8, None, "en", "a"), (10, "apart from all", "en", "a"), (9, two + " more", "en", "b")]
+    found = near_duplicates.near_duplicates(fixtures.documents(spark, data)).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == collections.Counter(
+        [(7, 79, 7, True), (8, 80, 7, False), (8, 79, 7, False), (9, 80, 7, False), (9, 80, 7, False), (8, 0, 8, True), (10, 2, 10, True)]
+    )
+
+
 def test_licences_base_places_and_expressions(spark):
     found = by_id(licenses.scan_licenses(fixtures.documents(spark)))
     for i, text, *_ in fixtures.rows():
