@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +27,31 @@ def item_with_metadata(items: DataFrame, metadata: DataFrame, key: str, fallback
     return joined
 
 
+def facet_marks(rows: DataFrame, key: str, conditions: Sequence[Column], first: int = 0) -> DataFrame:
+    """(key, bits): the rows that meet a condition, each with the bits of those it meets, from ``first`` on: one reading for any number of facets."""
+    bits = F.lit(0).cast("long")
+    for i, condition in enumerate(conditions, first):
+        bits = bits.bitwiseOR(F.when(F.coalesce(condition, F.lit(False)), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
+    return rows.select(key, bits.alias("bits")).where("bits <> 0")
+
+
+def with_marks(items: DataFrame, marks: Sequence[DataFrame], facets: int, key: str) -> DataFrame:
+    """Items whose marks (key, bits) have the bits of all facets, at most 62 of them.
+
+    Marks are combined by key before and after one shuffle, however many facets there are; items meet what has all of them.
+    """
+    if not facets:
+        return items
+    every = reduce(DataFrame.unionByName, marks)
+    whole = every.groupBy(key).agg(F.bit_or("bits").alias("bits")).where(F.col("bits") == (1 << facets) - 1)
+    return items.join(whole.select(key), key, "left_semi")
+
+
 def with_facets(items: DataFrame, facets: Sequence[DataFrame], key: str) -> DataFrame:
     """Items that occur in every facet table."""
-    for facet in facets:
-        items = items.join(facet.select(key), key, "left_semi")
-    return items
+    if len(facets) == 1:
+        return items.join(facets[0].select(key), key, "left_semi")
+    return with_marks(items, [facet_marks(facet, key, [F.lit(True)], i) for i, facet in enumerate(facets)], len(facets), key)
 
 
 def without(items: DataFrame, rows: DataFrame, key: str | list[str]) -> DataFrame:

@@ -37,10 +37,11 @@ def corpus_search(items, links, claims, *, tag=None, subdomain=None, application
     ``links`` has content_id, domain, subdomain, topic, application. A tag is a topic; names are compared without case.
     """
     asked = {"topic": tag, "subdomain": subdomain, "application": application, "domain": domain}
-    facets = [links.where(F.lower(level) == name.lower()) for level, name in asked.items() if name is not None]
+    facets = [F.lower(level) == name.lower() for level, name in asked.items() if name is not None]
+    marks = [jn.facet_marks(links, "content_id", facets)] if facets else []
     if with_claims:
-        facets.append(claims)
-    found = jn.with_facets(items.where("status <> 'REJECTED'"), facets, "content_id")
+        marks.append(jn.facet_marks(claims, "content_id", [F.lit(True)], len(facets)))
+    found = jn.with_marks(items.where("status <> 'REJECTED'"), marks, len(facets) + with_claims, "content_id")
     # what else is shown is made for the rows of the list alone, which are few by its limit
     best = F.broadcast(rk.top_n(found, score, "published_at", "content_id", top, since).select("content_id", score, "published_at"))
     own = lambda rows: rows.join(best.select("content_id"), "content_id", "left_semi")

@@ -119,6 +119,19 @@ def test_archives_are_read_by_their_partitions(spark, tmp_path):
     assert rd.read_archive(spark, str(tmp_path / "none"), ("raw",), "content_id long, title string").count() == 0
 
 
+def test_facets_take_one_shuffle_however_many(spark):
+    items = spark.range(300).select(F.col("id").alias("k"))
+    facets = [spark.range(300).where(f"id % {n} = 0").select(F.col("id").alias("k")).union(spark.range(3).select(F.col("id").alias("k"))) for n in (2, 3, 5, 7)]
+    found = jn.with_facets(items, facets, "k")
+    assert {r.k for r in found.collect()} == {i for i in range(300) if i < 3 or i % 210 == 0}
+    shuffles = [plan(jn.with_facets(items, facets[:n], "k").hint("merge")).count("Exchange hashpartitioning") for n in (2, 4)]
+    assert shuffles[0] == shuffles[1] <= 2
+    rows_ = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "a", "y"), (2, None, None)], "k long, p string, q string")
+    marks = jn.facet_marks(rows_, "k", [F.col("p") == "a", F.col("q") == "x"])
+    assert plan(marks).count("Scan") == 1
+    assert [r.k for r in jn.with_marks(items, [marks], 2, "k").collect()] == [1] and jn.with_marks(items, [], 0, "k").count() == 300
+
+
 def test_samples_are_disjoint_and_sized(spark):
     df = spark.range(620).select(F.col("id").alias("id"), (F.col("id") % 100 / 10).alias("score"))
     four = rk.four_groups(df, "id", "score", 5.5, 20, "s").collect()
