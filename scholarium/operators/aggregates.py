@@ -319,6 +319,18 @@ def projected(stats: DataFrame, whole: DataFrame) -> DataFrame:
     return totals.select("windows", (F.col("seen") * n).alias("seen"), (F.col("kept") * n).alias("kept_raw"), unique.alias("kept_unique"), revised.alias("revised"), (unique - revised).alias("new"))
 
 
+def key_bitmaps(rows: DataFrame, by: Sequence[str], key: str) -> DataFrame:
+    """(by, bucket, bitmap): the distinct keys of each group, whole numbers from 0 on, as bitmaps of 4096 bytes at most. They merge without the rows."""
+    numbered = rows.where(F.col(key) >= 0).select(*by, F.bitmap_bucket_number(F.col(key)).alias("bucket"), F.bitmap_bit_position(F.col(key)).alias("bit"))
+    return numbered.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+
+
+def unique_keys(bitmaps: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, unique_items): exact numbers of distinct keys of any coarser groups, from ``key_bitmaps`` alone."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return merged.groupBy(*by).agg(F.sum(F.bitmap_count("bitmap")).alias("unique_items"))
+
+
 def window_stats(rows: DataFrame, group: str, key: str) -> DataFrame:
     """Per set: seen, deleted, kept and revised rows, and distinct keys."""
     return rows.groupBy(group).agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import aggregates as ag
 from ..operators import joins as jn
+from ..sources.landing import settle
 from .base import AGE, assessments, evidence, items, newest, organisations, papers, people, query, table, topic_links, verdicts
 from .lookups import _TIERS, j14_tier_self_join
 from .scalars import CORE_SQL, core
@@ -331,6 +332,24 @@ def a28_window_stats(spark, sf_dir):
     return ag.window_stats(rows, "set_name", "o_custkey")
 
 
+@query("""WITH o AS (SELECT o_orderpriority AS s, year(o_orderdate) AS y, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS m, o_custkey AS k FROM orders WHERE o_orderstatus <> 'P')
+  SELECT 'window' AS span, s AS set_name, m AS at, count(DISTINCT k) AS unique_items FROM o GROUP BY 2, 3 UNION ALL SELECT 'year', s, y, count(DISTINCT k) FROM o GROUP BY 2, 3
+  UNION ALL SELECT 'window of all sets', NULL, m, count(DISTINCT k) FROM o GROUP BY 3 UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT k) FROM o""")
+def a28_unique_over_spans(spark, sf_dir):
+    """Distinct items of each set and window, and of coarser spans and all sets, which follow from the windows' bitmaps without the rows."""
+    o = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'")
+    rows = o.select(F.col("o_orderpriority").alias("set_name"), (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).alias("at"), "o_custkey")
+    bitmaps = settle(ag.key_bitmaps(rows, ["set_name", "at"], "o_custkey"), "bitmaps")
+    years = bitmaps.withColumn("at", F.floor(F.col("at") / 12).cast("int"))
+    parts = {"window": ag.unique_keys(bitmaps, ["set_name", "at"]), "year": ag.unique_keys(years, ["set_name", "at"]), "window of all sets": ag.unique_keys(bitmaps, ["at"]), "all": ag.unique_keys(bitmaps, [])}
+    out = None
+    for span, part in parts.items():
+        missing = [F.lit(None).cast(t).alias(c) for c, t in (("set_name", "string"), ("at", "int")) if c not in part.columns]
+        part = part.select("*", *missing).select(F.lit(span).alias("span"), "set_name", F.col("at").cast("long").alias("at"), "unique_items")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 _FIRST = """b AS (SELECT min(o_orderdate)::DATE AS f, max(o_orderdate)::DATE AS l FROM orders), w AS (SELECT o_orderpriority, o_orderstatus, o_custkey, year(o_orderdate) - CASE WHEN o_custkey % 4 = 0 THEN 1 ELSE 0 END AS created, year(f) AS own FROM orders, b WHERE o_orderdate::DATE < f + 7)"""
 
 

@@ -132,6 +132,28 @@ def test_facets_take_one_shuffle_however_many(spark):
     assert [r.k for r in jn.with_marks(items, [marks], 2, "k").collect()] == [1] and jn.with_marks(items, [], 0, "k").count() == 300
 
 
+def test_distinct_keys_merge_over_windows(spark):
+    data = [(w, k * 7919 % 100_003) for w in range(4) for k in range(w * 300, w * 300 + 500)] + [(0, None), (1, 32_767), (1, 32_768), (2, 0)]
+    bitmaps = ag.key_bitmaps(spark.createDataFrame(data, "w int, k long"), ["w"], "k")
+    assert rows(ag.unique_keys(bitmaps, ["w"])) == sorted((w, len({k for v, k in data if v == w and k is not None})) for w in range(4))
+    assert ag.unique_keys(bitmaps, []).first().unique_items == len({k for _, k in data if k is not None})
+
+
+def test_distributions_are_those_of_the_sorted_values(spark):
+    import random
+    import statistics
+
+    random.seed(8)
+    data = [(random.randrange(50) / 4, None if i % 7 == 0 else random.gauss(0, 1), 5.0 if i == 0 else None) for i in range(300)]
+    got = {r.dim: r for r in ag.distribution(spark.createDataFrame(data, "a double, b double, one double"), ("a", "b", "one"), (0.5, 0.99), 20).collect()}
+    assert set(got) == {"a", "b"}
+    for i, name in enumerate("ab"):
+        values = sorted(r[i] for r in data if r[i] is not None)
+        n, r = len(values), got[name]
+        assert (r.n, r.low, r.high, r.p50, r.p99, r.cutoff, r.ties) == (n, values[0], values[-1], values[int(n * 0.5)], values[int(n * 0.99)], values[-20], values.count(values[-20]))
+        assert abs(r.mean - statistics.mean(values)) < 1e-9 and abs(r.stdev - statistics.stdev(values)) < 1e-9
+
+
 def test_samples_are_disjoint_and_sized(spark):
     df = spark.range(620).select(F.col("id").alias("id"), (F.col("id") % 100 / 10).alias("score"))
     four = rk.four_groups(df, "id", "score", 5.5, 20, "s").collect()
