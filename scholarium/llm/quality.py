@@ -42,6 +42,8 @@ QUANTILE = 0.999
 LEAST = 200
 #: Bins of one pass over the perplexities that a quantile is sought among, and rows that are few enough to be read.
 BINS, READ_ROWS = 1000, 10_000
+#: Rows of one text that are more than a task should get of it, and texts at most that count as such.
+HOT_ROWS, MOST_HOT = 10_000, 1_000
 REMEMBERED = 200_000
 SEED = 11
 START, END, OTHER, SAME = 0, 1, 2, 3
@@ -500,13 +502,24 @@ def train(texts: DataFrame, chars: int) -> tuple[list[str], Shards, DataFrame]:
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(uid, n_words, perplexity), one row a text of (uid, text), by the model of the column ``text`` of ``trusted``."""
+    """(uid, n_words, perplexity, rows), one row a text of (uid, text), by the model of the column ``text`` of ``trusted``; ``rows`` are its documents."""
     trusted = settle(trusted.select("text"), "trusted")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     vocabulary, s, model = train(trusted, chars)
     packed = model.unionAll(_sent_documents(docs, vocabulary, s))
     each = _summed(_answered(packed, s), s.shards)
-    return settle(each.groupBy("uid").agg(F.first("n_words").alias("n_words"), F.min("perplexity").alias("perplexity")), "perplexities")
+    return settle(each.groupBy("uid").agg(F.first("n_words").alias("n_words"), F.min("perplexity").alias("perplexity"), F.count(F.lit(1)).alias("rows")), "perplexities")
+
+
+def _with_scores(rows: DataFrame, scores: DataFrame) -> DataFrame:
+    """``rows`` with n_words and perplexity of their uid. Texts that very many rows share, at most MOST_HOT, come by a broadcast, so their rows stay where they are."""
+    total = scores.agg(F.sum("rows")).first()[0] or 0
+    hot = scores.where(F.col("rows") >= max(HOT_ROWS, total // MOST_HOT)).drop("rows")
+    scores = scores.drop("rows")
+    if hot.limit(1).count() == 0:
+        return rows.join(scores, "uid")
+    hot = F.broadcast(hot)
+    return rows.join(hot, "uid").unionByName(rows.join(hot.select("uid"), "uid", "left_anti").join(scores, "uid"))
 
 
 def _quantile(values: DataFrame, n: int) -> float:
@@ -550,14 +563,14 @@ def _judged(docs: DataFrame, labels: DataFrame, text: str, key: str, lang: str,
     plain = docs.select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), uid.alias("uid"), F.col(text).alias("text"))
     scores = perplexities(plain.select("uid", "text"), _trusted(plain, labels.select(F.col(key).alias("key"), F.col(label).alias("label")), "key", "label", False))
     held = _trusted(plain.select("key", "lang", "uid"), labels.select(F.col(key).alias("key"), F.col(label).alias("label")), "key", "label", True)
-    held = settle(held.join(scores, "uid").where("n_words > 0").select("lang", "perplexity"), "held")
+    held = settle(_with_scores(held, scores).where("n_words > 0").select("lang", "perplexity"), "held")
     limits = _limits(held)
     threshold = F.lit(limits.pop(None, math.inf))
     if limits:
         by_lang = F.create_map(*(F.lit(x) for pair in sorted(limits.items()) for x in pair))
         threshold = F.coalesce(by_lang[F.col("lang")], threshold)
     rows = docs.select(F.col(lang).alias("lang"), *own, uid.alias("uid"))
-    scored = rows.join(scores, "uid").drop("uid")
+    scored = _with_scores(rows, scores).drop("uid")
     kept = (F.col("n_words") > 0) & (F.col("perplexity") <= F.col("threshold"))
     return scored.withColumn("threshold", threshold).withColumn("kept", kept)
 

@@ -478,6 +478,18 @@ def test_quantiles_by_bins_are_exact(spark, monkeypatch):
             assert abs(quality._quantile(rows, len(values)) / np.quantile(values, quantile) - 1) < 1e-9
 
 
+def test_texts_that_many_rows_share_are_judged_alike(spark, monkeypatch):
+    """Copies and empty texts come by a broadcast, with the same result."""
+    data = [(i, f"a plain sentence number {i % 9} about {'common' if i % 3 else 'other'} things in a row", "en", "a") for i in range(60)] + [(100 + i, (None, "")[i % 2], "en", "a") for i in range(30)]
+    docs, labels = fixtures.documents(spark, data), fixtures.labels(spark, [(i, 1, 0) for i in range(40)])
+    plain = sorted(map(tuple, quality.quality(docs, labels).collect()))
+    monkeypatch.setattr(quality, "HOT_ROWS", 10)
+    met = quality.quality(docs, labels)
+    assert sorted(map(tuple, met.collect())) == plain and len(plain) == 90
+    assert "Union" in met._jdf.queryExecution().executedPlan().toString()
+    assert quality.keep_quality(docs, labels).columns == docs.columns
+
+
 def test_quality_of_odd_tables(spark):
     docs = fixtures.documents(spark)
     found = quality.quality(docs, fixtures.labels(spark, [(i, 1, 0) for i in (1, 2, 3, 6, 13)] + [(None, 1, 0), (1, None, None), (1, 1, 0)])).collect()
