@@ -39,7 +39,7 @@ LENGTH, GRAM = 200, 24
 RUN_WINDOWS = 1024
 #: Windows of a batch, of which each is LENGTH bytes twice while it is sorted, runs of a shard's partition in the mean, and entries of a
 #: level that are read at a time.
-BATCH_WINDOWS, PARTITION_RUNS, BLOCK = 160_000, 4000, 32_768
+BATCH_WINDOWS, PARTITION_RUNS, BLOCK = 65_536, 4000, 32_768
 #: Different contents of one hash that are more than a shard should have, and hashes at most that count as such.
 HOT_RUNS, MOST_HOT = 1000, 100_000
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
