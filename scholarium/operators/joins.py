@@ -95,15 +95,32 @@ _BLANKS, _TOKEN = " \t\n\x0b\f\r", r"\s*(?:[a-z0-9]+|[^a-z0-9\s])"
 
 
 def _tokens(text: Column) -> Column:
-    """Array of (raw, before, after): the tokens of a text in lower case, each with its neighbours."""
-    raw = F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), 0)
-    none = F.array(F.lit(" "))
-    before, after = F.concat(none, F.slice(raw, 1, F.greatest(F.size(raw) - 1, F.lit(0)))), F.concat(F.slice(raw, 2, F.greatest(F.size(raw), F.lit(1))), none)
-    return F.arrays_zip(raw.alias("raw"), before.alias("before"), after.alias("after"))
+    """The tokens of a text in lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), 0)
 
 
-def _word(raw: Column) -> Column:
-    return F.ltrim(raw, F.lit(_BLANKS))
+def _alias_places(texts: DataFrame, tokens: DataFrame, key: str, text: str, context: bool) -> DataFrame:
+    """(key, organisation_id, ordinal, alias): where all tokens of an alias stand one after another; with ``context``, its ends are looked at as well."""
+    # numbered before the texts are cut, or each token would be a row of its own
+    numbered = texts.where(F.col(key).isNotNull()).select(key, _tokens(F.col(text)).alias("raw"), F.monotonically_increasing_id().alias("row"))
+    if context:
+        raw, none = F.col("raw"), F.array(F.lit(" "))
+        before, after = F.concat(none, F.slice(raw, 1, F.greatest(F.size(raw) - 1, F.lit(0)))), F.concat(F.slice(raw, 2, F.greatest(F.size(raw), F.lit(1))), none)
+        placed = numbered.select(key, "row", F.posexplode(F.arrays_zip(raw, before.alias("before"), after.alias("after"))).alias("place", "t")).select(key, "row", "place", "t.*")
+    else:
+        placed = numbered.select(key, "row", F.posexplode("raw").alias("place", "raw"))
+    # what is asked of a place is looked at where tokens meet, which few do
+    met = placed.withColumn("token", F.ltrim(F.col("raw"), F.lit(_BLANKS))).join(sized(tokens), "token")
+    spaced = F.length("raw") > F.length("token")
+    agree = F.col("asked.spaced").isNull() | (F.col("asked.spaced") == spaced)
+    if context:
+        agree = agree & ~(F.col("asked.open") & F.col("before").rlike("[a-z0-9]$") & ~spaced) & ~(F.col("asked.shut") & F.col("after").rlike("^[a-z0-9]"))
+    # an alias of one token is whole where it meets, so its places in a text need not be told apart
+    single = F.col("asked.n") == 1
+    at = [F.when(single, F.lit(0)).otherwise(c).alias(name) for c, name in ((F.col("row"), "row"), (F.col("place") - F.col("asked.i"), "begin"))]
+    met = met.where(agree).select(key, *at, "asked.organisation_id", "asked.ordinal", "asked.alias", "asked.n")
+    whole = met.groupBy(key, "row", "begin", "organisation_id", "ordinal", "alias", "n").agg(F.count(F.lit(1)).alias("found")).where("found >= n")
+    return whole.select(key, "organisation_id", "ordinal", "alias")
 
 
 def texts_to_organisations(texts: DataFrame, aliases: DataFrame, key: str, text: str) -> DataFrame:
@@ -112,26 +129,24 @@ def texts_to_organisations(texts: DataFrame, aliases: DataFrame, key: str, text:
     ``aliases`` has organisation_id, alias and ordinal. Both sides are cut into tokens: runs of a-z and 0-9, and single other
     characters; white space is a flag of the token behind it. Tokens of texts meet equal tokens of aliases, and an alias of n tokens
     stands where n of its tokens agree on one begin. So all aliases are sought in one pass over the texts, of which tokens and
-    places alone are joined, and a text costs the tokens that it shares with aliases. Of an organisation's aliases the first in
+    places alone are joined, and a text costs the tokens that it shares with aliases; those that begin or end with another character than a letter or
+    digit, if there are any, take a pass that carries each token's neighbours. Of an organisation's aliases the first in
     order counts. Blank aliases stand nowhere; rows without key, and null texts, have none; rows of one key are taken together.
     """
-    cut = aliases.withColumn("tokens", _tokens(F.trim(F.col("alias"), F.lit(_BLANKS))))
-    each = cut.select("organisation_id", "ordinal", "alias", F.size("tokens").alias("n"), F.posexplode("tokens").alias("i", "t"))
-    is_word, spaced = _word(F.col("t.raw")).rlike("^[a-z0-9]"), F.col("t.raw").rlike(r"^\s")
+    cut = aliases.withColumn("tokens", _tokens(F.trim(F.col("alias"), F.lit(_BLANKS)))).where(F.size("tokens") > 0)
+    is_word = lambda raw: F.ltrim(raw, F.lit(_BLANKS)).rlike("^[a-z0-9]")
+    open_, shut = ~is_word(F.element_at("tokens", 1)), ~is_word(F.element_at("tokens", -1))
+    each = cut.select("organisation_id", "ordinal", "alias", F.size("tokens").alias("n"), open_.alias("open"), shut.alias("shut"), F.posexplode("tokens").alias("i", "raw"))
     first, last = F.col("i") == 0, F.col("i") == F.col("n") - 1
-    # what a place must show: white space as inside the alias, and no letter or digit at an end that isn't one itself
-    named = sized(each.select(_word(F.col("t.raw")).alias("token"), F.struct("organisation_id", "ordinal", "alias", "n", "i", F.when(~first, spaced).alias("spaced"), (first & ~is_word).alias("open"), (last & ~is_word).alias("shut")).alias("asked")))
-    # numbered before the texts are cut, or each token would be a row of its own
-    numbered = texts.where(F.col(key).isNotNull()).select(key, _tokens(F.col(text)).alias("tokens"), F.monotonically_increasing_id().alias("row"))
-    placed = numbered.select(key, "row", F.posexplode("tokens").alias("place", "t"))
-    glued = F.col("t.before").rlike("[a-z0-9]$") & ~F.col("t.raw").rlike(r"^\s")
-    beside = placed.select(key, "row", "place", _word(F.col("t.raw")).alias("token"), F.col("t.raw").rlike(r"^\s").alias("spaced"), glued.alias("glued"), F.col("t.after").rlike("^[a-z0-9]").alias("followed"))
-    agree = (F.col("asked.spaced").isNull() | (F.col("asked.spaced") == F.col("spaced"))) & ~(F.col("asked.open") & F.col("glued")) & ~(F.col("asked.shut") & F.col("followed"))
-    met = beside.join(named, "token").where(agree).select(key, "row", (F.col("place") - F.col("asked.i")).alias("begin"), "asked.organisation_id", "asked.ordinal", "asked.alias", "asked.n")
-    # an alias of one token is whole where it meets
-    one = met.where("n = 1").select(key, "organisation_id", "ordinal", "alias")
-    many = met.where("n > 1").groupBy(key, "row", "begin", "organisation_id", "ordinal", "alias").agg(F.count(F.lit(1)).alias("found"), F.min("n").alias("n")).where("found = n").select(key, "organisation_id", "ordinal", "alias")
-    return one.unionByName(many).groupBy(key, "organisation_id").agg(F.min_by("alias", "ordinal").alias("alias"))
+    # what a place must show: white space as inside the alias, and no letter or digit beside an end that isn't one itself
+    spaced = F.when(~first, F.col("raw").rlike(r"^\s"))
+    asked = F.struct("organisation_id", "ordinal", "alias", "n", "i", spaced.alias("spaced"), (first & F.col("open")).alias("open"), (last & F.col("shut")).alias("shut"))
+    odd = F.col("open") | F.col("shut")
+    tokens = each.select(F.ltrim(F.col("raw"), F.lit(_BLANKS)).alias("token"), asked.alias("asked"), odd.alias("odd"))
+    found = _alias_places(texts, tokens.where("not odd").drop("odd"), key, text, False)
+    if tokens.where("odd").limit(1).count():
+        found = found.unionByName(_alias_places(texts, tokens.where("odd").drop("odd"), key, text, True))
+    return found.groupBy(key, "organisation_id").agg(F.min_by("alias", "ordinal").alias("alias"))
 
 
 def local_evidence(emails: DataFrame, texts: DataFrame, key: str) -> DataFrame:
