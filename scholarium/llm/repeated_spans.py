@@ -37,9 +37,10 @@ from .common import bound_batches, map_column, settle
 LENGTH, GRAM = 200, 24
 #: Longest run in windows; a longer one, in a periodic text, is cut.
 RUN_WINDOWS = 1024
-#: Windows of a batch, of which each is LENGTH bytes twice while it is sorted, runs of a shard's partition in the mean, and entries of a
-#: level that are read at a time.
-BATCH_WINDOWS, PARTITION_RUNS, BLOCK = 65_536, 4000, 32_768
+#: Runs of a batch, and its windows, of which each is LENGTH bytes twice while it is sorted: one run more than the bound at most.
+BATCH_RUNS, BATCH_WINDOWS = 1500, 300_000
+#: Runs of a shard's partition in the mean, and entries of a level that are read at a time.
+PARTITION_RUNS, BLOCK = 4000, 32_768
 #: Different contents of one hash that are more than a shard should have, and hashes at most that count as such.
 HOT_RUNS, MOST_HOT = 1000, 100_000
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -230,7 +231,7 @@ def _repeated(batches):
         for row in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
             batch.append(row)
             windows += len(row[2]) - LENGTH + 1
-            if windows >= BATCH_WINDOWS:
+            if len(batch) >= BATCH_RUNS or windows >= BATCH_WINDOWS:
                 flush()
                 windows = 0
     flush()
