@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from .common import bound_batches, map_column
 from ..sources.landing import fresh_path
+from .common import bound_batches, map_column
 
 DEFAULT_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END_ID = 2
@@ -53,7 +53,6 @@ MAGIC = b"DACODES1"
 MANIFEST = "_manifest.json"
 BLANKS = " \t\n\r\v\f"
 FORMAT = "addressable_tokens"
-SCHEMA = "doc_id long, ids binary"
 _TRAILER = struct.Struct("<QQQQ8s")  # segments, documents, tokens, begin of the footer
 
 
@@ -101,7 +100,7 @@ class Codes:
 
     def _rank(self, level: int, i: int) -> int:
         """Set bits before bit ``i`` of a level."""
-        chunks, bits, before = self.levels[level]
+        _, bits, before = self.levels[level]
         if i == 0:
             return 0
         block = min(i // BLOCK_BITS, len(before) - 1)
