@@ -8,7 +8,7 @@ from ..functions import text as tx
 from ..operators import aggregates as ag
 from ..operators import joins as jn
 from ..sources.landing import settle
-from .base import AGE, assessments, evidence, items, newest, organisations, papers, people, query, table, topic_links, verdicts
+from .base import AGE, assessments, evidence, items, organisations, papers, people, query, table, topic_links, verdicts
 from .lookups import _TIERS, j14_tier_self_join
 from .scalars import CORE_SQL, core
 
