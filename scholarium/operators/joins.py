@@ -73,12 +73,11 @@ def domain_suffixes(domain: Column) -> Column:
 
 def emails_to_organisations(emails: DataFrame, organisations: DataFrame, key: str, email: str) -> DataFrame:
     """(key, email, organisation_id): the organisation with the e-mail's domain or one above it; highest priority, then name."""
-    asked = emails.select(key, email, tx.email_domain(F.col(email)).alias("mail_domain")).distinct()
-    asked = asked.withColumn("domain", F.explode(domain_suffixes(F.col("mail_domain"))))
-    found = asked.join(organisations, "domain")
-    # of equal priorities the first name
-    best = found.groupBy(key, email).agg(F.min_by("organisation_id", F.struct((-F.col("priority")).alias("p"), "name", "organisation_id")).alias("organisation_id"))
-    return best
+    # an organisation a domain, before the e-mails meet them: very many organisations may share a domain
+    first = organisations.groupBy("domain").agg(F.min(F.struct((-F.col("priority")).alias("p"), "name", "organisation_id")).alias("first"))
+    asked = emails.select(key, email, F.explode(domain_suffixes(tx.email_domain(F.col(email)))).alias("domain"))
+    best = asked.join(sized(first), "domain").groupBy(key, email).agg(F.min("first").alias("first"))
+    return best.select(key, email, "first.organisation_id")
 
 
 #: Rows of a side that may be broadcast. The planner goes by file sizes, which say little of exploded or nested rows.

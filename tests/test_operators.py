@@ -322,3 +322,14 @@ def test_plans_have_no_products_of_facts(spark):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
     scan = plan(registry.queries()["a1_status_counts"](spark, DATA))
     assert "ReadSchema: struct<o_orderstatus:string>" in scan
+
+
+def test_organisations_of_one_domain_meet_an_e_mail_once(spark, monkeypatch):
+    mails = spark.range(300).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, "A@cs.uni.edu").otherwise("b@none.org").alias("email"))
+    held = spark.range(400).select(F.col("id").alias("organisation_id"), F.concat(F.lit("n"), F.col("id") % 7).alias("name"), (F.col("id") % 5).cast("int").alias("priority"), F.when(F.col("id") < 399, "uni.edu").otherwise("cs.uni.edu").alias("domain"))
+    met, real = [], jn.sized
+    monkeypatch.setattr(jn, "sized", lambda side, *a: (met.append(side), real(side, *a))[1])
+    found = jn.emails_to_organisations(mails.union(mails), held, "k", "email")
+    best = min((-(i % 5), f"n{i % 7}", i) for i in range(400))[2]
+    assert rows(found) == rows(spark.range(0, 300, 2).select("id", F.lit("A@cs.uni.edu"), F.lit(best).cast("long")))
+    assert [side.count() for side in met] == [2]
