@@ -102,19 +102,20 @@ def _alias_places(texts: DataFrame, tokens: DataFrame, key: str, text: str, cont
     """(key, organisation_id, ordinal, alias): where all tokens of an alias stand one after another; with ``context``, its ends are looked at as well."""
     # numbered before the texts are cut, or each token would be a row of its own
     numbered = texts.where(F.col(key).isNotNull()).select(key, _tokens(F.col(text)).alias("raw"), F.monotonically_increasing_id().alias("row"))
+    raw, none = F.col("raw"), F.array(F.lit(" "))
+    beside = [F.concat(none, F.slice(raw, 1, F.greatest(F.size(raw) - 1, F.lit(0)))).alias("before")]
     if context:
-        raw, none = F.col("raw"), F.array(F.lit(" "))
-        before, after = F.concat(none, F.slice(raw, 1, F.greatest(F.size(raw) - 1, F.lit(0)))), F.concat(F.slice(raw, 2, F.greatest(F.size(raw), F.lit(1))), none)
-        placed = numbered.select(key, "row", F.posexplode(F.arrays_zip(raw, before.alias("before"), after.alias("after"))).alias("place", "t")).select(key, "row", "place", "t.*")
-    else:
-        placed = numbered.select(key, "row", F.posexplode("raw").alias("place", "raw"))
+        beside.append(F.concat(F.slice(raw, 2, F.greatest(F.size(raw), F.lit(1))), none).alias("after"))
+    placed = numbered.select(key, "row", F.posexplode(F.arrays_zip(raw, *beside)).alias("place", "t")).select(key, "row", "place", "t.*")
     # what is asked of a place is looked at where tokens meet, which few do
     met = placed.withColumn("token", F.ltrim(F.col("raw"), F.lit(_BLANKS))).join(sized(tokens), "token")
     spaced = F.length("raw") > F.length("token")
     agree = F.col("asked.spaced").isNull() | (F.col("asked.spaced") == spaced)
+    # a frequent token counts only behind the one that the alias has before it
+    agree = agree & (F.col("asked.behind").isNull() | (F.col("asked.behind") == F.ltrim(F.col("before"), F.lit(_BLANKS))))
     if context:
         agree = agree & ~(F.col("asked.open") & F.col("before").rlike("[a-z0-9]$") & ~spaced) & ~(F.col("asked.shut") & F.col("after").rlike("^[a-z0-9]"))
-    # an alias of one token is whole where it meets, so its places in a text need not be told apart
+    # an alias that asks for one token is whole where it meets, so its places in a text need not be told apart
     single = F.col("asked.n") == 1
     at = [F.when(single, F.lit(0)).otherwise(c).alias(name) for c, name in ((F.col("row"), "row"), (F.col("place") - F.col("asked.i"), "begin"))]
     met = met.where(agree).select(key, *at, "asked.organisation_id", "asked.ordinal", "asked.alias", "asked.n")
@@ -126,22 +127,25 @@ def texts_to_organisations(texts: DataFrame, aliases: DataFrame, key: str, text:
     """(key, organisation_id, alias): aliases that stand in a text with no letter or digit beside them.
 
     ``aliases`` has organisation_id, alias and ordinal. Both sides are cut into tokens: runs of a-z and 0-9, and single other
-    characters; white space is a flag of the token behind it. Tokens of texts meet equal tokens of aliases, and an alias of n tokens
-    stands where n of its tokens agree on one begin. So all aliases are sought in one pass over the texts, of which tokens and
-    places alone are joined, and a text costs the tokens that it shares with aliases; those that begin or end with another character than a letter or
-    digit, if there are any, take a pass that carries each token's neighbours. Of an organisation's aliases the first in
+    characters; white space is a flag of the token behind it. Tokens of texts, each with the one before it, meet equal tokens of aliases, and an
+    alias of n tokens stands where its tokens but the first agree on one begin, each behind the token that it asks for. So all aliases are sought in one
+    pass over the texts, of which tokens and places alone are joined, and a text costs the pairs of tokens that it shares with aliases; those that begin
+    or end with another character than a letter or digit, if there are any, take a pass that carries the token after each as well. Of an organisation's aliases the first in
     order counts. Blank aliases stand nowhere; rows without key, and null texts, have none; rows of one key are taken together.
     """
     cut = aliases.withColumn("tokens", _tokens(F.trim(F.col("alias"), F.lit(_BLANKS)))).where(F.size("tokens") > 0)
     is_word = lambda raw: F.ltrim(raw, F.lit(_BLANKS)).rlike("^[a-z0-9]")
     open_, shut = ~is_word(F.element_at("tokens", 1)), ~is_word(F.element_at("tokens", -1))
-    each = cut.select("organisation_id", "ordinal", "alias", F.size("tokens").alias("n"), open_.alias("open"), shut.alias("shut"), F.posexplode("tokens").alias("i", "raw"))
-    first, last = F.col("i") == 0, F.col("i") == F.col("n") - 1
+    each = cut.select("organisation_id", "ordinal", "alias", F.size("tokens").alias("size"), open_.alias("open"), shut.alias("shut"), "tokens", F.posexplode("tokens").alias("i", "raw"))
+    first, last = F.col("i") == 0, F.col("i") == F.col("size") - 1
     # what a place must show: white space as inside the alias, and no letter or digit beside an end that isn't one itself
     spaced = F.when(~first, F.col("raw").rlike(r"^\s"))
-    asked = F.struct("organisation_id", "ordinal", "alias", "n", "i", spaced.alias("spaced"), (first & F.col("open")).alias("open"), (last & F.col("shut")).alias("shut"))
+    behind = F.ltrim(F.get("tokens", F.col("i") - 1), F.lit(_BLANKS))
     odd = F.col("open") | F.col("shut")
-    tokens = each.select(F.ltrim(F.col("raw"), F.lit(_BLANKS)).alias("token"), asked.alias("asked"), odd.alias("odd"))
+    # the second token asks for the first, which nothing else is asked of unless it is odd
+    n = F.when(odd, F.col("size")).otherwise(F.greatest(F.col("size") - 1, F.lit(1)))
+    asked = F.struct("organisation_id", "ordinal", "alias", n.alias("n"), "i", spaced.alias("spaced"), behind.alias("behind"), (first & F.col("open")).alias("open"), (last & F.col("shut")).alias("shut"))
+    tokens = each.where(odd | ~first | (F.col("size") == 1)).select(F.ltrim(F.col("raw"), F.lit(_BLANKS)).alias("token"), asked.alias("asked"), odd.alias("odd"))
     found = _alias_places(texts, tokens.where("not odd").drop("odd"), key, text, False)
     if tokens.where("odd").limit(1).count():
         found = found.unionByName(_alias_places(texts, tokens.where("odd").drop("odd"), key, text, True))

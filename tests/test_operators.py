@@ -333,3 +333,16 @@ def test_organisations_of_one_domain_meet_an_e_mail_once(spark, monkeypatch):
     best = min((-(i % 5), f"n{i % 7}", i) for i in range(400))[2]
     assert rows(found) == rows(spark.range(0, 300, 2).select("id", F.lit("A@cs.uni.edu"), F.lit(best).cast("long")))
     assert [side.count() for side in met] == [2]
+
+
+def test_frequent_tokens_of_aliases_count_behind_their_neighbours_alone(spark, monkeypatch):
+    """A first token is never met for itself, or each `the` of a text would be held for `the and`."""
+    aliases = spark.createDataFrame([(1, "the and", 0), (2, "of the and", 0), (2, "Of", 1), (3, "the (and", 0), (4, "(the", 0)], "organisation_id long, alias string, ordinal int")
+    texts = ["the the and", "of the  and", "THE\nAND of", "the or and", "theand", "the ( and (the", "the (and", None, "and the", "of theand the and."]
+    met, real = [], jn.sized
+    monkeypatch.setattr(jn, "sized", lambda side, *a: (met.append(side), real(side, *a))[1])
+    found = jn.texts_to_organisations(spark.createDataFrame(list(enumerate(texts)), "k long, t string"), aliases, "k", "t")
+    want = [(0, 1, "the and"), (1, 1, "the and"), (1, 2, "of the and"), (2, 1, "the and"), (2, 2, "Of"), (5, 4, "(the"), (6, 3, "the (and"), (9, 1, "the and"), (9, 2, "Of")]
+    assert rows(found) == want
+    plain = {(r.token, r.asked.behind) for r in met[0].collect()}
+    assert ("and", "the") in plain and ("the", "of") in plain and ("the", None) not in plain
