@@ -346,3 +346,20 @@ def test_frequent_tokens_of_aliases_count_behind_their_neighbours_alone(spark, m
     assert rows(found) == want
     plain = {(r.token, r.asked.behind) for r in met[0].collect()}
     assert ("and", "the") in plain and ("the", "of") in plain and ("the", None) not in plain
+
+
+def test_answers_of_a_key_take_one_shuffle_and_a_bounded_task(spark, monkeypatch):
+    from scholarium.plans import registry
+    from scholarium.sources import landing
+
+    data = [(i % 40, i % 3 if i % 5 else None, "ab"[i % 40 % 2] if i % 7 else None) for i in range(400)] + [(90, 1, "a"), (91, None, None)]
+    answers = spark.createDataFrame(data, "k long, candidate int, answer string")
+    counts = {k: (len({c for q, c, _ in data if q == k} - {None}), len({a for q, _, a in data if q == k} - {None})) for k in {r[0] for r in data}}
+    per = answers.groupBy("k").agg(*rk.distinct_counts("candidate", "answer"))
+    assert {r.k: (r.candidates, r.answers) for r in per.collect()} == counts and "Expand" not in plan(per)
+    assert {r.k for r in rk.controls(answers, "k", 100, "s").collect()} == {k for k, (c, a) in counts.items() if a == 1 and c >= 2}
+    monkeypatch.setattr(landing, "TASK_ROWS", 500)
+    lines = spark.read.parquet(f"{DATA}/lineitem.parquet").count()
+    assert landing.dealt(spark.read.parquet(f"{DATA}/lineitem.parquet"), "l_orderkey").rdd.getNumPartitions() == -(-lines // 500)
+    for name in ("a22_candidate_disagreement", "r12_agreement_controls"):
+        assert plan(registry.queries()[name](spark, DATA)).count("Exchange hashpartitioning") == 1, name
