@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -106,13 +105,14 @@ def name_key(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), "[^a-z0-9]+", " "))
 
 
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+def _nfkc(text: str | None) -> str | None:
+    return None if text is None else unicodedata.normalize("NFKC", text)
 
 
 def compatible(text: Column) -> Column:
     """NFKC, which has no built-in; ASCII texts don't go to Python's work."""
-    normalise = F.pandas_udf(_nfkc, "string")
+    # row by row: texts can be long, and an Arrow batch holds thousands of them
+    normalise = F.udf(_nfkc, "string", useArrow=False)
     return F.when(text.rlike(r"[^\x00-\x7F]"), normalise(F.when(text.rlike(r"[^\x00-\x7F]"), text))).otherwise(text)
 
 
