@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -130,6 +131,47 @@ def editorial_priority(priority: Column, notable: Column) -> Column:
     return priority + F.lit(1.5) * notable
 
 
+def needed_text(pattern: str) -> str:
+    """The longest run of plain characters that every match of a pattern holds; '' where it isn't plain to see.
+
+    Groups, classes, escapes and what may be missing end a run; alternatives at the top and inline flags give none.
+    """
+    if "(?" in pattern or re.search(r"\\[QEPpxuc0-9]", pattern):
+        return ""
+    runs, depth, i = [""], 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i, plain = i + 1, False
+        elif c == "[":
+            close = re.compile(r"\[\^?\]?(?:\\.|[^\]\\\[])*\]").match(pattern, i)
+            if close is None:
+                return ""
+            i, plain = close.end() - 1, False
+        elif c in "()":
+            depth, plain = depth + (1 if c == "(" else -1), False
+        elif c == "|" and depth == 0:
+            return ""
+        elif c in "?*{" and depth == 0:
+            runs[-1], plain = runs[-1][:-1], False
+            if c == "{":
+                i = pattern.index("}", i)
+        else:
+            plain = depth == 0 and c not in ".^$+"
+        if plain:
+            runs[-1] += c
+        elif runs[-1]:
+            runs.append("")
+        i += 1
+    return max(runs, key=len)
+
+
+def _occurs(low: Column, pattern: str) -> Column:
+    """Whether a pattern matches; its plain characters are looked for first, which costs far less than the pattern and which most texts lack."""
+    text = needed_text(pattern)
+    return low.contains(text) & low.rlike(pattern) if text else low.rlike(pattern)
+
+
 def topic_hits(text: Column, rules=None) -> Column:
     """Array of structs (topic, n): how many of each topic's patterns occur anywhere in the text, case aside.
 
@@ -137,7 +179,7 @@ def topic_hits(text: Column, rules=None) -> Column:
     """
     rules = TOPIC_RULES if rules is None else rules
     low = F.lower(text)
-    return F.array(*[F.struct(F.lit(t).alias("topic"), reduce(lambda a, b: a + b, [F.when(low.rlike(p), 1).otherwise(0) for p in ps]).alias("n")) for t, ps in rules.items()])
+    return F.array(*[F.struct(F.lit(t).alias("topic"), reduce(lambda a, b: a + b, [F.when(_occurs(low, p), 1).otherwise(0) for p in ps]).alias("n")) for t, ps in rules.items()])
 
 
 # The parts of a reason.

@@ -67,3 +67,24 @@ def test_relevance_ranks_topics(spark):
     none = spark.range(1).select(sc.relevance(F.lit(None).cast("string"), F.lit(None).cast("array<string>"), F.lit(None).cast("string")).alias("r")).first().r
     assert (none.primary, none.score, none.reason) == (None, 0.0, "no strong deterministic AI signal")
     assert r.reason == "matched topic 'AI agents'; AI/ML arXiv category; source prior=arxiv"
+
+
+def test_patterns_are_sought_where_their_plain_characters_stand(spark):
+    cases = {r"\bagent(ic|s)?\b": "agent", r"\bmulti[- ]agent\b": "multi", r"\ba/b test": "a/b test", "colou?r": "colo", "ab{2}cd": "cd", "a|bc": "", "(a|bc)": "", "(?i)AB": "", r"\x41b": "", "x+yz": "yz", r"a\.bcd[)]": "bcd", "[[a]b]cd": ""}
+    assert {p: sc.needed_text(p) for p in cases} == cases
+    patterns = sorted({p for ps in sc.TOPIC_RULES.values() for p in ps})
+    assert all(len(sc.needed_text(p)) > 1 for p in patterns)
+    texts = [p.replace(r"\b", " ").replace("[- ]", "-").replace("(s)?", "s").replace("(ic|s)?", "ic").replace("(s|uation)?", "uation").replace("(s|ing)?", "ing") for p in patterns] + ["AGENTS of évals", "reagent xagent", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = sum((F.when(F.lower("t").rlike(p), 1).otherwise(0) for ps in sc.TOPIC_RULES.values() for p in ps), F.lit(0))
+    got = df.select(F.aggregate(sc.topic_hits(F.col("t")), F.lit(0), lambda s, h: s + h["n"]).alias("n"), plain.alias("m")).collect()
+    assert all(r.n == r.m for r in got) and sum(r.n > 0 for r in got) > len(patterns)
+    assert str(sc.topic_hits(F.col("t"))).lower().count("contains") == sum(map(len, sc.TOPIC_RULES.values()))
+
+
+def test_texts_go_to_python_row_by_row(spark):
+    """No Arrow batch of thousands of long texts is held at once."""
+    df = spark.createDataFrame([("ﬁ Ａ",), ("plain",), (None,)], "t string").select(tx.compatible(F.col("t")).alias("t"))
+    assert [r.t for r in df.collect()] == ["fi A", "plain", None]
+    found = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in found and "ArrowEvalPython" not in found
