@@ -50,8 +50,27 @@ START, END, OTHER, SAME = 0, 1, 2, 3
 _RUNS = re.compile(r"([A-Z]+)|([a-z]+)|([0-9]+)|([^\W\d_]+)")
 
 
+#: ASCII letters and digits by kind; words of one outline have one shape, which is remembered.
+_KINDS = bytes(ord("A" if chr(i).isupper() else "a" if chr(i).islower() else "0" if chr(i).isdigit() else chr(i)) if i < 128 else i for i in range(256))
+_SHAPES: dict[bytes, str] = {}
+
+
+def _outline(word: str) -> bytes:
+    return word[:64].encode("utf-8", "surrogatepass").translate(_KINDS)
+
+
 def shape(word: str) -> str:
     """``Aa.`` of ``The.``: runs of letters and digits by kind, non-ASCII letters as lower or upper case ones."""
+    outline = _outline(word)
+    found = _SHAPES.get(outline)
+    if found is None:
+        if len(_SHAPES) >= REMEMBERED:
+            _SHAPES.clear()
+        found = _SHAPES[outline] = _shape(word)
+    return found
+
+
+def _shape(word: str) -> str:
 
     def kind(m):
         if m[1] or (m[4] and m[4].isupper()):
@@ -63,21 +82,18 @@ def shape(word: str) -> str:
 
 
 class Tokens:
-    """Token numbers of texts over one vocabulary, with a memory of words."""
+    """Token numbers of texts over one vocabulary, with a memory of outlines."""
 
     def __init__(self, vocabulary: list[str]):
         self.ids = {w: i + 4 for i, w in enumerate(vocabulary)}
         self.size = len(vocabulary) + 4
-        self.known: dict[str, int] = {}
-
-    def _id(self, word: str) -> int:
-        found = self.ids.get(word)
-        if found is None:
-            found = self.ids.get(shape(word), OTHER)
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        if len(word) <= 40:
-            self.known[word] = found
+        self.outlines: dict[bytes, int] = {}
+
+    def _id(self, word: str, outline: bytes) -> int:
+        """The token of a word that doesn't stand for itself."""
+        if len(self.outlines) >= REMEMBERED:
+            self.outlines.clear()
+        found = self.outlines[outline] = self.ids.get(_shape(word), OTHER)
         return found
 
     def grams(self, text: str | None) -> np.ndarray:
@@ -90,16 +106,20 @@ class Tokens:
     def __call__(self, text: str | None) -> np.ndarray:
         """Two starts, the words' tokens, the end."""
         words = (text or "").split()
-        known = self.known
-        out = [START, START]
+        ids, outlines, out = self.ids, self.outlines, [START, START]
         last = None
         for w in words:
             if w == last:
                 out.append(SAME)
-            else:
-                k = known.get(w)
-                out.append(self._id(w) if k is None else k)
-                last = w
+                continue
+            k = ids.get(w)
+            if k is None:
+                outline = _outline(w)
+                k = outlines.get(outline)
+                if k is None:
+                    k = self._id(w, outline)
+            out.append(k)
+            last = w
         out.append(END)
         return np.array(out, np.int64)
 
@@ -215,11 +235,10 @@ def _trigrams(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
         import pyarrow as pa
 
         def flush():
-            x = np.concatenate(held)
-            x = x[np.lexsort((x[:, 2], x[:, 1], x[:, 0]))]
-            at = _runs(*x.T)
-            n = np.diff(np.append(at, len(x)))
-            yield pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int32)) for c in x[at].T), pa.array(n)], names=["u", "m", "w", "n"])
+            u, m, w = np.concatenate(held).T
+            grams, n = np.unique((u * tokens.size + m) * tokens.size + w, return_counts=True)
+            (u, m), w = np.divmod(grams // tokens.size, tokens.size), grams % tokens.size
+            yield pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int32)) for c in (u, m, w)), pa.array(n.astype(np.int64))], names=["u", "m", "w", "n"])
 
         tokens, held, size = Tokens(vocabulary), [], 0
         for batch in batches:
@@ -334,9 +353,15 @@ def _sent_documents(docs: DataFrame, vocabulary: list[str], s: Shards) -> DataFr
             doc = np.repeat(np.arange(len(held)), [len(g) for g in held])
             u, m, w = np.concatenate(held).T
             context = u * s.size + m
-            order = np.lexsort((doc, w, context))
-            context, w, doc = context[order], w[order], doc[order]
-            at = _runs(context, w, doc)
+            if s.size**3 * len(held) < 2**63:  # one number holds a row, else the columns are sorted
+                rows = np.sort((context * s.size + w) * len(held) + doc)
+                at = _runs(rows)
+                grams, doc = np.divmod(rows, len(held))
+                context, w = np.divmod(grams, s.size)
+            else:
+                order = np.lexsort((doc, w, context))
+                context, w, doc = context[order], w[order], doc[order]
+                at = _runs(context, w, doc)
             n = np.diff(np.append(at, len(doc)))
             context, w, doc = context[at], w[at], doc[at]
             shard = s.of(context // s.size, context % s.size)

@@ -599,3 +599,15 @@ def test_licences_base_places_and_expressions(spark):
 )
 def test_shunting_yard(text, postfix):
     assert licenses.to_postfix(text) == postfix
+
+
+def test_quality_remembers_outlines_not_words():
+    """New words come all the time; their shapes follow from few outlines, and are those of the words themselves."""
+    from scholarium.llm import quality as ql
+
+    words = ["The.", "ABCdef", "x--y", "éÉa", "Éb", "ÉB9", "字A", "Ⅳ-ª", "...!", "a_b", "9" * 80, "\ud800x", "=", "aaBB" * 20]
+    assert [ql.shape(w) for w in words] == [ql._shape(w) for w in words]
+    tokens = ql.Tokens(["the", "\x00Aa", "\x00a"])
+    new = [f"{a}{b}word" for a in "abcdefgh" for b in "mnopqrst"]
+    assert list(tokens("the the Then " + " ".join(new) + " 9")) == [0, 0, 4, 3, 5, *[6] * len(new), 2, 1]
+    assert len(tokens.outlines) == 3
