@@ -363,3 +363,12 @@ def test_answers_of_a_key_take_one_shuffle_and_a_bounded_task(spark, monkeypatch
     assert landing.dealt(spark.read.parquet(f"{DATA}/lineitem.parquet"), "l_orderkey").rdd.getNumPartitions() == -(-lines // 500)
     for name in ("a22_candidate_disagreement", "r12_agreement_controls"):
         assert plan(registry.queries()[name](spark, DATA)).count("Exchange hashpartitioning") == 1, name
+
+
+def test_local_evidence_meets_one_organisation_a_domain(spark, monkeypatch):
+    from scholarium.plans import registry
+
+    met, real = [], jn.sized
+    monkeypatch.setattr(jn, "sized", lambda side, *a: (met.append(side), real(side, *a))[1])
+    registry.queries()["j8_local_org_evidence"](spark, DATA)
+    assert [side.count() for side in met if "first" in side.columns] == [10]
