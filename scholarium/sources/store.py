@@ -71,6 +71,10 @@ class KeyedStore:
         """All rows with ``outcome``: that of update ``number`` for the rows that it was the last to touch, else kept."""
         return self._files().where("not _mark").select(*self.schema.names, self._outcome(number))
 
+    def touched(self, number: int) -> DataFrame:
+        """The rows that update ``number`` was the last to touch, with ``outcome``."""
+        return self._files().where((F.col("_update") == number) & ~F.col("_mark")).select(*self.schema.names, F.col("_outcome").alias("outcome"))
+
     def _buckets_of(self, rows: DataFrame) -> list[int]:
         """At most ``buckets`` numbers."""
         return sorted(r[0] for r in rows.select(self.bucket()).distinct().collect())

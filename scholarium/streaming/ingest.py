@@ -3,12 +3,12 @@
 Each micro-batch parses the new files, drops what lies before the cutoff and merges the rest by canonical
 URL into a keyed store, of which it reads and writes the buckets of its own URLs alone. The store leaves out buckets that have the
 batch already, so delivery twice has the effect of once, also where a batch broke off halfway. A run without new files returns
-the state as it is.
+the state as it is. The log has an event for each delivered item, however items are dealt over batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import joins as jn
@@ -43,6 +43,13 @@ def marks_after(spark, state: str, number: int) -> DataFrame:
     return spark.read.schema(MARKS).parquet(f"{state}/marks/batch={number}") if number >= 0 else spark.createDataFrame([], MARKS)
 
 
+def told(fresh: DataFrame, touched: DataFrame) -> DataFrame:
+    """Each item of a batch with its URL's status and its own outcome: of the items of a new URL the first is new, the others find it there."""
+    turn = F.row_number().over(Window.partitionBy("canonical_url").orderBy("source_seen_at", "external_id", "title", "feed", "published_at"))
+    each = fresh.withColumn("turn", turn).join(touched.select("canonical_url", "status", F.col("outcome").alias("url_outcome")), "canonical_url")
+    return each.withColumn("outcome", F.when(F.col("turn") == 1, F.col("url_outcome")).otherwise("updated"))
+
+
 def events(spark, state: str) -> DataFrame:
     """The log of all batches: (run_id, content_id, stage, event_type, success, details, batch)."""
     return spark.read.schema("run_id string, content_id string, stage string, event_type string, success boolean, details string, batch int").parquet(f"{state}/events")
@@ -54,8 +61,12 @@ def last_batch(spark, state: str) -> int:
     return log.agg(F.coalesce(F.max("number"), F.lit(-1)).alias("n")).first().n
 
 
-def ingest(spark, landed: str, state: str, cutoff: str, files_per_batch: int = 4, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
-    """Run over all files landed so far; returns the items and watermarks after the last batch."""
+def ingest(spark, landed: str, state: str, cutoff: str, files_per_batch: int | None = None, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
+    """Run over all files landed so far; returns the items and watermarks after the last batch.
+
+    A batch is all that waits, or ``files_per_batch`` files of it. Each batch overwrites the buckets that its URLs hash to, soon the whole
+    store, so batches of fixed size make the work of a run grow with the square of what waits.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
         own = batch.sparkSession
@@ -65,7 +76,7 @@ def ingest(spark, landed: str, state: str, cutoff: str, files_per_batch: int = 4
         store.update(fresh, merge_items, number, outcomes=True)
         marks = merge_marks(marks_after(own, state, number - 1), fresh, number)
         marks.write.mode("overwrite").parquet(f"{state}/marks/batch={number}")
-        written = store.rows_of(fresh, outcomes=number).where("outcome <> 'kept'")
+        written = told(fresh, store.touched(number))
         details = F.to_json(F.struct("title", (F.col("outcome") == "new").alias("is_new"), F.col("status").alias("existing_status"), "canonical_url"))
         log = st.event_log(written, F.lit(f"batch-{number}"), "ingest", "canonical_url", EVENTS, details=details)
         log.write.mode("overwrite").parquet(f"{state}/events/batch={number}")
@@ -74,7 +85,8 @@ def ingest(spark, landed: str, state: str, cutoff: str, files_per_batch: int = 4
         if number > 1:
             remove(own, f"{state}/marks/batch={number - 2}")
 
-    stream = spark.readStream.schema(FEED).option("maxFilesPerTrigger", files_per_batch).json(landed)
+    limit = {} if files_per_batch is None else {"maxFilesPerTrigger": files_per_batch}
+    stream = spark.readStream.schema(FEED).options(**limit).json(landed)
     run = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
     return items_store(spark, state, buckets).read(), marks_after(spark, state, last_batch(spark, state))

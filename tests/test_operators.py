@@ -1,6 +1,8 @@
 import collections
 import datetime as dt
 import hashlib
+import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -314,6 +316,32 @@ def test_a_run_without_new_files_keeps_the_state(spark, tmp_path):
     assert {r.event_type: r["count"] for r in log} == {"upsert": 7, "ingest_duplicate_preserved": 2}
 
 
+def test_a_run_is_one_batch_and_each_item_is_logged(spark, tmp_path):
+    item = '{{"items":[{{"id":"{0}","title":"t{0}","published":"1700000000","crawlTimeMsec":"{1}","alternate":[{{"href":"http://x.org/{2}"}}],"origin":{{"title":"f"}}}}]}}'
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    deliveries = [(n, 1700000000000 + n, n % 6) for n in range(9)]
+    for n, seen, url in deliveries:
+        (landed / f"{n}.json").write_text(item.format(n, seen, url))
+        os.utime(landed / f"{n}.json", (1700000000 + n,) * 2)
+    logs = []
+    for state, files_per_batch in ((tmp_path / "whole", None), (tmp_path / "dealt", 2)):
+        items, marks = ig.ingest(spark, str(landed), str(state), "2023-01-01", files_per_batch)
+        assert {(r.canonical_url, r.title) for r in items.collect()} == {(f"http://x.org/{u}", f"t{max(n for n, _, v in deliveries if v == u)}") for u in range(6)}
+        assert marks.first().items_total == 9
+        logs.append(sorted((r.content_id, r.event_type) for r in ig.events(spark, str(state)).collect()))
+        assert len(list((state / "events").glob("batch=*"))) == (1 if files_per_batch is None else 5)
+    assert logs[0] == logs[1] and len(logs[0]) == 9
+    log = {json.loads(r.details)["title"]: r.event_type for r in ig.events(spark, str(tmp_path / "whole")).collect()}
+    assert log == {f"t{n}": "upsert" if n < 6 else "ingest_duplicate_preserved" for n in range(9)}
+    # what is delivered again in a later run finds its URLs there
+    for n, seen, url in deliveries[:3]:
+        (landed / f"again{n}.json").write_text(item.format(n, seen, url))
+    ig.ingest(spark, str(landed), str(tmp_path / "whole"), "2023-01-01")
+    kinds = [r.event_type for r in ig.events(spark, str(tmp_path / "whole")).collect()]
+    assert (kinds.count("upsert"), kinds.count("ingest_duplicate_preserved")) == (6, 6)
+
+
 def test_plans_have_no_products_of_facts(spark):
     from scholarium.plans import registry
 
