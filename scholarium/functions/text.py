@@ -59,7 +59,8 @@ def canonical_url(url: Column) -> Column:
     path = F.coalesce(F.nullif(F.regexp_replace(path, "/+$", ""), F.lit("")), F.lit("/"))
     plain = F.concat(F.coalesce(scheme, F.lit("https")), F.lit("://"), host, path, F.when(pairs != "", F.concat(F.lit("?"), pairs)).otherwise(""))
     paper = arxiv_id(u)
-    return F.when(paper.isNotNull() & F.lower(u).contains("arxiv.org"), F.concat(F.lit("https://arxiv.org/abs/"), paper)).otherwise(plain)
+    # the identifier's pattern is dear, and few URLs are asked for it
+    return F.when(F.lower(u).contains("arxiv.org") & paper.isNotNull(), F.concat(F.lit("https://arxiv.org/abs/"), paper)).otherwise(plain)
 
 
 def source_type(url: Column, feed: Column, categories: Column) -> Column:
