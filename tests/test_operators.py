@@ -325,12 +325,12 @@ def test_a_run_is_one_batch_and_each_item_is_logged(spark, tmp_path):
         (landed / f"{n}.json").write_text(item.format(n, seen, url))
         os.utime(landed / f"{n}.json", (1700000000 + n,) * 2)
     logs = []
-    for state, files_per_batch in ((tmp_path / "whole", None), (tmp_path / "dealt", 2)):
-        items, marks = ig.ingest(spark, str(landed), str(state), "2023-01-01", files_per_batch)
+    for state, dealt, batches in ((tmp_path / "whole", {}, 1), (tmp_path / "dealt", {"files_per_batch": 2}, 5)):
+        items, marks = ig.ingest(spark, str(landed), str(state), "2023-01-01", **dealt)
         assert {(r.canonical_url, r.title) for r in items.collect()} == {(f"http://x.org/{u}", f"t{max(n for n, _, v in deliveries if v == u)}") for u in range(6)}
         assert marks.first().items_total == 9
         logs.append(sorted((r.content_id, r.event_type) for r in ig.events(spark, str(state)).collect()))
-        assert len(list((state / "events").glob("batch=*"))) == (1 if files_per_batch is None else 5)
+        assert len(list((state / "events").glob("batch=*"))) == batches
     assert logs[0] == logs[1] and len(logs[0]) == 9
     log = {json.loads(r.details)["title"]: r.event_type for r in ig.events(spark, str(tmp_path / "whole")).collect()}
     assert log == {f"t{n}": "upsert" if n < 6 else "ingest_duplicate_preserved" for n in range(9)}
