@@ -153,10 +153,13 @@ def texts_to_organisations(texts: DataFrame, aliases: DataFrame, key: str, text:
 
 
 def local_evidence(emails: DataFrame, texts: DataFrame, key: str) -> DataFrame:
-    """(key, organisation_id, evidence_type, evidence_text, confidence) of both local kinds, each once."""
+    """(key, organisation_id, evidence_type, evidence_text, confidence) of both local kinds, each once.
+
+    A kind has rows of its own, so each is made distinct by itself, where its rows lie, and the two together are not shuffled.
+    """
     a = emails.select(key, "organisation_id", F.lit("email_domain").alias("evidence_type"), F.col("email").alias("evidence_text"), F.lit(0.98).alias("confidence"))
     b = texts.select(key, "organisation_id", F.lit("explicit_affiliation_text").alias("evidence_type"), F.col("alias").alias("evidence_text"), F.lit(1.0).alias("confidence"))
-    return a.unionByName(b).dropDuplicates([key, "organisation_id", "evidence_type", "evidence_text"])
+    return a.distinct().unionByName(b.distinct())
 
 
 def match_people(authors: DataFrame, people: DataFrame, key: str, names: str) -> DataFrame:

@@ -400,3 +400,16 @@ def test_local_evidence_meets_one_organisation_a_domain(spark, monkeypatch):
     monkeypatch.setattr(jn, "sized", lambda side, *a: (met.append(side), real(side, *a))[1])
     registry.queries()["j8_local_org_evidence"](spark, DATA)
     assert [side.count() for side in met if "first" in side.columns] == [10]
+
+
+def test_kinds_of_local_evidence_are_not_shuffled_together(spark):
+    from scholarium.plans import registry
+
+    emails = spark.createDataFrame([(1, "a@x.org", 7), (1, "a@x.org", 7), (1, "b@x.org", 7), (2, "", 7), (None, "a@x.org", 7), (None, "a@x.org", 7)], "k long, email string, organisation_id long")
+    texts = spark.createDataFrame([(1, 7, "a@x.org"), (1, 7, "a@x.org"), (1, 8, "a@x.org"), (3, None, "x"), (3, None, "x")], "k long, organisation_id long, alias string")
+    rows = [tuple(r) for r in jn.local_evidence(emails, texts, "k").collect()]
+    mail, said = ("email_domain", 0.98), ("explicit_affiliation_text", 1.0)
+    expected = {(k, o, mail[0], t, mail[1]) for k, t, o in ((1, "a@x.org", 7), (1, "b@x.org", 7), (2, "", 7), (None, "a@x.org", 7))} | {(k, o, said[0], t, said[1]) for k, o, t in ((1, 7, "a@x.org"), (1, 8, "a@x.org"), (3, None, "x"))}
+    assert len(rows) == 7 and set(rows) == expected
+    above = plan(registry.queries()["j8_local_org_evidence"](spark, DATA)).split("Union")[0]
+    assert "Exchange" not in above, above
